@@ -5,22 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
-def is_strict_json(col: Column) -> Column:
-    """True when the text is exactly one JSON value.
+def strict_variant(col: Column) -> Column:
+    """The parsed value, or null where the text is not exactly one JSON value.
 
-    ``try_parse_json`` alone accepts trailing text, so the text is also parsed inside an array
-    and inside an object: anything left over breaks one of the two or adds a second element.
+    ``try_parse_json`` alone accepts trailing text, so the text is parsed once inside an array and
+    once inside an object: anything left over breaks one of the two or adds a second element.
     """
-    boxed = F.try_parse_json(F.concat(F.lit("["), col, F.lit("]")))
+    boxed = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), col, F.lit("]"))), "$", "array<variant>")
     keyed = F.try_parse_json(F.concat(F.lit('{"v":'), col, F.lit("}")))
-    one_element = F.size(F.try_variant_get(boxed, "$", "array<variant>")) == 1
-    one_key = F.size(F.map_keys(F.try_variant_get(keyed, "$", "map<string,variant>"))) == 1
-    return F.coalesce(one_element & one_key, F.lit(False))
-
-
-def strict_variant(col: Column) -> Column:
-    """The parsed value, or null where the text is not exactly one JSON value."""
-    return F.when(is_strict_json(col), F.try_parse_json(col))
+    keys = F.size(F.map_keys(F.try_variant_get(keyed, "$", "map<string,variant>")))
+    return F.when((F.size(boxed) == 1) & (keys == 1), F.try_element_at(boxed, F.lit(1)))
 
 
 def kind(value: Column, path: str) -> Column:

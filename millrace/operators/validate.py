@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions import jsontext
+from millrace.functions.steps import computed_once
 
 TEXT = "text"
 NUMBER = "number"
@@ -41,52 +42,60 @@ HIGH_VALUE = 1_000_000
 PARSE_FAILED = "Unparseable message"
 
 
-def parse_messages(df: DataFrame, raw: str = "raw", keep: str = "record") -> DataFrame:
-    """Decode a message column (bytes or text) and parse it strictly.
+def parse_messages(df: DataFrame, raw: str = "raw") -> DataFrame:
+    """Decode a message column (bytes or text) and parse it strictly, once per row.
 
-    Adds ``record`` (VARIANT, null when the message is not one JSON object) and ``_parse_error``.
+    Adds ``record``: the VARIANT of a message that is exactly one JSON object, else null.
     """
     source = F.col(raw)
     if dict(df.dtypes)[raw] == "binary":
         source = F.decode(source, "UTF-8")
-    parsed = jsontext.strict_variant(source)
-    is_object = F.schema_of_variant(parsed).startswith("OBJECT")
-    return (
-        df.withColumn(raw, source)
-        .withColumn(keep, F.when(is_object, parsed))
-        .withColumn("_parse_error", F.when(F.col(keep).isNull(), F.lit(PARSE_FAILED)))
+    text = df.withColumn(raw, source)
+    parsed = computed_once(text, {"_value": jsontext.strict_variant(F.col(raw))})
+    is_object = F.schema_of_variant("_value").startswith("OBJECT")
+    return computed_once(parsed, {"record": F.when(is_object, F.col("_value"))}).drop("_value")
+
+
+def json_errors(record: DataFrame, rules: RowRules, out: str = "errors") -> DataFrame:
+    """Errors of the VARIANT column ``record``, checked on the JSON kinds themselves (no coercion)."""
+    names = list(dict.fromkeys([*rules.required, *rules.types, *rules.non_negative, *rules.domains]))
+    shown = {n: jsontext.text_at(F.col("record"), f"$.{n}") for n in [*rules.non_negative, *rules.domains]}
+    looked = computed_once(
+        record,
+        {
+            **{f"_kind_{n}": jsontext.kind(F.col("record"), f"$.{n}") for n in names},
+            **{f"_text_{n}": value for n, value in shown.items()},
+        },
     )
 
+    def kind(name: str) -> Column:
+        return F.col(f"_kind_{name}")
 
-def json_errors(record: Column, rules: RowRules) -> Column:
-    """Errors of a VARIANT record, checked on the JSON kinds themselves (no coercion)."""
-
-    def at(name: str) -> str:
-        return f"$.{name}"
+    def text(name: str) -> Column:
+        return F.col(f"_text_{name}")
 
     checks: list[Column] = []
     for name in rules.required:
-        kind = F.coalesce(jsontext.kind(record, at(name)), F.lit("VOID"))
-        checks.append(F.when(kind == "VOID", F.lit(f"Missing required field: {name}")))
+        missing = kind(name).isNull() | (kind(name) == "VOID")
+        checks.append(F.when(missing, F.lit(f"Missing required field: {name}")))
     for name, declared in rules.types.items():
-        kind = jsontext.kind(record, at(name))
-        wrong = (kind != "VOID") & ~kind.rlike(KINDS[declared])
+        wrong = (kind(name) != "VOID") & ~kind(name).rlike(KINDS[declared])
         checks.append(F.when(wrong, F.lit(f"Type mismatch: {name} expected {declared}")))
     for name in rules.non_negative:
-        is_number = jsontext.kind(record, at(name)).rlike(KINDS[NUMBER])
-        value = jsontext.text_at(record, at(name))
+        number = text(name).try_cast("double")
+        written = F.when(kind(name) == "BIGINT", text(name)).otherwise(number.cast("string"))
         checks.append(
             F.when(
-                is_number & (value.try_cast("double") < 0),
-                F.concat(F.lit(f"Invalid {name}: "), value, F.lit(" (must be >= 0)")),
+                kind(name).rlike(KINDS[NUMBER]) & (number < 0),
+                F.concat(F.lit(f"Invalid {name}: "), written, F.lit(" (must be >= 0)")),
             )
         )
     for name, allowed in rules.domains.items():
-        value = jsontext.text_at(record, at(name))
-        outside = jsontext.is_present(record, at(name)) & (value.isNull() | ~value.isin(allowed))
-        shown = F.coalesce(value, F.lit("None"))
-        checks.append(F.when(outside, F.concat(F.lit(f"Invalid {name}: "), shown)))
-    return _compact(checks)
+        outside = kind(name).isNotNull() & (text(name).isNull() | ~text(name).isin(allowed))
+        checks.append(F.when(outside, F.concat(F.lit(f"Invalid {name}: "), F.coalesce(text(name), F.lit("None")))))
+    found = F.when(F.col("record").isNull(), F.array(F.lit(PARSE_FAILED))).otherwise(_compact(checks))
+    helpers = [f"_kind_{n}" for n in names] + [f"_text_{n}" for n in shown]
+    return computed_once(looked, {out: found}).drop(*helpers)
 
 
 def column_errors(rules: RowRules, columns: list[str]) -> Column:
@@ -118,11 +127,7 @@ def _compact(checks: list[Column]) -> Column:
 
 def validated_messages(df: DataFrame, rules: RowRules = TRANSACTION_RULES, raw: str = "raw") -> DataFrame:
     """Parsed messages with an ``errors`` array; a message that does not parse has one error."""
-    parsed = parse_messages(df, raw)
-    errors = F.when(F.col("_parse_error").isNotNull(), F.array("_parse_error")).otherwise(
-        json_errors(F.col("record"), rules)
-    )
-    return parsed.withColumn("errors", errors)
+    return json_errors(parse_messages(df, raw), rules)
 
 
 def valid_rows(checked: DataFrame) -> DataFrame:
@@ -142,7 +147,7 @@ def message_columns(valid: DataFrame) -> DataFrame:
     texts = ["transaction_id", "account_id", "customer_id", "transaction_type", "channel", "status", "created_timestamp"]
     picked = {name: jsontext.text_at(record, f"$.{name}") for name in texts}
     amount = F.try_variant_get(record, "$.amount", "decimal(18,2)").cast("double")
-    keep = [c for c in valid.columns if c not in ("record", "errors", "_parse_error", "raw")]
+    keep = [c for c in valid.columns if c not in ("record", "errors", "raw")]
     return valid.select(*keep, *[c.alias(n) for n, c in picked.items()], amount.alias("amount"))
 
 
