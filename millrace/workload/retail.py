@@ -38,7 +38,7 @@ WITH po AS (SELECT l_suppkey AS supplier_id, l_orderkey AS po_number, CAST(sum(l
   min(l_linenumber) AS store_id, min(l_tax) + 2 AS unit_cost_gbp FROM lineitem GROUP BY 1, 2),
 gr AS (SELECT l_suppkey AS supplier_id, l_orderkey AS po_number, CAST(sum(l_quantity - CASE WHEN l_discount >= 0.08 THEN 1 ELSE 0 END) AS BIGINT) AS qty_delivered
   FROM lineitem WHERE l_linenumber <> 7 GROUP BY 1, 2),
-pr AS (SELECT l_suppkey AS supplier_id, l_partkey % 50 AS product_code, sum(CAST(l_discount AS DECIMAL(18,2))) AS promo FROM lineitem WHERE l_returnflag = 'N' GROUP BY 1, 2),
+pr AS (SELECT l_suppkey AS supplier_id, l_partkey % 50 AS product_code, CAST(sum(CAST(l_discount AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS promo FROM lineitem WHERE l_returnflag = 'N' GROUP BY 1, 2),
 md AS (SELECT l_suppkey AS supplier_id, l_partkey % 50 AS product_code, l_linenumber AS store_id, sum(CAST(l_tax AS DECIMAL(18,2))) AS claim FROM lineitem
   WHERE l_returnflag = 'R' GROUP BY 1, 2, 3),
 ln AS (SELECT po.*, s_name AS supplier_name, qty_delivered, promo, coalesce(CAST(qty_delivered AS DOUBLE) / CAST(qty_ordered AS DOUBLE), 0.0) AS rate
