@@ -145,7 +145,21 @@ def rendered_context(spark, root):
     return retrieval.context_per_query(ranked, contexts, "s_suppkey", "text")
 
 
-@register("V6 V7 V10 C4")
+def _rendered(name, description, columns, samples):
+    listed = ", ".join(f"{c} ({d})" for c, d in columns)
+    examples = f" Example queries: {'; '.join(samples[:3])}" if samples else ""
+    return f"Table: {name}. {description}. Columns: {listed}{examples}".replace("'", "''")
+
+
+TABLE_VALUES = ", ".join(f"('{t[0]}', '{_rendered(*t)}')" for t in catalog.BUSINESS_TABLES)
+
+
+@register("V6 V7 V10 C4", sql=f"""WITH tabs AS (SELECT * FROM (VALUES {TABLE_VALUES}) v(table_name, text)),
+turns AS (SELECT conv_id * 1000 + turn AS turn_id, text FROM conversations WHERE role = 'user'),
+{_terms('q', 'turns', 'turn_id')}, {_terms('d', 'tabs', 'table_name')},
+x AS (SELECT q.id AS query_id, d.id AS item_id, round(sum(q.x * d.x), 6) AS score FROM q JOIN d USING (b) GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS rank FROM x WHERE score >= 0.05)
+SELECT query_id, item_id, score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 3""")
 def tables_for_user_turns(spark, root):
     """Business tables that match each user turn, over an index that is rendered, embedded and stored."""
     from millrace.workspace import scratch_path
@@ -161,11 +175,7 @@ def tables_for_user_turns(spark, root):
         (F.col("conv_id") * 1000 + F.col("turn")).alias("turn_id"), "text"
     )
     asked = retrieval.embed_column(turns, "text", embed, DIMS)
-    found = retrieval.top_matches(spark.read.parquet(path), asked, "table_name", "turn_id", k=1_000_000, min_score=0.05)
-    from millrace.operators.ordered import first_per_key
-
-    hits = found.select(F.col("item_id").alias("turn_id"), F.col("query_id").alias("table_name"), "score")
-    return first_per_key(hits, ["turn_id"], [F.desc("score"), F.col("table_name")], 3, "place")
+    return retrieval.top_matches(asked, spark.read.parquet(path), "turn_id", "table_name", min_score=0.05)
 
 
 @register("V11 J15 U3 F7", sql="""WITH s AS (SELECT DISTINCT left(sha256(text), 16) AS key FROM benchmark),
