@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions import jsontext
-from millrace.functions.steps import computed_once
+from millrace.functions.steps import computed_once, spread_out
 
 TEXT = "text"
 NUMBER = "number"
@@ -50,7 +50,7 @@ def parse_messages(df: DataFrame, raw: str = "raw") -> DataFrame:
     source = F.col(raw)
     if dict(df.dtypes)[raw] == "binary":
         source = F.decode(source, "UTF-8")
-    text = df.withColumn(raw, source)
+    text = spread_out(df).withColumn(raw, source)
     parsed = computed_once(text, {"_value": jsontext.strict_variant(F.col(raw))})
     is_object = F.schema_of_variant("_value").startswith("OBJECT")
     return computed_once(parsed, {"record": F.when(is_object, F.col("_value"))}).drop("_value")

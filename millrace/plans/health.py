@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.functions import jsontext
-from millrace.functions.steps import computed_once
+from millrace.functions.steps import computed_once, spread_out
 from millrace.operators.joins import reference_pairs
 from millrace.sources.tables import look_back
 
@@ -197,7 +197,7 @@ def fhir_dispenses(df: DataFrame, parsed: str = "_value") -> DataFrame:
 def route_dispenses(messages: DataFrame, raw: str = "raw") -> tuple[DataFrame, DataFrame]:
     """Unified dispenses from both formats, and dead letters with a reason (text cut at 500)."""
     kept = [c for c in messages.columns if c != raw]
-    labelled = messages.withColumn("_format", message_format(F.col(raw)))
+    labelled = spread_out(messages).withColumn("_format", message_format(F.col(raw)))
     hl7 = hl7_dispenses(labelled.where("_format = 'HL7V2'"), raw)
     json_rows = computed_once(labelled.where("_format = 'FHIR_R4'"), {"_value": jsontext.strict_variant(F.col(raw))})
     has_keys = F.col("patient_hash").isNotNull() & F.col("ndc_code").isNotNull()

@@ -39,10 +39,17 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str, **options: str)
     )
 
 
-def write_batches(stream: DataFrame, checkpoint: str, writer: Callable[[DataFrame, int], None], mode: str = "append") -> StreamingQuery:
+# Drain what is there and stop; pass e.g. {"processingTime": "1 minute"} to keep running.
+DRAIN = {"availableNow": True}
+
+
+def write_batches(
+    stream: DataFrame, checkpoint: str, writer: Callable[[DataFrame, int], None], mode: str = "append",
+    trigger: dict | None = None,
+) -> StreamingQuery:
     return (
         stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
-        .foreachBatch(writer).trigger(availableNow=True).start()
+        .foreachBatch(writer).trigger(**(trigger or DRAIN)).start()
     )
 
 
@@ -50,7 +57,10 @@ def batch_folder(path: str, batch: int) -> str:
     return f"{path}/batch={batch}"
 
 
-def route_batches(stream: DataFrame, route: Route, good: str, refused: str, checkpoint: str, partition: str | None = None) -> StreamingQuery:
+def route_batches(
+    stream: DataFrame, route: Route, good: str, refused: str, checkpoint: str,
+    partition: str | None = None, trigger: dict | None = None,
+) -> StreamingQuery:
     """Split every micro-batch into rows to keep and dead letters, read once and written twice."""
 
     def write(batch: DataFrame, number: int) -> None:
@@ -63,7 +73,7 @@ def route_batches(stream: DataFrame, route: Route, good: str, refused: str, chec
         finally:
             batch.unpersist()
 
-    return write_batches(stream, checkpoint, write)
+    return write_batches(stream, checkpoint, write, trigger=trigger)
 
 
 def deduplicated(stream: DataFrame, key: list[str], arrived: str, delay: str = "1 hour") -> DataFrame:
@@ -74,6 +84,7 @@ def deduplicated(stream: DataFrame, key: list[str], arrived: str, delay: str = "
 def ingest_stream(
     messages: DataFrame, good: str, refused: str, checkpoint: str, as_of: str, source: str = "pubsub_streaming",
     rules: RowRules = TRANSACTION_RULES, key: str = "transaction_id", delay: str = "1 hour",
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """Parse, validate, drop repeats, enrich, append; refused messages go to dead letters.
 
@@ -89,14 +100,14 @@ def ingest_stream(
         loaded = enrich(message_columns(valid_rows(batch)), as_of, source)
         return loaded.drop("position", "arrived"), dead_letters(batch, as_of)
 
-    return route_batches(unique, route, good, refused, checkpoint)
+    return route_batches(unique, route, good, refused, checkpoint, trigger=trigger)
 
 
-def append_stream(stream: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
+def append_stream(stream: DataFrame, table: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Append to a table that must already exist."""
     if not stream.sparkSession.catalog.tableExists(table):
         raise MissingTable(table)
-    return stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).toTable(table)
+    return stream.writeStream.option("checkpointLocation", checkpoint).trigger(**(trigger or DRAIN)).toTable(table)
 
 
 def windowed(
@@ -111,13 +122,13 @@ def windowed(
     )
 
 
-def summary_stream(totals: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def summary_stream(totals: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Changed groups of a running aggregate, one folder per refresh; read with ``newest_totals``."""
 
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(batch_folder(path, number))
 
-    return write_batches(totals, checkpoint, write, mode="update")
+    return write_batches(totals, checkpoint, write, mode="update", trigger=trigger)
 
 
 def newest_totals(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
@@ -126,7 +137,8 @@ def newest_totals(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
 
 
 def split_late(
-    stream: DataFrame, ts: str, on_time: str, late: str, marks: str, checkpoint: str, lateness: str = "1 hour"
+    stream: DataFrame, ts: str, on_time: str, late: str, marks: str, checkpoint: str, lateness: str = "1 hour",
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """Rows older than the newest time of earlier batches minus ``lateness`` go to a side table.
 
@@ -149,7 +161,7 @@ def split_late(
         finally:
             batch.unpersist()
 
-    return write_batches(stream, checkpoint, write)
+    return write_batches(stream, checkpoint, write, trigger=trigger)
 
 
 def reuse_stream(questions: DataFrame, ts: str, row_id: str, ttl_seconds: int) -> DataFrame:
