@@ -91,7 +91,7 @@ def reference_pairs(
     The pair list is put in ``least, greatest`` order and looked up from one side, so a row meets
     only the partners the reference names; pairs of one entity are never enumerated.
     """
-    ordered = pairs.withColumns(
+    ordered = pairs.where(F.col(first) != F.col(second)).withColumns(
         {"_a": F.least(first, second), "_b": F.greatest(first, second)}
     ).drop(first, second).dropDuplicates(["_a", "_b"])
     held = rows.select(F.col(entity), F.col(code)).distinct()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions import jsontext
-from millrace.functions.steps import computed_once
+from millrace.functions.steps import computed_once, spread_out
 from millrace.functions.text import action_key, clean_sql, preview, referenced_tables, sql_error, strip, without_fence
 from millrace.operators.ordered import first_per_key, with_previous
 
@@ -24,7 +24,7 @@ SEVERITIES = ["info", "warning", "critical"]
 
 def audited_statements(log: DataFrame, sql: str, allowed_tables: list[str]) -> DataFrame:
     """Cleaned statement, validity with the first error, referenced tables and those not allowed."""
-    cleaned = computed_once(log, {"cleaned": clean_sql(F.col(sql))})
+    cleaned = computed_once(spread_out(log), {"cleaned": clean_sql(F.col(sql))})
     allowed = F.array(*[F.lit(t) for t in allowed_tables])
     checked = computed_once(
         cleaned, {"error": sql_error(F.col("cleaned")), "tables": referenced_tables(F.col("cleaned"))}
@@ -89,7 +89,7 @@ DEFAULTS = {"thought": "", "tool": DONE, "params": "{}", "reasoning": ""}
 
 def parsed_actions(replies: DataFrame, raw: str) -> DataFrame:
     """Action fields of raw replies: whole text, else first brace to last brace, else a fallback."""
-    text = computed_once(replies, {"_text": without_fence(F.col(raw), ("json", "JSON"))})
+    text = computed_once(spread_out(replies), {"_text": without_fence(F.col(raw), ("json", "JSON"))})
     inner = F.regexp_extract(F.col("_text"), r"(?s)\{.*\}", 0)
     tried = computed_once(text, {"_whole": _json_object(F.col("_text")), "_inner": inner})
     chosen = computed_once(tried, {"_action": F.coalesce(F.col("_whole"), _json_object(F.nullif(F.col("_inner"), F.lit(""))))})

@@ -50,22 +50,19 @@ def transaction_features(
         customer,
         "_slot",
         F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_before"),
-        F.coalesce(F.sum("_n").over(after), F.lit(0)).alias("_newer"),
+        (F.coalesce(F.sum("_n").over(after), F.lit(0)) + F.col("_n") + 1).alias("_not_older"),
         F.sum("_n").over(same_day).alias("daily_txn_count"),
         F.sum("_s").over(same_day).cast("double").alias("daily_total_amount"),
     )
     inside = Window.partitionBy(customer, "_slot")
+    # Ranked from the oldest up and turned round, so one sort serves both windows.
+    oldest = F.row_number().over(inside.orderBy(ts, tie))
     upto_now = inside.orderBy(ts).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    newest = inside.orderBy(F.desc(ts), F.desc(tie))
     return (
         rows.join(history, [customer, "_slot"], "left")
-        .withColumns(
-            {
-                "running_total": (F.col("_before") + F.sum(money(amount)).over(upto_now)).cast("double"),
-                "txn_rank": F.col("_newer") + F.row_number().over(newest),
-            }
-        )
-        .drop("_slot", "_before", "_newer")
+        .withColumn("txn_rank", F.col("_not_older") - oldest)
+        .withColumn("running_total", (F.col("_before") + F.sum(money(amount)).over(upto_now)).cast("double"))
+        .drop("_slot", "_before", "_not_older")
     )
 
 

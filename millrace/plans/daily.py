@@ -22,14 +22,14 @@ def daily_transform(
     tx: DataFrame, customers: DataFrame, accounts: DataFrame,
     key: str = "transaction_id", ts: str = "created_timestamp",
 ) -> DataFrame:
-    """Newest version of each transaction, both dimensions, customer features.
+    """Newest version of each transaction, customer features, both dimensions.
 
-    Dimensions must bring only columns of their own besides their key.
+    Features read transaction columns only, so they come first and the wider joined rows are never
+    shuffled. Dimensions must bring only columns of their own besides their key.
     """
     newest = latest_per_key(tx, [key], total_order(tx, F.desc(ts)))
-    joined = broadcast_join(newest, customers, "customer_id")
-    joined = broadcast_join(joined, accounts, "account_id")
-    return transaction_features(joined)
+    featured = transaction_features(newest, ts=ts, tie=key)
+    return broadcast_join(broadcast_join(featured, customers, "customer_id"), accounts, "account_id")
 
 
 def batch_ingest(

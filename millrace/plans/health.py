@@ -25,7 +25,7 @@ def adherence(fills: DataFrame, as_of: str, days: int = 90) -> DataFrame:
     """
     recent = fills.where(look_back("fill_date", as_of, days))
     grouped = recent.groupBy("patient", "molecule").agg(
-        F.sum("days_supply").alias("total_days_covered"),
+        F.coalesce(F.sum("days_supply"), F.lit(0)).alias("total_days_covered"),
         F.count("*").alias("total_fills"),
         F.min("fill_date").alias("first_fill_date"),
         F.max("fill_date").alias("last_fill_date"),
@@ -44,7 +44,9 @@ def _with_pdc(grouped: DataFrame, days: int) -> DataFrame:
 
 def fill_days(fills: DataFrame) -> DataFrame:
     """One row per patient, molecule and day: fills of one day follow each other as one supply."""
-    return fills.groupBy("patient", "molecule", "fill_date").agg(F.sum("days_supply").alias("days_supply"))
+    return fills.groupBy("patient", "molecule", "fill_date").agg(
+        F.coalesce(F.sum("days_supply"), F.lit(0)).alias("days_supply")
+    )
 
 
 def covered_intervals(daily: DataFrame) -> DataFrame:
@@ -131,13 +133,14 @@ def _empty_to_null(col: Column) -> Column:
 
 def hl7_dispenses(df: DataFrame, raw: str = "raw", positions: dict[str, tuple[str, int]] = HL7_FIELDS) -> DataFrame:
     """Fields of pipe-delimited messages; the last segment of a kind wins."""
-    segments = F.split(F.col(raw), "\r?\n")
+    lines = computed_once(df, {"_lines": F.split(F.col(raw), "\r?\n")})
 
     def last_of(kind: str) -> Column:
-        return F.split(F.try_element_at(F.filter(segments, lambda s: F.split(s, r"\|")[0] == kind), F.lit(-1)), r"\|")
+        own = F.filter("_lines", lambda s: (s == kind) | s.startswith(f"{kind}|"))
+        return F.split(F.try_element_at(own, F.lit(-1)), r"\|")
 
     kinds = sorted({kind for kind, _ in positions.values()})
-    cut = computed_once(df, {f"_{k}": last_of(k) for k in kinds})
+    cut = computed_once(lines, {f"_{k}": last_of(k) for k in kinds}).drop("_lines")
 
     def field(name: str) -> Column:
         kind, place = positions[name]

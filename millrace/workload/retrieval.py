@@ -89,7 +89,7 @@ def passages_in_documents(spark, root):
     return _document_matches(spark, root)
 
 
-@register("V9", sql=f"""WITH {TEXT_SEARCH}, c AS (SELECT item_id, coalesce(least(score * 1.1, 1.0), 0.0) AS confidence FROM benchmark
+@register("V9", sql=f"""WITH {TEXT_SEARCH}, c AS (SELECT item_id, CASE WHEN score IS NULL THEN 0.0 ELSE least(score * 1.1::DOUBLE, 1.0::DOUBLE) END AS confidence FROM benchmark
 LEFT JOIN (SELECT query_id, score FROM r WHERE rank = 1) t ON t.query_id = benchmark.item_id) SELECT *, confidence < 0.3 AS declined FROM c""")
 def question_confidence(spark, root):
     questions = roles.benchmark(spark, root).select("item_id")
