@@ -30,11 +30,26 @@ def broadcast_join(
     return large.join(F.broadcast(small) if small_enough(small, limit) else small, on=on, how=how)
 
 
-def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> DataFrame:
-    """Keys that hold at least ``share`` of all rows: never more than ``1 / share`` of them."""
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).count()
-    total = counts.agg((F.sum("count") * F.lit(share)).alias("floor")).scalar()
-    return counts.where(F.col("count") >= total).select(key)
+def hot_keys(df: DataFrame, keys: str | list[str], share: float = 0.01, min_rows: int = 0) -> DataFrame:
+    """Keys that hold at least ``share`` of all rows: never more than ``1 / share`` of them.
+
+    ``min_rows`` keeps keys out that are small in absolute terms.
+    """
+    names = [keys] if isinstance(keys, str) else keys
+    counts = df.select(*names).na.drop().groupBy(*names).count()
+    floor = counts.agg(F.greatest(F.sum("count") * F.lit(share), F.lit(min_rows)).alias("floor")).scalar()
+    return counts.where(F.col("count") >= floor).select(*names)
+
+
+# A key above both limits is split over several tasks by the ordered operators: at most 100,000
+# keys, whose list is small enough to send everywhere.
+HOT_SHARE, HOT_ROWS = 1e-5, 1_000_000
+
+
+def mark_hot(df: DataFrame, keys: list[str], min_rows: int = HOT_ROWS, share: float = HOT_SHARE) -> DataFrame:
+    """Add ``_hot``: whether the row's key is too large for one task."""
+    marked = F.broadcast(hot_keys(df, keys, share, min_rows).withColumn("_hot", F.lit(True)))
+    return df.join(marked, keys, "left").withColumn("_hot", F.coalesce("_hot", F.lit(False)))
 
 
 def row_salt(columns: list[str], salt_range: int) -> Column:

@@ -1,8 +1,9 @@
 """Order-dependent features that survive a key holding a large share of all rows.
 
-A plain window puts every row of a key into one task. Here rows are first summed up per key and
-time slot; only those slot rows are ordered per key (their number is bounded by the calendar),
-and the row-level work stays inside one slot.
+A plain window puts every row of a key into one task. Keys of ordinary size are left to it. The
+few keys too large for a task are cut into time slots: rows are summed up per key and slot, only
+those slot rows are ordered per key (their number is bounded by the calendar), and the row-level
+work stays inside one slot.
 """
 
 from __future__ import annotations
@@ -10,6 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.functions.numbers import money
+from millrace.operators.joins import HOT_ROWS, mark_hot
+
+FIRST_SLOT = "0001-01-01 00:00:00"
 
 
 def latest_per_key(df: DataFrame, keys: list[str], newest_first: list[Column]) -> DataFrame:
@@ -33,52 +37,71 @@ def total_order(df: DataFrame, *first: Column) -> list[Column]:
 
 def transaction_features(
     tx: DataFrame, customer: str = "customer_id", ts: str = "created_timestamp", day: str = "created_date",
-    amount: str = "amount", tie: str = "transaction_id", slot: str = "hour",
+    amount: str = "amount", tie: str = "transaction_id", slot: str = "hour", hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Running total, recency rank, daily count and daily amount per customer.
 
     ``running_total`` gives equal timestamps one shared value (RANGE frame). ``day`` is the date of
-    ``ts``; rows without a customer or time have no history and get nulls.
+    ``ts``. Rows without a customer have no history: they get nulls and are not brought together.
     """
-    rows = tx.withColumn("_slot", F.date_trunc(slot, F.col(ts)).cast("timestamp_ntz"))
-    slots = rows.groupBy(customer, "_slot").agg(F.sum(money(amount)).alias("_s"), F.count("*").alias("_n"))
-    by_customer = Window.partitionBy(customer)
-    before = by_customer.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    after = by_customer.orderBy("_slot").rowsBetween(1, Window.unboundedFollowing)
-    same_day = Window.partitionBy(customer, F.to_date("_slot"))
-    history = slots.select(
-        customer,
-        "_slot",
-        F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_before"),
-        (F.coalesce(F.sum("_n").over(after), F.lit(0)) + F.col("_n") + 1).alias("_not_older"),
-        F.sum("_n").over(same_day).alias("daily_txn_count"),
-        F.sum("_s").over(same_day).cast("double").alias("daily_total_amount"),
-    )
+    marked = mark_hot(tx, [customer], hot_rows)
+    nobody = F.col(customer).isNull()
+    first = F.lit(FIRST_SLOT).cast("timestamp_ntz")
+    cut = F.coalesce(F.date_trunc(slot, F.col(ts)).cast("timestamp_ntz"), first)
+    rows = marked.withColumn("_slot", F.when(F.col("_hot") | nobody, cut).otherwise(first))
+    history = _slot_history(rows.where("_hot"), customer, amount)
+
     inside = Window.partitionBy(customer, "_slot")
-    # Ranked from the oldest up and turned round, so one sort serves both windows.
-    oldest = F.row_number().over(inside.orderBy(ts, tie))
-    upto_now = inside.orderBy(ts).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    in_day = Window.partitionBy(customer, "_slot", day)
+    # Every frame follows one sort: day, time, tie. Ranks are counted from the oldest and turned round.
+    oldest = F.row_number().over(inside.orderBy(day, ts, tie))
+    upto_now = inside.orderBy(day, ts).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    hot = F.col("_hot")
+    features = {
+        "running_total": (F.coalesce("_before", F.lit(0)) + F.sum(money(amount)).over(upto_now)).cast("double"),
+        "txn_rank": F.coalesce("_newer", F.lit(0)) + F.count("*").over(inside) - oldest + 1,
+        "daily_txn_count": F.when(hot, F.col("_day_n")).otherwise(F.count("*").over(in_day)),
+        "daily_total_amount": F.when(hot, F.col("_day_s")).otherwise(F.sum(money(amount)).over(in_day)).cast("double"),
+    }
     return (
         rows.join(history, [customer, "_slot"], "left")
-        .withColumn("txn_rank", F.col("_not_older") - oldest)
-        .withColumn("running_total", (F.col("_before") + F.sum(money(amount)).over(upto_now)).cast("double"))
-        .drop("_slot", "_before", "_not_older")
+        .withColumns({name: F.when(~nobody, value) for name, value in features.items()})
+        .drop("_hot", "_slot", "_before", "_newer", "_day_n", "_day_s")
+    )
+
+
+def _slot_history(rows: DataFrame, customer: str, amount: str) -> DataFrame:
+    """Per customer and slot: amount before it, rows after it, and the totals of its day."""
+    slots = rows.groupBy(customer, "_slot").agg(F.sum(money(amount)).alias("_s"), F.count("*").alias("_n"))
+    by_customer = Window.partitionBy(customer).orderBy("_slot")
+    before = by_customer.rowsBetween(Window.unboundedPreceding, -1)
+    after = by_customer.rowsBetween(1, Window.unboundedFollowing)
+    same_day = Window.partitionBy(customer, F.to_date("_slot"))
+    return slots.select(
+        customer, "_slot", F.sum("_s").over(before).alias("_before"), F.sum("_n").over(after).alias("_newer"),
+        F.sum("_n").over(same_day).alias("_day_n"), F.sum("_s").over(same_day).alias("_day_s"),
     )
 
 
 def with_previous(
-    df: DataFrame, keys: list[str], order: list[str], n: int, payload: Column, slot: Column, out: str
+    df: DataFrame, keys: list[str], order: list[str], n: int, payload: Column, slot: Column, out: str,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Payloads of the ``n`` rows before each row of its key, oldest first, as an array.
 
-    ``slot`` must not decrease along the order. Rows look back inside their slot; the last ``n``
-    rows of earlier slots are carried over, which is enough since every slot has at least one row.
+    ``slot`` must not decrease along the order; it cuts keys of more than ``hot_rows`` rows. Rows
+    look back inside their slot, and the last ``n`` rows of earlier slots are carried over, which
+    is enough since every slot has at least one row.
     """
-    rows = df.withColumns({"_slot": slot, "_item": F.struct(*order, payload.alias("_payload"))})
+    kind = df.select(slot.alias("s")).schema["s"].dataType
+    marked = mark_hot(df, keys, hot_rows)
+    rows = marked.withColumns(
+        {"_slot": F.when(F.col("_hot"), slot).otherwise(F.lit(None).cast(kind)), "_item": F.struct(*order, payload.alias("_payload"))}
+    )
     newest = [F.desc(c) for c in order]
+    hot = rows.where("_hot").select(*keys, "_slot", *[c for c in order if c not in keys], "_item")
     tails = (
-        first_per_key(rows.select(*keys, "_slot", *[c for c in order if c not in keys], "_item"),
-                      [*keys, "_slot"], newest, n, "_place")
+        first_per_key(hot, [*keys, "_slot"], newest, n, "_place")
         .groupBy(*keys, "_slot")
         .agg(F.sort_array(F.collect_list("_item")).alias("_tail"))
     )
@@ -90,33 +113,35 @@ def with_previous(
     return (
         rows.join(carried, [*keys, "_slot"], "left")
         .withColumn(out, F.transform(last, lambda item: item["_payload"]))
-        .drop("_slot", "_item", "_carried")
+        .drop("_hot", "_slot", "_item", "_carried")
     )
 
 
 def amount_percentile(
-    df: DataFrame, key: str, amount: str, width: float, out: str = "amount_percentile"
+    df: DataFrame, key: str, amount: str, width: float, out: str = "amount_percentile", hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Share of a key's other rows with a smaller amount (``percent_rank``).
 
-    Amounts are counted per value and per band of ``width``; a band's rows never meet another's.
+    Keys too large for a task are counted per amount and per band of ``width``: a band's amounts
+    never meet another's, and equal amounts are one row.
     """
-    counts = df.groupBy(key, amount).agg(F.count("*").alias("_n")).withColumn("_band", F.floor(F.col(amount) / width))
+    marked = mark_hot(df, [key], hot_rows)
+    usual = marked.where("NOT _hot").withColumn(out, F.percent_rank().over(Window.partitionBy(key).orderBy(amount)))
+    large = marked.where("_hot")
+    counts = large.groupBy(key, amount).agg(F.count("*").alias("_n")).withColumn("_band", F.floor(F.col(amount) / width))
     bands = counts.groupBy(key, "_band").agg(F.sum("_n").alias("_bn"))
     below = Window.partitionBy(key).orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
     bands = bands.select(
-        key, "_band",
+        key, F.col("_band"),
         F.coalesce(F.sum("_bn").over(below), F.lit(0)).alias("_below"),
         F.sum("_bn").over(Window.partitionBy(key)).alias("_all"),
     )
     inside = Window.partitionBy(key, "_band").orderBy(amount).rowsBetween(Window.unboundedPreceding, -1)
+    smaller = F.col("_below") + F.coalesce(F.sum("_n").over(inside), F.lit(0))
     ranks = counts.join(bands, [key, "_band"]).select(
-        key, amount,
-        F.when(F.col("_all") == 1, F.lit(0.0))
-        .otherwise((F.col("_below") + F.coalesce(F.sum("_n").over(inside), F.lit(0))) / (F.col("_all") - 1))
-        .alias(out),
+        key, amount, F.when(F.col("_all") == 1, F.lit(0.0)).otherwise(smaller / (F.col("_all") - 1)).alias(out)
     )
-    return df.join(ranks, [key, amount], "left")
+    return usual.unionByName(large.join(ranks, [key, amount], "left")).drop("_hot")
 
 
 def trailing_average(daily: DataFrame, keys: list[str], day: str, value: str, days: int = 7) -> DataFrame:

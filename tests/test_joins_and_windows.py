@@ -79,8 +79,8 @@ def _transactions(spark, n=600, seed=4):
     )
 
 
-@pytest.mark.parametrize("slot", ["hour", "day"])
-def test_features_equal_plain_windows(spark, slot):
+@pytest.mark.parametrize("slot,hot_rows", [("hour", 50), ("day", 50), ("hour", 0), ("hour", 10**6)])
+def test_features_equal_plain_windows(spark, slot, hot_rows):
     tx = _transactions(spark)
     w = Window.partitionBy("customer_id")
     amount = F.col("amount").cast("decimal(18,2)")
@@ -91,29 +91,44 @@ def test_features_equal_plain_windows(spark, slot):
         F.count("*").over(Window.partitionBy("customer_id", "created_date")).alias("daily_txn_count"),
         F.sum(amount).over(Window.partitionBy("customer_id", "created_date")).cast("double").alias("daily_total_amount"),
     )
-    assert _rows(ordered.transaction_features(tx, slot=slot).select(plain.columns)) == _rows(plain)
+    assert _rows(ordered.transaction_features(tx, slot=slot, hot_rows=hot_rows).select(plain.columns)) == _rows(plain)
 
 
 @pytest.mark.parametrize("n", [1, 3, 6])
-@pytest.mark.parametrize("slot", ["hour", "month"])
-def test_previous_rows_equal_a_plain_frame(spark, n, slot):
+@pytest.mark.parametrize("slot,hot_rows", [("hour", 50), ("month", 50), ("hour", 0), ("hour", 10**6)])
+def test_previous_rows_equal_a_plain_frame(spark, n, slot, hot_rows):
     tx = _transactions(spark)
     order = ["created_timestamp", "transaction_id"]
     frame = Window.partitionBy("customer_id").orderBy(*order).rowsBetween(-n, -1)
     plain = tx.select("transaction_id", F.collect_list("amount").over(frame).alias("before"))
     looked = ordered.with_previous(
-        tx, ["customer_id"], order, n, F.col("amount"), F.date_trunc(slot, "created_timestamp"), "before"
+        tx, ["customer_id"], order, n, F.col("amount"), F.date_trunc(slot, "created_timestamp"), "before", hot_rows
     )
     assert _rows(looked.select("transaction_id", "before")) == _rows(plain)
 
 
-def test_percentile_equals_percent_rank(spark):
+@pytest.mark.parametrize("hot_rows", [0, 50, 10**6])
+def test_percentile_equals_percent_rank(spark, hot_rows):
     tx = _transactions(spark).withColumn("amount", F.round("amount", 0))
     plain = tx.select("transaction_id", F.percent_rank().over(Window.partitionBy("customer_id").orderBy("amount")).alias("p"))
-    banded = ordered.amount_percentile(tx, "customer_id", "amount", 7.0, "p").select("transaction_id", "p")
+    banded = ordered.amount_percentile(tx, "customer_id", "amount", 7.0, "p", hot_rows).select("transaction_id", "p")
     assert _rows(banded) == _rows(plain)
 
 
+def test_rows_without_customer_or_time(spark):
+    at = dt.datetime(2024, 1, 1, 5)
+    rows = [(1, None, 1.0, at, at.date()), (2, 5, 2.0, None, None), (3, 5, 3.0, at, at.date()), (4, 5, 4.0, at, at.date())]
+    tx = spark.createDataFrame(
+        rows, "transaction_id int, customer_id int, amount double, created_timestamp timestamp_ntz, created_date date"
+    )
+    for hot_rows in (0, 100):
+        found = {
+            r.transaction_id: (r.running_total, r.txn_rank, r.daily_txn_count, r.daily_total_amount)
+            for r in ordered.transaction_features(tx, hot_rows=hot_rows).collect()
+        }
+        assert found == {1: (None,) * 4, 2: (2.0, 3, 1, 2.0), 3: (9.0, 2, 2, 7.0), 4: (9.0, 1, 2, 7.0)}
+
+
 def _walk(rows, ttl):
     """The rule itself: one question after the other."""
     stored, hits = {}, {}
