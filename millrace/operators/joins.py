@@ -36,7 +36,10 @@ def hot_keys(df: DataFrame, keys: str | list[str], share: float = 0.01, min_rows
     ``min_rows`` keeps keys out that are small in absolute terms.
     """
     names = [keys] if isinstance(keys, str) else keys
-    counts = df.select(*names).na.drop().groupBy(*names).count()
+    counts = df.select(*names)
+    for name in names:
+        counts = counts.where(F.col(name).isNotNull())
+    counts = counts.groupBy(*names).count()
     floor = counts.agg(F.greatest(F.sum("count") * F.lit(share), F.lit(min_rows)).alias("floor")).scalar()
     return counts.where(F.col("count") >= floor).select(*names)
 
