@@ -49,9 +49,14 @@ def hot_keys(df: DataFrame, keys: str | list[str], share: float = 0.01, min_rows
 HOT_SHARE, HOT_ROWS = 1e-5, 1_000_000
 
 
-def mark_hot(df: DataFrame, keys: list[str], min_rows: int = HOT_ROWS, share: float = HOT_SHARE) -> DataFrame:
-    """Add ``_hot``: whether the row's key is too large for one task."""
-    marked = F.broadcast(hot_keys(df, keys, share, min_rows).withColumn("_hot", F.lit(True)))
+def mark_hot(
+    df: DataFrame, keys: list[str], min_rows: int = HOT_ROWS, share: float = HOT_SHARE, counted: DataFrame | None = None
+) -> DataFrame:
+    """Add ``_hot``: whether the row's key is too large for one task.
+
+    ``counted`` may name a cheaper table to count keys on, such as the scan ``df`` comes from.
+    """
+    marked = F.broadcast(hot_keys(df if counted is None else counted, keys, share, min_rows).withColumn("_hot", F.lit(True)))
     return df.join(marked, keys, "left").withColumn("_hot", F.coalesce("_hot", F.lit(False)))
 
 

@@ -38,13 +38,15 @@ def total_order(df: DataFrame, *first: Column) -> list[Column]:
 def transaction_features(
     tx: DataFrame, customer: str = "customer_id", ts: str = "created_timestamp", day: str = "created_date",
     amount: str = "amount", tie: str = "transaction_id", slot: str = "hour", hot_rows: int = HOT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Running total, recency rank, daily count and daily amount per customer.
 
     ``running_total`` gives equal timestamps one shared value (RANGE frame). ``day`` is the date of
     ``ts``. Rows without a customer have no history: they get nulls and are not brought together.
+    Large customers are found on ``counted`` when given, else on ``tx`` itself.
     """
-    marked = mark_hot(tx, [customer], hot_rows)
+    marked = mark_hot(tx, [customer], hot_rows, counted=counted)
     nobody = F.col(customer).isNull()
     first = F.lit(FIRST_SLOT).cast("timestamp_ntz")
     cut = F.coalesce(F.date_trunc(slot, F.col(ts)).cast("timestamp_ntz"), first)

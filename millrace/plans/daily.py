@@ -28,7 +28,7 @@ def daily_transform(
     shuffled. Dimensions must bring only columns of their own besides their key.
     """
     newest = latest_per_key(tx, [key], total_order(tx, F.desc(ts)))
-    featured = transaction_features(newest, ts=ts, tie=key)
+    featured = transaction_features(newest, ts=ts, tie=key, counted=tx)
     return broadcast_join(broadcast_join(featured, customers, "customer_id"), accounts, "account_id")
 
 
