@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import decontamination, langid, mixing, neardup, pii, sharding, tokenfiles, topk
+from millrace.llm import decontamination, langid, licences, mixing, neardup, pii, sharding, suffixdedup, tokenfiles, topk
 from millrace.sources.tables import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -19,6 +19,12 @@ def op1_top_k_search(spark: SparkSession, root: str) -> DataFrame:
     return found.select(F.col("query").alias("query_id"), "rank", "vec_id", "score")
 
 
+def op2_suffix_dedup(spark: SparkSession, root: str) -> DataFrame:
+    """Documents without 100-byte strings that stand earlier too."""
+    rest = suffixdedup.remove_repeats(table(spark, root, "documents"))
+    return rest.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_near_duplicates(spark: SparkSession, root: str) -> DataFrame:
     """Class of near copies of every document."""
     return neardup.near_duplicates(table(spark, root, "documents"))
@@ -74,9 +80,16 @@ def op9_token_files(spark: SparkSession, root: str) -> DataFrame:
     return tokenfiles.read_token_files(parts, folder)
 
 
+def op10_licences(spark: SparkSession, root: str) -> DataFrame:
+    """Licence families named in every document."""
+    docs = table(spark, root, "documents")
+    return licences.scan(docs, licences.train(docs, "doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     **{f.__name__: f for f in (
-        op1_top_k_search, op3_near_duplicates, op4_language, op5_personal_data, op6_mixing, op7_sharding, op8_decontamination, op9_token_files)},
+        op1_top_k_search, op2_suffix_dedup, op3_near_duplicates, op4_language, op5_personal_data, op6_mixing, op7_sharding, op8_decontamination, op9_token_files,
+        op10_licences)},
 }
 SQL: dict[str, str] = {name: sql for name, sql in {"pipeline": corpus_pipeline.ORACLE_SQL}.items() if sql}
