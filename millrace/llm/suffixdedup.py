@@ -262,14 +262,14 @@ def repeated_windows(h, order, occ, first, n, off, texts: list[bytes], length: i
 
 def judge_texts(wanted: DataFrame, rows: DataFrame, buckets: int) -> DataFrame:
     """Cut windows of runs whose anchor has different surroundings elsewhere."""
-    asked = wanted.groupBy("ord", "occ").agg(F.collect_list(F.struct("h", "first", "n", "off")).alias("asked"))
+    asked = wanted.groupBy("ord").agg(F.collect_list(F.struct("occ", "h", "first", "n", "off")).alias("asked"))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
             for order, occ, asked, value in zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3)):
                 data = bytes(value.as_buffer())
-                for r in asked:
+                for r in (r for r in asked if r["occ"] == occ):
                     out.append((r["h"] % buckets, r["h"], order, occ, r["first"], r["n"], r["off"], data[r["first"]:r["first"] + r["n"] - 1 + LENGTH]))
                 if len(out) > 50_000:
                     yield _rows(out)
@@ -285,7 +285,7 @@ def judge_texts(wanted: DataFrame, rows: DataFrame, buckets: int) -> DataFrame:
         run, t, k = repeated_windows(h, order, occ, first.astype(np.int64), n.astype(np.int64), off.astype(np.int64), table["text"].to_pylist())
         return pa.table({"ord": order[run], "occ": occ[run], "first": (first[run] + t).astype(np.int32), "n": k.astype(np.int32)})
 
-    texts = rows.join(asked, ["ord", "occ"]).select("ord", "occ", "asked", "text").mapInArrow(
+    texts = rows.join(asked, "ord").select("ord", "occ", "asked", "text").mapInArrow(
         fetch, "bucket long, h long, ord long, occ int, first int, n int, off int, text binary")
     return texts.groupBy("bucket").applyInArrow(judge, RUN)
 
@@ -295,21 +295,21 @@ def judge_windows(wanted: DataFrame, rows: DataFrame) -> DataFrame:
 
     Windows are told apart by two independent 64-bit hashes.
     """
-    asked = wanted.groupBy("ord", "occ").agg(F.collect_list(F.struct("first", "n")).alias("asked"))
+    asked = wanted.groupBy("ord").agg(F.collect_list(F.struct("occ", "first", "n")).alias("asked"))
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for order, occ, asked, value in zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3)):
                 data = np.frombuffer(value.as_buffer(), np.uint8)
                 one, two = PrefixHashes(data), PrefixHashes(mix(data.astype(U)))
-                at = np.unique(np.concatenate([np.arange(r["first"], r["first"] + r["n"]) for r in asked]))
+                at = np.unique(np.concatenate([np.zeros(0, np.int64), *[np.arange(r["first"], r["first"] + r["n"]) for r in asked if r["occ"] == occ]]))
                 for some in np.array_split(at, max(1, len(at) // 50_000)):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(one.span(some, some + LENGTH).view(np.int64)), pa.array(two.span(some, some + LENGTH).view(np.int64)),
                          pa.array(np.full(len(some), order, np.int64)), pa.array(np.full(len(some), occ, np.int32)), pa.array(some.astype(np.int32))],
                         names=["one", "two", "ord", "occ", "first"])
 
-    found = cut_lineage(rows.join(asked, ["ord", "occ"]).select("ord", "occ", "asked", "text").mapInArrow(windows, "one long, two long, ord long, occ int, first int"))
+    found = cut_lineage(rows.join(asked, "ord").select("ord", "occ", "asked", "text").mapInArrow(windows, "one long, two long, ord long, occ int, first int"))
     earliest = found.groupBy("one", "two").agg(F.min(F.struct("ord", "occ", "first")).alias("e"), F.count("*").alias("k")).where("k > 1")
     return found.join(earliest, ["one", "two"]).where(F.struct("ord", "occ", "first") != F.col("e")).select("ord", "occ", "first", F.lit(1).alias("n"))
 
@@ -317,7 +317,7 @@ def judge_windows(wanted: DataFrame, rows: DataFrame) -> DataFrame:
 def _kept(data: np.ndarray, cuts: list) -> tuple[int, int, np.ndarray]:
     """Bytes removed, maximal removed runs, and the bytes left."""
     change = np.zeros(len(data) + 1, np.int64)
-    for r in cuts or ():
+    for r in cuts:
         change[r["first"]] += 1
         change[r["first"] + r["n"] - 1 + LENGTH] -= 1
     gone = np.cumsum(change[:-1]) > 0
@@ -339,10 +339,11 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     repeated = not rows.groupBy("ord").agg(F.count("*").alias("k")).where("k > 1").isEmpty()
     occ = F.row_number().over(Window.partitionBy("ord").orderBy("text")) if repeated else F.lit(0)
-    parts = max(docs.sparkSession.sparkContext.defaultParallelism, -(-total // PART_BYTES))
+    # at least as many parts as a shuffle has, else the joins below would deal the texts again
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // PART_BYTES))
     rows = rows.withColumn("occ", occ).select("ord", "occ", "id", F.col("text").cast("binary").alias("text"))
     # dealt once by document, and read three times from there; a lost executor's part is read again
-    rows = rows.repartition(parts, "ord", "occ").persist(StorageLevel.MEMORY_AND_DISK)
+    rows = rows.repartition(parts, "ord").persist(StorageLevel.MEMORY_AND_DISK)
     buckets = max(1, total // (36 * BUCKET_RUNS))
     judged = cut_lineage(judge_runs(find_runs(rows, buckets)))
     cuts = judged.where(F.col("kind") == CUT).select("ord", "occ", "first", "n")
@@ -350,14 +351,14 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     single = judged.where(F.col("kind") == WINDOWS)
     if not single.isEmpty():
         cuts = cuts.unionByName(judge_windows(single, rows))
-    listed = cuts.groupBy("ord", "occ").agg(F.collect_list(F.struct("first", "n")).alias("cuts"))
+    listed = cuts.groupBy("ord").agg(F.collect_list(F.struct("occ", "first", "n")).alias("cuts"))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, gone, spans, kept = [], [], [], []
-            for found, value in zip(batch.column(1).to_pylist(), batch.column(2)):
+            for occ, found, value in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3)):
                 data = np.frombuffer(value.as_buffer(), np.uint8)
-                removed, number, rest = _kept(data, found)
+                removed, number, rest = _kept(data, [r for r in found or () if r["occ"] == occ])
                 sizes.append(len(data))
                 gone.append(removed)
                 spans.append(number)
@@ -366,5 +367,5 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
                 [batch.column(0), *(pa.array(x, pa.int64()) for x in (sizes, gone, spans)), pa.array(kept, pa.binary())],
                 names=[key, "n_bytes", "n_removed", "n_spans", "kept"])
 
-    return rows.join(listed, ["ord", "occ"], "left").select("id", "cuts", "text").mapInArrow(
+    return rows.join(listed, "ord", "left").select("id", "occ", "cuts", "text").mapInArrow(
         finish, f"`{key}` long, n_bytes long, n_removed long, n_spans long, kept binary")
