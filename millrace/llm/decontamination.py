@@ -20,23 +20,25 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{M}\p{N}]+"), lambda w: w != "")
 
 
+def _once(value: Column, made) -> Column:
+    """``made(value)`` with the value computed once per row instead of at each of its places."""
+    return F.element_at(F.transform(F.array(value), made), 1)
+
+
 def shingles(word_list: Column, k: int) -> Column:
     """All runs of ``k`` words as texts; empty if there are fewer words."""
-    n = F.size(word_list) - (k - 1)
-    return F.when(n > 0, F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(word_list, i, k), " "))).otherwise(F.array().cast("array<string>"))
+    return _once(word_list, lambda w: F.when(
+        F.size(w) >= k, F.transform(F.sequence(F.lit(1), F.size(w) - (k - 1)), lambda i: F.array_join(F.slice(w, i, k), " "))).otherwise(
+        F.array().cast("array<string>")))
 
 
 def shingle_hashes(word_list: Column, k: int) -> Column:
     """64-bit hashes of all runs of ``k`` words, without building the texts."""
-    hashed = F.transform(word_list, lambda w: F.xxhash64(w))
-    n = F.size(word_list) - (k - 1)
-
-    def run(h: Column, i: Column) -> Column:
-        return F.xxhash64(*[F.get(h, i + j) for j in range(k)])
+    def runs(h: Column) -> Column:
+        return F.when(F.size(h) >= k, F.transform(
+            F.sequence(F.lit(0), F.size(h) - k), lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(k)]))).otherwise(F.array().cast("array<bigint>"))
 
-    # the word hashes are bound once per row by the outer transform
-    return F.flatten(F.transform(F.array(hashed), lambda h: F.when(
-        n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: run(h, i))).otherwise(F.array().cast("array<bigint>"))))
+    return _once(F.transform(word_list, lambda w: F.xxhash64(w)), runs)
 
 
 def item_sketches(items: DataFrame, k: int, minima: int = MINIMA) -> DataFrame:
