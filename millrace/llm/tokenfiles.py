@@ -8,6 +8,7 @@ in the Arrow file format, so a reader maps them and gets at any sequence without
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 import zlib
@@ -25,7 +26,8 @@ LENGTH = 2048
 BATCH_ROWS = 512  # sequences per record batch
 PART_BYTES = 32 << 20  # text bytes per part
 CACHE = 600_000  # words whose ids a worker keeps
-CHUNK = 4096  # texts or new words given to the tokenizer at once
+CHUNK = 4096  # new words given to the tokenizer at once
+TOGETHER = 4 << 20  # characters of text looked at together
 
 # white space to Python that the tokenizers do not treat as such
 ODD_SPACE = re.compile("[\x1c-\x1f]")
@@ -39,6 +41,7 @@ class WordCachedTokenizer:
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel part
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -46,24 +49,32 @@ class WordCachedTokenizer:
         self.tokenizer.no_padding()
         self.known: dict[str, bytes] = {}
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def ids(self, text: str) -> bytes:
-        """Little-endian 32-bit ids of one text."""
-        if ODD_SPACE.search(text):
-            return self._encode([text])[0]
-        listed = text.split()
-        known = self.known
-        new = [w for w in set(listed) if w not in known]
-        if new:
-            if len(known) + len(new) > CACHE:
-                known.clear()
-                new = list(set(listed))
-            for at in range(0, len(new), CHUNK):
-                part = new[at:at + CHUNK]
-                known.update(zip(part, self._encode(part)))
-        return b"".join(map(known.__getitem__, listed))
+    def _encode(self, text: str):
+        return self.tokenizer.encode(text, add_special_tokens=False)
+
+    def _learn(self, new: list[str]) -> None:
+        """Encode words as one text, and give each token to the word it starts in."""
+        for at in range(0, len(new), CHUNK):
+            part = new[at:at + CHUNK]
+            found = self._encode(" ".join(part))
+            ids = np.asarray(found.ids, np.uint32).tobytes()
+            starts = np.fromiter((a for a, _ in found.offsets), np.int64, len(found.offsets))
+            lengths = np.fromiter(map(len, part), np.int64, len(part)) + 1
+            cuts = np.searchsorted(starts, np.cumsum(lengths) - lengths) * 4
+            cuts = [*cuts.tolist(), len(ids)]
+            self.known.update((w, ids[cuts[i]:cuts[i + 1]]) for i, w in enumerate(part))
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """Little-endian 32-bit ids of each text."""
+        listed = [None if ODD_SPACE.search(t) else t.split() for t in texts]
+        seen = {w for words in listed if words for w in words}
+        new = [w for w in seen if w not in self.known]
+        if len(self.known) + len(new) > CACHE:
+            self.known.clear()
+            new = list(seen)
+        self._learn(new)
+        find = self.known.__getitem__
+        return [b"".join(map(find, words)) if words is not None else np.asarray(self._encode(t).ids, np.uint32).tobytes() for t, words in zip(texts, listed)]
 
 
 _tokenizers: dict[str, WordCachedTokenizer] = {}
@@ -75,6 +86,20 @@ def _tokenizer(path: str) -> WordCachedTokenizer:
     return _tokenizers[path]
 
 
+def _together(batch: pa.RecordBatch) -> Iterator[tuple[list, list[str]]]:
+    """Keys and texts of a batch in stretches of bounded length."""
+    ids, texts, size = [], [], 0
+    for doc_id, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+        ids.append(doc_id)
+        texts.append(value.as_py())
+        size += len(texts[-1])
+        if size > TOGETHER:
+            yield ids, texts
+            ids, texts, size = [], [], 0
+    if ids:
+        yield ids, texts
+
+
 def _schema(length: int) -> pa.Schema:
     return pa.schema([("sequence", pa.list_(pa.uint32(), length)), ("mask", pa.list_(pa.bool_(), length))])
 
@@ -188,11 +213,12 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, key: str = "
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer = name = None
         for batch in batches:
-            for doc_id, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for ids, texts in _together(batch):
                 if writer is None:
-                    name = f"part-{'null' if doc_id is None else f'{doc_id + 2**63:020d}'}"
+                    name = f"part-{'null' if ids[0] is None else f'{ids[0] + 2**63:020d}'}"
                     writer = PartWriter(folder, name, length)
-                writer.add(doc_id, _tokenizer(tokenizer).ids(value.as_py()) + end)
+                for doc_id, found in zip(ids, _tokenizer(tokenizer).ids(texts)):
+                    writer.add(doc_id, found + end)
         if writer is not None:
             writer.close()
             yield pa.record_batch([pa.array([name]), pa.array([writer.index[0][0]], pa.int64()), pa.array([writer.total], pa.int64())], ["part", "first", "n_tokens"])
