@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from millrace.workspace import cut_lineage
 
@@ -31,6 +31,7 @@ NOTICES = [
 ]
 NONE = "none"
 UNKNOWN = "unknown"
+SAMPLE_DOCS = 1_000  # documents with a notice's word, and as many without, that the sample is drawn from
 SAMPLE = 4_000  # paragraphs of the corpus the classifier is fitted on, half of them with a notice's word
 VOCABULARY = 4_096
 CONFIRMED = 0.8  # share of a template's word pairs that stand in the paragraph
@@ -86,8 +87,8 @@ class Classifier:
 def train(docs: DataFrame, key: str, text: str, sample: int = SAMPLE) -> Classifier:
     """Fit on at most ``sample`` paragraphs of the corpus and on rewritten notices.
 
-    Corpus paragraphs are taken in the order of the hash of their words, half with a distinctive word of a
-    notice. They are labelled by template: whole notices by their family, those that share no more than a
+    Corpus paragraphs come from ``SAMPLE_DOCS`` documents with a distinctive word of a notice and as many without,
+    first by hash of the text; half of the paragraphs have such a word. They are labelled by template: whole notices by their family, those that share no more than a
     third of every notice as none; what lies between is left out. Every notice is added whole and with
     each of its words dropped, alone and with a paragraph before or after it. A fifth is held out to find the probability above which
     a family's predictions reach ``PRECISION``.
@@ -97,9 +98,14 @@ def train(docs: DataFrame, key: str, text: str, sample: int = SAMPLE) -> Classif
     templates = [(r["family"], r["pairs"]) for r in known]
     classes = [NONE, *sorted({f for f, _ in templates})]
     marks = sorted({w for r in known for w in r["words"] if len(w) > 5})
-    lines = paragraphs(docs, key, text).withColumn("marked", F.arrays_overlap("words", F.array(*[F.lit(w) for w in marks])))
-    picked = cut_lineage(lines.groupBy("marked", "words").agg(F.lit(1)).withColumn("h", F.xxhash64("words")).withColumn(
-        "turn", F.row_number().over(_by_mark())).where(F.col("turn") <= sample // 2).select("words", "h"))
+    has = F.col(text).rlike("(?i)" + "|".join(marks))
+    kept = docs.where(F.col(text).isNotNull()).select(F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("h"), F.coalesce(has, F.lit(False)).alias("has"))
+    # two ordered takes keep the sample in each task; nothing else is shuffled
+    some = [kept.where(F.col("has") == F.lit(x)).orderBy("h", "text").limit(SAMPLE_DOCS).select("h", "text") for x in (True, False)]
+    lines = paragraphs(some[0].unionByName(some[1]), "h", "text").select("words").distinct().withColumn(
+        "marked", F.arrays_overlap("words", F.array(*[F.lit(w) for w in marks])))
+    picked = cut_lineage(lines.withColumn("h", F.xxhash64("words")).withColumn(
+        "turn", F.row_number().over(Window.partitionBy("marked").orderBy("h", "words"))).where(F.col("turn") <= sample // 2).select("words", "h"))
     best = F.array_max(template_shares(pairs(F.col("words")), templates))
     labelled = picked.withColumn("best", best).withColumn("family", F.when(
         F.col("best.share") >= 0.99, F.col("best.family")).when(F.col("best.share") <= 1 / 3, F.lit(NONE))).where("family is not null").select("words", "family", "h")
@@ -137,12 +143,6 @@ def train(docs: DataFrame, key: str, text: str, sample: int = SAMPLE) -> Classif
     return Classifier(table, classes[:len(intercepts)], intercepts, least, words, templates)
 
 
-def _by_mark():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("marked").orderBy("h", "words")
-
-
 def _vector(column: Column) -> Column:
     from pyspark.ml.functions import vector_to_array
 
