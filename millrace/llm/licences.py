@@ -29,6 +29,7 @@ NOTICES = [
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("reserved", "All rights reserved."),
 ]
+STEMS = ["licens", "rights reserved", "permission is", "redistribution"]  # cheap marks of documents worth sampling
 NONE = "none"
 UNKNOWN = "unknown"
 SAMPLE_DOCS = 1_000  # documents with a notice's word, and as many without, that the sample is drawn from
@@ -98,7 +99,10 @@ def train(docs: DataFrame, key: str, text: str, sample: int = SAMPLE) -> Classif
     templates = [(r["family"], r["pairs"]) for r in known]
     classes = [NONE, *sorted({f for f, _ in templates})]
     marks = sorted({w for r in known for w in r["words"] if len(w) > 5})
-    has = F.col(text).rlike("(?i)" + "|".join(marks))
+    low = F.lower(F.col(text))
+    has = low.contains(STEMS[0])
+    for stem in STEMS[1:]:
+        has = has | low.contains(stem)
     kept = docs.where(F.col(text).isNotNull()).select(F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("h"), F.coalesce(has, F.lit(False)).alias("has"))
     # two ordered takes keep the sample in each task; nothing else is shuffled
     some = [kept.where(F.col("has") == F.lit(x)).orderBy("h", "text").limit(SAMPLE_DOCS).select("h", "text") for x in (True, False)]
@@ -126,7 +130,9 @@ def train(docs: DataFrame, key: str, text: str, sample: int = SAMPLE) -> Classif
     # the label count is that of the largest label seen; classes without rows keep no weight
     kept = [(g, [float(x) for x in matrix[:, i]]) for i, g in enumerate(counted.vocabulary) if abs(matrix[:, i]).max() > 1e-6]
     useful = {g for g, w in kept if max(w[1:], default=0) > w[0]}
-    words = sorted({w for g in useful for w in g.split(" ")})
+    # whoever holds a useful gram holds the rarer of its words
+    rank = {g: i for i, g in enumerate(counted.vocabulary)}
+    words = sorted({max(g.split(" "), key=lambda w: rank.get(w, len(rank))) for g in useful})
     checked = fitted.transform(shown.where("held")).select("label", "prediction", F.array_max(_vector(F.col("probability"))).alias("p")).groupBy(
         "prediction", F.floor(F.col("p") * 100).alias("p")).agg(F.count_if(F.col("label") == F.col("prediction")).alias("right"), F.count("*").alias("n")).collect()
     least = []
@@ -152,8 +158,8 @@ def _vector(column: Column) -> Column:
 def scan(docs: DataFrame, model: Classifier, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Licence of every document: (key, licence, families, n_paragraphs, n_unknown, score).
 
-    Each line of the whole text is classified. A line none of whose words stands in a gram that speaks for
-    a family is none without being scored, which is what its score would say. A line whose best class is a family is that
+    Each line of the whole text is classified. A line without any gram that speaks for a family is none without
+    being scored, which is what its score would say. A line whose best class is a family is that
     family if its probability reaches the family's calibrated bound and a template of the family
     confirms it, else unknown. ``licence`` is the family of the confirmed line with the highest
     probability (ties: first in order), ``unknown`` if there are only unknown lines, else ``none``;
