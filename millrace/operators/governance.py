@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -81,7 +82,7 @@ def pseudonymised(df: DataFrame, column: str, salt: str) -> DataFrame:
 
 
 def lineage_reach(
-    edges: DataFrame, roots: DataFrame, source: str = "source", target: str = "target", max_depth: int = 10
+    edges: DataFrame, roots: DataFrame, source: str = "source", target: str = "target"
 ) -> DataFrame:
     """Everything reachable from each root with its smallest depth: ``(root, node, depth)``.
 
@@ -91,7 +92,7 @@ def lineage_reach(
     links = edges.select(F.col(source).alias("_from"), F.col(target).alias("_to")).distinct()
     frontier = roots.select(F.col(roots.columns[0]).alias("root")).distinct().withColumn("node", F.col("root"))
     reached = None
-    for depth in range(1, max_depth + 1):
+    for depth in itertools.count(1):
         step = (
             frontier.join(links, F.col("node") == F.col("_from"))
             .select("root", F.col("_to").alias("node")).distinct()

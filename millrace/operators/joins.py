@@ -112,11 +112,12 @@ def reference_pairs(
     """Entities that hold both codes of a reference pair.
 
     The pair list is put in ``least, greatest`` order and looked up from one side, so a row meets
-    only the partners the reference names; pairs of one entity are never enumerated.
+    only the partners the reference names; pairs of one entity are never enumerated. Reference rows
+    that differ in another column, such as the severity, are all kept.
     """
     ordered = pairs.where(F.col(first) != F.col(second)).withColumns(
         {"_a": F.least(first, second), "_b": F.greatest(first, second)}
-    ).drop(first, second).dropDuplicates(["_a", "_b"])
+    ).drop(first, second).distinct()
     held = rows.select(F.col(entity), F.col(code)).distinct()
     wanted = held.join(ordered, F.col(code) == F.col("_a")).drop(code)
     partner = held.select(F.col(entity).alias("_entity"), F.col(code).alias("_code"))

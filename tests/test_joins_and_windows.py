@@ -52,6 +52,12 @@ def test_broadcast_only_within_the_limit(spark, skewed, dims):
     assert "strategy=broadcast" not in plan(joins.broadcast_join(skewed, dims, "k"))  # size unknown
 
 
+def test_reference_pairs_keep_every_severity(spark):
+    rows = spark.createDataFrame([("p", "A"), ("p", "B")], "p string, code string")
+    pairs = spark.createDataFrame([("A", "B", "MINOR"), ("B", "A", "MAJOR")], "a string, b string, severity string")
+    assert sorted(r["severity"] for r in joins.reference_pairs(rows, pairs, "p", "code", "a", "b").collect()) == ["MAJOR", "MINOR"]
+
+
 def test_reference_pairs_ignore_stored_order(spark):
     rows = spark.createDataFrame([("p", "B"), ("p", "A"), ("p", "A"), ("q", "A")], "p string, code string")
     pairs = spark.createDataFrame([("B", "A"), ("A", "B"), ("A", "C")], "a string, b string")

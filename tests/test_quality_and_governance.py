@@ -99,3 +99,9 @@ def test_generated_query_audit_cuts_the_statement(spark):
     df = spark.createDataFrame([("u", "q?", "S" * 300, ["a.b", "c.d"], "t")], "u string, q string, s string, tabs array<string>, t string")
     row = governance.ai_query_audit(df, "u", "q", "s", "tabs", "t").first()
     assert row.resource == "a.b, c.d" and row.details == "Question: q? | SQL: " + "S" * 200
+
+
+def test_lineage_reaches_beyond_ten_levels(spark):
+    edges = spark.createDataFrame([(f"n{i}", f"n{i + 1}") for i in range(15)], "source string, target string")
+    reach = governance.lineage_reach(edges, spark.createDataFrame([("n0",)], "root string"))
+    assert {(r["node"], r["depth"]) for r in reach.collect()} == {(f"n{i}", i) for i in range(1, 16)}
