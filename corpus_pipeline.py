@@ -21,7 +21,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest id of each class of near copies."""
+    """Keep the smallest id of each class of near copies; repeated rows of that id stay."""
     rest = neardup.near_duplicates(docs).where("class_id != doc_id").select("doc_id").distinct()
     return docs.join(rest, "doc_id", "left_anti").select(COLUMNS)
 
