@@ -123,10 +123,10 @@ def loop_flags(steps: DataFrame, session: str, order: list[str], tool: str, para
 
 
 def step_outcomes(steps: DataFrame, result: str, strict: bool = False) -> DataFrame:
-    """Success and a preview of each result; ``strict`` also counts other error texts as failures."""
-    failed = F.col(result).startswith("ERROR")
+    """Success and a preview of each result; errors and broken loops fail, with ``strict`` other error texts too."""
+    failed = F.col(result).startswith("ERROR") | F.col(result).startswith(LOOP_MARK)
     if strict:
-        failed = failed | F.col(result).rlike("^(BigQuery|Schema) error:") | F.col(result).startswith(LOOP_MARK)
+        failed = failed | F.col(result).rlike("^(BigQuery|Schema) error:")
     return steps.withColumns({"success": ~failed, "result_preview": preview(F.col(result))})
 
 

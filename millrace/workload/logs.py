@@ -145,7 +145,7 @@ def step_log(spark, root):
     )
 
 
-@register("L9 F8", sql=f"""WITH s AS ({STEPS}) SELECT conv_id, step_number, NOT starts_with(result, 'ERROR') AS success,
+@register("L9 F8", sql=f"""WITH s AS ({STEPS}) SELECT conv_id, step_number, NOT starts_with(result, 'ERROR') AND NOT starts_with(result, 'LOOP_DETECTED') AS success,
 CASE WHEN length(result) > 400 THEN concat(substring(result, 1, 400), '...') ELSE result END AS result_preview FROM s""")
 def step_outcomes(spark, root):
     return logs.step_outcomes(step_log(spark, root), "result").select("conv_id", "step_number", "success", "result_preview")
@@ -165,13 +165,13 @@ def session_rollup(spark, root):
     return logs.session_rollup(step_log(spark, root), "conv_id", "tool", "result", "duration_ms")
 
 
-@register("L11", sql=f"""WITH s AS ({STEPS}), c AS (SELECT conv_id, tool, count(*) AS n FROM s GROUP BY 1, 2),
+@register("L11", sql=f"""WITH s AS (SELECT * FROM ({STEPS}) WHERE tool <> 'DONE'), c AS (SELECT conv_id, tool, count(*) AS n FROM s GROUP BY 1, 2),
 u AS (SELECT conv_id, concat('{{', string_agg(concat('"', tool, '":', n), ',' ORDER BY tool), '}}') AS tool_usage FROM c GROUP BY 1)
 SELECT conv_id, 0 AS page, CAST(count(*) AS INTEGER) AS total_steps, any_value(tool_usage) AS tool_usage,
-  concat('[', string_agg(concat('{{"step":', step_number, ',"tool":"', tool, '","result_length":', length(result), ',"duration_ms":', duration_ms, ',"success":', CASE WHEN starts_with(result, 'ERROR') THEN 'false' ELSE 'true' END, '}}'), ',' ORDER BY step_number), ']') AS steps
+  concat('[', string_agg(concat('{{"step":', step_number, ',"tool":"', tool, '","result_length":', length(result), ',"duration_ms":', duration_ms, ',"success":', CASE WHEN starts_with(result, 'ERROR') OR starts_with(result, 'LOOP_DETECTED') THEN 'false' ELSE 'true' END, '}}'), ',' ORDER BY step_number), ']') AS steps
 FROM s JOIN u USING (conv_id) GROUP BY 1""")
 def audit_trail(spark, root):
-    steps = logs.step_outcomes(step_log(spark, root), "result")
+    steps = logs.step_outcomes(step_log(spark, root).where(F.col("tool") != logs.DONE), "result")  # the closing reply is no step
     fields = {"tool": F.col("tool"), "result_length": F.length("result"), "duration_ms": F.col("duration_ms"), "success": F.col("success")}
     return logs.audit_trail(steps, "conv_id", "step_number", "tool", fields)
 

@@ -76,3 +76,9 @@ def test_long_sessions_continue_on_further_pages(spark):
     pages = logs.audit_trail(df, "s", "n", "tool", {"tool": F.col("tool")}).orderBy("page").collect()
     assert [(p.page, p.total_steps) for p in pages] == [(0, 10), (1, 10), (2, 5)]
     assert pages[2].tool_usage == '{"run_sql":5}'
+
+
+def test_a_broken_loop_is_no_success(spark):
+    df = spark.createDataFrame([("LOOP_DETECTED: x",), ("ERROR: x",), ("BigQuery error: x",), ("3 rows",)], "result string")
+    assert [r.success for r in logs.step_outcomes(df, "result").collect()] == [False, False, True, True]
+    assert [r.success for r in logs.step_outcomes(df, "result", strict=True).collect()] == [False, False, False, True]
