@@ -45,8 +45,8 @@ def batch_ingest(
 
 
 def unique_rows(df: DataFrame, key: str) -> DataFrame:
-    """One row per key; rows without a key stay apart instead of collapsing into one."""
-    with_key = df.where(F.col(key).isNotNull()).dropDuplicates([key])
+    """The largest row per key, column by column, so reruns agree; rows without a key stay apart."""
+    with_key = latest_per_key(df.where(F.col(key).isNotNull()), [key], total_order(df))
     return with_key.unionByName(df.where(F.col(key).isNull()))
 
 

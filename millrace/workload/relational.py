@@ -413,6 +413,11 @@ def distinct_line_keys(spark, root):
     ).drop("k")
 
 
+@register("U1 B2", sql="""SELECT l_orderkey, l_quantity, l_partkey, l_linenumber FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_quantity DESC, l_partkey DESC, l_linenumber DESC) AS place FROM lineitem) WHERE place = 1""")
+def one_line_per_order(spark, root):
+    return daily.unique_rows(roles.lineitem(spark, root).select("l_orderkey", "l_quantity", "l_partkey", "l_linenumber"), "l_orderkey")
+
+
 @register("F15 A19", sql=f"""{TX}, s AS (SELECT customer_id, count(*) AS n, max(amount) AS largest, min(amount) AS smallest FROM tx GROUP BY 1)
 SELECT customer_id, n, greatest(largest - 400000.0, 0.0) AS above, least(smallest, 1000.0) AS below, abs(n - 10) AS off,
        CASE WHEN n = 1 THEN NULL ELSE largest - smallest END AS spread FROM s""")

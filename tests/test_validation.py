@@ -87,3 +87,4 @@ def test_batch_ingest_keeps_dead_letters(spark):
 def test_rows_without_a_key_stay_apart(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), (None, 3), (None, 4)], "k string, v int")
     assert unique_rows(df, "k").count() == 3
+    assert unique_rows(df.repartition(3), "k").where("k = 'a'").first().v == 2
