@@ -133,7 +133,7 @@ def _empty_to_null(col: Column) -> Column:
 
 def hl7_dispenses(df: DataFrame, raw: str = "raw", positions: dict[str, tuple[str, int]] = HL7_FIELDS) -> DataFrame:
     """Fields of pipe-delimited messages; the last segment of a kind wins."""
-    lines = computed_once(df, {"_lines": F.split(F.col(raw), "\r?\n")})
+    lines = computed_once(df, {"_lines": F.split(F.col(raw), "\r\n?|\n")})
 
     def last_of(kind: str) -> Column:
         own = F.filter("_lines", lambda s: (s == kind) | s.startswith(f"{kind}|"))

@@ -6,17 +6,17 @@ from pyspark.sql import functions as F
 
 from millrace.plans import health, retail
 
-HL7 = "MSH|^~\\&|PHARMSYS|PHARMACY_001||CARE|20240115||RDS^O13|MSG001|P|2.5\nPID|||PAT_HASH_001||DOE^JOHN||19550315|M\nRXD|1|NDC_12345^METFORMIN 500MG^NDC|20240115|30|TAB|"
+HL7 = "MSH|^~\\&|ROBOT7|SITE_42||WARD9|20240115||RDS^O13|A77|P|2.5\nPID|||P_88||LIND^KAJ||19810924|F\nRXD|1|D_60^IRON 20MG^LOCAL|20240115|30|CAP|"
 FHIR = '{"resourceType": "MedicationDispense", "medicationCodeableConcept": {"coding": [{"code": "12345"}]}, "subject": {"reference": "Patient/P1"}, "whenHandedOver": "2024-01-15T10:00:00Z", "daysSupply": {"value": 30}}'
 
 
 def test_both_formats_give_one_schema(spark):
-    raws = [HL7, FHIR, "CSV,1,2", "{broken", HL7.replace("PAT_HASH_001", ""), '{"resourceType": "Patient"}', "  " + FHIR, HL7.replace("|30|", "|x|")]
+    raws = [HL7, FHIR, "CSV,1,2", "{broken", HL7.replace("P_88", ""), '{"resourceType": "Patient"}', "  " + FHIR, HL7.replace("|30|", "|x|")]
     df = spark.createDataFrame(list(enumerate(raws)), "i int, raw string")
     good, refused = health.route_dispenses(df)
     rows = {r.i: r for r in good.collect()}
     assert set(rows) == {0, 1, 6, 7}
-    assert (rows[0].patient_hash, rows[0].ndc_code, rows[0].drug_name, rows[0].days_supply) == ("PAT_HASH_001", "NDC_12345", "METFORMIN 500MG", 30)
+    assert (rows[0].patient_hash, rows[0].ndc_code, rows[0].drug_name, rows[0].days_supply) == ("P_88", "D_60", "IRON 20MG", 30)
     assert rows[0].fill_date == rows[1].fill_date == dt.date(2024, 1, 15)
     assert (rows[1].patient_hash, rows[1].ndc_code, rows[1].days_supply, rows[1].pharmacy_id) == ("P1", "12345", 30, "")
     assert rows[7].days_supply == 0
@@ -28,7 +28,7 @@ def test_both_formats_give_one_schema(spark):
 def test_field_positions_can_be_set(spark):
     positions = {**health.HL7_FIELDS, "dosage_form": ("RXD", 5)}
     row = health.hl7_dispenses(spark.createDataFrame([(HL7,)], "raw string"), positions=positions).first()
-    assert row.dosage_form == "TAB"
+    assert row.dosage_form == "CAP"
 
 
 @pytest.mark.parametrize("seed", range(4))
@@ -119,3 +119,10 @@ def test_basket_pairs_brute_force(spark):
                     expected[(a, c)] = expected.get((a, c), 0) + 1
     found = retail.pair_rules(spark.createDataFrame(rows, "b int, i int"), "b", "i", 0.1).collect()
     assert {(r.item_a, r.item_b): r.baskets for r in found} == {k: n for k, n in expected.items() if n >= 8}
+
+
+def test_segments_end_with_any_line_break(spark):
+    raws = [HL7, HL7.replace("\n", "\r"), HL7.replace("\n", "\r\n")]
+    good, refused = health.route_dispenses(spark.createDataFrame(list(enumerate(raws)), "i int, raw string"))
+    assert len({(r.patient_hash, r.drug_name, r.days_supply) for r in good.collect()}) == 1
+    assert good.count() == 3 and refused.isEmpty()
