@@ -183,7 +183,7 @@ r AS (SELECT 'document' AS kind, doc_id AS id, text FROM documents UNION ALL SEL
 k AS (SELECT kind, id, left(sha256(text), 16) AS key FROM r)
 SELECT kind, id, key, key IN (SELECT key FROM s) AS reused, false AS rejected, 1.0::DOUBLE AS size FROM k""")
 def embedding_reuse(spark, root):
-    embed = retrieval.seeded_embedder(64)
+    embed = retrieval.term_embedder(64)
     wanted = roles.benchmark(spark, root).select(F.lit("benchmark").alias("kind"), F.col("item_id").alias("id"), "text")
     requests = roles.documents(spark, root).select(F.lit("document").alias("kind"), F.col("doc_id").alias("id"), "text").unionByName(wanted)
     empty = spark.createDataFrame([], "key string, vector array<double>")
