@@ -113,6 +113,45 @@ def test_large_group_of_near_copies(spark):
     assert {got[i] for i in range(300)} == {0} and all(got[i] == i for i in range(300, 330))
 
 
+def brute_classes(texts):
+    runs, root = {i: neardup.kmers(t) for i, t in texts}, {i: i for i, _ in texts}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in runs:
+        for j in runs:
+            if i < j and neardup.similarity(runs[i], runs[j]):
+                low, high = sorted((find(i), find(j)))
+                root[high] = low
+    return {i: find(i) for i in runs}
+
+
+def edited(seed, text, n=6):
+    """The text with ``n`` of its words replaced."""
+    r, ws = random.Random(seed), text.split()
+    for k in r.sample(range(len(ws)), n):
+        ws[k] = f"edit{seed}x{k}"
+    return " ".join(ws)
+
+
+def test_star_and_bridge_of_near_copies_against_brute_force(spark):
+    base = words(21, 304)
+    star = [(1000 + i, edited(i, base)) for i in range(300)] + [(5000, base)]
+    # two clusters that only a text between them links
+    left, ws = words(22, 304), words(22, 304).split()
+    far = " ".join("far" + w if j % 40 == 7 else w for j, w in enumerate(ws))
+    half = " ".join("far" + w if j % 40 == 7 and j < 150 else w for j, w in enumerate(ws))
+    bridge = [(6000 + i, left + f" l{i}") for i in range(40)] + [(7000 + i, far + f" r{i}") for i in range(40)] + [(8000, half)]
+    texts = star + bridge
+    want = brute_classes(texts)
+    assert len({want[i] for i, _ in star}) == 1 and not neardup.similarity(neardup.kmers(star[0][1]), neardup.kmers(star[1][1]))
+    got = {r["doc_id"]: r["class_id"] for r in neardup.near_duplicates(frame(spark, texts)).collect()}
+    assert got == want
+
+
 def test_similarity_is_that_of_ordered_runs():
     a, b = neardup.kmers(words(1, 100)), neardup.kmers(words(1, 100) + " more")
     assert neardup.similarity(a, a) == 1.0 and neardup.similarity(a, b) == len(a) / (len(a) + 1)
