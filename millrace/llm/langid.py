@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -11,9 +12,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace.workspace import cut_lineage
 
 U = np.uint64
-MAX_ENTRIES = 1_000_000  # four-grams in all models together
-MAX_CELLS = 25_000_000  # four-grams times languages: at most 100 MB of code lengths
-MAX_LANGUAGES = 100
+MAX_ENTRIES = 1_000_000  # four-grams of all languages in one piece of the models
+MAX_CELLS = 25_000_000  # four-grams times languages in one piece: at most 100 MB of code lengths
 DISCOUNT = 0.75
 LEAST = 2.0  # bits per character that a text of two languages may lie above the usual
 SLACK = 8.0  # rejected beyond so many deviations above the usual cross-entropy
@@ -85,9 +85,13 @@ class KneserNey:
     Orders 4 to 1; the top order uses counts, the lower ones the number of distinct left neighbours.
     ``level[k]`` holds the sorted n-grams and probabilities, ``weight[k]`` the sorted contexts and
     the share of probability they hand to the next lower order.
+
+    All that a four-gram asks for, but for the single units, stands in four-grams with its third unit. So
+    the four-grams of some third units, with ``units`` (single units and their distinct left neighbours)
+    counted over all, give for those third units what all four-grams give.
     """
 
-    def __init__(self, gram: np.ndarray, n: np.ndarray, discount: float = DISCOUNT):
+    def __init__(self, gram: np.ndarray, n: np.ndarray, discount: float = DISCOUNT, units: tuple[np.ndarray, np.ndarray] | None = None):
         order = np.argsort(gram)
         keys, counts = gram[order], n[order].astype(float)
         raw = []
@@ -95,6 +99,8 @@ class KneserNey:
             raw.append((k, keys, counts))
             keys, counts = np.unique(keys & U((1 << 16 * (k - 1)) - 1), return_counts=True) if k > 1 else (keys, counts)
             counts = counts.astype(float)
+        if units is not None:
+            raw[-1] = 1, units[0], units[1].astype(float)
         self.level: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         self.weight: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         self.floor = 1.0 / 65536
@@ -112,31 +118,39 @@ class KneserNey:
         """P(last unit | the units before it), for n-grams of order ``k``."""
         out = np.zeros(len(keys))
         known, values = self.level[k]
-        at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-        hit = known[at] == keys
+        hit, at = _find(known, keys)
         out[hit] = values[at[hit]]
         rest = np.flatnonzero(~hit)
         if len(rest):
             contexts, weights = self.weight[k]
-            c = keys[rest] >> U(16)
-            at = np.minimum(np.searchsorted(contexts, c), len(contexts) - 1)
-            share = np.where(contexts[at] == c, weights[at], 1.0)
+            seen, at = _find(contexts, keys[rest] >> U(16))
+            share = np.ones(len(rest))
+            share[seen] = weights[at[seen]]
             out[rest] = share * self._lower(k, keys[rest])
         return out
 
 
+def _find(line: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each key stands in the sorted line, and where."""
+    if not len(line):
+        return np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
+    at = np.minimum(np.searchsorted(line, keys), len(line) - 1)
+    return line[at] == keys, at
+
+
 class LanguageModels:
-    """All languages: one sorted array of known four-grams, and each language's code length for them."""
+    """All languages, for the third units ``low`` to ``high``: one sorted array of known four-grams, and each language's code length for them."""
 
-    def __init__(self, rows: list[tuple[str, np.ndarray, np.ndarray]]):
-        self.languages = [name for name, _, _ in rows]
-        self.models = [KneserNey(gram, n) for _, gram, n in rows]
-        self.known = np.unique(np.concatenate([gram for _, gram, _ in rows])) if rows else np.zeros(0, U)
+    def __init__(self, rows: list[tuple[str, np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray] | None]], low: int = 0, high: int = 65535):
+        self.low, self.high = U(low), U(high)
+        self.languages = [row[0] for row in rows]
+        self.models = [KneserNey(gram, n, units=units) for _, gram, n, units in rows]
+        self.known = np.unique(np.concatenate([row[1] for row in rows])) if rows else np.zeros(0, U)
         self.bits = np.stack([-np.log2(m.probability(self.known)) for m in self.models]).astype(np.float32) if rows else None
 
-    def cross_entropy(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Bits per four-gram (texts × languages) and the number of four-grams; whole texts."""
-        out = np.full((len(texts), len(self.languages)), np.nan)
+    def code_lengths(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Bits of the four-grams with a third unit of this piece (texts × languages), and the number of all four-grams; whole texts."""
+        out = np.zeros((len(texts), len(self.languages)))
         sizes = np.zeros(len(texts), np.int64)
         held: list[np.ndarray] = []
         ids: list[int] = []
@@ -145,22 +159,25 @@ class LanguageModels:
             if not held:
                 return
             flat = np.concatenate(held)
-            at = np.minimum(np.searchsorted(self.known, flat), len(self.known) - 1)
-            strange = np.flatnonzero(self.known[at] != flat)
+            hit, at = _find(self.known, flat)
+            strange = np.flatnonzero(~hit)
             starts = np.concatenate([[0], np.cumsum([len(g) for g in held])[:-1]])
-            lengths = np.array([len(g) for g in held])
             for j, model in enumerate(self.models):
-                bits = self.bits[j][at].astype(np.float64)
+                bits = self.bits[j][at].astype(np.float64) if len(self.known) else np.zeros(len(flat))
                 if len(strange):
                     bits[strange] = -np.log2(model.probability(flat[strange]))
-                out[ids, j] = np.add.reduceat(bits, starts) / lengths
+                out[ids, j] = np.add.reduceat(bits, starts)
             held.clear()
             ids.clear()
 
         size = 0
+        whole = self.low == 0 and self.high == 65535
         for i, text in enumerate(texts):
             g = grams(text) if text is not None else np.zeros(0, U)
             sizes[i] = len(g)
+            if not whole:
+                third = (g >> U(16)) & U(0xFFFF)
+                g = g[(third >= self.low) & (third <= self.high)]
             if len(g) and self.models:
                 held.append(g)
                 ids.append(i)
@@ -172,54 +189,121 @@ class LanguageModels:
         return out, sizes
 
 
-def train(docs: DataFrame, text: str = "text", lang: str = "lang", max_entries: int = MAX_ENTRIES) -> LanguageModels:
-    """Models from all rows of ``docs`` with a text and a language.
+@dataclass(frozen=True)
+class Training:
+    """Counts of all four-grams, the languages, their single units, and the ranges of third units that make a piece each."""
+
+    counts: DataFrame
+    languages: list[str]
+    units: dict[str, tuple[np.ndarray, np.ndarray]]
+    ranges: list[tuple[int, int]]
+
+    def piece(self, low: int, high: int) -> LanguageModels:
+        rows = self.counts.where(_third().between(low, high)).toArrow()
+        number = {name: j for j, name in enumerate(self.languages)}
+        lang = np.array([number[x] for x in rows["lang"].to_pylist()], np.int64)
+        gram, n = rows["gram"].to_numpy().view(U), rows["n"].to_numpy()
+        order = np.argsort(lang, kind="stable")
+        ends = np.searchsorted(lang[order], np.arange(len(self.languages) + 1))
+        parts = [order[ends[j]:ends[j + 1]] for j in range(len(self.languages))]
+        return LanguageModels([(name, gram[x], n[x], self.units[name]) for name, x in zip(self.languages, parts)], low, high)
+
+
+def _third() -> Column:
+    return F.shiftrightunsigned("gram", 16).bitwiseAND(F.lit(0xFFFF))
 
-    Counts cover every row. The model has a bound, so that it can be broadcast: the most frequent
-    four-grams of each language are kept (``max_entries`` shared by the languages, ``MAX_CELLS`` in
-    the table of code lengths); rarer ones are left to the lower orders.
+
+def train(docs: DataFrame, text: str = "text", lang: str = "lang", max_entries: int | None = None) -> Training:
+    """Counts from all rows of ``docs`` with a text and a language; every four-gram is kept.
+
+    The models are dealt into pieces by ranges of the third unit, of at most ``max_entries`` four-grams and
+    ``MAX_CELLS`` code lengths (or of one third unit), so that a piece can be broadcast whatever the
+    input and the number of languages. Only the single units of each language are gathered for all pieces.
     """
+    most = max_entries or MAX_ENTRIES
     counts = cut_lineage(count_grams(docs, text, lang))
-    names = [r[0] for r in counts.select("lang").distinct().orderBy("lang").limit(MAX_LANGUAGES + 1).collect()]
-    if len(names) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    each = min(max_entries // max(1, len(names)), MAX_CELLS // max(1, len(names)) ** 2)
-    rows = []
-    for name in names:
-        top = counts.where(F.col("lang") == name).orderBy(F.desc("n"), "gram").limit(each).select("gram", "n").toArrow()
-        rows.append((name, top["gram"].to_numpy().view(U), top["n"].to_numpy()))
-    return LanguageModels(rows)
+    two, one = F.col("gram").bitwiseAND(F.lit(0xFFFFFFFF)), F.col("two").bitwiseAND(F.lit(0xFFFF))
+    found: dict[str, list[tuple[int, int]]] = {}
+    for r in counts.select("lang", two.alias("two")).distinct().groupBy("lang", one.alias("unit")).count().collect():
+        found.setdefault(r["lang"], []).append((r["unit"], r["count"]))
+    units = {name: tuple(np.array(x) for x in zip(*sorted(rows))) for name, rows in found.items()}
+    units = {name: (keys.astype(U), n) for name, (keys, n) in units.items()}
+    ranges, low, entries, cells = [], 0, 0, 0
+    # at most 65,536 rows
+    sizes = counts.groupBy(_third().alias("third"), "gram").count().groupBy("third").agg(F.sum("count").alias("n"), F.count("*").alias("known")).orderBy("third").collect()
+    for r in sizes:
+        wide = r["known"] * len(units)
+        if entries and (entries + r["n"] > most or cells + wide > MAX_CELLS):
+            ranges.append((low, r["third"] - 1))
+            low, entries, cells = r["third"], 0, 0
+        entries, cells = entries + r["n"], cells + wide
+    return Training(counts, sorted(units), units, [*ranges, (low, 65535)])
 
 
 SCORED = "best string, bits double, size long, score double"
 
 
-def scored(docs: DataFrame, models: LanguageModels, text: str, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` with the language of lowest cross-entropy, its bits and a 0 to 1 score."""
-    shared = docs.sparkSession.sparkContext.broadcast(models)
+def _best(languages: list[str], total: np.ndarray, sizes: np.ndarray) -> list[pa.Array]:
+    """Language of lowest cross-entropy, its bits per four-gram, the number of four-grams and a 0 to 1 score."""
+    best, low, share = [None] * len(sizes), np.zeros(len(sizes)), np.zeros(len(sizes))
+    some = np.flatnonzero(sizes > 0) if languages else np.zeros(0, int)
+    if len(some):
+        b = total[some] / sizes[some][:, None]
+        at = np.argmin(b, axis=1)
+        low[some] = b[np.arange(len(some)), at]
+        gap = (b - low[some][:, None]) * np.minimum(sizes[some], 50)[:, None]
+        share[some] = 1 / np.exp2(-gap).sum(axis=1)
+        for i, j in zip(some, at):
+            best[i] = languages[j]
+    return [pa.array(best, pa.string()), pa.array(low), pa.array(sizes), pa.array(share)]
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            bits, sizes = m.cross_entropy(texts)
-            best, low, share = [None] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
-            some = np.flatnonzero(sizes > 0) if m.languages else np.zeros(0, int)
-            if len(some):
-                b = bits[some]
-                at = np.argmin(b, axis=1)
-                low[some] = b[np.arange(len(some)), at]
-                gap = (b - low[some][:, None]) * np.minimum(sizes[some], 50)[:, None]
-                share[some] = 1 / np.exp2(-gap).sum(axis=1)
-                for i, j in zip(some, at):
-                    best[i] = m.languages[j]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(best, pa.string()), pa.array(low), pa.array(sizes), pa.array(share)],
-                names=[*keep, "best", "bits", "size", "score"])
 
+def scored(docs: DataFrame, models: Training, text: str, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` with the language of lowest cross-entropy, its bits and a 0 to 1 score.
+
+    One piece of the models is scored in one pass. Of several, one at a time is broadcast and passes over the
+    texts; sums are kept per text, added in the order of the pieces and joined back.
+    """
+    spark, languages = docs.sparkSession, models.languages
     types = dict(docs.dtypes)
-    schema = ", ".join([f"`{c}` {types[c]}" for c in keep] + [SCORED])
-    return docs.select(*keep, F.col(text).alias("__text")).mapInArrow(score, schema)
+    if len(models.ranges) == 1:
+        shared = spark.sparkContext.broadcast(models.piece(*models.ranges[0]))
+
+        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = _best(languages, *shared.value.code_lengths(batch.column(batch.num_columns - 1).to_pylist()))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *found], names=[*keep, "best", "bits", "size", "score"])
+
+        schema = ", ".join([f"`{c}` {types[c]}" for c in keep] + [SCORED])
+        return docs.select(*keep, F.col(text).alias("__text")).mapInArrow(score, schema)
+
+    same = F.sha2(F.coalesce(F.col(text), F.lit("")), 256).alias("same")
+    parts = None
+    for number, (low, high) in enumerate(models.ranges):
+        shared = spark.sparkContext.broadcast(models.piece(low, high))
+
+        def measure(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                sums, sizes = shared.value.code_lengths(batch.column(1).to_pylist())
+                offsets = pa.array(np.arange(len(sums) + 1) * len(languages), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(sizes), pa.ListArray.from_arrays(offsets, pa.array(sums.ravel()))], names=["same", "size", "sums"])
+
+        one = docs.select(same, F.col(text).alias("__text")).mapInArrow(measure, "same string, size long, sums array<double>")
+        one = cut_lineage(one.groupBy("same").agg(F.first("size").alias("size"), F.first("sums").alias("sums")).withColumn("piece", F.lit(number)))
+        parts = one if parts is None else parts.unionByName(one)
+        shared.destroy()
+    total = parts.groupBy("same").agg(F.first("size").alias("size"), F.array_sort(F.collect_list(F.struct("piece", "sums"))).alias("sums"))
+    total = total.select("same", "size", F.aggregate(
+        "sums", F.array_repeat(F.lit(0.0), len(languages)), lambda held, x: F.zip_with(held, x["sums"], lambda p, q: p + q)).alias("sums"))
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sums = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, len(languages))
+            found = _best(languages, sums, batch.column(1).to_numpy(zero_copy_only=False))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *found], names=["same", "best", "bits", "size", "score"])
+
+    return docs.select(*keep, same).join(total.mapInArrow(decide, f"same string, {SCORED}"), "same").drop("same")
 
 
 def identify(docs: DataFrame, learn: Column | None = None, key: str = "doc_id", text: str = "text", lang: str = "lang",

@@ -180,6 +180,28 @@ def test_kneser_ney_probabilities_sum_to_one():
     assert math.isclose(total, 1.0, rel_tol=1e-6)
 
 
+def test_every_four_gram_and_language_counts(spark, monkeypatch):
+    """More than a hundred languages, and pieces of a few four-grams, give what one whole model per language gives."""
+    lang = {i: f"l{i % 103:03}" for i in range(206)}
+    texts = [(i, words(i % 103, 12, "abcdefghijklmnop"[i % 13:i % 13 + 4])) for i in range(206)]
+    docs = frame(spark, texts, lang=lang)
+    whole = {}
+    for name in sorted(set(lang.values())):
+        g, n = np.unique(np.concatenate([langid.grams(t) for i, t in texts if lang[i] == name]), return_counts=True)
+        whole[name] = langid.KneserNey(g, n)
+    want = {}
+    for i, t in texts:
+        bits = {name: float(-np.log2(m.probability(langid.grams(t))).mean()) for name, m in whole.items()}
+        want[i] = min(bits.values())
+        assert bits[lang[i]] < 1.001 * want[i]
+    for most in (10**6, 2_000):
+        monkeypatch.setattr(langid, "MAX_ENTRIES", most)
+        trained = langid.train(docs)
+        assert len(trained.languages) == 103 and (len(trained.ranges) > 3) == (most == 2_000)
+        got = {r["doc_id"]: r for r in langid.scored(docs, trained, "text", ["doc_id"]).collect()}
+        assert len(got) == 206 and all(math.isclose(got[i]["bits"], want[i], rel_tol=1e-4) for i in want)
+
+
 def test_personal_data(spark, odd):
     text = "Call +1 (555) 010-9999, mail a.b@c.de@f.gh or 10.0.0.1 and 300.1.1.1; pay 4539 1488 0343 6467 now, not 4539148803436468."
     docs = frame(spark, [(1, text), (2, None), (3, "")] + [(i, words(i, 20) + f" x{i}@mail.example.com " + words(i, 9)) for i in range(10, 40)])
