@@ -36,6 +36,7 @@ SAMPLE_DOCS = 1_000  # documents with a notice's word, and as many without, that
 SAMPLE = 4_000  # paragraphs of the corpus the classifier is fitted on, half of them with a notice's word
 VOCABULARY = 4_096
 CONFIRMED = 0.8  # share of a template's word pairs that stand in the paragraph
+LONGEST = max(len(text.split()) for _, text in NOTICES) + 8  # words; numbers and marks may split off
 PRECISION = 0.99  # wanted of each family on the held-out part of the sample
 
 
@@ -67,10 +68,63 @@ def notices(spark: SparkSession) -> DataFrame:
 
 
 def template_shares(word_pairs: Column, templates: list[tuple[str, list[str]]]) -> Column:
-    """Per template, (share of its word pairs that stand in the paragraph, family)."""
+    """Per template, (share of its word pairs that stand in the paragraph, family, number of those pairs)."""
     listed = F.array(*[F.struct(F.lit(f).alias("family"), F.array(*[F.lit(p) for p in ps]).alias("pairs")) for f, ps in templates])
-    return F.transform(listed, lambda t: F.struct(
-        (F.size(F.array_intersect(word_pairs, t["pairs"])) / F.size(t["pairs"])).alias("share"), t["family"].alias("family")))
+    held = lambda t: F.size(F.array_intersect(word_pairs, t["pairs"]))
+    return F.transform(listed, lambda t: F.struct((held(t) / F.size(t["pairs"])).alias("share"), t["family"].alias("family"), held(t).alias("held")))
+
+
+def telling(templates: list[tuple[str, list[str]]]) -> list[str]:
+    """Words of which a text that confirms any template holds one.
+
+    ``CONFIRMED`` lets some pairs of a template be missing; every word that is missing takes a pair at least.
+    """
+    out = set()
+    for _, ps in templates:
+        words = sorted({w for p in ps for w in p.split(" ")}, key=lambda w: (-len(w), w))
+        out |= set(words[:int(len(ps) * (1 - CONFIRMED) + 1e-9) + 1])
+    return sorted(out)
+
+
+def passages(docs: DataFrame, templates: list[tuple[str, list[str]]], key: str, text: str) -> DataFrame:
+    """(key, place, last, words) of notices that run over several lines: consecutive lines, joined, that confirm a template.
+
+    A line without words is a border. From every line, windows of 1, 2, ... lines reach ``LONGEST`` words past that line
+    or to the border. Of overlapping windows of a family the one with the most of a template's pairs stays, then
+    the one with the fewest lines; those of one line are left to ``paragraphs``.
+    """
+    low = F.lower(F.col(text))
+    has = F.lit(False)
+    for w in telling(templates):
+        has = has | low.contains(w)
+    lines = docs.where(F.col(text).isNotNull() & has).select(key, F.transform(F.split(F.col(text), r"\R"), tokens).alias("lines")).where(F.size("lines") > 1)
+    lines = lines.withColumn("sizes", F.transform("lines", F.size))
+    nothing = F.struct(F.lit(0).alias("n"), F.lit(0).alias("more"), F.lit(True).alias("open"))
+
+    def read(held: Column, size: Column) -> Column:
+        still = held["open"] & (size > 0) & (held["n"] < LONGEST)
+        return F.struct((held["n"] + size).alias("n"), (held["more"] + still.cast("int")).alias("more"), still.alias("open"))
+
+    def ahead(line: Column, i: Column) -> Column:
+        more = F.aggregate(F.slice(F.col("sizes"), i + 2, LONGEST + 1), nothing, read)["more"]
+        return F.struct(i.alias("place"), F.slice(F.col("lines"), i + 1, more + 1).alias("ahead"))
+
+    enough = lambda words: F.exists(template_shares(words, templates), lambda t: t["share"] >= CONFIRMED)
+    starts = lines.select(key, F.explode(F.transform("lines", ahead)).alias("x")).select(key, "x.place", "x.ahead").where(F.size(F.get("ahead", F.lit(0))) > 0)
+    # the cheap test first: lambdas compute the pairs anew for each template
+    near = F.arrays_overlap(F.flatten("ahead"), F.array(*[F.lit(w) for w in telling(templates)]))
+    wide = starts.where(F.when(near, enough(pairs(F.flatten("ahead")))).otherwise(F.lit(False)))
+    each = wide.select(key, "place", "ahead", F.explode(F.sequence(F.lit(1), F.size("ahead"))).alias("n"))
+    each = each.select(key, "place", (F.col("place") + F.col("n") - 1).alias("last"), "n", F.flatten(F.slice("ahead", F.lit(1), F.col("n"))).alias("words"))
+    shares = each.withColumn("pairs", pairs(F.col("words"))).select(
+        key, "place", "last", "n", "words", F.explode(template_shares(F.col("pairs"), templates)).alias("t")).where(F.col("t.share") >= CONFIRMED)
+    found = cut_lineage(shares.groupBy(key, "place", "last", "n", F.col("t.family").alias("family")).agg(
+        F.max("t.held").alias("held"), F.first("words").alias("words")))
+    rank = F.struct("held", (-F.col("n")).alias("n"), "place")
+    on = found.select(key, "family", "place", "last", rank.alias("rank"), F.explode(F.sequence("place", "last")).alias("line"))
+    on = on.withColumn("top", F.max("rank").over(Window.partitionBy(key, "family", "line")))
+    kept = on.groupBy(key, "family", "place", "last").agg(F.bool_and(F.col("rank") == F.col("top")).alias("kept")).where("kept and last > place")
+    return found.join(kept.select(key, "place", "last").distinct(), [key, "place", "last"]).groupBy(key, "place", "last").agg(F.first("words").alias("words"))
 
 
 @dataclass(frozen=True)
@@ -158,10 +212,11 @@ def _vector(column: Column) -> Column:
 def scan(docs: DataFrame, model: Classifier, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Licence of every document: (key, licence, families, n_paragraphs, n_unknown, score).
 
-    Each line of the whole text is classified. A line without any gram that speaks for a family is none without
+    Each line of the whole text is classified, and each passage of several lines that confirms a template (``passages``):
+    a confirmed passage counts once, in place of its unknown lines and its lines of the same family. A line without any gram that speaks for a family is none without
     being scored, which is what its score would say. A line whose best class is a family is that
     family if its probability reaches the family's calibrated bound and a template of the family
-    confirms it, else unknown. ``licence`` is the family of the confirmed line with the highest
+    confirms it, else unknown. ``licence`` is the family of the confirmed line or passage with the highest
     probability (ties: first in order), ``unknown`` if there are only unknown lines, else ``none``;
     ``families`` lists the confirmed ones, ``score`` is the highest probability (none: 0).
 
@@ -169,20 +224,26 @@ def scan(docs: DataFrame, model: Classifier, key: str = "doc_id", text: str = "t
     columns do not matter.
     """
     some = F.arrays_overlap("words", F.array(*[F.lit(w) for w in model.words])) if model.words else F.lit(False)
-    lines = cut_lineage(paragraphs(docs, key, text).where(some))
+    single = cut_lineage(paragraphs(docs, key, text).where(some)).select(key, "place", F.col("place").alias("last"), "words")
+    lines = single.unionByName(cut_lineage(passages(docs, model.templates, key, text).where(some)))
     n = len(model.classes)
-    hits = lines.select(key, "place", F.explode(grams(F.col("words"))).alias("gram")).join(F.broadcast(model.weights), "gram")
-    sums = hits.groupBy(key, "place").agg(*[F.sum(F.element_at("w", i + 1)).alias(f"s{i}") for i in range(n)])
-    margins = sums.select(key, "place", F.array(*[F.col(f"s{i}") + F.lit(model.intercepts[i]) for i in range(n)]).alias("m"))
+    hits = lines.select(key, "place", "last", F.explode(grams(F.col("words"))).alias("gram")).join(F.broadcast(model.weights), "gram")
+    sums = hits.groupBy(key, "place", "last").agg(*[F.sum(F.element_at("w", i + 1)).alias(f"s{i}") for i in range(n)])
+    margins = sums.select(key, "place", "last", F.array(*[F.col(f"s{i}") + F.lit(model.intercepts[i]) for i in range(n)]).alias("m"))
     margins = margins.withColumn("top", F.array_max("m"))
     share = 1 / F.aggregate("m", F.lit(0.0), lambda total, m: total + F.exp(m - F.col("top")))
-    judged = margins.select(key, "place", share.alias("p"), (F.array_position("m", F.col("top")) - 1).cast("int").alias("i")).where("i > 0")
+    judged = margins.select(key, "place", "last", share.alias("p"), (F.array_position("m", F.col("top")) - 1).cast("int").alias("i")).where("i > 0")
     family = F.element_at(F.array(*[F.lit(c) for c in model.classes]), F.col("i") + 1)
     bound = F.element_at(F.array(*[F.lit(x) for x in model.least[:n]]), F.col("i") + 1)
-    seen = judged.join(lines, [key, "place"]).withColumn("family", family)
+    seen = judged.join(lines, [key, "place", "last"]).withColumn("family", family)
     shares = template_shares(F.col("pairs"), model.templates)
     confirmed = F.exists(shares, lambda t: (t["family"] == F.col("family")) & (t["share"] >= CONFIRMED))
     seen = seen.withColumn("pairs", pairs(F.col("words"))).withColumn("sure", (F.col("p") >= bound) & confirmed)
+    seen = cut_lineage(seen.select(key, "place", "last", "family", "p", "i", "sure").where("sure or last = place"))
+    inside = seen.where("sure and last > place").select(key, "family", F.explode(F.sequence("place", "last")).alias("place")).groupBy(key, "place").agg(
+        F.collect_set("family").alias("within"))
+    seen = seen.join(inside, [key, "place"], "left").where(
+        F.col("within").isNull() | (F.col("last") > F.col("place")) | (F.col("sure") & ~F.array_contains("within", F.col("family"))))
     order = F.struct(F.col("p"), (-F.col("i")).alias("i"), "family")
     found = seen.groupBy(key).agg(
         F.max(F.when(F.col("sure"), order)).alias("top"), F.array_sort(F.collect_set(F.when(F.col("sure"), F.col("family")))).alias("families"),

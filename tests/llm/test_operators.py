@@ -281,6 +281,32 @@ def test_licences(spark, odd):
     assert got[900] == got[901] == "none" and licences.scan(odd, model).count() == odd.count()
 
 
+def test_wrapped_licences(spark):
+    """Notices wrapped at 40 to 80 characters, in the midst of other lines and behind comment marks, count once."""
+    import textwrap
+
+    lines = ["Licensed under the Apache License, Version 2.0.", "Released under the MIT License.", "All rights reserved."]
+    docs = frame(spark, [(i, words(i, 30) + "\n" + (lines[i % 3] if i % 2 else words(i + 500, 8))) for i in range(200)])
+    model = licences.train(docs, "doc_id", "text")
+    known = [(f, t) for f, t in licences.NOTICES if len(t) > 80 and f != "cc-by"]  # cc-by stays unknown on one line too
+    texts, want = [], {}
+    for width in (40, 50, 60, 72, 80):
+        for family, notice in known:
+            for mark in ("", "# "):
+                i = len(texts)
+                texts.append((i, words(i, 12) + "\n" + "\n".join(mark + x for x in textwrap.wrap(notice, width)) + "\n" + words(i + 900, 12)))
+                want[i] = (family, family, 1, 0)
+    header = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License"
+    texts.append((900, header))
+    want[900] = ("gpl", "gpl", 1, 0)
+    texts.append((901, header.replace("\n", "\n\n")))  # a border between: no whole notice
+    texts.append((902, "\n".join([words(1, 9), lines[1], lines[1], words(2, 9)])))
+    want[902] = ("mit", "mit", 2, 0)
+    got = {r["doc_id"]: (r["licence"], r["families"], r["n_paragraphs"], r["n_unknown"]) for r in licences.scan(frame(spark, texts), model).collect()}
+    assert got[901][0] in ("unknown", "none")
+    assert {i: got[i] for i in want} == want
+
+
 def test_empty_tables(spark, none):
     assert suffixdedup.remove_repeats(none).count() == 0
     assert neardup.near_duplicates(none).count() == 0
