@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import decontamination, langid, licences, mixing, neardup, pii, sharding, suffixdedup, tokenfiles, topk
+from millrace.llm import checks, decontamination, langid, licences, linededup, mixing, neardup, pii, resampling, sharding, suffixdedup, tokenfiles, topk, vectorcodes
 from millrace.sources.tables import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -86,10 +86,29 @@ def op10_licences(spark: SparkSession, root: str) -> DataFrame:
     return licences.scan(docs, licences.train(docs, "doc_id", "text"))
 
 
+def op11_vector_codes(spark: SparkSession, root: str) -> DataFrame:
+    """Product codes of all vectors over codebooks of 256 entries for 4 parts."""
+    return vectorcodes.encode(table(spark, root, "embeddings"))
+
+
+def op12_line_dedup(spark: SparkSession, root: str) -> DataFrame:
+    """Documents without the long lines that five or more of them share."""
+    rest = linededup.drop_shared_lines(table(spark, root, "documents"))
+    return rest.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_resampling(spark: SparkSession, root: str) -> DataFrame:
+    """A tenth of the documents, drawn towards the words of the benchmark."""
+    return resampling.resample(table(spark, root, "documents"), table(spark, root, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     **{f.__name__: f for f in (
         op1_top_k_search, op2_suffix_dedup, op3_near_duplicates, op4_language, op5_personal_data, op6_mixing, op7_sharding, op8_decontamination, op9_token_files,
-        op10_licences)},
+        op10_licences, op11_vector_codes, op12_line_dedup, op13_resampling)},
 }
-SQL: dict[str, str] = {name: sql for name, sql in {"pipeline": corpus_pipeline.ORACLE_SQL}.items() if sql}
+SQL: dict[str, str] = {
+    name: sql for name, sql in {
+        "pipeline": corpus_pipeline.ORACLE_SQL, "op11_vector_codes": checks.vector_codes(), "op12_line_dedup": checks.LINE_DEDUP, "op13_resampling": checks.RESAMPLING,
+    }.items() if sql}
