@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions import vectors
-from millrace.operators import quality, retrieval
+from millrace.operators import quality, retrieval, vectorindex
 from millrace.sources import catalog
 from millrace.workload import roles
 from millrace.workload.quality import suite
@@ -49,20 +49,34 @@ def similarity_to_own_label(spark, root):
     return rows.select("vec_id", "label", F.round(vectors.dot(a, b), 6).alias("dot"), F.round(vectors.cosine(a, b), 6).alias("cosine"))
 
 
-SCORED = f"""{CENTROIDS}, x AS (SELECT c.label AS query_id, vec_id AS item_id, round(list_dot_product(embedding::DOUBLE[], vec), 6) AS score FROM c, embeddings),
+def _shown(found):
+    return found.withColumn("score", F.round("score", 6))
+
+
+SCORED = f"""{CENTROIDS}, x AS (SELECT c.label AS query_id, vec_id AS item_id, round(list_dot_product(embedding::DOUBLE[], vec), 12) AS score FROM c, embeddings),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS rank FROM x"""
 
 
-@register("V4 T3 W13", sql=f"WITH {SCORED}) SELECT query_id, item_id, score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 5")
+@register("V4 T3 W13", sql=f"WITH {SCORED}) SELECT query_id, item_id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 5")
 def nearest_to_label_centroids(spark, root):
     items = roles.embeddings(spark, root).withColumnRenamed("embedding", "vector")
-    return retrieval.top_matches(label_centroids(spark, root), items, "label", "vec_id", k=5, min_score=None)
+    return _shown(retrieval.top_matches(label_centroids(spark, root), items, "label", "vec_id", k=5, min_score=None))
 
 
-@register("V7 T2 J14", sql=f"WITH {SCORED} WHERE score >= 0.3) SELECT query_id, item_id, score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 3")
+@register("V7 T2 J14", sql=f"WITH {SCORED} WHERE score >= 0.3) SELECT query_id, item_id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 3")
 def search_with_floor(spark, root):
     items = roles.embeddings(spark, root).withColumnRenamed("embedding", "vector")
-    return retrieval.top_matches(label_centroids(spark, root), items, "label", "vec_id")
+    return _shown(retrieval.top_matches(label_centroids(spark, root), items, "label", "vec_id"))
+
+
+@register("V4 V6 T3 J14 W13", sql="""WITH x AS (SELECT a.vec_id AS query_id, b.vec_id AS item_id, round(list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 12) AS score FROM embeddings a, embeddings b),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS rank FROM x)
+SELECT query_id, item_id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 5""")
+def nearest_vectors(spark, root):
+    """The five nearest vectors of every vector, over a stored index of the same table."""
+    rows = roles.embeddings(spark, root)
+    index = vectorindex.build_index(rows, "vec_id", "embedding", tile_rows=1024)
+    return _shown(vectorindex.search(index, rows, "vec_id", "embedding", k=5))
 
 
 def _terms(name: str, table: str, key: str, text: str = "text") -> str:
@@ -73,7 +87,7 @@ def _terms(name: str, table: str, key: str, text: str = "text") -> str:
 
 
 TEXT_SEARCH = f"""{_terms('q', 'benchmark', 'item_id')}, {_terms('d', 'documents', 'doc_id')},
-x AS (SELECT q.id AS query_id, d.id AS item_id, round(sum(q.x * d.x), 6) AS score FROM q JOIN d USING (b) GROUP BY 1, 2),
+x AS (SELECT q.id AS query_id, d.id AS item_id, round(sum(q.x * d.x), 12) AS score FROM q JOIN d USING (b) GROUP BY 1, 2),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS rank FROM x WHERE score >= 0.3)"""
 
 
@@ -84,9 +98,9 @@ def _document_matches(spark, root):
     return retrieval.top_matches(questions, items, "item_id", "doc_id")
 
 
-@register("V7 K1 V10", sql=f"WITH {TEXT_SEARCH} SELECT query_id, item_id, score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 3")
+@register("V7 K1 V10", sql=f"WITH {TEXT_SEARCH} SELECT query_id, item_id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 3")
 def passages_in_documents(spark, root):
-    return _document_matches(spark, root)
+    return _shown(_document_matches(spark, root))
 
 
 @register("V9", sql=f"""WITH {TEXT_SEARCH}, c AS (SELECT item_id, CASE WHEN score IS NULL THEN 0.0 ELSE least(score * 1.1::DOUBLE, 1.0::DOUBLE) END AS confidence FROM benchmark
@@ -157,9 +171,9 @@ TABLE_VALUES = ", ".join(f"('{t[0]}', '{_rendered(*t)}')" for t in catalog.BUSIN
 @register("V6 V7 V10 C4", sql=f"""WITH tabs AS (SELECT * FROM (VALUES {TABLE_VALUES}) v(table_name, text)),
 turns AS (SELECT conv_id * 1000 + turn AS turn_id, text FROM conversations WHERE role = 'user'),
 {_terms('q', 'turns', 'turn_id')}, {_terms('d', 'tabs', 'table_name')},
-x AS (SELECT q.id AS query_id, d.id AS item_id, round(sum(q.x * d.x), 6) AS score FROM q JOIN d USING (b) GROUP BY 1, 2),
+x AS (SELECT q.id AS query_id, d.id AS item_id, round(sum(q.x * d.x), 12) AS score FROM q JOIN d USING (b) GROUP BY 1, 2),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS rank FROM x WHERE score >= 0.05)
-SELECT query_id, item_id, score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 3""")
+SELECT query_id, item_id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 3""")
 def tables_for_user_turns(spark, root):
     """Business tables that match each user turn, over an index that is rendered, embedded and stored."""
     from millrace.workspace import scratch_path
@@ -175,7 +189,7 @@ def tables_for_user_turns(spark, root):
         (F.col("conv_id") * 1000 + F.col("turn")).alias("turn_id"), "text"
     )
     asked = retrieval.embed_column(turns, "text", embed, DIMS)
-    return retrieval.top_matches(asked, spark.read.parquet(path), "turn_id", "table_name", min_score=0.05)
+    return _shown(retrieval.top_matches(asked, spark.read.parquet(path), "turn_id", "table_name", min_score=0.05))
 
 
 @register("V11 J15 U3 F7", sql="""WITH s AS (SELECT DISTINCT left(sha256(text), 16) AS key FROM benchmark),
@@ -214,4 +228,4 @@ def audit_records_for_questions(spark, root):
         F.concat_ws(" ", "check", "message").alias("item"), F.concat_ws(" ", "check", "table", "message", "severity").alias("text")
     )
     questions = retrieval.embed_column(roles.benchmark(spark, root), "text", embed, DIMS)
-    return retrieval.top_matches(questions, retrieval.embed_column(records, "text", embed, DIMS), "item_id", "item", k=5, min_score=0.0)
+    return _shown(retrieval.top_matches(questions, retrieval.embed_column(records, "text", embed, DIMS), "item_id", "item", k=5, min_score=0.0))

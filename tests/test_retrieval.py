@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import vectors
-from millrace.operators import retrieval
+from millrace.operators import retrieval, vectorindex
 
 
 def _vectors(spark, n, seed, key):
@@ -16,7 +16,7 @@ def _vectors(spark, n, seed, key):
 
 
 def _brute(queries, items, k, floor):
-    scores = np.round(queries @ items.T, 6)
+    scores = np.round(queries @ items.T, 12)
     out = []
     for q in range(len(queries)):
         order = sorted(range(len(items)), key=lambda i: (-scores[q, i], i))[:k]
@@ -29,7 +29,7 @@ def _brute(queries, items, k, floor):
 def test_all_three_plans_are_exact(spark, queries, items, per_task, floor):
     q, qv = _vectors(spark, queries, 1, "q")
     i, iv = _vectors(spark, items, 2, "i")
-    found = retrieval.top_matches(q, i, "q", "i", k=5, min_score=floor, queries_per_task=per_task, items_per_block=25)
+    found = retrieval.top_matches(q, i, "q", "i", k=5, min_score=floor, queries_per_task=per_task)
     assert sorted(map(tuple, found.collect())) == _brute(qv, iv, 5, floor)
 
 
@@ -113,3 +113,36 @@ def test_rendered_entries(spark):
     for r in rows:
         assert r.t.startswith(f"Table: {r.table_name}. ") and "Columns: " in r.t
         assert "Table:" in r.x and "Columns:" in r.x
+
+
+@pytest.mark.parametrize("floor", [None, 0.3])
+@pytest.mark.parametrize("tile_rows,probes,per_task", [(16, 1, 7), (16, 3, 1000), (1000, 2, 5)])
+def test_indexed_search_is_exact(spark, floor, tile_rows, probes, per_task):
+    q, qv = _vectors(spark, 40, 1, "q")
+    i, iv = _vectors(spark, 120, 2, "i")  # half of the items are one vector, spread over tiles
+    index = vectorindex.build_index(i, "i", tile_rows=tile_rows)
+    assert index.tiles.count() >= 120 // tile_rows
+    found = vectorindex.search(index, q, "q", k=5, min_score=floor, probes=probes, queries_per_task=per_task)
+    assert sorted(map(tuple, found.collect())) == _brute(qv, iv, 5, floor)
+
+
+def test_index_probes_few_tiles_of_clustered_vectors(spark):
+    rnd = np.random.RandomState(3)
+    centres = rnd.randn(40, 16)
+    data = centres[rnd.randint(40, size=3000)] + 0.15 * rnd.randn(3000, 16)
+    data /= np.linalg.norm(data, axis=1, keepdims=True)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "i bigint, vector array<double>")
+    index = vectorindex.build_index(rows, "i", tile_rows=64)
+    truth = vectorindex.search(index, rows, "i", k=5)
+    near = vectorindex.search(index, rows, "i", k=5, probes=12, exact=False)
+    measured = vectorindex.recall(near, truth).first()
+    assert measured["neighbours"] == 15000 and measured["recall"] >= 0.95 and index.tiles.count() >= 40
+
+
+def test_index_leaves_out_unusable_vectors(spark):
+    rows = [(1, [1.0, 0.0]), (2, None), (3, [float("nan"), 1.0]), (4, [1.0]), (5, [None, 1.0]), (6, [0.0, 1.0])]
+    df = spark.createDataFrame(rows, "i bigint, vector array<double>")
+    index = vectorindex.build_index(df, "i")
+    assert sorted(map(tuple, vectorindex.search(index, df, "i", k=2).select("query_id", "item_id", "rank").collect())) == [(1, 1, 1), (1, 6, 2), (6, 1, 2), (6, 6, 1)]
+    empty = vectorindex.build_index(df.where("i < 0"), "i")
+    assert vectorindex.search(empty, df, "i").count() == 0
