@@ -44,22 +44,6 @@ def hot_keys(df: DataFrame, keys: str | list[str], share: float = 0.01, min_rows
     return counts.where(F.col("count") >= floor).select(*names)
 
 
-# A key above both limits is split over several tasks by the ordered operators: at most 100,000
-# keys, whose list is small enough to send everywhere.
-HOT_SHARE, HOT_ROWS = 1e-5, 1_000_000
-
-
-def mark_hot(
-    df: DataFrame, keys: list[str], min_rows: int = HOT_ROWS, share: float = HOT_SHARE, counted: DataFrame | None = None
-) -> DataFrame:
-    """Add ``_hot``: whether the row's key is too large for one task.
-
-    ``counted`` may name a cheaper table to count keys on, such as the scan ``df`` comes from.
-    """
-    marked = F.broadcast(hot_keys(df if counted is None else counted, keys, share, min_rows).withColumn("_hot", F.lit(True)))
-    return df.join(marked, keys, "left").withColumn("_hot", F.coalesce("_hot", F.lit(False)))
-
-
 def row_salt(columns: list[str], salt_range: int) -> Column:
     """A salt that a retried task computes again: row content plus the task's partition number.
 

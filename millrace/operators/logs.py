@@ -68,11 +68,11 @@ def retained_turns(turns: DataFrame, conversation: str, turn: str, keep: int = K
 
 def turn_context(
     turns: DataFrame, conversation: str, turn: str, question: str, sql: str,
-    count: int = CONTEXT_TURNS, cut: int = CONTEXT_SQL, slot_size: int = 1000,
+    count: int = CONTEXT_TURNS, cut: int = CONTEXT_SQL,
 ) -> DataFrame:
     """Questions and shortened statements of the turns before each turn, as one text."""
     line = F.concat(F.lit("Q: "), F.col(question), F.lit("\nSQL: "), F.left(F.col(sql), F.lit(cut)))
-    looked = with_previous(turns, [conversation], [turn], count, line, F.floor(F.col(turn) / slot_size), "_before")
+    looked = with_previous(turns, [conversation], [turn], count, line, "_before")
     return looked.withColumn("context", F.array_join("_before", "\n")).drop("_before")
 
 
@@ -111,13 +111,13 @@ def _json_object(col: Column) -> Column:
     return F.when(F.schema_of_variant(value).startswith("OBJECT"), value)
 
 
-def loop_flags(steps: DataFrame, session: str, order: list[str], tool: str, params: str, slot: Column) -> DataFrame:
+def loop_flags(steps: DataFrame, session: str, order: list[str], tool: str, params: str) -> DataFrame:
     """Marks an action already taken at least twice among the six before it.
 
-    ``params`` is a map; ``slot`` splits long sessions along their order.
+    ``params`` is a map.
     """
     keyed = steps.withColumn("action_key", action_key(F.col(tool), F.col(params)))
-    looked = with_previous(keyed, [session], order, LOOP_WINDOW, F.col("action_key"), slot, "_recent")
+    looked = with_previous(keyed, [session], order, LOOP_WINDOW, F.col("action_key"), "_recent")
     seen = F.size(F.filter("_recent", lambda k: k == F.col("action_key")))
     return looked.withColumn("is_loop", seen >= LOOP_REPEATS).drop("_recent")
 

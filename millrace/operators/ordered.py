@@ -1,9 +1,11 @@
 """Order-dependent features that survive a key holding a large share of all rows.
 
-A plain window puts every row of a key into one task. Keys of ordinary size are left to it. The
-few keys too large for a task are cut into time slots: rows are summed up per key and slot, only
-those slot rows are ordered per key (their number is bounded by the calendar), and the row-level
-work stays inside one slot.
+A plain window puts every row of a key into one task. Here rows are range-partitioned by key and
+order, so a slot follows the rows: it holds about as many of them as any other slot, however they
+are spread over keys or over the calendar. Windows run inside a slot. Only the first and the last
+key of a slot can reach into another one, so what goes over the borders is one small row per key
+and slot (at most two keys per slot), summed up in order and sent back to the rows. Every key takes
+the same way, whatever its size.
 """
 
 from __future__ import annotations
@@ -11,9 +13,56 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.functions.numbers import money
-from millrace.operators.joins import HOT_ROWS, mark_hot
+from millrace.workspace import cut_lineage
 
-FIRST_SLOT = "0001-01-01 00:00:00"
+BEFORE = (Window.unboundedPreceding, -1)
+AFTER = (1, Window.unboundedFollowing)
+SENT_ROWS = 100_000  # rows of a table that is sent to every task without a bound of its own
+
+
+def slotted(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """``df`` with the number of its slot in ``_slot``: slots ascend with the keys and the order.
+
+    Rows are written out once, since slots must not change between the passes over them. Rows that
+    tie in keys and order are dealt by their content and by the task that read them, which a retried
+    task finds again, so not even copies all share a slot.
+    """
+    plain = [name for name, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    salt = F.xxhash64(*plain) + F.spark_partition_id()
+    placed = df.withColumn("_salt", salt).repartitionByRange(*keys, *order, "_salt").drop("_salt")
+    return cut_lineage(placed.withColumn("_slot", F.spark_partition_id()))
+
+
+def across_slots(per_slot: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of keys that reach over a border, of a table with one row per key and slot.
+
+    At most two keys of a slot do, its first and its last, so two rows per slot remain.
+    """
+    return per_slot.withColumn("_slots", F.count("*").over(Window.partitionBy(*keys))).where("_slots > 1").drop("_slots")
+
+
+def same(left: DataFrame, right: DataFrame, names: list[str]) -> DataFrame:
+    """Left join in which nulls equal nulls; the right side's names are dropped."""
+    renamed = right.withColumnsRenamed({n: f"_r_{n}" for n in names})
+    met = F.lit(True)
+    for n in names:
+        met = met & F.col(n).eqNullSafe(F.col(f"_r_{n}"))
+    return left.join(renamed, met, "left").drop(*[f"_r_{n}" for n in names])
+
+
+def sent(df: DataFrame, rows: int = SENT_ROWS) -> DataFrame:
+    """A small table written out, marked to be sent to every task if it has at most ``rows`` rows."""
+    kept = cut_lineage(df)
+    return F.broadcast(kept) if kept.count() <= rows else kept
+
+
+def _plus(*parts: Column) -> Column:
+    """Sum of what is there; null when nothing is."""
+    total = F.coalesce(*parts)
+    some = F.lit(0)
+    for p in parts:
+        some = some + F.coalesce(p, F.lit(0))
+    return F.when(total.isNotNull(), some)
 
 
 def latest_per_key(df: DataFrame, keys: list[str], newest_first: list[Column]) -> DataFrame:
@@ -37,113 +86,105 @@ def total_order(df: DataFrame, *first: Column) -> list[Column]:
 
 def transaction_features(
     tx: DataFrame, customer: str = "customer_id", ts: str = "created_timestamp", day: str = "created_date",
-    amount: str = "amount", tie: str = "transaction_id", slot: str = "hour", hot_rows: int = HOT_ROWS,
-    counted: DataFrame | None = None,
+    amount: str = "amount", tie: str = "transaction_id",
 ) -> DataFrame:
     """Running total, recency rank, daily count and daily amount per customer.
 
-    ``running_total`` gives equal timestamps one shared value (RANGE frame). ``day`` is the date of
-    ``ts``. Rows without a customer have no history: they get nulls and are not brought together.
-    Large customers are found on ``counted`` when given, else on ``tx`` itself.
+    ``running_total`` gives equal timestamps one shared value (RANGE frame); rows without a time
+    come first. Days are those of ``day``, whatever ``ts`` says. Rows without a customer have no
+    history: they get nulls.
     """
-    marked = mark_hot(tx, [customer], hot_rows, counted=counted)
-    nobody = F.col(customer).isNull()
-    first = F.lit(FIRST_SLOT).cast("timestamp_ntz")
-    cut = F.coalesce(F.date_trunc(slot, F.col(ts)).cast("timestamp_ntz"), first)
-    rows = marked.withColumn("_slot", F.when(F.col("_hot") | nobody, cut).otherwise(first))
-    history = _slot_history(rows.where("_hot"), customer, amount)
-
-    inside = Window.partitionBy(customer, "_slot")
-    in_day = Window.partitionBy(customer, "_slot", day)
-    # Every frame follows one sort: day, time, tie. Ranks are counted from the oldest and turned round.
-    oldest = F.row_number().over(inside.orderBy(day, ts, tie))
-    upto_now = inside.orderBy(day, ts).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    hot = F.col("_hot")
+    rows = slotted(tx, [customer], [ts, tie])
+    known = rows.where(F.col(customer).isNotNull())
+    offsets = _slot_offsets(known, customer, ts, amount)
+    days = _days_across_slots(known, customer, day, amount)
+
+    inside = Window.partitionBy("_slot", customer)
+    in_day = Window.partitionBy("_slot", customer, day)
+    upto_now = inside.orderBy(ts).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     features = {
-        "running_total": (F.coalesce("_before", F.lit(0)) + F.sum(money(amount)).over(upto_now)).cast("double"),
-        "txn_rank": F.coalesce("_newer", F.lit(0)) + F.count("*").over(inside) - oldest + 1,
-        "daily_txn_count": F.when(hot, F.col("_day_n")).otherwise(F.count("*").over(in_day)),
-        "daily_total_amount": F.when(hot, F.col("_day_s")).otherwise(F.sum(money(amount)).over(in_day)).cast("double"),
+        "_run": F.sum(money(amount)).over(upto_now), "_place": F.row_number().over(inside.orderBy(ts, tie)), "_size": F.count("*").over(inside),
+        "_dn": F.count("*").over(in_day), "_ds": F.sum(money(amount)).over(in_day),
     }
-    return (
-        rows.join(history, [customer, "_slot"], "left")
-        .withColumns({name: F.when(~nobody, value) for name, value in features.items()})
-        .drop("_hot", "_slot", "_before", "_newer", "_day_n", "_day_s")
-    )
-
-
-def _slot_history(rows: DataFrame, customer: str, amount: str) -> DataFrame:
-    """Per customer and slot: amount before it, rows after it, and the totals of its day."""
-    slots = rows.groupBy(customer, "_slot").agg(F.sum(money(amount)).alias("_s"), F.count("*").alias("_n"))
-    by_customer = Window.partitionBy(customer).orderBy("_slot")
-    before = by_customer.rowsBetween(Window.unboundedPreceding, -1)
-    after = by_customer.rowsBetween(1, Window.unboundedFollowing)
-    same_day = Window.partitionBy(customer, F.to_date("_slot"))
-    return slots.select(
-        customer, "_slot", F.sum("_s").over(before).alias("_before"), F.sum("_n").over(after).alias("_newer"),
-        F.sum("_n").over(same_day).alias("_day_n"), F.sum("_s").over(same_day).alias("_day_s"),
-    )
-
-
-def with_previous(
-    df: DataFrame, keys: list[str], order: list[str], n: int, payload: Column, slot: Column, out: str,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+    met = same(same(rows.withColumns(features), F.broadcast(offsets), [customer, "_slot"]), days, [customer, day])
+    more = F.when(F.col(ts).eqNullSafe(F.col("_last.t")), F.col("_more"))
+    values = {
+        "running_total": _plus(F.col("_before"), F.col("_run"), more).cast("double"),
+        "txn_rank": (F.coalesce("_newer", F.lit(0)) + F.col("_size") - F.col("_place") + 1).cast("long"),
+        "daily_txn_count": F.coalesce("_day_n", "_dn"),
+        "daily_total_amount": F.when(F.col("_day_n").isNotNull(), F.col("_day_s")).otherwise(F.col("_ds")).cast("double"),
+    }
+    values = {name: F.when(F.col(customer).isNotNull(), value) for name, value in values.items()}
+    return met.withColumns(values).select(*tx.columns, *values)
+
+
+def _slot_offsets(rows: DataFrame, customer: str, ts: str, amount: str) -> DataFrame:
+    """Per customer and slot: amount before it, rows after it, amount of later slots at its last time."""
+    time = F.struct(F.col(ts).isNotNull().alias("there"), F.col(ts).alias("t"))
+    instants = rows.groupBy("_slot", customer, ts).agg(F.sum(money(amount)).alias("_s"), F.count("*").alias("_n")).withColumn("_t", time)
+    per_slot = instants.groupBy("_slot", customer).agg(
+        F.sum("_s").alias("_s"), F.sum("_n").alias("_n"), F.min("_t").alias("_first"), F.max("_t").alias("_last"), F.min_by("_s", "_t").alias("_at_first"))
+    border = cut_lineage(across_slots(per_slot, [customer]))
+    by_slot = Window.partitionBy(customer).orderBy("_slot")
+    totals = border.select(
+        customer, "_slot", "_last", F.sum("_s").over(by_slot.rowsBetween(*BEFORE)).alias("_before"), F.sum("_n").over(by_slot.rowsBetween(*AFTER)).alias("_newer"))
+    # A time at which one slot ends and later ones begin: what begins there belongs to the rows that end there.
+    begin = border.select(customer, "_slot", F.col("_first").alias("_t"), F.col("_at_first").alias("_a"), F.lit(False).alias("_end"))
+    end = border.select(customer, "_slot", F.col("_last").alias("_t"), F.lit(None).cast("decimal(38,2)").alias("_a"), F.lit(True).alias("_end"))
+    later = Window.partitionBy(customer, "_t").orderBy(F.desc("_slot")).rangeBetween(Window.unboundedPreceding, -1)
+    more = begin.unionByName(end).withColumn("_more", F.sum("_a").over(later)).where("_end").select(customer, "_slot", "_more")
+    return totals.join(more, [customer, "_slot"])
+
+
+def _days_across_slots(rows: DataFrame, customer: str, day: str, amount: str) -> DataFrame:
+    """Totals of the customer days whose rows lie in several slots."""
+    parts = rows.groupBy("_slot", customer, day).agg(F.sum(money(amount)).alias("_s"), F.count("*").alias("_n"))
+    totals = parts.groupBy(customer, day).agg(F.sum("_s").alias("_day_s"), F.sum("_n").alias("_day_n"), F.count("*").alias("_slots"))
+    return sent(totals.where("_slots > 1").drop("_slots"))
+
+
+def with_previous(df: DataFrame, keys: list[str], order: list[str], n: int, payload: Column, out: str) -> DataFrame:
     """Payloads of the ``n`` rows before each row of its key, oldest first, as an array.
 
-    ``slot`` must not decrease along the order; it cuts keys of more than ``hot_rows`` rows. Rows
-    look back inside their slot, and the last ``n`` rows of earlier slots are carried over, which
-    is enough since every slot has at least one row.
+    Rows look back inside their slot; the last ``n`` rows of earlier slots are carried over the
+    border. Rows with a null key are one key.
     """
-    kind = df.select(slot.alias("s")).schema["s"].dataType
-    marked = mark_hot(df, keys, hot_rows)
-    rows = marked.withColumns(
-        {"_slot": F.when(F.col("_hot"), slot).otherwise(F.lit(None).cast(kind)), "_item": F.struct(*order, payload.alias("_payload"))}
-    )
-    newest = [F.desc(c) for c in order]
-    hot = rows.where("_hot").select(*keys, "_slot", *[c for c in order if c not in keys], "_item")
+    rows = slotted(df.withColumn("_item", F.struct(*order, payload.alias("_payload"))), keys, order)
+    counts = rows.groupBy("_slot", *keys).agg(F.count("*").alias("_n"))
+    border = F.broadcast(cut_lineage(across_slots(counts, keys)))
+    near = same(rows.select("_slot", *keys, "_item"), border, ["_slot", *keys]).where("_n is not null").drop("_n")
     tails = (
-        first_per_key(hot, [*keys, "_slot"], newest, n, "_place")
-        .groupBy(*keys, "_slot")
+        first_per_key(near, ["_slot", *keys], [F.desc("_item")], n, "_place")  # n rows per key, slot and task
+        .groupBy("_slot", *keys)
         .agg(F.sort_array(F.collect_list("_item")).alias("_tail"))
     )
-    earlier = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(-n, -1)
+    earlier = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(-n, -1)  # every slot has a row at least
     carried = tails.select(*keys, "_slot", F.flatten(F.collect_list("_tail").over(earlier)).alias("_carried"))
-    inside = Window.partitionBy(*keys, "_slot").orderBy(*order).rowsBetween(-n, -1)
-    both = F.concat(F.coalesce(F.col("_carried"), F.array()), F.collect_list("_item").over(inside))
+    inside = Window.partitionBy("_slot", *keys).orderBy("_item").rowsBetween(-n, -1)
+    looked = same(rows.withColumn("_near", F.collect_list("_item").over(inside)), F.broadcast(carried), ["_slot", *keys])
+    both = F.concat(F.coalesce(F.col("_carried"), F.array()), F.col("_near"))
     last = F.when(F.size(both) <= n, both).otherwise(F.slice(both, -n, n))
-    return (
-        rows.join(carried, [*keys, "_slot"], "left")
-        .withColumn(out, F.transform(last, lambda item: item["_payload"]))
-        .drop("_hot", "_slot", "_item", "_carried")
-    )
+    return looked.withColumn(out, F.transform(last, lambda item: item["_payload"])).select(*df.columns, out)
 
 
-def amount_percentile(
-    df: DataFrame, key: str, amount: str, width: float, out: str = "amount_percentile", hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Share of a key's other rows with a smaller amount (``percent_rank``).
+def amount_percentile(df: DataFrame, key: str, amount: str, out: str = "amount_percentile") -> DataFrame:
+    """Share of a key's other rows with a smaller amount (``percent_rank``; a null amount is the smallest).
 
-    Keys too large for a task are counted per amount and per band of ``width``: a band's amounts
-    never meet another's, and equal amounts are one row.
+    Rows are counted per key and amount, the counts summed up in order and joined back, so a key
+    costs as many rows as it has different amounts and these may fill several slots.
     """
-    marked = mark_hot(df, [key], hot_rows)
-    usual = marked.where("NOT _hot").withColumn(out, F.percent_rank().over(Window.partitionBy(key).orderBy(amount)))
-    large = marked.where("_hot")
-    counts = large.groupBy(key, amount).agg(F.count("*").alias("_n")).withColumn("_band", F.floor(F.col(amount) / width))
-    bands = counts.groupBy(key, "_band").agg(F.sum("_n").alias("_bn"))
-    below = Window.partitionBy(key).orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
-    bands = bands.select(
-        key, F.col("_band"),
-        F.coalesce(F.sum("_bn").over(below), F.lit(0)).alias("_below"),
-        F.sum("_bn").over(Window.partitionBy(key)).alias("_all"),
-    )
-    inside = Window.partitionBy(key, "_band").orderBy(amount).rowsBetween(Window.unboundedPreceding, -1)
-    smaller = F.col("_below") + F.coalesce(F.sum("_n").over(inside), F.lit(0))
-    ranks = counts.join(bands, [key, "_band"]).select(
-        key, amount, F.when(F.col("_all") == 1, F.lit(0.0)).otherwise(smaller / (F.col("_all") - 1)).alias(out)
-    )
-    return usual.unionByName(large.join(ranks, [key, amount], "left")).drop("_hot")
+    counts = slotted(df.groupBy(key, amount).agg(F.count("*").alias("_n")), [key], [amount])
+    per_slot = counts.groupBy("_slot", key).agg(F.sum("_n").alias("_in_slot"))
+    by_slot = Window.partitionBy(key).orderBy("_slot")
+    border = across_slots(per_slot, [key]).select(
+        key, "_slot", F.sum("_in_slot").over(by_slot.rowsBetween(*BEFORE)).alias("_below"), F.sum("_in_slot").over(Window.partitionBy(key)).alias("_every"))
+    inside = Window.partitionBy("_slot", key)
+    placed = counts.withColumns({"_less": F.sum("_n").over(inside.orderBy(amount).rowsBetween(*BEFORE)), "_here": F.sum("_n").over(inside)})
+    met = same(placed, F.broadcast(border), [key, "_slot"])
+    smaller = F.coalesce("_below", F.lit(0)) + F.coalesce("_less", F.lit(0))
+    others = F.coalesce("_every", "_here") - 1
+    ranks = met.select(key, amount, F.when(others == 0, F.lit(0.0)).otherwise(smaller / others).alias(out))
+    return same(df, ranks, [key, amount]).select(*df.columns, out)
 
 
 def trailing_average(daily: DataFrame, keys: list[str], day: str, value: str, days: int = 7) -> DataFrame:

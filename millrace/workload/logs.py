@@ -97,7 +97,7 @@ def repeated_actions(spark, root):
         "event_id", "user_id", "ts", "event_type",
         F.create_map(F.lit("user"), F.col("user_id").cast("string"), F.lit("k"), (F.get_json_object("props", "$.k").cast("int") % 2).cast("string")).alias("params"),
     )
-    flagged = logs.loop_flags(steps, "user_id", ["ts", "event_id"], "event_type", "params", F.to_date("ts"))
+    flagged = logs.loop_flags(steps, "user_id", ["ts", "event_id"], "event_type", "params")
     return flagged.select("event_id", "user_id", "is_loop")
 
 

@@ -379,7 +379,7 @@ def previous_fill_end(spark, root):
     )
     end = F.date_add("fill_date", F.col("days_supply"))
     looked = ordered.with_previous(
-        fills, ["drug"], ["fill_date", "o", "n", "days_supply"], 1, end, F.trunc("fill_date", "month"), "_ends"
+        fills, ["drug"], ["fill_date", "o", "n", "days_supply"], 1, end, "_ends"
     )
     return looked.withColumn("previous_end", F.try_element_at("_ends", F.lit(1))).drop("_ends")
 
@@ -388,7 +388,7 @@ def previous_fill_end(spark, root):
 percent_rank() OVER (PARTITION BY customer_id ORDER BY amount) AS amount_percentile FROM tx""")
 def amount_percentile(spark, root):
     tx = roles.transactions(spark, root).select("transaction_id", "customer_id", "amount")
-    return ordered.amount_percentile(tx, "customer_id", "amount", 1000.0)
+    return ordered.amount_percentile(tx, "customer_id", "amount")
 
 
 @register("W14", sql="""WITH d AS (SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS cnt FROM events GROUP BY ALL),

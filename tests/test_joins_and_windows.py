@@ -73,52 +73,81 @@ def test_latest_keeps_one_row_per_key_before_the_shuffle(spark):
 
 
 def _transactions(spark, n=600, seed=4):
+    """Two fifths of the rows are one customer's, a tenth nobody's; times tie, days differ from times, amounts miss."""
     rnd = random.Random(seed)
     base = dt.datetime(2024, 1, 1)
     rows = []
     for i in range(n):
-        customer = 1 if rnd.random() < 0.4 else rnd.randrange(2, 20)
-        at = base + dt.timedelta(minutes=rnd.choice([0, 15, 30]) + 60 * rnd.randrange(60))
-        rows.append((i, customer, float(rnd.randrange(1, 10000)) / 100, at, at.date()))
+        customer = rnd.choice([1, 1, 1, 1, None, *[rnd.randrange(2, 20)] * 5])
+        at = None if rnd.random() < 0.05 else base + dt.timedelta(minutes=rnd.choice([0, 15, 30]) + 60 * rnd.randrange(60))
+        amount = rnd.choice([None, *[float(rnd.randrange(1, 10000)) / 100] * 9])
+        rows.append((i, customer, amount, at, base.date() + dt.timedelta(days=rnd.randrange(4))))
     return spark.createDataFrame(
         rows, "transaction_id int, customer_id int, amount double, created_timestamp timestamp_ntz, created_date date"
-    )
+    ).repartition(5)
 
 
-@pytest.mark.parametrize("slot,hot_rows", [("hour", 50), ("day", 50), ("hour", 0), ("hour", 10**6)])
-def test_features_equal_plain_windows(spark, slot, hot_rows):
-    tx = _transactions(spark)
+@pytest.fixture(params=[1, 3, 40])
+def slots(spark, request):
+    """Few or many slots: with 40 the large customer fills about sixteen of them."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", str(request.param))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield request.param
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def _plain_features(tx):
     w = Window.partitionBy("customer_id")
-    amount = F.col("amount").cast("decimal(18,2)")
-    plain = tx.select(
-        "transaction_id",
-        F.sum(amount).over(w.orderBy("created_timestamp")).cast("double").alias("running_total"),
-        F.row_number().over(w.orderBy(F.desc("created_timestamp"), F.desc("transaction_id"))).alias("txn_rank"),
-        F.count("*").over(Window.partitionBy("customer_id", "created_date")).alias("daily_txn_count"),
-        F.sum(amount).over(Window.partitionBy("customer_id", "created_date")).cast("double").alias("daily_total_amount"),
-    )
-    assert _rows(ordered.transaction_features(tx, slot=slot, hot_rows=hot_rows).select(plain.columns)) == _rows(plain)
+    amount, known = F.col("amount").cast("decimal(18,2)"), F.col("customer_id").isNotNull()
+    day = Window.partitionBy("customer_id", "created_date")
+    return tx.select("transaction_id", *[F.when(known, c).alias(n) for n, c in {
+        "running_total": F.sum(amount).over(w.orderBy("created_timestamp")).cast("double"),
+        "txn_rank": F.row_number().over(w.orderBy(F.desc("created_timestamp"), F.desc("transaction_id"))).cast("long"),
+        "daily_txn_count": F.count("*").over(day), "daily_total_amount": F.sum(amount).over(day).cast("double")}.items()])
+
+
+def test_features_equal_plain_windows(spark, slots):
+    tx = _transactions(spark)
+    plain = _plain_features(tx)
+    assert _rows(ordered.transaction_features(tx).select(plain.columns)) == _rows(plain)
+
+
+def test_features_of_one_instant(spark, slots):
+    """A third of all rows are one customer's at one time, so the time itself reaches over slots."""
+    at = dt.datetime(2024, 1, 1, 5)
+    rows = [(i, 1, float(i), at, at.date()) for i in range(100)] + [(i, i, 1.0, at, at.date()) for i in range(100, 250)] + [
+        (i, 1, 2.0, at + dt.timedelta(hours=i), at.date()) for i in range(250, 300)]
+    tx = spark.createDataFrame(rows, "transaction_id int, customer_id int, amount double, created_timestamp timestamp_ntz, created_date date").repartition(4)
+    plain = _plain_features(tx)
+    assert _rows(ordered.transaction_features(tx).select(plain.columns)) == _rows(plain)
+
+
+def test_slots_follow_the_rows(spark, slots):
+    at = dt.datetime(2024, 1, 1)
+    one_key = spark.range(9000).select(F.lit(1).alias("k"), F.lit(at).alias("t"), F.col("id"))
+    rest = spark.range(9000, 18000).select(F.col("id").cast("int").alias("k"), F.lit(at).alias("t"), "id")
+    sizes = [r["count"] for r in ordered.slotted(one_key.unionByName(rest).repartition(6), ["k"], ["t", "id"]).groupBy("_slot").count().collect()]
+    assert sum(sizes) == 18000 and max(sizes) <= 2 * 18000 / slots + 100
 
 
 @pytest.mark.parametrize("n", [1, 3, 6])
-@pytest.mark.parametrize("slot,hot_rows", [("hour", 50), ("month", 50), ("hour", 0), ("hour", 10**6)])
-def test_previous_rows_equal_a_plain_frame(spark, n, slot, hot_rows):
+def test_previous_rows_equal_a_plain_frame(spark, n, slots):
     tx = _transactions(spark)
     order = ["created_timestamp", "transaction_id"]
     frame = Window.partitionBy("customer_id").orderBy(*order).rowsBetween(-n, -1)
-    plain = tx.select("transaction_id", F.collect_list("amount").over(frame).alias("before"))
-    looked = ordered.with_previous(
-        tx, ["customer_id"], order, n, F.col("amount"), F.date_trunc(slot, "created_timestamp"), "before", hot_rows
-    )
+    line = F.coalesce(F.col("amount"), F.lit(-1.0))
+    plain = tx.select("transaction_id", F.collect_list(line).over(frame).alias("before"))
+    looked = ordered.with_previous(tx, ["customer_id"], order, n, line, "before")
+    assert looked.columns == [*tx.columns, "before"]
     assert _rows(looked.select("transaction_id", "before")) == _rows(plain)
 
 
-@pytest.mark.parametrize("hot_rows", [0, 50, 10**6])
-def test_percentile_equals_percent_rank(spark, hot_rows):
-    tx = _transactions(spark).withColumn("amount", F.round("amount", 0))
+def test_percentile_equals_percent_rank(spark, slots):
+    tx = _transactions(spark).withColumn("amount", F.when(F.col("transaction_id") % 40 == 0, float("nan")).otherwise(F.round("amount", 0)))
     plain = tx.select("transaction_id", F.percent_rank().over(Window.partitionBy("customer_id").orderBy("amount")).alias("p"))
-    banded = ordered.amount_percentile(tx, "customer_id", "amount", 7.0, "p", hot_rows).select("transaction_id", "p")
-    assert _rows(banded) == _rows(plain)
+    assert _rows(ordered.amount_percentile(tx, "customer_id", "amount", "p").select("transaction_id", "p")) == _rows(plain)
 
 
 def test_rows_without_customer_or_time(spark):
@@ -127,12 +156,11 @@ def test_rows_without_customer_or_time(spark):
     tx = spark.createDataFrame(
         rows, "transaction_id int, customer_id int, amount double, created_timestamp timestamp_ntz, created_date date"
     )
-    for hot_rows in (0, 100):
-        found = {
-            r.transaction_id: (r.running_total, r.txn_rank, r.daily_txn_count, r.daily_total_amount)
-            for r in ordered.transaction_features(tx, hot_rows=hot_rows).collect()
-        }
-        assert found == {1: (None,) * 4, 2: (2.0, 3, 1, 2.0), 3: (9.0, 2, 2, 7.0), 4: (9.0, 1, 2, 7.0)}
+    found = {
+        r.transaction_id: (r.running_total, r.txn_rank, r.daily_txn_count, r.daily_total_amount)
+        for r in ordered.transaction_features(tx).collect()
+    }
+    assert found == {1: (None,) * 4, 2: (2.0, 3, 1, 2.0), 3: (9.0, 2, 2, 7.0), 4: (9.0, 1, 2, 7.0)}
 
 
 def _walk(rows, ttl):
