@@ -162,7 +162,7 @@ def seed_codebooks(vectors: DataFrame, parts: int, entries: int, pivots: int) ->
     width = len(first[0]["v"])
     if any(len(r["v"]) != width for r in first):
         first = vectors.where(F.size("v") == width).orderBy(*in_order).limit(entries).collect()
-    start = np.array([r["v"] for r in first], np.int64).reshape(-1, width)
+    start = np.array([r["v"] for r in first], np.int64).reshape(len(first), width)
     borders = cuts(width, parts)
     books = [start[:, a:b] for a, b in zip(borders, borders[1:])]
     return Codebooks(books, [choose_pivots(b, pivots) for b in books])
