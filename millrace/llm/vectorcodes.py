@@ -182,18 +182,15 @@ def _refined(rows: DataFrame, books: Codebooks) -> Codebooks:
                 counts[part] += np.bincount(index, minlength=len(counts[part]))
         for part, (total, count) in enumerate(zip(totals, counts)):
             used = np.flatnonzero(count)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(used), part, np.int32)), pa.array(used.astype(np.int32)), pa.array(count[used]), _lists(total[used])],
-                names=["part", "entry", "n", "total"])
-
-    found = rows.select("v", "known").mapInArrow(sums, "part int, entry int, n long, total array<long>")
-    count = found.groupBy("part", "entry").agg(F.sum("n").alias("n"))
-    cells = found.select("part", "entry", F.posexplode("total").alias("i", "x")).groupBy("part", "entry", "i").agg(F.sum("x").alias("x"))
-    sums_ = cells.groupBy("part", "entry").agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("total"))
+            both = np.concatenate([total[used], count[used, None]], axis=1)  # the count is the last number
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(used), part, np.int32)), pa.array(used.astype(np.int32)), _lists(both)], names=["part", "entry", "sums"])
+
+    found = rows.select("v", "known").mapInArrow(sums, "part int, entry int, sums array<long>")
+    cells = found.select("part", "entry", F.posexplode("sums").alias("i", "x")).groupBy("part", "entry", "i").agg(F.sum("x").alias("x"))
     fresh = [e.copy() for e in books.entries]
-    for r in sums_.join(count, ["part", "entry"], "right").collect():
-        if r["total"] is not None:
-            fresh[r["part"]][r["entry"]] = [c["x"] // r["n"] for c in r["total"]]
+    for r in cells.groupBy("part", "entry").agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("sums")).collect():
+        *total, n = [c["x"] for c in r["sums"]]
+        fresh[r["part"]][r["entry"]] = [x // n for x in total]
     return Codebooks(fresh, books.pivots)
 
 
