@@ -39,6 +39,11 @@ def look_back(column: Column | str, as_of: str, days: int) -> Column:
     return c.cast("date").between(F.date_sub(end, days), end)
 
 
+def typed(value, kind: str) -> Column:
+    """A collected value as a literal of its column's type; a time without a zone is not moved to one."""
+    return F.lit(str(value)).cast(kind) if kind == "timestamp_ntz" and value is not None else F.lit(value).cast(kind)
+
+
 def after_mark(df: DataFrame, column: str, mark) -> DataFrame:
     """Rows newer than a stored high-water mark; all rows when there is none yet."""
-    return df if mark is None else df.where(F.col(column) > F.lit(mark))
+    return df if mark is None else df.where(F.col(column) > typed(mark, dict(df.dtypes)[column]))

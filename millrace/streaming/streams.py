@@ -1,22 +1,26 @@
 """Structured Streaming jobs: ingest, windows, late rows and refreshed summaries.
 
 Batch writers put every micro-batch under its own ``batch=<id>`` folder and overwrite it, so a
-replayed batch after a failure leaves no second copy.
+replayed batch after a failure leaves no second copy. Summaries are merged into the partitions they
+touch, and marks live in a table of one row, so neither grows with the number of batches.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.types import StructType
 
-from millrace.operators.ordered import first_per_key
 from millrace.operators.validate import (
     RowRules, TRANSACTION_RULES, dead_letters, enrich, message_columns, valid_rows, validated_messages,
 )
 from millrace.sources.sinks import MissingTable
+from millrace.sources.tables import after_mark, typed
+from millrace.streaming.state import TurnTable, merge_partitions
 
 Route = Callable[[DataFrame], tuple[DataFrame, DataFrame]]
 
@@ -89,12 +93,12 @@ def ingest_stream(
     """Parse, validate, drop repeats, enrich, append; refused messages go to dead letters.
 
     ``messages`` has ``raw``, a unique ``position`` and the time it ``arrived``. Valid messages are
-    deduplicated by their key; refused ones are all kept, told apart by their position.
+    deduplicated by their key; refused ones are all kept and take no room in the state.
     """
     checked = validated_messages(messages, rules)
-    own = F.try_variant_get("record", f"$.{key}", "string")
-    keyed = checked.withColumn("_key", F.when(F.size("errors") == 0, own).otherwise(F.concat(F.lit("\u0000"), F.col("position"))))
-    unique = deduplicated(keyed, ["_key"], "arrived", delay).drop("_key")
+    keyed = checked.where(F.size("errors") == 0).withColumn("_key", F.try_variant_get("record", f"$.{key}", "string"))
+    refused_rows = checked.where(F.size("errors") > 0).withColumn("arrived", F.col("arrived").cast("timestamp"))
+    unique = deduplicated(keyed, ["_key"], "arrived", delay).drop("_key").unionByName(refused_rows)
 
     def route(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
         loaded = enrich(message_columns(valid_rows(batch)), as_of, source)
@@ -122,18 +126,32 @@ def windowed(
     )
 
 
-def summary_stream(totals: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Changed groups of a running aggregate, one folder per refresh; read with ``newest_totals``."""
+def append_batches(rows: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Final rows of a stream, one folder per batch."""
 
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(batch_folder(path, number))
 
-    return write_batches(totals, checkpoint, write, mode="update", trigger=trigger)
+    return write_batches(rows, checkpoint, write, trigger=trigger)
+
+
+def summary_stream(
+    totals: DataFrame, path: str, checkpoint: str, keys: list[str], partition: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Keep a summary table up to date with the changed groups of a running aggregate.
 
+    The table is partitioned by ``partition`` (one of the groups' ``keys``, such as the day); a batch
+    rewrites the partitions it touches and nothing else.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.persist()
+        try:
+            merge_partitions(batch.sparkSession, batch, path, keys, partition, number)
+        finally:
+            batch.unpersist()
 
-def newest_totals(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """The last written state of every group."""
-    return first_per_key(spark.read.parquet(path), keys, [F.desc("batch")], 1, "_place").drop("_place", "batch")
+    return write_batches(totals, checkpoint, write, mode="update", trigger=trigger)
 
 
 def split_late(
@@ -142,58 +160,125 @@ def split_late(
 ) -> StreamingQuery:
     """Rows older than the newest time of earlier batches minus ``lateness`` go to a side table.
 
-    The newest time of each batch is kept in a small table of its own, so a replay sees the same mark.
+    The newest time is one row, written with the batch that reached it; a replay reads the mark of
+    the batch before, so it splits the same way again.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
+        state = TurnTable(batch.sparkSession, marks)
         batch.persist()
         try:
-            mark = None
-            if number > 0:
-                earlier = spark.read.parquet(marks).where(F.col("batch") < number)
-                mark = earlier.agg(F.max("newest")).first()[0]
-            limit = F.lit(mark).cast("timestamp_ntz") - F.expr(f"INTERVAL {lateness}")
+            earlier = state.read(before=number)
+            mark = earlier.first()["newest"] if earlier is not None else None
+            limit = typed(mark, "timestamp_ntz") - F.expr(f"INTERVAL {lateness}")
             is_late = F.coalesce(F.col(ts) < limit, F.lit(False))
             batch.where(~is_late).write.mode("overwrite").parquet(batch_folder(on_time, number))
             batch.where(is_late).write.mode("overwrite").parquet(batch_folder(late, number))
-            batch.agg(F.max(ts).alias("newest")).write.mode("overwrite").parquet(batch_folder(marks, number))
+            newest = F.greatest(F.max(ts), typed(mark, "timestamp_ntz"))
+            state.write(batch.agg(newest.cast("timestamp_ntz").alias("newest")), number)
         finally:
             batch.unpersist()
 
     return write_batches(stream, checkpoint, write, trigger=trigger)
 
 
-def reuse_stream(questions: DataFrame, ts: str, row_id: str, ttl_seconds: int) -> DataFrame:
+def load_new(
+    rows: DataFrame, column: str, path: str, marks: str, prepare: Callable[[DataFrame], DataFrame] | None = None
+) -> int:
+    """Append the rows above the stored high-water mark of ``column`` and move the mark; returns the load's number.
+
+    A load writes its own folder and then the mark with its number. After a crash between the two the
+    next load has the same number and the same mark, so it writes that folder anew: nothing is lost or
+    doubled. The mark is taken from what was written, not from the source, which may have grown.
+    Rows without a value in ``column`` are not loaded.
+    """
+    spark = rows.sparkSession
+    state = TurnTable(spark, marks)
+    stored = state.read()
+    last = stored.first() if stored is not None else None
+    number = 0 if last is None else last["load"] + 1
+    fresh = after_mark(rows.where(F.col(column).isNotNull()), column, None if last is None else last["mark"])
+    folder = batch_folder(path, number)
+    (fresh if prepare is None else prepare(fresh)).write.mode("overwrite").parquet(folder)
+    top = spark.read.schema(rows.select(column).schema).parquet(folder).agg(F.max(column).alias("mark"))
+    if last is not None:
+        top = top.select(F.coalesce("mark", typed(last["mark"], dict(rows.dtypes)[column])).alias("mark"))
+    state.write(top.withColumn("load", F.lit(number).cast("long")), number)
+    return number
+
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+HELD_ROWS = 1_000_000  # times and ids of one question that a task holds at once, 16 bytes each
+
+
+def walk_times(times: np.ndarray, stored: int | None, ttl: int) -> tuple[np.ndarray, int]:
+    """Hits of ascending ``times``, and the stored time after them; every stored time is one step."""
+    hits = np.ones(len(times), bool)
+    at = 0
+    while at < len(times):
+        if stored is None or times[at] - stored >= ttl:
+            hits[at], stored = False, int(times[at])
+        at = max(at + 1, int(np.searchsorted(times, stored + ttl)))
+    return hits, stored
+
+
+class ReuseProcessor(StatefulProcessor):
+    """One stored time per question; a timer drops it once its time to live has passed."""
+
+    def __init__(self, ttl: int, held_rows: int):
+        self.ttl, self.held_rows = ttl, held_rows
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.stored = handle.getValueState("stored", "at long")
+
+    def _expiry(self, stored: int) -> int:
+        return (stored + self.ttl) // 1000 + 1
+
+    def handleInputRows(self, key, rows, timerValues):
+        held, n = [], 0
+        for batch in rows:
+            held.append((batch["at"].to_numpy(np.int64), batch["row_id"].to_numpy(np.int64)))
+            n += len(batch)
+            if n >= self.held_rows:
+                yield self._walk(key, held, timerValues)
+                held, n = [], 0
+        if n:
+            yield self._walk(key, held, timerValues)
+
+    def _walk(self, key, held, timerValues) -> pd.DataFrame:
+        times, ids = (np.concatenate(parts) for parts in zip(*held))
+        order = np.lexsort((ids, times))
+        before = self.stored.get()[0] if self.stored.exists() else None
+        hits, now = walk_times(times[order], before, self.ttl)
+        if now != before:
+            if before is not None:
+                self.handle.deleteTimer(self._expiry(before))
+            self.stored.update((now,))
+            self.handle.registerTimer(max(self._expiry(now), timerValues.getCurrentWatermarkInMs() + 1))
+        return pd.DataFrame({"key": key[0], "row_id": ids[order], "hit": hits})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.stored.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+def reuse_stream(
+    questions: DataFrame, ts: str, row_id: str, ttl_seconds: int, lateness: str = "1 hour", held_rows: int = HELD_ROWS
+) -> DataFrame:
     """Hit or miss per question of a stream with a ``key``; the state is one stored time per key.
 
-    A key's rows of one micro-batch are walked together, so the trigger's input limit bounds them.
-    State older than the time to live is dropped by an event-time timeout.
+    The rows of one question in a micro-batch arrive as Arrow batches; their times are walked in
+    order, ``held_rows`` at a time, so a question asked without end needs no more memory. One that is
+    older than the stored answer finds it. The state is dropped by an event-time timer when the
+    answer's time to live has passed by ``lateness``.
     """
-    import pandas as pd
-    from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-    ttl = ttl_seconds * 1_000_000
-
-    def walk(key: tuple, batches, state: GroupState):
-        if state.hasTimedOut:
-            state.remove()
-            yield pd.DataFrame({"key": [], "row_id": [], "hit": []})
-            return
-        rows = pd.concat(list(batches)).sort_values(["at", "row_id"])
-        stored = state.get[0] if state.exists else None
-        hits = []
-        for at in rows["at"]:
-            hit = stored is not None and at - stored < ttl
-            if not hit:
-                stored = int(at)
-            hits.append(hit)
-        state.update((stored,))
-        state.setTimeoutTimestamp(max((stored + ttl) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({"key": key[0], "row_id": rows["row_id"].to_numpy(), "hit": hits})
-
-    timed = questions.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, "1 hour")
-    rows = timed.select("key", F.col(row_id).alias("row_id"), F.unix_micros(ts).alias("at"), ts)
-    return rows.groupBy("key").applyInPandasWithState(
-        walk, "key string, row_id bigint, hit boolean", "stored bigint", "append", GroupStateTimeout.EventTimeTimeout
-    )
+    # Timers and several state variables need this store; the choice is kept with the checkpoint.
+    questions.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    timed = questions.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, lateness)
+    rows = timed.select("key", F.col(row_id).cast("long").alias("row_id"), F.unix_micros(ts).alias("at"), ts)
+    return rows.groupBy("key").transformWithStateInPandas(
+        ReuseProcessor(ttl_seconds * 1_000_000, held_rows), "key string, row_id bigint, hit boolean", "append", "EventTime")

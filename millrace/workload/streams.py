@@ -49,6 +49,13 @@ def _run_ingest(spark, root):
     return good, refused
 
 
+def _summary(spark, totals, name, keys):
+    """A summary table partitioned by day, kept by a stream and read back."""
+    path = scratch_path(spark, name)
+    _finish(streams.summary_stream(totals, path, scratch_path(spark, f"{name}-state"), ["day", *keys], "day"))
+    return spark.read.schema(totals.schema).parquet(path)
+
+
 @register("X1 X2 S1", sql=MESSAGES_SQL + f"""
 SELECT json_extract_string(j, '$.transaction_id') AS transaction_id, json_extract_string(j, '$.customer_id') AS customer_id, typ AS transaction_type, CAST(amt AS DOUBLE) AS amount,
   'pubsub_streaming' AS _source, coalesce(substring(json_extract_string(j, '$.created_timestamp'), 1, 10), '{roles.EVENT_DAY}') AS created_date, CAST(amt AS DOUBLE) > 1000000 AS high_value_flag
@@ -74,7 +81,7 @@ def streamed_distinct_lines(spark, root):
     stream = streams.file_stream(spark, f"{root}/lineite[m].parquet", lines.schema).withColumn("arrived", F.lit("2024-01-01").cast("timestamp"))
     unique = streams.deduplicated(stream, ["l_orderkey", "l_linenumber"], "arrived").select("l_orderkey", "l_linenumber")
     path = scratch_path(spark, "distinct-lines")
-    _finish(streams.summary_stream(unique, path, scratch_path(spark, "distinct-state")))
+    _finish(streams.append_batches(unique, path, scratch_path(spark, "distinct-state")))
     return spark.read.parquet(path).select("l_orderkey", "l_linenumber")
 
 
@@ -84,9 +91,7 @@ def five_minute_windows(spark, root):
     totals = streams.windowed(
         _events_stream(spark, root), "ts", ["event_type"], {"n": F.count("*"), "total": F.sum(money("value")).cast("double")}
     )
-    path = scratch_path(spark, "windows")
-    _finish(streams.summary_stream(totals, path, scratch_path(spark, "windows-state")))
-    return streams.newest_totals(spark, path, ["window_start", "event_type"])
+    return _summary(spark, totals.withColumn("day", F.to_date("window_start")), "windows", ["window_start", "event_type"]).drop("day")
 
 
 def _late(spark, root):
@@ -119,9 +124,7 @@ def sales_velocity(spark, root):
     sold, _ = retail.till_sales(_stream(spark, till_events(spark, root), "till-velocity"), NOW)
     keyed = sold.withColumns({"product_code": F.coalesce("product_code", "barcode"), "sold_at": F.col("timestamp").cast("timestamp")})
     totals = streams.windowed(keyed, "sold_at", ["store_id", "product_code"], {"items": F.count("*"), "units": F.sum("quantity")})
-    path = scratch_path(spark, "velocity")
-    _finish(streams.summary_stream(totals, path, scratch_path(spark, "velocity-state")))
-    return streams.newest_totals(spark, path, ["window_start", "store_id", "product_code"])
+    return _summary(spark, totals.withColumn("day", F.to_date("window_start")), "velocity", ["window_start", "store_id", "product_code"]).drop("day")
 
 
 @register("X7", sql=HL7_SQL + "SELECT * EXCLUDE (raw) FROM hg WHERE patient_hash IS NOT NULL UNION ALL SELECT * FROM fg")
@@ -140,6 +143,16 @@ def resumed_stream(spark, root):
     return both.groupBy("event_type").agg(F.count("*").alias("n"))
 
 
+@register("X8", sql="""WITH m AS (SELECT max(ts) AS mark FROM events WHERE ts < TIMESTAMP '2024-01-16')
+SELECT event_type, CAST(CASE WHEN ts <= mark THEN 0 ELSE 1 END AS INTEGER) AS load, count(*) AS n FROM events, m GROUP BY ALL""")
+def incremental_loads(spark, root):
+    """Two loads above a stored mark, the second after the source has grown."""
+    events, path, marks = roles.events(spark, root), scratch_path(spark, "loaded"), scratch_path(spark, "load-marks")
+    for there in (events.where("ts < TIMESTAMP_NTZ '2024-01-16 00:00:00'"), events):
+        streams.load_new(there, "ts", path, marks)
+    return spark.read.parquet(path).groupBy("event_type", F.col("batch").cast("int").alias("load")).agg(F.count("*").alias("n"))
+
+
 @register("X9 A16", sql="SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS transactions, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue FROM events GROUP BY 1, 2")
 def refreshed_summary(spark, root):
     """Daily totals kept current by a stream that is fed in two loads."""
@@ -151,8 +164,8 @@ def refreshed_summary(spark, root):
         totals = stream.groupBy("day", "event_type").agg(
             F.count("*").alias("transactions"), F.sum(money("value")).cast("double").alias("total_revenue")
         )
-        _finish(streams.summary_stream(totals, path, state))
-    return streams.newest_totals(spark, path, ["day", "event_type"])
+        _finish(streams.summary_stream(totals, path, state, ["day", "event_type"], "day"))
+    return spark.read.schema(totals.schema).parquet(path)
 
 
 @register("S4")

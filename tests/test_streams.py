@@ -1,11 +1,14 @@
 import datetime as dt
+import glob
 import json
+import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.sources.sinks import MissingTable
-from millrace.streaming import streams
+from millrace.streaming import state, streams
 from millrace.workspace import scratch_path
 
 
@@ -55,7 +58,161 @@ def test_windows_equal_the_batch_result(spark, sf_dir):
     events.repartitionByRange(3, "ts").write.parquet(source)
     stream = streams.file_stream(spark, source, events.schema, files_per_trigger=1)
     totals = streams.windowed(stream, "ts", [], {"n": F.count("*")}, window="1 hour", lateness="40 days")
-    streams.summary_stream(totals, path, scratch_path(spark, "state")).awaitTermination()
-    got = {(r.window_start, r.n) for r in streams.newest_totals(spark, path, ["window_start"]).collect()}
+    totals = totals.withColumn("day", F.to_date("window_start"))
+    streams.summary_stream(totals, path, scratch_path(spark, "state"), ["day", "window_start"], "day").awaitTermination()
+    got = {(r.window_start, r.n) for r in spark.read.parquet(path).collect()}
     batch = events.groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("h")).agg(F.count("*").alias("n"))
     assert got == {(r.h, r.n) for r in batch.collect()}
+
+
+def _rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def _files(path):
+    return len(glob.glob(f"{path}*/**/*.parquet", recursive=True))
+
+
+class Crash(Exception):
+    pass
+
+
+def test_refused_messages_take_no_room_in_the_state(spark):
+    source, good, refused, check = (scratch_path(spark, n) for n in ("src", "good", "bad", "state"))
+    noon = dt.datetime(2024, 1, 1, 12)
+    schema = _load(spark, source, [(_message(i), str(i), noon) for i in range(5)] + [(b"junk", f"j{i}", noon) for i in range(50)])
+    query = streams.ingest_stream(streams.file_stream(spark, source, schema), good, refused, check, "2024-01-01 12:00:00")
+    query.awaitTermination()
+    kept = max(p["stateOperators"][0]["numRowsTotal"] for p in map(json.loads, (q.json for q in query.recentProgress)) if p["stateOperators"])
+    assert kept == 5 and spark.read.json(refused).count() == 50
+
+
+def test_turns_survive_a_crash(spark):
+    table = state.TurnTable(spark, scratch_path(spark, "turns"))
+    assert table.read() is None
+    for batch in range(5):
+        table.write(spark.range(batch, batch + 1), batch)
+        assert table.newest()[0] == batch and [r.id for r in table.read().collect()] == [batch]
+        assert table.newest(before=batch) == (None if batch == 0 else (batch - 1, 1 - table.newest()[1]))
+    before = table.newest()[1]
+    spark.range(77).write.mode("overwrite").parquet(f"{table.path}/turn{1 - before}/rows")  # rows of a batch that never finished
+    assert [r.id for r in table.read().collect()] == [4]
+    table.write(spark.range(9, 10), 5)
+    table.write(spark.range(8, 9), 5)  # replayed
+    assert [r.id for r in table.read().collect()] == [8] and [r.id for r in table.read(before=5).collect()] == [4]
+
+
+def test_summary_is_merged_by_partition(spark):
+    path = scratch_path(spark, "summary")
+    schema = "day date, k string, n long"
+    d = [dt.date(2024, 1, i) for i in (1, 2, 3)]
+    want, files = {}, []
+    for batch, rows in enumerate([[(d[0], "a", 1), (d[0], None, 2), (None, "a", 5)], [(d[0], "a", 3), (d[1], "a", 1)], [(d[1], "b", 7), (None, "a", 6)], [(d[2], "c", 1)]]):
+        changes = spark.createDataFrame(rows, schema)
+        for _ in range(2):  # the second time is a replay
+            state.merge_partitions(spark, changes, path, ["day", "k"], "day", batch)
+        want |= {(x, k): n for x, k, n in rows}
+        assert _rows(spark.read.schema(schema).parquet(path).select("day", "k", "n")) == sorted([(x, k, n) for (x, k), n in want.items()], key=repr)
+    untouched = glob.glob(f"{path}/day=2024-01-01/*.parquet")
+    for batch in range(4, 9):
+        state.merge_partitions(spark, spark.createDataFrame([(d[2], "c", batch)], schema), path, ["day", "k"], "day", batch)
+        files.append(_files(path))
+    assert len(set(files)) == 1 and glob.glob(f"{path}/day=2024-01-01/*.parquet") == untouched
+
+
+def test_summary_replay_after_a_crash_between_staging_and_table(spark, monkeypatch):
+    path, schema = scratch_path(spark, "summary"), "day date, k string, n long"
+    day = dt.date(2024, 1, 1)
+    state.merge_partitions(spark, spark.createDataFrame([(day, "a", 1), (day, "b", 2)], schema), path, ["day", "k"], "day", 0)
+    changes = spark.createDataFrame([(day, "a", 9)], schema)
+    with monkeypatch.context() as m:
+        def crash(self, before=None):
+            raise Crash
+        m.setattr(state.TurnTable, "read", crash)
+        with pytest.raises(Crash):
+            state.merge_partitions(spark, changes, path, ["day", "k"], "day", 1)
+    for old in glob.glob(f"{path}/day=*/*.parquet"):  # the crash came while the old partition was being replaced
+        open(old, "wb").close()
+    state.merge_partitions(spark, changes, path, ["day", "k"], "day", 1)
+    assert _rows(spark.read.schema(schema).parquet(path).select("day", "k", "n")) == [(day, "a", 9), (day, "b", 2)]
+
+
+def test_loads_above_a_stored_mark(spark, monkeypatch):
+    path, marks = scratch_path(spark, "loaded"), scratch_path(spark, "marks")
+    at = dt.datetime(2024, 1, 1)
+    rows = [(i, at + dt.timedelta(minutes=i // 2)) for i in range(40)] + [(99, None)]
+    df = spark.createDataFrame(rows, "id int, ts timestamp_ntz")
+    assert streams.load_new(df.where("id < 10"), "ts", path, marks) == 0
+    with monkeypatch.context() as m:
+        def crash(self, df, batch):
+            raise Crash
+        m.setattr(state.TurnTable, "write", crash)  # rows written, mark not
+        with pytest.raises(Crash):
+            streams.load_new(df.where("id < 20"), "ts", path, marks)
+    assert streams.load_new(df.where("id < 30"), "ts", path, marks) == 1
+    assert streams.load_new(df.where("id < 30"), "ts", path, marks) == 2  # nothing new, the mark stays
+    assert streams.load_new(df, "ts", path, marks) == 3
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(40))
+    assert _files(marks) <= 4
+
+
+def test_late_mark_is_one_row_and_replays_agree(spark):
+    source, on_time, late, marks, check = (scratch_path(spark, n) for n in ("src", "ok", "late", "marks", "state"))
+    at = dt.datetime(2024, 1, 1, 12)
+    schema = "id int, ts timestamp_ntz"
+    for load in ([(1, 0), (2, -300)], [(3, -61), (4, -59), (5, 10)], [(6, -51), (7, -49)]):
+        spark.createDataFrame([(i, at + dt.timedelta(minutes=m)) for i, m in load], schema).coalesce(1).write.mode("append").parquet(source)
+        stream = streams.file_stream(spark, source, spark.read.parquet(source).schema)
+        streams.split_late(stream, "ts", on_time, late, marks, check).awaitTermination()
+    assert sorted(r.id for r in spark.read.parquet(late).collect()) == [3, 6]
+    assert sorted(r.id for r in spark.read.parquet(on_time).collect()) == [1, 2, 4, 5, 7]
+    assert state.TurnTable(spark, marks).read().count() == 1 and _files(marks) == 4
+
+
+def _brute_hits(rows, ttl):
+    stored, hits = {}, {}
+    for at, i, key in sorted((a, i, k) for i, k, a in rows):
+        hit = key in stored and at - stored[key] < ttl
+        if not hit:
+            stored[key] = at
+        hits[i] = hit
+    return hits
+
+
+@pytest.mark.parametrize("ttl", [1, 7, 100])
+def test_walk_of_times(ttl):
+    r = np.random.default_rng(ttl)
+    times = np.sort(r.integers(0, 2000, 500))
+    for stored in (None, -50, 30, 10_000):
+        hits, now = streams.walk_times(times, stored, ttl)
+        last, want = stored, []
+        for at in times:
+            want.append(last is not None and at - last < ttl)
+            last = last if want[-1] else int(at)
+        assert hits.tolist() == want and now == last
+
+
+def _questions(spark, path, rows):
+    base = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(i, k, base + dt.timedelta(seconds=a)) for i, k, a in rows], "id long, key string, ts timestamp")
+    df.coalesce(1).write.mode("append").parquet(path)
+    return df.schema
+
+
+@pytest.mark.parametrize("held", [1_000_000, 50])
+def test_reuse_stream_resumes_replays_and_expires(spark, held):
+    source, out, check = (scratch_path(spark, n) for n in ("questions", "hits", "state"))
+    r = random.Random(held)
+    rows = sorted(((r.choice(["hot"] * 8 + ["a", "b", "once"]), r.randrange(6000)) for _ in range(900)), key=lambda x: x[1])
+    rows = [(i, k, a) for i, (k, a) in enumerate(rows)]
+    loads = [rows[:300], rows[300:600], rows[600:], [(900, "far", 500_000)], [(901, "far", 500_001), (902, "new", 500_002)]]
+    left = []
+    for load in loads:
+        schema = _questions(spark, source, load)
+        labels = streams.reuse_stream(streams.file_stream(spark, source, schema), "ts", "id", 300, held_rows=held)
+        streams.append_batches(labels, out, check).awaitTermination()
+        left.append({row["key"]["key"] for row in spark.read.format("statestore").option("stateVarName", "stored").load(check).select("key").collect()})
+    got = {x.row_id: x.hit for x in spark.read.parquet(out).collect()}
+    if held > 900:
+        assert got == _brute_hits([x for load in loads for x in load], 300)
+    assert len(got) == 903 and left[0] >= {"hot", "a", "b"} and left[-1] == {"far", "new"}
