@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -86,29 +85,26 @@ def lineage_reach(
 ) -> DataFrame:
     """Everything reachable from each root with its smallest depth: ``(root, node, depth)``.
 
-    One join per level; nodes already reached are not expanded again, so cycles end. Each level is
-    written out before the next, and the walk stops at the first empty one.
+    Links are doubled: round k joins the links of up to 2^k steps with themselves and appends them to
+    what each root reaches, so a chain of n steps takes about log2(n) rounds. Only the shortest link
+    of two nodes is kept, so cycles end. A round in which no root gains a node or a shorter way is
+    the last. Links from or to null are left out, and a root is not its own successor.
     """
-    links = edges.select(F.col(source).alias("_from"), F.col(target).alias("_to")).distinct()
-    frontier = roots.select(F.col(roots.columns[0]).alias("root")).distinct().withColumn("node", F.col("root"))
-    reached = None
-    for depth in itertools.count(1):
-        step = (
-            frontier.join(links, F.col("node") == F.col("_from"))
-            .select("root", F.col("_to").alias("node")).distinct()
-            .where(F.col("node") != F.col("root"))
-        )
-        if reached is not None:
-            step = step.join(reached.select("root", "node"), ["root", "node"], "left_anti")
-        step = cut_lineage(step)
-        if step.isEmpty():
-            break
-        found = step.withColumn("depth", F.lit(depth))
-        reached = found if reached is None else reached.unionByName(found)
-        frontier = step
-    if reached is None:
-        return frontier.withColumn("depth", F.lit(0)).where(F.lit(False))
-    return reached
+    ends = F.col("_from").isNotNull() & F.col("_to").isNotNull() & (F.col("_from") != F.col("_to"))
+    links = edges.select(F.col(source).alias("_from"), F.col(target).alias("_to")).where(ends).distinct().withColumn("_steps", F.lit(1))
+    links = cut_lineage(links)
+    first = roots.select(F.col(roots.columns[0]).alias("root")).where(F.col("root").isNotNull()).distinct()
+    reached, known = first.select("root", F.col("root").alias("node"), F.lit(0).alias("depth")), None
+    while True:
+        onward = reached.join(links, F.col("node") == F.col("_from")).select("root", F.col("_to").alias("node"), (F.col("depth") + F.col("_steps")).alias("depth"))
+        reached = cut_lineage(reached.unionByName(onward).groupBy("root", "node").agg(F.min("depth").alias("depth")))
+        now = reached.agg(F.count("*").alias("n"), F.sum("depth").alias("steps")).first()
+        if now == known:
+            return reached.where(F.col("node") != F.col("root"))
+        known = now
+        second = links.select(F.col("_from").alias("_mid"), F.col("_to").alias("_end"), F.col("_steps").alias("_more"))
+        longer = links.join(second, F.col("_to") == F.col("_mid")).select("_from", F.col("_end").alias("_to"), (F.col("_steps") + F.col("_more")).alias("_steps"))
+        links = cut_lineage(links.unionByName(longer.where(F.col("_from") != F.col("_to"))).groupBy("_from", "_to").agg(F.min("_steps").alias("_steps")))
 
 
 # --- cost ---------------------------------------------------------------------------------

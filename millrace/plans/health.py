@@ -90,24 +90,49 @@ def adherence_timeline(fills: DataFrame, as_of: str, days: int = 90, history_day
     return _with_pdc(grouped, days)
 
 
+def adherence_segments(fills: DataFrame, last: str, days: int = ROLLING_DAYS) -> DataFrame:
+    """Stretches of days in which the covered days of the trailing ``days`` days change evenly.
+
+    Covered days up to a day are a sum over interval ends, +1 where supply begins and -1 where it
+    ends, each times the days since. The same sum ``days`` later is taken off by mirrored ends, so
+    one running sum per patient and molecule over at most four ends per fill day gives, from
+    ``low`` up to ``high``, ``covered = slope * day + base``. The last stretch reaches ``last``.
+    """
+    zero = F.lit("1970-01-01").cast("date")
+    until = F.lit(last).cast("date")
+    intervals = covered_intervals(fill_days(fills.where(F.col("fill_date") <= until))).where("start_day < end_day")
+    # A day counts as covered at its end: the sum at day d holds the ends up to d + 1.
+    ends = F.array(*[
+        F.struct((F.col(name) + shift).cast("long").alias("at"), F.lit(sign).cast("long").alias("sign"))
+        for name, shift, sign in (("start_day", -1, 1), ("end_day", -1, -1), ("start_day", days - 1, -1), ("end_day", days - 1, 1))
+    ])
+    turns = intervals.select("patient", "molecule", F.inline(ends)).groupBy("patient", "molecule", "at").agg(F.sum("sign").alias("_d"))
+    so_far = Window.partitionBy("patient", "molecule").orderBy("at")
+    upto = so_far.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return turns.select(
+        "patient", "molecule", F.col("at").alias("low"),
+        F.coalesce(F.lead("at").over(so_far) - 1, F.datediff(until, zero).cast("long")).alias("high"),
+        F.sum("_d").over(upto).alias("slope"), (-F.sum(F.col("_d") * F.col("at")).over(upto)).alias("base"),
+    ).where("low <= high")
+
+
 def rolling_adherence(fills: DataFrame, first: str, last: str, days: int = ROLLING_DAYS) -> DataFrame:
-    """Covered share of the trailing ``days`` days, for every covered day between two dates."""
-    intervals = covered_intervals(fill_days(fills.where(F.col("fill_date") <= F.lit(last).cast("date"))))
+    """Covered share of the trailing ``days`` days, for every day between two dates.
+
+    A patient and molecule have a row per day from the first covered day on, so a patient whose
+    supply has run out is flagged on each day without cover too.
+    """
     zero = F.lit("1970-01-01").cast("date")
-    start = F.datediff(F.lit(first).cast("date"), zero)
-    low = F.greatest(F.col("start_day"), start - (days - 1))
-    high = F.least(F.col("end_day") - 1, F.datediff(F.lit(last).cast("date"), zero))
-    covered = intervals.where(low <= high).select("patient", "molecule", F.explode(F.sequence(low, high)).alias("_day"))
-    window = Window.partitionBy("patient", "molecule").orderBy("_day").rangeBetween(-(days - 1), 0)
-    share = F.count("*").over(window).cast("double") / F.lit(float(days))
-    return (
-        covered.withColumn("rolling_pdc", share)
-        .where(F.col("_day") >= start)
-        .select(
-            "patient", "molecule", F.date_add(zero, F.col("_day")).alias("day"), "rolling_pdc",
-            (F.col("rolling_pdc") < ROLLING_LIMIT).alias("at_risk"),
-        )
-    )
+    start, stop = (F.datediff(F.lit(d).cast("date"), zero).cast("long") for d in (first, last))
+    stretches = adherence_segments(fills, last, days)
+    # The first end lies one day before the first covered day.
+    own = F.min("low").over(Window.partitionBy("patient", "molecule")) + 1
+    low, high = F.greatest(F.col("low"), F.col("_own"), start), F.least(F.col("high"), stop)
+    daily = stretches.withColumn("_own", own).where(low <= high).withColumn("_day", F.explode(F.sequence(low, high)))
+    covered = F.col("slope") * F.col("_day") + F.col("base")
+    return daily.select(
+        "patient", "molecule", F.date_add(zero, F.col("_day").cast("int")).alias("day"), (covered / F.lit(float(days))).alias("rolling_pdc"),
+    ).withColumn("at_risk", F.col("rolling_pdc") < ROLLING_LIMIT)
 
 
 # --- dispense messages --------------------------------------------------------------------

@@ -319,7 +319,7 @@ def lineage_edges(spark, root):
 
 @register("G7", sql=f"""WITH RECURSIVE {EDGES_SQL}, w AS (
 SELECT source AS root, target AS node, 1 AS depth FROM e WHERE starts_with(source, 'region:')
-UNION SELECT w.root, e.target, w.depth + 1 FROM w JOIN e ON e.source = w.node WHERE w.depth < 10)
+UNION SELECT w.root, e.target, w.depth + 1 FROM w JOIN e ON e.source = w.node)
 SELECT root, node, CAST(min(depth) AS INTEGER) AS depth FROM w GROUP BY ALL""")
 def downstream_impact(spark, root):
     edges = lineage_edges(spark, root)
@@ -329,7 +329,7 @@ def downstream_impact(spark, root):
 
 @register("G7", sql=f"""WITH RECURSIVE {EDGES_SQL}, w AS (
 SELECT target AS root, source AS node, 1 AS depth FROM e WHERE starts_with(target, 'customer:')
-UNION SELECT w.root, e.source, w.depth + 1 FROM w JOIN e ON e.target = w.node WHERE w.depth < 10)
+UNION SELECT w.root, e.source, w.depth + 1 FROM w JOIN e ON e.target = w.node)
 SELECT root, node, CAST(min(depth) AS INTEGER) AS depth FROM w GROUP BY ALL""")
 def upstream_trace(spark, root):
     edges = lineage_edges(spark, root)

@@ -83,6 +83,22 @@ def basket_pairs(spark, root):
     return retail.pair_rules(lines, "l_orderkey", "p_brand", 0.02)
 
 
+@register("R4", sql="""WITH h AS (SELECT DISTINCT l_orderkey AS b, p_brand AS i FROM lineitem JOIN part ON l_partkey = p_partkey),
+t AS (SELECT CAST(count(DISTINCT b) AS DOUBLE) AS n FROM h),
+s AS (SELECT [i] AS items, count(*) AS c FROM h GROUP BY 1
+  UNION ALL SELECT [x.i, y.i], count(*) FROM h x JOIN h y ON x.b = y.b AND x.i < y.i GROUP BY 1
+  UNION ALL SELECT [x.i, y.i, z.i], count(*) FROM h x JOIN h y ON x.b = y.b AND x.i < y.i JOIN h z ON z.b = y.b AND y.i < z.i GROUP BY 1),
+f AS (SELECT items, c FROM s, t WHERE c >= n * 0.001),
+r AS (SELECT list_filter(items, lambda x: x <> item) AS given, item, c AS baskets FROM (SELECT items, c, unnest(items) AS item FROM f WHERE len(items) > 1))
+SELECT array_to_string(given, ' + ') AS given, item, baskets, baskets / n AS support, baskets / CAST(g.c AS DOUBLE) AS confidence, CAST(baskets AS DOUBLE) * n / (CAST(g.c AS DOUBLE) * a.c) AS lift
+FROM r JOIN f g ON g.items = given JOIN f a ON a.items = [item], t""")
+def basket_rules(spark, root):
+    """Rules from pairs and triples of brands, in every direction."""
+    parts = roles.part(spark, root).select(F.col("p_partkey").alias("l_partkey"), "p_brand")
+    lines = roles.lineitem(spark, root).select("l_orderkey", "l_partkey").join(parts, "l_partkey")
+    return retail.basket_rules(lines, "l_orderkey", "p_brand", 0.001).withColumn("given", F.array_join("given", " + "))
+
+
 @register("R5", sql="""WITH d AS (SELECT l_suppkey, p_type, CAST(l_shipdate AS DATE) AS day, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS units
   FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, 3)
 SELECT *, lag(units) OVER w AS previous_units, CAST(day - lag(day) OVER w AS INTEGER) AS days_since_sale,
