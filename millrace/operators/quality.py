@@ -185,10 +185,10 @@ def null_rates(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def trailing_z(daily: DataFrame, day: str = "day", n: str = "n", days: int = 30, minimum: int = 2) -> DataFrame:
-    """z-score of each day against the ``days`` days before it; one row per calendar day expected."""
+def trailing_z(daily: DataFrame, day: str = "day", n: str = "n", days: int = 30, minimum: int = 2, keys: list[str] | None = None) -> DataFrame:
+    """z-score of each day against the ``days`` days before it; one row per calendar day and monitored table."""
     number = F.datediff(F.col(day), F.lit("1970-01-01").cast("date"))
-    window = Window.orderBy(number).rangeBetween(-days, -1)
+    window = Window.partitionBy(*(keys or [])).orderBy(number).rangeBetween(-days, -1)
     seen = F.count(n).over(window).cast("double")
     total = F.sum(n).over(window).cast("double")
     squares = F.sum(F.col(n) * F.col(n)).over(window).cast("double")
@@ -212,30 +212,51 @@ def volume_history(daily: DataFrame, threshold: float = 3.0) -> DataFrame:
 LEARNING_DAYS, HISTORY_DAYS, MIN_SIMILARITY = 7, 30, 0.75
 
 
-def day_vectors(df: DataFrame, day: str, category: str, values: list[str], measure: str, scale: float) -> DataFrame:
-    """One vector per day: category shares, scaled mean of ``measure``, null share of ``measure``."""
-    counts = df.groupBy(F.col(day).alias("day")).agg(
-        F.count("*").alias("_n"),
-        *[F.count_if(F.col(category) == v).alias(f"_c{i}") for i, v in enumerate(values)],
-        F.try_divide(F.sum(F.col(measure).cast("decimal(18,2)")).cast("double"), F.count(measure).cast("double")).alias("_mean"),
-        F.count_if(F.col(measure).isNull()).alias("_nulls"),
-    )
-    shares = [safe_ratio(F.col(f"_c{i}"), F.col("_n")) for i in range(len(values))]
-    mean = F.coalesce(F.col("_mean"), F.lit(0.0)) / F.lit(scale)
-    return counts.select("day", F.array(*shares, mean, safe_ratio(F.col("_nulls"), F.col("_n"))).alias("vector"))
+MEAN, NULLS = "~mean", "~nulls"
 
 
-def drift(vectors: DataFrame) -> DataFrame:
-    """Mean cosine of each day to the up to thirty days before it; anomalous days stay in the history."""
-    from millrace.functions.vectors import cosine
+def day_vectors(df: DataFrame, day: str, category: str, measure: str, scale: float, keys: list[str] | None = None) -> DataFrame:
+    """One sparse vector per day: the share of every category that occurs, mean and null share of ``measure``.
+
+    A vector is a map from the name of a dimension to its value, so a category nobody listed has a
+    dimension of its own on the day it appears. Rows without a category are a category. ``keys`` name
+    the monitored table or part of it.
+    """
+    keys = keys or []
+    name = F.coalesce(F.concat(F.lit("="), F.col(category).cast("string")), F.lit("null"))
+    cells = df.groupBy(*keys, F.col(day).alias("day"), name.alias("_c")).agg(
+        F.count("*").alias("_n"), F.sum(F.col(measure).cast("double")).alias("_s"), F.count(measure).alias("_m"))
+    days = cells.groupBy(*keys, "day").agg(
+        F.collect_list(F.struct("_c", "_n")).alias("_cells"), F.sum("_n").alias("_all"), F.sum("_s").alias("_s"), F.sum("_m").alias("_m"))
+    shares = F.transform(F.array_sort("_cells"), lambda c: F.struct(c["_c"], safe_ratio(c["_n"], F.col("_all"))))
+    mean = F.coalesce(F.try_divide(F.col("_s"), F.col("_m").cast("double")), F.lit(0.0)) / F.lit(scale)
+    rest = F.create_map(F.lit(MEAN), mean, F.lit(NULLS), safe_ratio(F.col("_all") - F.col("_m"), F.col("_all")))
+    return days.select(*keys, "day", F.map_concat(F.map_from_entries(shares), rest).alias("vector"))
+
+
+def sparse_cosine(a: Column, b: Column) -> Column:
+    """Cosine of two maps from dimension to value; a missing dimension is 0, a zero vector gives null."""
+
+    def added(values: Column) -> Column:
+        return F.aggregate(values, F.lit(0.0), lambda total, x: total + x)
 
-    window = Window.orderBy("day").rowsBetween(-HISTORY_DAYS, -1)  # one row per calendar day
+    def size(v: Column) -> Column:
+        return F.sqrt(added(F.transform(F.map_values(v), lambda x: x * x)))
+
+    dot = added(F.transform(F.map_entries(a), lambda e: e["value"] * F.coalesce(F.try_element_at(b, e["key"]), F.lit(0.0))))
+    return F.try_divide(dot, size(a) * size(b))
+
+
+def drift(vectors: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Mean cosine of each day to the up to thirty days before it; anomalous days stay in the history."""
+    keys = keys or []
+    window = Window.partitionBy(*keys).orderBy("day").rowsBetween(-HISTORY_DAYS, -1)  # one row per calendar day of a table
     looked = vectors.withColumn("_past", F.collect_list("vector").over(window))
-    scores = F.transform("_past", lambda v: cosine(F.col("vector"), v))
+    scores = F.transform("_past", lambda v: F.coalesce(sparse_cosine(F.col("vector"), v), F.lit(0.0)))
     mean = F.aggregate(scores, F.lit(0.0), lambda total, x: total + x) / F.size("_past")
     learning = F.size("_past") < LEARNING_DAYS
     return looked.select(
-        "day",
+        *keys, "day",
         F.when(~learning, F.round(mean, 6)).alias("similarity"),
         F.when(learning, "LEARNING").when(mean < MIN_SIMILARITY, "ANOMALY").otherwise("NORMAL").alias("status"),
     )
@@ -247,19 +268,23 @@ def strict_drift(vectors: DataFrame, keys: list[str]) -> DataFrame:
     This is a walk from day to day, so the day rows of one monitored table (bounded by the
     calendar) go to one grouped task; different tables run side by side.
     """
+    import math
+
     import pandas as pd
 
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        import numpy as np
+    def cosine(a: dict, b: dict) -> float:
+        size = math.sqrt(sum(x * x for x in a.values())) * math.sqrt(sum(x * x for x in b.values()))
+        return sum(x * b.get(k, 0.0) for k, x in a.items()) / size if size else 0.0
 
-        history: list = []
+    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
+        history: list[dict] = []
         out = []
         for _, row in pdf.sort_values("day").iterrows():
-            today = np.asarray(row["vector"], dtype=float)
+            today = dict(row["vector"])
             similarity, status = None, "LEARNING"
             if len(history) >= LEARNING_DAYS:
-                past = np.stack(history[-HISTORY_DAYS:])
-                similarity = float(np.mean(past @ today / (np.linalg.norm(past, axis=1) * np.linalg.norm(today))))
+                past = history[-HISTORY_DAYS:]
+                similarity = sum(cosine(today, p) for p in past) / len(past)
                 status = "ANOMALY" if similarity < MIN_SIMILARITY else "NORMAL"
             if status != "ANOMALY":
                 history.append(today)

@@ -21,15 +21,57 @@ class UnfilteredScan(ValueError):
     """A guarded table was asked for without a condition on its partition column."""
 
 
+# Comparisons that bound a column when its other side is a constant.
+BOUNDS = {"Between", "EqualTo", "EqualNullSafe", "LessThan", "LessThanOrEqual", "GreaterThan", "GreaterThanOrEqual", "In", "InSet"}
+
+
+def _children(node) -> list:
+    found = node.children()
+    return [found.apply(i) for i in range(found.size())]
+
+
+def _kind(node) -> str:
+    return node.getClass().getSimpleName()
+
+
+def _bounds(node, column_id: int) -> bool:
+    """Whether a resolved predicate can only hold on a bounded set of values of one column.
+
+    Of a conjunction one side is enough, of a disjunction both have to be bounded.
+    """
+    kind = _kind(node)
+    parts = [node.input(), node.lower(), node.upper()] if kind == "Between" else _children(node)
+    if kind == "And":
+        return any(_bounds(p, column_id) for p in parts)
+    if kind == "Or":
+        return all(_bounds(p, column_id) for p in parts)
+    if kind not in BOUNDS:
+        return False
+
+    def is_column(part) -> bool:
+        while _kind(part) == "Cast":
+            part = _children(part)[0]
+        return _kind(part) == "AttributeReference" and part.exprId().id() == column_id
+
+    # A constant null compares to nothing; folding leaves no rows, so it bounds as well.
+    return sum(is_column(p) for p in parts) == 1 and all(is_column(p) or p.foldable() for p in parts)
+
+
 def guarded_scan(df: DataFrame, partition_column: str, condition: Column | None) -> DataFrame:
-    """Scan of a table that must not be read whole: the condition has to name its partition column."""
+    """Scan of a table that must not be read whole: the condition has to bound its partition column.
+
+    The analysed predicate is read: some conjunct must compare the column itself, at most cast, with
+    a constant. A mere mention of its name, a test for null or a comparison with itself is refused.
+    """
     if condition is None:
         raise UnfilteredScan(f"a filter on {partition_column} is required")
-    names = set(df.where(condition).select(partition_column).columns)
-    text = str(condition)
-    if partition_column not in names or partition_column not in text:
+    kept = df.where(condition)
+    plan = kept._jdf.queryExecution().analyzed()
+    output = _children(plan)[0].output()
+    ids = [a.exprId().id() for a in (output.apply(i) for i in range(output.size())) if a.name().lower() == partition_column.lower()]
+    if _kind(plan) != "Filter" or not any(_bounds(plan.condition(), i) for i in ids):
         raise UnfilteredScan(f"a filter on {partition_column} is required")
-    return df.where(condition)
+    return kept
 
 
 def look_back(column: Column | str, as_of: str, days: int) -> Column:

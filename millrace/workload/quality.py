@@ -96,28 +96,40 @@ def null_rates_one_pass(spark, root):
     return quality.null_rates(lines.select(*holes), LINE_COLUMNS)
 
 
-DRIFT_PARTS = ["click", "error", "purchase", "signup", "view"]
-
-
-def _vectors(spark, root):
-    days = roles.events(spark, root).withColumn("day", F.to_date("ts"))
-    return quality.day_vectors(days, "day", "event_type", DRIFT_PARTS, "value", 100.0)
+# Every category that occurs is a dimension; the vector of a day holds only its own.
+DRIFT_SQL = """c AS (SELECT {keys} CAST(ts AS DATE) AS day, {category} AS k, count(*) AS n FROM events GROUP BY ALL),
+t AS (SELECT {keys} day, CAST(sum(n) AS DOUBLE) AS n FROM c GROUP BY ALL),
+e AS (SELECT {keys} CAST(ts AS DATE) AS day, sum(value) / count(value) / 100.0::DOUBLE AS mean, count(*) FILTER (value IS NULL) / CAST(count(*) AS DOUBLE) AS nulls FROM events GROUP BY ALL),
+x AS (SELECT {keys} day, concat('=', k) AS k, c.n / t.n AS x FROM c JOIN t USING ({keys} day) UNION ALL SELECT {keys} day, 'mean', mean FROM e UNION ALL SELECT {keys} day, 'nulls', nulls FROM e),
+z AS (SELECT {keys} day, sqrt(sum(x * x)) AS size FROM x GROUP BY ALL),
+n AS (SELECT *, row_number() OVER ({part} ORDER BY day) AS i FROM z),
+p AS (SELECT {a} a.day, b.day AS past, a.size * b.size AS sizes FROM n a JOIN n b ON {same} b.i BETWEEN a.i - 30 AND a.i - 1),
+d AS (SELECT {p} p.day, past, sum(u.x * v.x) / min(sizes) AS cos FROM p JOIN x u ON {pu} u.day = p.day JOIN x v ON {pv} v.day = past AND v.k = u.k GROUP BY ALL),
+s AS (SELECT {n} n.day, count(cos) AS c, avg(cos) AS m FROM n LEFT JOIN d ON {nd} d.day = n.day GROUP BY ALL)
+SELECT {keys} day, CASE WHEN c >= 7 THEN round(m, 6) END AS similarity, CASE WHEN c < 7 THEN 'LEARNING' WHEN m < 0.75 THEN 'ANOMALY' ELSE 'NORMAL' END AS status FROM s"""
+# In the last ten days one user in four sends purchases of a kind that was never seen before.
+NEW_KIND = "CASE WHEN ts >= TIMESTAMP '2024-01-21' AND user_id % 4 = 0 AND event_type = 'purchase' THEN 'gift' ELSE event_type END"
+
+
+@register("Q10 W9", sql="WITH " + DRIFT_SQL.format(keys="", category=NEW_KIND, part="", a="", same="", p="", pu="", pv="", n="", nd=""))
+def content_drift(spark, root):
+    days = roles.events(spark, root).withColumns({"day": F.to_date("ts"), "kind": F.expr(NEW_KIND.replace("TIMESTAMP", "TIMESTAMP_NTZ"))})
+    return quality.drift(quality.day_vectors(days, "day", "kind", "value", 100.0))
 
 
-@register("Q10 W9", sql="""WITH v AS (SELECT CAST(ts AS DATE) AS day, [""" + ", ".join(
-    f"count(*) FILTER (event_type = '{v}') / CAST(count(*) AS DOUBLE)" for v in DRIFT_PARTS) + """,
-  CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(value) / 100.0, count(*) FILTER (value IS NULL) / CAST(count(*) AS DOUBLE)] AS vec FROM events GROUP BY 1),
-n AS (SELECT *, row_number() OVER (ORDER BY day) AS i FROM v),
-s AS (SELECT a.day, count(b.i) AS c, avg(list_dot_product(a.vec, b.vec) / (sqrt(list_dot_product(a.vec, a.vec)) * sqrt(list_dot_product(b.vec, b.vec)))) AS m
-      FROM n a LEFT JOIN n b ON b.i BETWEEN a.i - 30 AND a.i - 1 GROUP BY 1)
-SELECT day, CASE WHEN c >= 7 THEN round(m, 6) END AS similarity, CASE WHEN c < 7 THEN 'LEARNING' WHEN m < 0.75 THEN 'ANOMALY' ELSE 'NORMAL' END AS status FROM s""")
-def content_drift(spark, root):
-    return quality.drift(_vectors(spark, root))
+@register("Q10 W9", sql="WITH events AS (SELECT *, concat('part', user_id % 3) AS part FROM main.events), " + DRIFT_SQL.format(
+    keys="part,", category="event_type", part="PARTITION BY part", a="a.part,", same="a.part = b.part AND", p="p.part,", pu="u.part = p.part AND", pv="v.part = p.part AND", n="n.part,",
+    nd="d.part = n.part AND"))
+def content_drift_by_part(spark, root):
+    """Each third of the users is monitored on its own."""
+    days = roles.events(spark, root).withColumns({"day": F.to_date("ts"), "part": F.concat(F.lit("part"), F.col("user_id") % 3)})
+    return quality.drift(quality.day_vectors(days, "day", "event_type", "value", 100.0, ["part"]), ["part"])
 
 
 @register("Q10")
 def strict_content_drift(spark, root):
-    return quality.strict_drift(_vectors(spark, root).withColumn("table", F.lit("events")), ["table"])
+    days = roles.events(spark, root).withColumns({"day": F.to_date("ts"), "table": F.lit("events")})
+    return quality.strict_drift(quality.day_vectors(days, "day", "event_type", "value", 100.0, ["table"]), ["table"])
 
 
 @register("Q11 J13", sql="SELECT l_orderkey, l_linenumber, l_partkey * 3 AS p_partkey FROM lineitem WHERE l_partkey * 3 NOT IN (SELECT p_partkey FROM part)")

@@ -196,10 +196,23 @@ def test_time_to_live_is_strict(spark, gap, ttl, hit):
     assert {r.id: r.hit for r in reuse_labels(df, "q", "ts", "id", ttl).collect()} == {1: False, 2: hit}
 
 
-def test_guarded_scan(spark):
+BOUNDED = ["d = '2024-01-01'", "'2024-01-01' <= d", "d between '2024-01-01' and '2024-01-02'", "d in ('2024-01-01', '2024-01-02')", "v > 1 and d >= date_sub(date'2024-01-03', 2)",
+           "d = '2024-01-01' or d > '2024-02-01'", "cast(d as date) = date'2024-01-01'", "D = '2024-01-01'", "not (d < '2024-01-01') and d < '2024-03-01'"]
+UNBOUNDED = ["v > 0", "d is not null", "d = d", "d = d or true", "v = 1 or d = '2024-01-01'", "'d' = 'd'", "concat('d', cast(v as string)) = 'd1'", "length(d) > 3", "other_d = '2024-01-01'", "d = other_d", "true"]
+
+
+@pytest.mark.parametrize("condition,fine", [(c, True) for c in BOUNDED] + [(c, False) for c in UNBOUNDED])
+def test_guarded_scan_reads_the_predicate(spark, condition, fine):
+    df = spark.createDataFrame([(1, "2024-01-01", "x")], "v int, d string, other_d string")
+    if fine:
+        assert guarded_scan(df, "d", F.expr(condition)).columns == df.columns
+    else:
+        with pytest.raises(UnfilteredScan):
+            guarded_scan(df, "d", F.expr(condition))
+
+
+def test_guarded_scan_needs_a_condition(spark):
     df = spark.createDataFrame([(1, "2024-01-01")], "v int, day string")
     with pytest.raises(UnfilteredScan):
         guarded_scan(df, "day", None)
-    with pytest.raises(UnfilteredScan):
-        guarded_scan(df, "day", F.col("v") > 0)
     assert guarded_scan(df, "day", F.col("day") == "2024-01-01").count() == 1

@@ -63,9 +63,9 @@ def test_production_limits_are_stricter():
 
 
 def test_strict_drift_keeps_anomalies_out_of_the_history(spark):
-    good, odd = [1.0, 0.0, 0.1], [0.0, 1.0, 0.1]
+    good, odd = {"=a": 1.0, "~mean": 0.1}, {"=b": 1.0, "~mean": 0.1}
     days = [(dt.date(2024, 1, 1) + dt.timedelta(d), odd if d in (8, 9) else good) for d in range(14)]
-    vectors = spark.createDataFrame([("t", d, v) for d, v in days], "table string, day date, vector array<double>")
+    vectors = spark.createDataFrame([("t", d, v) for d, v in days], "table string, day date, vector map<string,double>")
     strict = {r.day.day - 1: r for r in quality.strict_drift(vectors, ["table"]).collect()}
     loose = {r.day.day - 1: r for r in quality.drift(vectors.drop("table")).collect()}
     assert [strict[d].status for d in (0, 6, 7, 8, 9, 10)] == ["LEARNING", "LEARNING", "NORMAL", "ANOMALY", "ANOMALY", "NORMAL"]
@@ -105,3 +105,40 @@ def test_lineage_reaches_beyond_ten_levels(spark):
     edges = spark.createDataFrame([(f"n{i}", f"n{i + 1}") for i in range(15)], "source string, target string")
     reach = governance.lineage_reach(edges, spark.createDataFrame([("n0",)], "root string"))
     assert {(r["node"], r["depth"]) for r in reach.collect()} == {(f"n{i}", i) for i in range(1, 16)}
+
+
+def test_a_new_category_lowers_the_similarity_of_its_day(spark):
+    start = dt.date(2024, 1, 1)
+    rows = [(start + dt.timedelta(d), "a" if i % 2 else None, 1.0) for d in range(12) for i in range(10)]
+    rows += [(start + dt.timedelta(10), "never seen", 1.0)] * 40
+    vectors = quality.day_vectors(spark.createDataFrame(rows, "d date, kind string, v double"), "d", "kind", "v", 100.0)
+    assert vectors.where("day = '2024-01-11'").first()["vector"]["=never seen"] == 0.8
+    found = {r.day.day - 1: r for r in quality.drift(vectors).collect()}
+    assert found[9].similarity == 1.0 and found[10].status == "ANOMALY" and found[10].similarity < 0.3 and found[11].similarity > 0.85
+
+
+def test_drift_and_volume_of_tables_side_by_side(spark):
+    start = dt.date(2024, 1, 1)
+    rows = [(t, start + dt.timedelta(d), "a" if t == "x" or d < 9 else "b", 1.0) for t in "xy" for d in range(10) for _ in range(5)]
+    df = spark.createDataFrame(rows, "t string, d date, kind string, v double")
+    found = {(r.t, r.day.day - 1): r.status for r in quality.drift(quality.day_vectors(df, "d", "kind", "v", 100.0, ["t"]), ["t"]).collect()}
+    assert found[("x", 9)] == "NORMAL" and found[("y", 9)] == "ANOMALY" and found[("y", 3)] == "LEARNING"
+    daily = spark.createDataFrame([(t, start + dt.timedelta(d), (d % 2) + (50 if t == "y" and d == 9 else 1)) for t in "xy" for d in range(10)], "t string, day date, n long")
+    z = {(r.t, r.day.day - 1): r.z for r in quality.trailing_z(daily, keys=["t"]).collect()}
+    assert z[("x", 9)] < 2 < z[("y", 9)]
+
+
+def test_long_chains_take_few_rounds(spark, monkeypatch):
+    rounds = []
+    kept = governance.cut_lineage
+    monkeypatch.setattr(governance, "cut_lineage", lambda df: (rounds.append(1), kept(df))[1])
+    edges = spark.createDataFrame([(f"n{i}", f"n{i + 1}") for i in range(1000)] + [("n1000", "n500"), ("n3", "n3"), ("n0", None), ("n2", "side"), ("n0", "n2")], "source string, target string")
+    found = {r.node: r.depth for r in governance.lineage_reach(edges, spark.createDataFrame([("n0",), ("n0",), (None,)], "r string")).collect()}
+    assert len(rounds) <= 2 * 12 and len(found) == 1001
+    assert found["n1"] == 1 and found["n2"] == 1 and found["side"] == 2 and found["n1000"] == 999
+
+
+def test_cycles_end(spark):
+    edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("c", "d")], "source string, target string")
+    roots = spark.createDataFrame([("a",), ("d",), ("nowhere",)], "r string")
+    assert sorted(map(tuple, governance.lineage_reach(edges, roots).collect())) == [("a", "b", 1), ("a", "c", 2), ("a", "d", 3)]
