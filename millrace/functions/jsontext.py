@@ -28,3 +28,9 @@ def is_present(value: Column, path: str) -> Column:
 
 def text_at(value: Column, path: str) -> Column:
     return F.try_variant_get(value, path, "string")
+
+
+def other_fields(value: Column, declared: list[str]) -> Column:
+    """Fields of an object that nobody declared, as a map from name to JSON text."""
+    fields = F.try_variant_get(value, "$", "map<string,variant>")
+    return F.transform_values(F.map_filter(fields, lambda k, _: ~k.isin(declared)), lambda _, v: F.to_json(v))

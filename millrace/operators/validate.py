@@ -45,7 +45,8 @@ PARSE_FAILED = "Unparseable message"
 def parse_messages(df: DataFrame, raw: str = "raw") -> DataFrame:
     """Decode a message column (bytes or text) and parse it strictly, once per row.
 
-    Adds ``record``: the VARIANT of a message that is exactly one JSON object, else null.
+    Adds ``record``: the VARIANT of a message that is exactly one JSON object, else null. An object
+    that names a field twice has no one reading and counts as unparseable.
     """
     source = F.col(raw)
     if dict(df.dtypes)[raw] == "binary":
@@ -141,14 +142,21 @@ def dead_letters(checked: DataFrame, as_of: str, record: str = "raw") -> DataFra
     )
 
 
-def message_columns(valid: DataFrame) -> DataFrame:
-    """Typed transaction columns out of validated VARIANT records."""
+MESSAGE_TEXTS = ["transaction_id", "account_id", "customer_id", "transaction_type", "channel", "status", "created_timestamp"]
+
+
+def message_columns(valid: DataFrame, texts: list[str] = MESSAGE_TEXTS, numbers: tuple[str, ...] = ("amount",)) -> DataFrame:
+    """Typed columns out of validated VARIANT records; nothing of a record is lost.
+
+    Declared texts and numbers (double) become columns, every other field goes into ``extra``, a map
+    from its name to its JSON text.
+    """
     record = F.col("record")
-    texts = ["transaction_id", "account_id", "customer_id", "transaction_type", "channel", "status", "created_timestamp"]
     picked = {name: jsontext.text_at(record, f"$.{name}") for name in texts}
-    amount = F.try_variant_get(record, "$.amount", "decimal(18,2)").cast("double")
+    picked |= {name: F.try_variant_get(record, f"$.{name}", "double") for name in numbers}
+    picked["extra"] = jsontext.other_fields(record, [*texts, *numbers])
     keep = [c for c in valid.columns if c not in ("record", "errors", "raw")]
-    return valid.select(*keep, *[c.alias(n) for n, c in picked.items()], amount.alias("amount"))
+    return valid.select(*keep, *[c.alias(n) for n, c in picked.items()])
 
 
 def enrich(

@@ -156,16 +156,8 @@ def _empty_to_null(col: Column) -> Column:
     return F.when(col != "", col)
 
 
-def hl7_dispenses(df: DataFrame, raw: str = "raw", positions: dict[str, tuple[str, int]] = HL7_FIELDS) -> DataFrame:
-    """Fields of pipe-delimited messages; the last segment of a kind wins."""
-    lines = computed_once(df, {"_lines": F.split(F.col(raw), "\r\n?|\n")})
-
-    def last_of(kind: str) -> Column:
-        own = F.filter("_lines", lambda s: (s == kind) | s.startswith(f"{kind}|"))
-        return F.split(F.try_element_at(own, F.lit(-1)), r"\|")
-
-    kinds = sorted({kind for kind, _ in positions.values()})
-    cut = computed_once(lines, {f"_{k}": last_of(k) for k in kinds}).drop("_lines")
+def _hl7_row(positions: dict[str, tuple[str, int]]) -> Column:
+    """One dispense from the split segments ``_MSH``, ``_PID``, ... of a message."""
 
     def field(name: str) -> Column:
         kind, place = positions[name]
@@ -174,74 +166,106 @@ def hl7_dispenses(df: DataFrame, raw: str = "raw", positions: dict[str, tuple[st
     parts = F.split(field("drug"), r"\^")
     supply = field("days_supply")
     unknown = F.lit("UNKNOWN")
-    return cut.withColumns(
-        {
-            "source_system": F.coalesce(field("source_system"), unknown),
-            "pharmacy_id": F.coalesce(field("pharmacy_id"), unknown),
-            "patient_hash": _empty_to_null(field("patient_hash")),
-            "ndc_code": _empty_to_null(F.try_element_at(parts, F.lit(1))),
-            "drug_name": F.coalesce(F.try_element_at(parts, F.lit(2)), F.lit("")),
-            "fill_date": F.try_to_date(field("fill_date"), "yyyyMMdd"),
-            "days_supply": F.when(supply.rlike("^[0-9]+$"), F.coalesce(supply.try_cast("int"), F.lit(0))).otherwise(0),
-            "dosage_form": F.coalesce(field("dosage_form"), F.lit("")),
-            "message_format": F.lit("HL7V2"),
-        }
-    ).drop(*[f"_{k}" for k in kinds])
-
-
-def fhir_dispenses(df: DataFrame, parsed: str = "_value") -> DataFrame:
-    """Dispense resources of parsed JSON messages, single or in a bundle; other resources are skipped."""
-    entries = F.try_variant_get(F.col(parsed), "$.entry", "array<variant>")
-    members = F.transform(entries, lambda e: F.coalesce(F.variant_get(e, "$.resource", "variant"), e))
-    single = F.array(F.coalesce(F.variant_get(F.col(parsed), "$.resource", "variant"), F.col(parsed)))
-    each = df.withColumn("_r", F.explode(F.coalesce(members, single)))
+    return _dispense({
+        "patient_hash": _empty_to_null(field("patient_hash")),
+        "ndc_code": _empty_to_null(F.try_element_at(parts, F.lit(1))),
+        "drug_name": F.coalesce(F.try_element_at(parts, F.lit(2)), F.lit("")),
+        "fill_date": F.try_to_date(field("fill_date"), "yyyyMMdd"),
+        "days_supply": F.when(supply.rlike("^[0-9]+$"), F.coalesce(supply.try_cast("int"), F.lit(0))).otherwise(0),
+        "pharmacy_id": F.coalesce(field("pharmacy_id"), unknown),
+        "source_system": F.coalesce(field("source_system"), unknown),
+        "dosage_form": F.coalesce(field("dosage_form"), F.lit("")),
+        "message_format": F.lit("HL7V2"),
+    })
+
+
+def _fhir_row(resource: Column) -> Column:
+    """One dispense from a dispense resource."""
 
     def at(path: str) -> Column:
-        return F.coalesce(jsontext.text_at(F.col("_r"), path), F.lit(""))
+        return F.coalesce(jsontext.text_at(resource, path), F.lit(""))
 
     def last_part(path: str) -> Column:
         return F.element_at(F.split(at(path), "/"), -1)
 
-    supply = F.try_variant_get("_r", "$.daysSupply.value", "double")
-    return (
-        each.where(jsontext.text_at(F.col("_r"), "$.resourceType") == "MedicationDispense")
-        .withColumns(
-            {
-                "patient_hash": last_part("$.subject.reference"),
-                "ndc_code": at("$.medicationCodeableConcept.coding[0].code"),
-                "drug_name": at("$.medicationCodeableConcept.coding[0].display"),
-                "fill_date": F.try_to_date(F.left(at("$.whenHandedOver"), F.lit(10)), "yyyy-MM-dd"),
-                "days_supply": F.coalesce(supply.try_cast("int"), F.lit(0)),
-                "pharmacy_id": last_part("$.performer[0].actor.reference"),
-                "source_system": F.lit(None).cast("string"),
-                "dosage_form": F.lit(None).cast("string"),
-                "message_format": F.lit("FHIR_R4"),
-            }
-        )
-        .drop("_r")
-    )
+    supply = F.try_variant_get(resource, "$.daysSupply.value", "double")
+    return _dispense({
+        "patient_hash": last_part("$.subject.reference"),
+        "ndc_code": at("$.medicationCodeableConcept.coding[0].code"),
+        "drug_name": at("$.medicationCodeableConcept.coding[0].display"),
+        "fill_date": F.try_to_date(F.left(at("$.whenHandedOver"), F.lit(10)), "yyyy-MM-dd"),
+        "days_supply": F.coalesce(supply.try_cast("int"), F.lit(0)),
+        "pharmacy_id": last_part("$.performer[0].actor.reference"),
+        "source_system": F.lit(None), "dosage_form": F.lit(None),
+        "message_format": F.lit("FHIR_R4"),
+    })
+
+
+def _dispense(fields: dict[str, Column]) -> Column:
+    kinds = {"fill_date": "date", "days_supply": "int"}
+    return F.struct(*[fields[c].cast(kinds.get(c, "string")).alias(c) for c in DISPENSE_COLUMNS])
+
+
+def dispense_outcomes(messages: DataFrame, raw: str = "raw", positions: dict[str, tuple[str, int]] = HL7_FIELDS) -> DataFrame:
+    """Every message with its ``dispenses`` (an array of one schema for both formats) or its ``reason``.
+
+    Each message is split or parsed once, whatever its format, and good and refused messages come out
+    of the same pass. A pipe-delimited message is one dispense, its last segment of a kind counting;
+    without patient or drug code it is refused. A JSON message is a resource or a bundle of them;
+    resources of another type are skipped. It is refused as a whole when it is not one JSON value, or
+    when a bundle entry is null or a dispense has an empty list where its first coding or performer
+    is looked up.
+    """
+    is_hl7 = F.col("_format") == "HL7V2"
+    labelled = computed_once(spread_out(messages), {"_format": message_format(F.col(raw))})
+    split = computed_once(labelled, {
+        "_lines": F.when(is_hl7, F.split(F.col(raw), "\r\n?|\n")),
+        "_value": F.when(F.col("_format") == "FHIR_R4", jsontext.strict_variant(F.col(raw))),
+    })
 
+    def last_of(kind: str) -> Column:
+        own = F.filter("_lines", lambda s: (s == kind) | s.startswith(f"{kind}|"))
+        return F.split(F.try_element_at(own, F.lit(-1)), r"\|")
 
-def route_dispenses(messages: DataFrame, raw: str = "raw") -> tuple[DataFrame, DataFrame]:
-    """Unified dispenses from both formats, and dead letters with a reason (text cut at 500)."""
-    kept = [c for c in messages.columns if c != raw]
-    labelled = spread_out(messages).withColumn("_format", message_format(F.col(raw)))
-    hl7 = hl7_dispenses(labelled.where("_format = 'HL7V2'"), raw)
-    json_rows = computed_once(labelled.where("_format = 'FHIR_R4'"), {"_value": jsontext.strict_variant(F.col(raw))})
-    has_keys = F.col("patient_hash").isNotNull() & F.col("ndc_code").isNotNull()
-    good = hl7.where(has_keys).select(*kept, *DISPENSE_COLUMNS).unionByName(
-        fhir_dispenses(json_rows.where("_value IS NOT NULL")).select(*kept, *DISPENSE_COLUMNS)
+    segments = sorted({kind for kind, _ in positions.values()})
+    entries = F.try_variant_get("_value", "$.entry", "array<variant>")
+    members = F.transform(entries, lambda e: F.coalesce(F.variant_get(e, "$.resource", "variant"), e))
+    single = F.array(F.coalesce(F.variant_get("_value", "$.resource", "variant"), F.col("_value")))
+    nothing = F.coalesce(F.exists(entries, lambda e: e.isNull() | (F.schema_of_variant(e) == "VOID")), F.lit(False))
+    cut = computed_once(split, {
+        **{f"_{k}": last_of(k) for k in segments},
+        "_resources": F.filter(F.coalesce(members, single), lambda r: F.try_variant_get(r, "$.resourceType", "string") == "MedicationDispense"),
+        "_nothing": nothing,
+    })
+
+    def no_first(path: str) -> Column:
+        return F.exists("_resources", lambda r: F.coalesce(F.size(F.try_variant_get(r, path, "array<variant>")) == 0, F.lit(False)))
+
+    rows = F.when(is_hl7, F.array(_hl7_row(positions))).otherwise(F.transform("_resources", _fhir_row))
+    parsed = computed_once(cut, {"_rows": rows, "_empty": no_first("$.medicationCodeableConcept.coding") | no_first("$.performer")})
+    reason = (
+        F.when(F.col("_format") == "UNKNOWN", "unknown_format")
+        .when(is_hl7 & (F.get("_rows", F.lit(0))["patient_hash"].isNull() | F.get("_rows", F.lit(0))["ndc_code"].isNull()), "missing_required_hl7_fields")
+        .when(~is_hl7 & F.col("_value").isNull(), "parse_error: not one JSON value")
+        .when(F.col("_nothing"), "parse_error: null entry")
+        .when(F.col("_empty"), "parse_error: empty list")
     )
+    judged = computed_once(parsed, {"reason": F.when(F.col(raw).isNull(), "unknown_format").otherwise(reason)})
+    return judged.select(*messages.columns, F.when(F.col("reason").isNull(), F.col("_rows")).alias("dispenses"), "reason")
 
-    def dead(df: DataFrame, reason: str) -> DataFrame:
-        return df.select(*kept, F.left(F.col(raw), F.lit(500)).alias("raw"), F.lit(reason).alias("reason"))
 
-    refused = (
-        dead(labelled.where("_format = 'UNKNOWN'"), "unknown_format")
-        .unionByName(dead(json_rows.where("_value IS NULL"), "parse_error: not one JSON value"))
-        .unionByName(dead(hl7.where(~has_keys), "missing_required_hl7_fields"))
-    )
-    return good, refused
+def route_dispenses(messages: DataFrame, raw: str = "raw", as_of: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Unified dispenses from both formats, and dead letters with a reason (text cut at 500).
+
+    With ``as_of`` dispenses carry it as ``_ingested_at``. Both results read one ``dispense_outcomes``;
+    a caller that writes both persists or writes that once.
+    """
+    outcomes = dispense_outcomes(messages, raw)
+    kept = [c for c in messages.columns if c != raw]
+    good = outcomes.where("reason IS NULL").select(*kept, F.inline("dispenses"))
+    if as_of is not None:
+        good = good.withColumn("_ingested_at", F.lit(as_of))
+    return good, outcomes.where("reason IS NOT NULL").select(*kept, F.left(F.col(raw), F.lit(500)).alias("raw"), "reason")
 
 
 # --- interactions and deadlines -------------------------------------------------------------

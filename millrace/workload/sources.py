@@ -74,13 +74,28 @@ def message_dead_letters(spark, root):
 SELECT o_orderkey, json_extract_string(j, '$.transaction_id') AS transaction_id, json_extract_string(j, '$.account_id') AS account_id,
   json_extract_string(j, '$.customer_id') AS customer_id, typ AS transaction_type, json_extract_string(j, '$.channel') AS channel,
   json_extract_string(j, '$.status') AS status, json_extract_string(j, '$.created_timestamp') AS created_timestamp,
-  CAST(amt AS DOUBLE) AS amount, '{roles.EVENT_NOW}' AS _ingestion_ts, 'pubsub_streaming' AS _source,
+  CAST(amt AS DOUBLE) AS amount, 0 AS extras, '{roles.EVENT_NOW}' AS _ingestion_ts, 'pubsub_streaming' AS _source,
   coalesce(substring(json_extract_string(j, '$.created_timestamp'), 1, 10), '{roles.EVENT_DAY}') AS created_date,
   CAST(amt AS DOUBLE) > 1000000 AS high_value_flag
 FROM e WHERE len(errors) = 0""")
 def enriched_messages(spark, root):
     valid = validate.valid_rows(validate.validated_messages(messages(spark, root)))
-    return validate.enrich(validate.message_columns(valid), roles.EVENT_NOW, "pubsub_streaming")
+    loaded = validate.enrich(validate.message_columns(valid), roles.EVENT_NOW, "pubsub_streaming")
+    return loaded.withColumn("extras", F.size("extra")).drop("extra")
+
+
+@register("P5 X1", sql="""SELECT concat('T', o_orderkey) AS transaction_id, o_totalprice * 1.001::DOUBLE AS amount, concat('"', o_orderpriority, '"') AS priority,
+concat('{"late":', CASE WHEN o_orderstatus = 'F' THEN 'true' ELSE 'false' END, ',"lines":[', o_custkey, ',7]}') AS detail FROM orders""")
+def whole_records(spark, root):
+    """Undeclared fields and amounts with more than two decimals survive the intake."""
+    orders = roles.orders(spark, root)
+    record = F.to_json(F.struct(
+        F.concat(F.lit("T"), "o_orderkey").alias("transaction_id"), F.lit("A").alias("account_id"), F.lit("C").alias("customer_id"), F.lit("PAYMENT").alias("transaction_type"),
+        (F.col("o_totalprice") * F.lit(1.001)).alias("amount"), F.col("o_orderpriority").alias("priority"),
+        F.struct((F.col("o_orderstatus") == "F").alias("late"), F.array("o_custkey", F.lit(7)).alias("lines")).alias("detail"),
+    ))
+    valid = validate.valid_rows(validate.validated_messages(orders.select(record.alias("raw"))))
+    return validate.message_columns(valid).select("transaction_id", "amount", F.col("extra")["priority"].alias("priority"), F.col("extra")["detail"].alias("detail"))
 
 
 @register("P4", sql=f"""SELECT o_orderkey, CASE WHEN channel NOT IN ('MOBILE', 'WEB', 'ATM', 'BRANCH', 'UPI') THEN ['Invalid channel: ' || channel] ELSE [] END AS errors
@@ -249,3 +264,27 @@ def till_dead_letters(spark, root):
         F.get_json_object("record", "$.till_id").cast("bigint").alias("till_id"),
         F.get_json_object("record", "$.l_linenumber").cast("int").alias("l_linenumber"), "reason", "timestamp",
     )
+
+
+# The same events as JSON messages: one in 23 is cut short, and each carries a field nobody declared.
+def till_bytes(spark, root):
+    events = till_events(spark, root)
+    whole = F.to_json(F.struct(*[c for c in events.columns if c != "l_linenumber"], F.col("l_linenumber").alias("lane")))
+    cut = F.when(F.col("till_id") % 23 == 0, F.left(whole, F.length(whole) - 1)).otherwise(whole)
+    return events.select("till_id", "l_linenumber", cut.cast("binary").alias("raw")).withColumnRenamed("till_id", "sent_by")
+
+
+@register("R1 X5 P9 P10 P12 S1", sql=TILL_SQL + """
+SELECT till_id AS sent_by, l_linenumber, store_id, barcode, CAST(quantity AS DOUBLE) AS quantity, CAST(till_id AS VARCHAR) AS till_id, timestamp, sale_price_pence / 100.0 AS sale_price_gbp,
+  coalesce(promotion_id, '') <> '' AS is_promoted, CAST(l_linenumber AS VARCHAR) AS lane FROM e WHERE len(missing) = 0 AND till_id % 23 <> 0""")
+def till_sales_from_messages(spark, root):
+    good, _ = retail.till_sales(retail.till_messages(till_bytes(spark, root)), roles.EVENT_NOW)
+    return good.select("sent_by", "l_linenumber", "store_id", "barcode", "quantity", "till_id", "timestamp", "sale_price_gbp", "is_promoted", F.col("extra")["lane"].alias("lane"))
+
+
+@register("R1 X5 P9 S7", sql=TILL_SQL + """
+SELECT reason, count(*) AS messages FROM (SELECT CASE WHEN till_id % 23 = 0 THEN 'parse_error: not one JSON object' ELSE concat('missing_fields: ', list_aggregate(missing, 'string_agg', ', ')) END AS reason
+FROM e WHERE len(missing) > 0 OR till_id % 23 = 0) GROUP BY 1""")
+def till_messages_refused(spark, root):
+    _, refused = retail.till_sales(retail.till_messages(till_bytes(spark, root)), roles.EVENT_NOW)
+    return refused.groupBy("reason").agg(F.count("*").alias("messages"))

@@ -49,11 +49,11 @@ def _run_ingest(spark, root):
     return good, refused
 
 
-def _summary(spark, totals, name, keys):
-    """A summary table partitioned by day, kept by a stream and read back."""
-    path = scratch_path(spark, name)
-    _finish(streams.summary_stream(totals, path, scratch_path(spark, f"{name}-state"), ["day", *keys], "day"))
-    return spark.read.schema(totals.schema).parquet(path)
+def _summary(spark, totals, name, keys, period):
+    """A summary table partitioned by the day or month of its windows, kept by a stream and read back."""
+    path, dated = scratch_path(spark, name), totals.withColumn("_period", F.to_date(F.date_trunc(period, "window_start")))
+    _finish(streams.summary_stream(dated, path, scratch_path(spark, f"{name}-state"), ["_period", *keys], "_period"))
+    return spark.read.schema(dated.schema).parquet(path).drop("_period")
 
 
 @register("X1 X2 S1", sql=MESSAGES_SQL + f"""
@@ -91,7 +91,7 @@ def five_minute_windows(spark, root):
     totals = streams.windowed(
         _events_stream(spark, root), "ts", ["event_type"], {"n": F.count("*"), "total": F.sum(money("value")).cast("double")}
     )
-    return _summary(spark, totals.withColumn("day", F.to_date("window_start")), "windows", ["window_start", "event_type"]).drop("day")
+    return _summary(spark, totals, "windows", ["window_start", "event_type"], "day")
 
 
 def _late(spark, root):
@@ -113,8 +113,10 @@ def late_rows(spark, root):
 WHEN 'WAL' THEN 'wales' ELSE CASE substring(store_id, 1, 2) WHEN 'SE' THEN 'south_east' ELSE 'other' END END AS store_region, barcode, timestamp, sale_price_pence / 100.0 AS sale_price_gbp FROM e WHERE len(missing) = 0""")
 def streamed_till_sales(spark, root):
     good, refused = scratch_path(spark, "till"), scratch_path(spark, "till-refused")
-    stream = _stream(spark, till_events(spark, root), "till-events")
-    _finish(streams.route_batches(stream, lambda b: retail.till_sales(b, NOW), good, refused, scratch_path(spark, "till-state"), "store_region"))
+    events = till_events(spark, root)
+    stream = _stream(spark, events.select(F.to_json(F.struct(*events.columns)).cast("binary").alias("raw")), "till-messages")
+    _finish(streams.route_batches(
+        stream, lambda b: retail.till_sales(retail.till_messages(b), NOW), good, refused, scratch_path(spark, "till-state"), "store_region"))
     return spark.read.parquet(good).select("store_region", "barcode", "timestamp", "sale_price_gbp")
 
 
@@ -124,7 +126,7 @@ def sales_velocity(spark, root):
     sold, _ = retail.till_sales(_stream(spark, till_events(spark, root), "till-velocity"), NOW)
     keyed = sold.withColumns({"product_code": F.coalesce("product_code", "barcode"), "sold_at": F.col("timestamp").cast("timestamp")})
     totals = streams.windowed(keyed, "sold_at", ["store_id", "product_code"], {"items": F.count("*"), "units": F.sum("quantity")})
-    return _summary(spark, totals.withColumn("day", F.to_date("window_start")), "velocity", ["window_start", "store_id", "product_code"]).drop("day")
+    return _summary(spark, totals, "velocity", ["window_start", "store_id", "product_code"], "month")
 
 
 @register("X7", sql=HL7_SQL + "SELECT * EXCLUDE (raw) FROM hg WHERE patient_hash IS NOT NULL UNION ALL SELECT * FROM fg")

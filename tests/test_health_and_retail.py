@@ -27,8 +27,83 @@ def test_both_formats_give_one_schema(spark):
 
 def test_field_positions_can_be_set(spark):
     positions = {**health.HL7_FIELDS, "dosage_form": ("RXD", 5)}
-    row = health.hl7_dispenses(spark.createDataFrame([(HL7,)], "raw string"), positions=positions).first()
-    assert row.dosage_form == "CAP"
+    row = health.dispense_outcomes(spark.createDataFrame([(HL7,)], "raw string"), positions=positions).first()
+    assert row.dispenses[0].dosage_form == "CAP"
+
+
+def test_outcomes_of_odd_messages(spark):
+    entry = '{"entry": [%s]}'
+    raws = [None, entry % "null", entry % FHIR, entry % (FHIR + ", null"), FHIR.replace('[{"code": "12345"}]', "[]"), FHIR.replace('"subject"', '"performer": [], "subject"'),
+            entry % '{"resource": {"resourceType": "Patient"}}', entry % (FHIR + ", " + FHIR.replace("P1", "P2")), FHIR.replace('"subject"', '"other"'), "MSH|", "{}"]
+    rows = {r.i: r for r in health.dispense_outcomes(spark.createDataFrame(list(enumerate(raws)), "i int, raw string")).collect()}
+    assert {i: r.reason for i, r in rows.items() if r.reason} == {
+        0: "unknown_format", 1: "parse_error: null entry", 3: "parse_error: null entry", 4: "parse_error: empty list", 5: "parse_error: empty list", 9: "missing_required_hl7_fields"}
+    assert [x.patient_hash for x in rows[7].dispenses] == ["P1", "P2"] and rows[8].dispenses[0].patient_hash == ""
+    assert rows[6].dispenses == [] and rows[10].dispenses == [] and len(rows[2].dispenses) == 1
+
+
+def test_messages_are_scanned_and_parsed_once(spark, sf_dir):
+    from millrace.workload.health import dispense_messages
+
+    path = health.dispense_outcomes(dispense_messages(spark, sf_dir)).groupBy("reason").count()._jdf.queryExecution().executedPlan().toString()
+    assert path.count("FileScan parquet") == 1
+
+
+def test_lapsed_patients_are_flagged_on_every_day(spark):
+    rows = [(1, "m", 1, 1, dt.date(2024, 1, 1), 30), (1, "m", 1, 1, dt.date(2024, 6, 1), 10), (2, "m", 1, 1, dt.date(2024, 7, 20), 5), (3, "m", 1, 1, dt.date(2024, 1, 5), 0)]
+    fills = spark.createDataFrame(rows, "patient int, molecule string, drug int, pharmacy int, fill_date date, days_supply int")
+    found = {(r.patient, r.day): r for r in health.rolling_adherence(fills, "2023-12-01", "2024-07-22").collect()}
+    covered = {1: {dt.date(2024, 1, 1) + dt.timedelta(i) for i in range(30)} | {dt.date(2024, 6, 1) + dt.timedelta(i) for i in range(10)}, 2: {dt.date(2024, 7, 20) + dt.timedelta(i) for i in range(5)}}
+    want = {}
+    for p, days in covered.items():
+        day = min(days)
+        while day <= dt.date(2024, 7, 22):
+            want[(p, day)] = sum(day - dt.timedelta(i) in days for i in range(90))
+            day += dt.timedelta(1)
+    assert {k: round(r.rolling_pdc * 90) for k, r in found.items()} == want
+    assert found[(1, dt.date(2024, 5, 15))].rolling_pdc == 0.0 and found[(1, dt.date(2024, 5, 15))].at_risk
+
+
+def test_till_messages(spark):
+    good_one = '{"store_id": "LON1", "barcode": 50012, "quantity": 1.5, "sale_price_pence": 199, "till_id": 7, "timestamp": "2024-01-01T10:00:00", "staff": {"id": 3}, "note": null}'
+    raws = [good_one, good_one[:-1], "[1]", good_one.replace("199", '"x"'), good_one.replace('"LON1"', "null"), good_one.replace('"till_id": 7, ', "")]
+    events = retail.till_messages(spark.createDataFrame([(i, r.encode()) for i, r in enumerate(raws)], "n int, raw binary"))
+    good, refused = retail.till_sales(events, "now")
+    row = good.first()
+    assert good.count() == 1 and (row.n, row.barcode, row.quantity, row.sale_price_gbp, row.till_id, row.store_region) == (0, "50012", 1.5, 1.99, "7", "london")
+    assert row.extra == {"staff": '{"id":3}', "note": "null"}
+    assert sorted((r.record, r.reason) for r in refused.collect()) == sorted(zip(raws[1:], [
+        retail.NOT_JSON, retail.NOT_JSON, "missing_fields: sale_price_pence", "missing_fields: store_id", "missing_fields: till_id"]))
+
+
+@pytest.mark.parametrize("support,size", [(0.02, 3), (0.1, 4), (0.3, 2)])
+def test_basket_rules_brute_force(spark, support, size):
+    import itertools
+
+    rnd = random.Random(3)
+    rows = [(b, rnd.choice("aaabbcdefg")) for b in range(90) for _ in range(rnd.randrange(1, 6))] + [(None, "a"), (5, None), (200, "z")]
+    baskets = {}
+    for b, i in rows:
+        if b is not None and i is not None:
+            baskets.setdefault(b, set()).add(i)
+    n = len(baskets)
+    counts = {}
+    for items in baskets.values():
+        for k in range(1, size + 1):
+            for chosen in itertools.combinations(sorted(items), k):
+                counts[chosen] = counts.get(chosen, 0) + 1
+    frequent = {k: c for k, c in counts.items() if c >= support * n}
+    sets, total = retail.item_sets(spark.createDataFrame(rows, "b int, i string"), "b", "i", support, size)
+    assert total == n and {tuple(r["items"]): r["baskets"] for r in sets.collect()} == frequent
+    want = {}
+    for chosen, c in frequent.items():
+        for y in chosen if len(chosen) > 1 else ():
+            given = tuple(x for x in chosen if x != y)
+            want[(given, y)] = (c, round(c / counts[given], 9), round(c * n / (counts[given] * counts[(y,)]), 9))
+    rules = retail.basket_rules(spark.createDataFrame(rows, "b int, i string"), "b", "i", support, size).collect()
+    assert {(tuple(r["given"]), r["item"]): (r["baskets"], round(r["confidence"], 9), round(r["lift"], 9)) for r in rules} == want
+    with pytest.raises(ValueError):
+        retail.item_sets(spark.createDataFrame(rows, "b int, i string"), "b", "i", 0.0)
 
 
 @pytest.mark.parametrize("seed", range(4))

@@ -88,3 +88,13 @@ def test_rows_without_a_key_stay_apart(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), (None, 3), (None, 4)], "k string, v int")
     assert unique_rows(df, "k").count() == 3
     assert unique_rows(df.repartition(3), "k").where("k = 'a'").first().v == 2
+
+
+def test_whole_records_survive(spark):
+    raw = json.dumps({**GOOD, "amount": 12.345, "branch": {"id": 7, "tags": ["a"]}, "score": None, "large": 1e15})
+    checked = v.validated_messages(spark.createDataFrame([(1, raw.encode()), (2, json.dumps({**GOOD, "amount": 98765432109876543210.5}).encode())], "i int, raw binary"))
+    rows = {r.i: r for r in v.message_columns(v.valid_rows(checked)).collect()}
+    assert rows[1].amount == 12.345 and rows[2].amount == 98765432109876543210.5 and rows[2].extra == {}
+    assert {k: json.loads(x) for k, x in rows[1].extra.items()} == {"branch": {"id": 7, "tags": ["a"]}, "score": None, "large": 1e15}
+    twice = v.validated_messages(spark.createDataFrame([(b'{"transaction_id": "a", "transaction_id": "b"}',)], "raw binary"))
+    assert twice.first().errors == [v.PARSE_FAILED]
