@@ -1,13 +1,15 @@
 """Similarity search of a large table of vectors in another, over a stored index of hashed tiles.
 
-Vectors are signed by random hyperplanes: close vectors agree in their first bits. The table is
-range-partitioned by that signature into tiles of about equal size, so a tile is a hash cell whose
-depth follows the density there, and copies of one vector spread over tiles by their ids. A tile is
-stored with its centre c and radius r, and no item of it can score more than q.c + |q| r.
-
-A search first probes the few tiles most likely to hold its best items, by centre and mean distance
-from it, which gives every query a floor, its k-th best score so far. Only tiles whose bound reaches the floor are visited after that, so the
-result is exact; without that second round it is approximate, to be measured with ``recall``.
+Vectors are signed by random hyperplanes: close vectors agree in their first bits. Sorted by that
+signature, the table is cut into tiles of equal size, so a tile is a hash cell whose depth follows
+the density there, and copies of one vector spread over tiles by their ids. A tile is one row: ids,
+vectors, centre c and radius r, and no item of it can score more than q.c + |q| r.
+
+Queries are packed into blocks in the same way. A search first probes, for every query, the few tiles
+most likely to hold its best items, by centre and mean distance from it, which gives the query a
+floor, its k-th best score so far. Only tiles whose bound reaches the floor are visited after that,
+so the result is exact; without that second round it is approximate, to be measured with ``recall``.
+Blocks meet tiles, never single rows: a pair of them is one row until its best items are known.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ DIGITS = 12  # scores that differ by rounding noise only are ties
 
 @dataclass(frozen=True)
 class VectorIndex:
-    """A stored index: rows (tile, item_id, vector) and one row per tile with its centre and radius."""
+    """A stored index: one row (tile, ids, vectors) per tile, and the tiles' centres, radii and mean distances."""
 
     rows: DataFrame
     tiles: DataFrame
@@ -63,59 +65,62 @@ def signatures(vectors: np.ndarray, bits: int = BITS, seed: int = SEED) -> np.nd
     return sides @ (1 << np.arange(bits - 1, -1, -1, dtype=np.int64))
 
 
+def _packed(rows: DataFrame, dims: int, per_tile: int, bits: int = BITS) -> DataFrame:
+    """(tile, ids, vectors, centre, radius, spread): the rows of ``(id, vector)`` in tiles of ``per_tile`` by signature."""
+    kind = dict(rows.dtypes)["id"]
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            code = signatures(_matrix(batch.column(1), dims), bits)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(code)], names=["id", "vector", "code"])
+
+    signed = cut_lineage(rows.mapInArrow(sign, f"id {kind}, vector array<double>, code long"))
+    placed = cut_lineage(signed.repartitionByRange("code", "id").sortWithinPartitions("code", "id").drop("code"))
+    # The number of a row is its place in its partition behind the partitions before: one count per partition.
+    numbered = placed.withColumn("_at", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_at", 33).cast("int"))
+    before, offsets = 0, []
+    for part, n in sorted((r["_part"], r["n"]) for r in numbered.groupBy("_part").agg(F.count("*").alias("n")).collect()):
+        offsets.append((part, before))
+        before += n
+    first = F.broadcast(rows.sparkSession.createDataFrame(offsets, "_part int, _before long"))
+    number = F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    tiled = numbered.join(first, "_part").select(F.floor(number / per_tile).cast("int").alias("tile"), "id", "vector")
+
+    def pack(table: pa.Table) -> pa.Table:
+        vectors = _matrix(table.column("vector"), dims)
+        centre = vectors.mean(axis=0)
+        gaps = ((vectors - centre) ** 2).sum(axis=1)
+        ids = table.column("id").combine_chunks()
+        return pa.table({
+            "tile": table.column("tile")[:1], "ids": pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+            "vectors": pa.array([vectors.astype("<f8").tobytes()], pa.binary()), "centre": _lists(centre[None, :]),
+            "radius": pa.array([float(np.sqrt(gaps.max())) * (1 + 1e-9)]), "spread": pa.array([float(np.sqrt(gaps.mean()))])})
+
+    return tiled.groupBy("tile").applyInArrow(pack, f"tile int, ids array<{kind}>, vectors binary, centre array<double>, radius double, spread double")
+
+
 def build_index(items: DataFrame, key: str, vector: str = "vector", tile_rows: int = TILE_ROWS, path: str | None = None, bits: int = BITS) -> VectorIndex:
     """Sign, sort into tiles and store the vectors of ``items``; ``path`` defaults to the scratch folder.
 
     Rows whose vector is null, holds null or non-finite numbers or has another length than most are
-    left out. A tile holds about ``tile_rows`` rows, more where the table of centres would outgrow
-    its limit, and is the most a task keeps in memory.
+    left out. A tile holds ``tile_rows`` rows, more where the table of centres would outgrow its
+    limit, and is what a task keeps in memory.
     """
-    spark = items.sparkSession
-    path = path or scratch_path(spark, "vector-index")
-    rows = _usable(items, key, vector, "item_id")
+    path = path or scratch_path(items.sparkSession, "vector-index")
+    rows = _usable(items, key, vector, "id")
     sizes = rows.groupBy(F.size("vector").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").first()
     dims, n = (int(sizes["d"]), int(sizes["n"])) if sizes else (0, 0)
-    kind = dict(rows.dtypes)["item_id"]
     tile_rows = max(tile_rows, math.ceil(n * dims * 8 / TILE_TABLE_BYTES))
-    tiles = max(1, -(-n // tile_rows))
-
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            code = signatures(_matrix(batch.column(1), dims), bits)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(code)], names=["item_id", "vector", "code"])
-
-    def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        tile, held, id_type = TaskContext.get().partitionId(), [], None
-        for batch in batches:
-            if len(batch):
-                id_type = batch.column(0).type
-                held.append(_matrix(batch.column(1), dims))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([tile] * len(batch), pa.int32()), batch.column(0), batch.column(1), pa.nulls(len(batch), pa.float64()), pa.nulls(len(batch), pa.float64())],
-                    names=["tile", "item_id", "vector", "radius", "spread"])
-        if held:
-            vectors = np.concatenate(held)
-            centre = vectors.mean(axis=0)
-            gaps = ((vectors - centre) ** 2).sum(axis=1)
-            radius, spread = float(np.sqrt(gaps.max())) * (1 + 1e-9), float(np.sqrt(gaps.mean()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([tile], pa.int32()), pa.nulls(1, id_type), _lists(centre[None, :]), pa.array([radius]), pa.array([spread])],
-                names=["tile", "item_id", "vector", "radius", "spread"])
-
-    signed = cut_lineage(rows.where(F.size("vector") == dims).mapInArrow(sign, f"item_id {kind}, vector array<double>, code long"))
-    placed = signed.repartitionByRange(tiles, "code", F.col("item_id")).sortWithinPartitions("code", "item_id").drop("code")
-    placed.mapInArrow(store, f"tile int, item_id {kind}, vector array<double>, radius double, spread double").write.parquet(path)
-    return open_index(spark, path)
+    _packed(rows.where(F.size("vector") == dims), dims, tile_rows, bits).write.parquet(path)
+    return open_index(items.sparkSession, path)
 
 
 def open_index(spark: SparkSession, path: str) -> VectorIndex:
     """A stored index, from the folder it was written to."""
     stored = spark.read.parquet(path)
-    tiles = stored.where("radius is not null").select("tile", F.col("vector").alias("centre"), "radius", "spread")
+    tiles = stored.select("tile", "centre", "radius", "spread")
     first = tiles.select(F.size("centre").alias("d")).first()
-    return VectorIndex(stored.where("radius is null").select("tile", "item_id", "vector"), tiles, int(first["d"]) if first else 0)
+    return VectorIndex(stored.select("tile", "ids", "vectors"), tiles, int(first["d"]) if first else 0)
 
 
 class Router:
@@ -137,55 +142,58 @@ class Router:
         return first if floors is None else ~first & (middle + sizes * self.radii[None, :] + 1e-9 >= floors[:, None])
 
 
-def _routed(queries: DataFrame, router, dims: int, kind: str) -> DataFrame:
-    """(tile, query_id, vector) for every tile a query has to visit; a ``floor`` column asks for the second round."""
-    second = "floor" in queries.columns
+def _unpacked(data: bytes, dims: int) -> np.ndarray:
+    return np.frombuffer(data, "<f8").reshape(-1, dims) if dims else np.zeros((0, 0))
+
+
+def _routed(blocks: DataFrame, router, dims: int) -> DataFrame:
+    """(tile, block, at) with the places of the block's queries that have to visit the tile; ``floors`` ask for the second round."""
+    second = "floors" in blocks.columns
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low in range(0, len(batch), 1024):
-                part = batch.slice(low, 1024)
-                vectors = _matrix(part.column(1), dims)
-                floors = part.column(2).to_numpy(zero_copy_only=False) if second else None
-                row, tile = np.nonzero(router.value.wanted(vectors, floors))
-                taken = pa.array(row)
+            for i, block in enumerate(batch.column(0).to_pylist()):
+                vectors = _unpacked(batch.column(1)[i].as_py(), dims)
+                floors = _unpacked(batch.column(2)[i].as_py(), 1)[:, 0] if second else None
+                wanted = np.concatenate([
+                    router.value.wanted(vectors[a:a + 1024], None if floors is None else floors[a:a + 1024]) for a in range(0, len(vectors), 1024)])
+                tiles = np.flatnonzero(wanted.any(axis=0))
+                at = [np.flatnonzero(wanted[:, t]).astype(np.int32) for t in tiles]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(router.value.number[tile]), part.column(0).take(taken), part.column(1).take(taken)], names=["tile", "query_id", "vector"])
+                    [pa.array(router.value.number[tiles]), pa.array([block] * len(tiles), pa.int32()), pa.array([a.tolist() for a in at], pa.list_(pa.int32()))],
+                    names=["tile", "block", "at"])
 
-    return queries.mapInArrow(route, f"tile int, query_id {kind}, vector array<double>")
+    columns = ["block", "vectors", "floors"] if second else ["block", "vectors"]
+    return blocks.select(*columns).mapInArrow(route, "tile int, block int, at array<int>")
 
 
-def _visited(pairs: DataFrame, index: VectorIndex, k: int, min_score: float | None, queries_per_task: int) -> DataFrame:
-    """Best ``k`` items of each query within each tile it visits.
-
-    A tile that many queries visit is read by several tasks, each with its share of the queries, so
-    a task holds one tile and about ``queries_per_task`` queries.
-    """
-    kinds, dims = dict(pairs.dtypes) | dict(index.rows.dtypes), index.dims
+def _visited(pairs: DataFrame, blocks: DataFrame, index: VectorIndex, k: int, min_score: float | None) -> DataFrame:
+    """Best ``k`` items of each query within each tile it visits; a task holds one block and one tile at a time."""
+    dims = index.dims
+    kinds = [dict(t.dtypes)["ids"][6:-1] for t in (blocks, index.rows)]
     pairs = cut_lineage(pairs)
-    loads = F.broadcast(pairs.groupBy("tile").agg(F.ceil(F.count("*") / F.lit(queries_per_task)).cast("int").alias("slices")))
-    asked = pairs.join(loads, "tile").withColumn("slice", F.pmod(F.xxhash64("query_id"), F.col("slices")).cast("int")).drop("slices")
-    offered = index.rows.join(loads, "tile").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).drop("slices")
+    asked = pairs.join(blocks.select("block", F.col("ids").alias("asked"), F.col("vectors").alias("queries")), "block")
+    offered = pairs.select(F.col("tile").alias("_tile"), F.col("block").alias("_block")).join(index.rows.withColumnRenamed("tile", "_tile"), "_tile")
+
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        queries, items = left.column("query_id").combine_chunks(), right.column("item_id").combine_chunks()
-        if not len(queries) or not len(items):
-            return pa.table({"query_id": queries[:0], "item_id": items[:0], "score": pa.array([], pa.float64())})
+        at = left.column("at")[0].values.to_numpy(zero_copy_only=False)
+        asked, items = left.column("asked")[0].values, right.column("ids")[0].values
         order = items.to_pandas().argsort(kind="stable").to_numpy()
-        matrix, vectors = _matrix(right.column("vector"), dims)[order], _matrix(left.column("vector"), dims)
+        matrix, queries = _unpacked(right.column("vectors")[0].as_py(), dims)[order], _unpacked(left.column("queries")[0].as_py(), dims)[at]
         who, what, score = [], [], []
-        for low in range(0, len(vectors), 512):
-            scores = np.round(vectors[low:low + 512] @ matrix.T, DIGITS)
+        for low in range(0, len(queries), 512):
+            scores = np.round(queries[low:low + 512] @ matrix.T, DIGITS)
             rows, columns = _best(scores, k)
             value = scores[rows, columns]
             keep = slice(None) if min_score is None else value >= min_score
-            who.append(low + rows[keep])
+            who.append(at[low + rows[keep]])
             what.append(order[columns[keep]])
             score.append(value[keep])
         return pa.table({
-            "query_id": queries.take(pa.array(np.concatenate(who))), "item_id": items.take(pa.array(np.concatenate(what))), "score": pa.array(np.concatenate(score))})
+            "query_id": asked.take(pa.array(np.concatenate(who))), "item_id": items.take(pa.array(np.concatenate(what))), "score": pa.array(np.concatenate(score))})
 
-    out = f"query_id {kinds['query_id']}, item_id {kinds['item_id']}, score double"
-    return asked.groupBy("tile", "slice").cogroup(offered.groupBy("tile", "slice")).applyInArrow(meet, out)
+    out = f"query_id {kinds[0]}, item_id {kinds[1]}, score double"
+    return asked.groupBy("tile", "block").cogroup(offered.groupBy("_tile", "_block")).applyInArrow(meet, out)
 
 
 def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -211,20 +219,27 @@ def search(
     id the smallest vector is searched.
     """
     spark = queries.sparkSession
-    asked = _usable(queries, key, vector, "query_id").where(F.size("vector") == index.dims)
-    asked = asked.groupBy("query_id").agg(F.min("vector").alias("vector"))
-    kind, item_kind = dict(asked.dtypes)["query_id"], dict(index.rows.dtypes)["item_id"]
+    asked = _usable(queries, key, vector, "id").where(F.size("vector") == index.dims)
+    asked = asked.groupBy("id").agg(F.min("vector").alias("vector"))
+    kind, item_kind = dict(asked.dtypes)["id"], dict(index.rows.dtypes)["ids"][6:-1]
     tiles = index.tiles.collect()  # at most TILE_TABLE_BYTES of centres
-    if not tiles:
+    if not tiles or asked.isEmpty():
         return spark.createDataFrame([], f"query_id {kind}, item_id {item_kind}, score double, rank int")
     router = spark.sparkContext.broadcast(Router(tiles, probes))
-    found = cut_lineage(_top(_visited(_routed(asked, router, index.dims, kind), index, k, min_score, queries_per_task), k))
+    blocks = cut_lineage(_packed(asked, index.dims, queries_per_task).select(F.col("tile").alias("block"), "ids", "vectors"))
+    found = cut_lineage(_top(_visited(_routed(blocks, router, index.dims), blocks, index, k, min_score), k))
     if not exact or len(tiles) <= probes:
         return found
     lowest = -math.inf if min_score is None else float(min_score)
-    floors = found.where(F.col("rank") == k).select("query_id", F.col("score").alias("floor"))
-    open_ = asked.join(floors, "query_id", "left").withColumn("floor", F.greatest(F.coalesce("floor", F.lit(lowest)), F.lit(lowest)))
-    more = _visited(_routed(open_, router, index.dims, kind), index, k, min_score, queries_per_task)
+    floors = found.where(F.col("rank") == k).select(F.col("query_id").alias("id"), "score")
+    placed = blocks.select("block", F.posexplode("ids").alias("at", "id")).join(floors, "id", "left")
+
+    def pack(table: pa.Table) -> pa.Table:
+        score = np.nan_to_num(table.column("score").to_numpy(), nan=lowest, neginf=-math.inf)[np.argsort(table.column("at").to_numpy())]
+        return pa.table({"block": table.column("block")[:1], "floors": pa.array([np.maximum(score, lowest).astype("<f8").tobytes()], pa.binary())})
+
+    floors = placed.groupBy("block").applyInArrow(pack, "block int, floors binary")
+    more = _visited(_routed(blocks.join(floors, "block"), router, index.dims), blocks, index, k, min_score)
     return _top(found.drop("rank").unionByName(more), k)
 
 

@@ -75,7 +75,7 @@ SELECT query_id, item_id, round(score, 6) AS score, CAST(rank AS INTEGER) AS ran
 def nearest_vectors(spark, root):
     """The five nearest vectors of every vector, over a stored index of the same table."""
     rows = roles.embeddings(spark, root)
-    index = vectorindex.build_index(rows, "vec_id", "embedding", tile_rows=1024)
+    index = vectorindex.build_index(rows, "vec_id", "embedding")
     return _shown(vectorindex.search(index, rows, "vec_id", "embedding", k=5))
 
 
