@@ -21,6 +21,12 @@ def money_avg(col: Column | str) -> Column:
     return F.try_divide(F.sum(fixed).cast("double"), F.count(fixed).cast("double"))
 
 
+def exact_avg(col: Column | str, kind: str = "decimal(28,10)") -> Column:
+    """Mean of measurements such as scores, of which ten decimals count, in any task order."""
+    fixed = (F.col(col) if isinstance(col, str) else col).cast(kind)
+    return F.try_divide(F.sum(fixed).cast("double"), F.count(fixed).cast("double"))
+
+
 def safe_ratio(part: Column, whole: Column) -> Column:
     """Division that yields null instead of failing on a zero or null denominator."""
     return F.try_divide(part.cast("double"), whole.cast("double"))

@@ -149,24 +149,31 @@ def session_rollup(
 
 
 def audit_trail(
-    steps: DataFrame, session: str, number: str, tool: str, fields: dict[str, Column], page_size: int = MAX_STEPS
+    steps: DataFrame, session: str, number: str, tool: str, result: str, duration_ms: str, fields: dict[str, Column],
+    objective: Column | None = None, closing: dict[str, Column] | None = None, page_size: int = MAX_STEPS,
 ) -> DataFrame:
-    """Steps of each session as JSON with tool counts, ``page_size`` steps to a row.
+    """Steps of each session as JSON, ``page_size`` to a row, beside what holds for the session as a whole.
 
-    A session within the step limit gives one row; a longer one continues on further pages, so no
-    row ever holds an unbounded list.
+    ``steps`` are all replies, the closing one included. Every page repeats the session's objective,
+    whether it was completed, steps, queries, duration, cost and tool counts, and the ``closing`` texts
+    of its last reply (summary, root cause, ...). A broken loop is a step, but its tool was not
+    called. A session within the step limit gives one row, and one without any step a row with no
+    steps; a longer one continues on further pages, so no row ever holds an unbounded list.
     """
-    page = F.floor((F.col(number) - 1) / page_size).cast("int")
+    is_step = F.col(tool) != DONE
+    page = F.when(is_step, F.floor((F.col(number) - 1) / page_size)).cast("int")
     entry = F.struct(F.col(number).alias("step"), *[value.alias(name) for name, value in fields.items()])
-    paged = steps.select(session, page.alias("page"), F.col(tool).alias("_tool"), entry.alias("_step"))
-    listed = paged.groupBy(session, "page").agg(F.sort_array(F.collect_list("_step")).alias("_steps"))
-    used = paged.groupBy(session, "page", "_tool").agg(F.count("*").alias("_n"))
-    counts = used.groupBy(session, "page").agg(
-        F.map_from_entries(F.sort_array(F.collect_list(F.struct("_tool", "_n")))).alias("_counts")
-    )
-    return listed.join(counts, [session, "page"]).select(
-        session, "page", F.size("_steps").alias("total_steps"), F.to_json("_counts").alias("tool_usage"),
-        F.to_json("_steps").alias("steps"),
+    paged = steps.select(session, page.alias("page"), F.when(is_step, entry).alias("_step"))
+    listed = paged.groupBy(session, F.coalesce("page", F.lit(0)).alias("page")).agg(F.sort_array(F.collect_list("_step")).alias("_steps"))
+    called = steps.where(is_step & ~F.col(result).startswith(LOOP_MARK)).groupBy(session, F.col(tool).alias("_tool")).agg(F.count("*").alias("_n"))
+    counts = called.groupBy(session).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("_tool", "_n")))).alias("_counts"))
+    totals = session_rollup(steps, session, tool, result, duration_ms).withColumnsRenamed({"steps": "total_steps", "queries": "total_queries"})
+    texts = {"objective": F.first(objective, ignorenulls=True)} if objective is not None else {}
+    texts |= {name: F.max(F.when(~is_step, value)) for name, value in (closing or {}).items()}
+    if texts:
+        totals = totals.join(steps.groupBy(session).agg(*[value.alias(name) for name, value in texts.items()]), session)
+    return listed.join(totals, session).join(counts, session, "left").select(
+        session, "page", *totals.drop(session).columns, F.coalesce(F.to_json("_counts"), F.lit("{}")).alias("tool_usage"), F.to_json("_steps").alias("steps"),
     )
 
 

@@ -43,11 +43,23 @@ def settings_for(environment: str, **overrides) -> SuiteSettings:
     return replace(ENVIRONMENTS.get(environment, ENVIRONMENTS["default"]), **overrides)
 
 
-def profile_by_day(df: DataFrame, ts: str, nulls: list[str], rules: dict[str, Column]) -> DataFrame:
+PROFILE_DAYS = 31  # today and the thirty days it is compared with
+
+
+def profile_by_day(
+    df: DataFrame, ts: str, nulls: list[str], rules: dict[str, Column], as_of: str | None = None, day: str | None = None
+) -> DataFrame:
     """Everything the suite needs from the table, in one pass: one row per day.
 
-    ``rules`` name the condition of a violation.
+    ``rules`` name the condition of a violation. With ``as_of`` only the days the suite looks at are
+    read, by a range on ``ts`` and, if the table is partitioned by a ``day`` column, on that too; a
+    table without a row in them counts as never loaded.
     """
+    if as_of is not None:
+        first = F.date_sub(F.lit(as_of[:10]).cast("date"), PROFILE_DAYS - 1)
+        df = df.where(F.col(ts) >= first.cast(dict(df.dtypes)[ts]))
+        if day is not None:
+            df = df.where(F.col(day) >= first)
     return df.groupBy(F.to_date(ts).alias("day")).agg(
         F.count("*").alias("n"),
         F.max(ts).alias("newest"),

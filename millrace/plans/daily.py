@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
-from millrace.functions.numbers import money_avg, money_sum
+from millrace.functions.numbers import exact_avg, money_sum
 from millrace.operators.joins import broadcast_join
 from millrace.operators.ordered import latest_per_key, total_order, transaction_features
 from millrace.operators.validate import (
@@ -53,7 +53,7 @@ def unique_rows(df: DataFrame, key: str) -> DataFrame:
 def alert_levels(alerts: DataFrame, day: str) -> DataFrame:
     """Alerts of a day by risk level."""
     return alerts.where(F.col("created_date") == F.lit(day).cast("date")).groupBy("risk_level").agg(
-        F.count("*").alias("cnt"), money_avg("fraud_score").alias("avg_score")
+        F.count("*").alias("cnt"), exact_avg("fraud_score").alias("avg_score")
     )
 
 

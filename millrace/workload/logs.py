@@ -165,15 +165,21 @@ def session_rollup(spark, root):
     return logs.session_rollup(step_log(spark, root), "conv_id", "tool", "result", "duration_ms")
 
 
-@register("L11", sql=f"""WITH s AS (SELECT * FROM ({STEPS}) WHERE tool <> 'DONE'), c AS (SELECT conv_id, tool, count(*) AS n FROM s GROUP BY 1, 2),
-u AS (SELECT conv_id, concat('{{', string_agg(concat('"', tool, '":', n), ',' ORDER BY tool), '}}') AS tool_usage FROM c GROUP BY 1)
-SELECT conv_id, 0 AS page, CAST(count(*) AS INTEGER) AS total_steps, any_value(tool_usage) AS tool_usage,
+@register("L11", sql=f"""WITH a AS ({STEPS}), s AS (SELECT * FROM a WHERE tool <> 'DONE'), c AS (SELECT conv_id, tool, count(*) AS n FROM s WHERE NOT starts_with(result, 'LOOP_DETECTED') GROUP BY 1, 2),
+u AS (SELECT conv_id, concat('{{', string_agg(concat('"', tool, '":', n), ',' ORDER BY tool), '}}') AS tool_usage FROM c GROUP BY 1),
+g AS (SELECT conv_id, count(*) FILTER (tool <> 'DONE') AS total_steps, count(*) FILTER (tool = 'run_sql' AND NOT starts_with(result, 'LOOP_DETECTED')) AS total_queries,
+  CAST(sum(duration_ms) AS BIGINT) AS duration_ms, bool_or(tool = 'DONE') AS completed, max(CASE WHEN tool = 'DONE' THEN left(result, 40) END) AS summary FROM a GROUP BY 1),
+l AS (SELECT conv_id, CAST((step_number - 1) // 3 AS INTEGER) AS page,
   concat('[', string_agg(concat('{{"step":', step_number, ',"tool":"', tool, '","result_length":', length(result), ',"duration_ms":', duration_ms, ',"success":', CASE WHEN starts_with(result, 'ERROR') OR starts_with(result, 'LOOP_DETECTED') THEN 'false' ELSE 'true' END, '}}'), ',' ORDER BY step_number), ']') AS steps
-FROM s JOIN u USING (conv_id) GROUP BY 1""")
+  FROM s GROUP BY 1, 2)
+SELECT l.*, total_steps, total_queries, duration_ms, completed, CASE WHEN completed THEN (total_steps + 1) * 0.05::DOUBLE ELSE 0.5::DOUBLE END AS cost_usd, summary,
+  concat('conversation ', conv_id) AS objective, coalesce(tool_usage, '{{}}') AS tool_usage FROM l JOIN g USING (conv_id) LEFT JOIN u USING (conv_id)""")
 def audit_trail(spark, root):
-    steps = logs.step_outcomes(step_log(spark, root).where(F.col("tool") != logs.DONE), "result")  # the closing reply is no step
+    """Three steps to a page, so sessions run over several."""
+    steps = logs.step_outcomes(step_log(spark, root), "result")
     fields = {"tool": F.col("tool"), "result_length": F.length("result"), "duration_ms": F.col("duration_ms"), "success": F.col("success")}
-    return logs.audit_trail(steps, "conv_id", "step_number", "tool", fields)
+    return logs.audit_trail(
+        steps, "conv_id", "step_number", "tool", "result", "duration_ms", fields, F.concat(F.lit("conversation "), "conv_id"), {"summary": F.left("result", F.lit(40))}, 3)
 
 
 @register("L12", sql="SELECT event_id, CASE WHEN s IN ('info', 'warning', 'critical') THEN s ELSE 'info' END AS severity FROM (SELECT event_id, CASE event_type WHEN 'error' THEN 'critical' WHEN 'view' THEN 'WARNING' WHEN 'click' THEN 'warning' ELSE event_type END AS s FROM events)")

@@ -49,7 +49,7 @@ def suite(spark, root):
     df = checked_events(spark, root)
     limits = quality.settings_for("default", null_limits={"user_id": 0.5, "amount": 1.0})
     rules = {"no_negative_amounts": F.col("amount") < 0}
-    profile = quality.profile_by_day(df, "ts", ["user_id", "amount"], rules)
+    profile = quality.profile_by_day(df, "ts", ["user_id", "amount"], rules, NOW)
     results = quality.suite_results(profile, "events", NOW, ["user_id", "amount"], list(rules), limits)
     expected = {"event_id": "bigint", "ts": "timestamp_ntz", "user_id": "bigint", "amount": "double", "event_type": "string"}
     return quality.schema_result(df, "events", expected, NOW).unionByName(results)
@@ -150,11 +150,13 @@ def implausible_dates(spark, root):
     return quality.implausible_dates(rows, "fill_text", "2001-06-30")
 
 
-@register("Q13", sql=f"""WITH f AS ({roles.FILLS}) SELECT patient, molecule, date_trunc('month', fill_date)::DATE AS fill_month, count(DISTINCT pharmacy) AS pharmacies, count(*) AS fills
-FROM f GROUP BY 1, 2, 3 HAVING count(DISTINCT pharmacy) > 1""")
+@register("Q13", sql=f"""WITH f AS ({roles.FILLS}) SELECT patient, drug, fill_date, count(DISTINCT pharmacy) AS pharmacies, count(*) AS fills
+FROM (SELECT * FROM f UNION ALL SELECT patient, molecule, drug, pharmacy + 1, fill_date, days_supply FROM f WHERE drug % 50 = 0) GROUP BY 1, 2, 3 HAVING count(DISTINCT pharmacy) > 1""")
 def double_dispensing(spark, root):
-    fills = roles.fills(spark, root).withColumn("fill_month", F.trunc("fill_date", "month"))
-    return quality.double_dispensing(fills, "patient", "molecule", "fill_month", "pharmacy")
+    """Every fill of each fiftieth drug is handed out by the next pharmacy as well."""
+    fills = roles.fills(spark, root)
+    again = fills.where("drug % 50 = 0").withColumn("pharmacy", F.col("pharmacy") + 1)
+    return quality.double_dispensing(fills.unionByName(again), "patient", "drug", "fill_date", "pharmacy")
 
 
 @register("Q14", sql="""WITH f AS (SELECT l_orderkey, l_linenumber, l_partkey AS drug, CAST(l_quantity AS INTEGER) AS quantity FROM lineitem),
@@ -298,14 +300,15 @@ def rows_visible_to_analysts(spark, root):
     return seen.groupBy("region", "o_orderpriority").agg(F.count("*").alias("cnt"), money_sum("o_totalprice").alias("total"))
 
 
-@register("G5 F23", sql="""SELECT c_custkey, c_mktsegment, CASE WHEN c_nationkey < 5 THEN c_name ELSE 'MASKED' END AS c_name,
-CASE WHEN c_nationkey < 5 THEN postcode ELSE concat(substring(postcode, 1, 3), ' ***') END AS postcode
-FROM (SELECT *, concat('PC', c_custkey * 7) AS postcode FROM customer)""")
+@register("G5 F23", sql="""SELECT c_custkey, c_mktsegment, role, CASE WHEN role = 'data_steward' THEN c_name ELSE 'MASKED' END AS c_name,
+CASE WHEN role = 'data_steward' THEN postcode ELSE concat(substring(postcode, 1, 3), ' ***') END AS postcode
+FROM (SELECT *, concat('PC', c_custkey * 7) AS postcode FROM customer) CROSS JOIN (VALUES ('data_steward'), ('analyst')) r(role)""")
 def masked_customers(spark, root):
+    """Customers as each role sees them."""
     people = roles.customer(spark, root).withColumn("postcode", F.concat(F.lit("PC"), F.col("c_custkey") * 7))
+    seen = people.withColumn("role", F.explode(F.array(F.lit("data_steward"), F.lit("analyst"))))
     masks = {"c_name": governance.full_mask(), "postcode": governance.prefix_mask("postcode")}
-    steward = F.col("c_nationkey") < 5
-    return governance.masked_columns(people, masks, steward).select("c_custkey", "c_mktsegment", "c_name", "postcode")
+    return governance.masked_columns(seen, masks, F.col("role") == "data_steward").select("c_custkey", "c_mktsegment", "role", "c_name", "postcode")
 
 
 @register("G6 F7", sql="SELECT sha256(concat('pepper', c_custkey)) AS c_custkey, c_mktsegment FROM customer")

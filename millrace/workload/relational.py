@@ -26,6 +26,10 @@ def mavg(c: str) -> str:
     return MAVG.format(c)
 
 
+def score_avg(c: str) -> str:
+    return f"CAST(sum(CAST({c} AS DECIMAL(28,10))) AS DOUBLE) / count({c})"
+
+
 FEATURES = f"""
        CAST(sum(CAST(amount AS DECIMAL(18,2))) OVER (PARTITION BY customer_id ORDER BY created_timestamp) AS DOUBLE) AS running_total,
        row_number() OVER (PARTITION BY customer_id ORDER BY created_timestamp DESC, transaction_id DESC) AS txn_rank,
@@ -183,13 +187,13 @@ def days_against_overall_mean(spark, root):
 
 
 @register("J11", sql=f"""{AL} SELECT c_mktsegment AS customer_segment, risk_level, count(*) AS cnt,
-{msum('fraud_score')} AS score FROM al JOIN customer ON customer_id = c_custkey GROUP BY ALL""")
+CAST(sum(CAST(fraud_score AS DECIMAL(28,10))) AS DOUBLE) AS score FROM al JOIN customer ON customer_id = c_custkey GROUP BY ALL""")
 def alerts_by_segment(spark, root):
     dims = roles.customers(spark, root).select("customer_id", "customer_segment")
     return (
         joins.broadcast_join(roles.alerts(spark, root), dims, "customer_id", "inner")
         .groupBy("customer_segment", "risk_level")
-        .agg(F.count("*").alias("cnt"), money_sum("fraud_score").alias("score"))
+        .agg(F.count("*").alias("cnt"), F.sum(F.col("fraud_score").cast("decimal(28,10)")).cast("double").alias("score"))
     )
 
 
@@ -207,7 +211,7 @@ def top_customer_profile(spark, root):
 @register("B3", sql=f"""{TX}, al AS (SELECT * FROM ({roles.ALERTS}) WHERE created_date = DATE '{roles.EVENT_DAY}'),
 repeat AS (SELECT customer_id, c_mktsegment AS segment, count(*) AS n, max(fraud_score) AS m FROM al
            JOIN customer ON c_custkey = customer_id GROUP BY ALL HAVING count(*) > 1 ORDER BY m DESC, customer_id LIMIT 10)
-SELECT 'alerts by level' AS section, risk_level AS item, count(*) AS cnt, {mavg('fraud_score')} AS measure FROM al GROUP BY 2
+SELECT 'alerts by level' AS section, risk_level AS item, count(*) AS cnt, {score_avg('fraud_score')} AS measure FROM al GROUP BY 2
 UNION ALL SELECT 'repeat customers', concat(customer_id, ' ', segment), n, m FROM repeat
 UNION ALL SELECT 'top customer activity', concat(transaction_type, ' ', channel), count(*), {msum('amount')} FROM tx
 WHERE customer_id = (SELECT customer_id FROM al GROUP BY 1 ORDER BY count(*) DESC, customer_id LIMIT 1)
@@ -290,7 +294,7 @@ def busiest_customers_7_days(spark, root):
     return tx.groupBy("customer_id").agg(F.count("*").alias("cnt")).orderBy(F.desc("cnt"), "customer_id").limit(10)
 
 
-@register("A8", sql=f"{AL} SELECT risk_level, count(*) AS cnt, {mavg('fraud_score')} AS avg_score FROM al WHERE created_date = DATE '{roles.EVENT_DAY}' GROUP BY 1")
+@register("A8", sql=f"{AL} SELECT risk_level, count(*) AS cnt, {score_avg('fraud_score')} AS avg_score FROM al WHERE created_date = DATE '{roles.EVENT_DAY}' GROUP BY 1")
 def alert_levels(spark, root):
     return daily.alert_levels(roles.alerts(spark, root), roles.EVENT_DAY).orderBy(F.desc("cnt"), "risk_level")
 
@@ -331,7 +335,7 @@ def key_skew_ratio(spark, root):
     return skew_ratio(roles.events(spark, root), "user_id")
 
 
-@register("A21")
+@register("A21", sql=f"{TX} SELECT transaction_id, customer_id, amount FROM tx")
 def counted_transform(spark, root):
     counted, _ = daily.count_rows(roles.transactions(spark, root), "scanned")
     newest = ordered.latest_per_key(counted, ["transaction_id"], [F.desc("created_timestamp")])

@@ -80,7 +80,7 @@ def nearest_vectors(spark, root):
 
 
 def _terms(name: str, table: str, key: str, text: str = "text") -> str:
-    return f"""{name}_t AS (SELECT {key} AS id, unnest(regexp_extract_all(lower({text}), '[a-z0-9]+')) AS w FROM {table}),
+    return f"""{name}_t AS (SELECT {key} AS id, unnest(regexp_extract_all(lower({text}), '[\\p{{L}}\\p{{N}}]+')) AS w FROM {table}),
 {name}_c AS (SELECT id, ('0x' || left(md5(w), 8))::BIGINT % {DIMS} AS b, CAST(count(*) AS DOUBLE) AS n FROM {name}_t GROUP BY 1, 2),
 {name}_n AS (SELECT id, sqrt(sum(n * n)) AS s FROM {name}_c GROUP BY 1),
 {name} AS (SELECT c.id, b, n / s AS x FROM {name}_c c JOIN {name}_n USING (id))"""

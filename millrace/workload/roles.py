@@ -20,7 +20,7 @@ SELECT o_orderkey AS transaction_id, o_custkey AS customer_id, o_totalprice AS a
 FROM orders"""
 
 ALERTS = """
-SELECT event_id AS alert_id, user_id AS customer_id, value AS fraud_score,
+SELECT event_id AS alert_id, user_id AS customer_id, value / 128 AS fraud_score,
        CASE WHEN value >= 100 THEN 'HIGH' WHEN value >= 30 THEN 'MEDIUM' ELSE 'LOW' END AS risk_level,
        ts AS created_timestamp, CAST(ts AS DATE) AS created_date
 FROM events WHERE event_type = 'error'"""
@@ -57,7 +57,7 @@ def alerts(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, "events").where("event_type = 'error'").select(
         F.col("event_id").alias("alert_id"),
         F.col("user_id").alias("customer_id"),
-        F.col("value").alias("fraud_score"),
+        (F.col("value") / 128).alias("fraud_score"),  # seven more binary places, so scores have many decimals
         level.alias("risk_level"),
         F.col("ts").alias("created_timestamp"),
         F.to_date("ts").alias("created_date"),

@@ -177,7 +177,7 @@ def table_schema(spark, root):
     return catalog.schema_rows(lines).withColumn("rows", lines.agg(F.count("*")).scalar())
 
 
-@register("C2 S4")
+@register("C2 S4", sql="SELECT event_id, event_type FROM events")
 def appended_to_existing_table(spark, root):
     """Appends land in a table that exists and never create one."""
     name = "appended_events_" + scratch_path(spark, "t").rsplit("-", 1)[1]
@@ -193,9 +193,14 @@ def appended_to_existing_table(spark, root):
     return spark.table(name)
 
 
-@register("Q9")
+@register("Q9", sql="SELECT 'events' AS part, CASE WHEN count(*) = 0 THEN 'skip_no_data' ELSE 'proceed' END AS action FROM events UNION ALL SELECT 'none', 'skip_no_data'")
 def partition_size_gate(spark, root):
-    return catalog.size_gate(table(spark, root, "events").where(F.col("value") > 0))
+    """What the size of the files behind a scan decides, for a stored table and for a part without files."""
+    events = table(spark, root, "events")
+    none = scratch_path(spark, "no-files")
+    events.limit(0).write.partitionBy("event_type").parquet(none)
+    missing = spark.read.schema(events.schema).parquet(none)
+    return catalog.size_gate(events).select(F.lit("events").alias("part"), "action").unionByName(catalog.size_gate(missing).select(F.lit("none").alias("part"), "action"))
 
 
 # --- till events ---------------------------------------------------------------------------

@@ -170,7 +170,7 @@ def refreshed_summary(spark, root):
     return spark.read.schema(totals.schema).parquet(path)
 
 
-@register("S4")
+@register("S4", sql="SELECT event_id, event_type FROM events")
 def streamed_into_existing_table(spark, root):
     events = roles.events(spark, root).select("event_id", "event_type")
     name = "streamed_events_" + scratch_path(spark, "t").rsplit("-", 1)[1]

@@ -72,10 +72,16 @@ def test_session_cost(spark):
 
 
 def test_long_sessions_continue_on_further_pages(spark):
-    df = spark.range(1, 26).select(F.lit("s").alias("s"), F.col("id").alias("n"), F.lit("run_sql").alias("tool"))
-    pages = logs.audit_trail(df, "s", "n", "tool", {"tool": F.col("tool")}).orderBy("page").collect()
-    assert [(p.page, p.total_steps) for p in pages] == [(0, 10), (1, 10), (2, 5)]
-    assert pages[2].tool_usage == '{"run_sql":5}'
+    rows = [("s", n, "run_sql", "3 rows", 10) for n in range(1, 26)] + [("t", 1, "run_sql", "LOOP_DETECTED: x", 5), ("t", 2, "get_schema", "ok", 5), ("t", 3, "DONE", "all clear", 5), ("u", 1, "DONE", "nothing", 1)]
+    df = spark.createDataFrame(rows, "s string, n int, tool string, result string, ms int")
+    found = logs.audit_trail(df, "s", "n", "tool", "result", "ms", {"tool": F.col("tool")}, F.concat(F.lit("why "), "s"), {"summary": F.col("result")}).collect()
+    pages = {(p.s, p.page): p for p in found}
+    assert sorted(pages) == [("s", 0), ("s", 1), ("s", 2), ("t", 0), ("u", 0)]
+    assert {(p.total_steps, p.total_queries, p.duration_ms, p.completed, p.tool_usage, p.summary) for p in found if p.s == "s"} == {(25, 25, 250, False, '{"run_sql":25}', None)}
+    assert [pages["s", i].steps.count("step") for i in range(3)] == [10, 10, 5]
+    t = pages["t", 0]
+    assert (t.total_steps, t.total_queries, t.completed, t.tool_usage, t.summary, t.objective) == (2, 0, True, '{"get_schema":1}', "all clear", "why t")
+    assert (pages["u", 0].total_steps, pages["u", 0].steps, pages["u", 0].tool_usage) == (0, "[]", "{}")
 
 
 def test_a_broken_loop_is_no_success(spark):

@@ -142,3 +142,13 @@ def test_cycles_end(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("c", "d")], "source string, target string")
     roots = spark.createDataFrame([("a",), ("d",), ("nowhere",)], "r string")
     assert sorted(map(tuple, governance.lineage_reach(edges, roots).collect())) == [("a", "b", 1), ("a", "c", 2), ("a", "d", 3)]
+
+
+def test_profile_reads_the_days_it_needs(spark, tmp_path):
+    rows = [(dt.datetime(2024, 1, 1) + dt.timedelta(days=d), float(d)) for d in range(100)]
+    spark.createDataFrame(rows, "ts timestamp_ntz, amount double").withColumn("day", F.to_date("ts")).write.partitionBy("day").parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    profile = quality.profile_by_day(df, "ts", ["amount"], {}, "2024-04-01 06:00:00", "day")
+    assert profile.count() == 39 and profile.agg(F.min("day")).first()[0] == dt.date(2024, 3, 2)
+    plan = profile._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "GreaterThanOrEqual(ts" in plan
