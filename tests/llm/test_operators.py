@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import string
 import zlib
 
 import numpy as np
@@ -16,7 +17,7 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, si
 
 
 def frame(spark, texts, **more):
-    rows = [(i, t, more.get("lang", {}).get(i, "en"), f"s{i % 3}" if i % 7 else None, 0, 1, "x", 2, 3) for i, t in texts]
+    rows = [(i, t, more.get("lang", {}).get(i, "en"), f"s{(i or 0) % 3}" if (i or 0) % 7 else None, 0, 1, "x", 2, 3) for i, t in texts]
     return spark.createDataFrame(rows, SCHEMA)
 
 
@@ -256,12 +257,14 @@ def test_decontamination(spark, odd):
     assert decontamination.contaminated(odd, items).count() == 0 and decontamination.contaminated(docs, items.limit(0)).count() == 0
 
 
-def test_token_files_round_trip(spark, odd):
+def test_token_files_round_trip(spark, odd, monkeypatch):
     import public_tokenizers
     from tokenizers import Tokenizer
 
     path = public_tokenizers.path("word_bpe_49k.json")
-    docs = frame(spark, [(3, "The cat's hat, 12 <|endoftext|> é x\x1cy"), (1, None), (2, ""), (9, words(1, 5000)), (9, words(1, 5000))])
+    docs = frame(spark, [(3, "The cat's hat, 12 <|endoftext|> é x\x1cy"), (1, None), (2, ""), (9, words(1, 5000)), (9, words(1, 5000)),
+                        (4, "ABC Mixed CASE'S don't x2y \u212a \u00c9t\u00e9 a"), *[(20 + i, words(i, 30, string.ascii_letters)) for i in range(40)]])
+    monkeypatch.setattr(tokenfiles, "PART_BYTES", 5000)
     folder = tokenfiles.token_folder(docs)
     got = sorted(tuple(r) for r in tokenfiles.read_token_files(tokenfiles.write_token_files(docs, path, folder), folder).collect())
     plain, start, want = Tokenizer.from_file(path), 0, []
@@ -272,6 +275,26 @@ def test_token_files_round_trip(spark, odd):
     assert got == want
 
 
+def test_token_ids_take_the_narrowest_type(spark):
+    import public_tokenizers
+
+    words_ = tokenfiles.WordCachedTokenizer(public_tokenizers.path("word_bpe_49k.json"), 1)
+    assert words_.dtype == np.uint16 and words_.plain is str.lower
+    assert tokenfiles.WordCachedTokenizer(public_tokenizers.path("word_bpe_49k.json"), 1 << 17).dtype == np.uint32
+    text = "Plain WORDS and, others-like 42 these: \u00fcber"
+    assert np.frombuffer(words_.ids([text])[0], np.uint16).tolist() == words_._encode(text).ids
+
+
+def test_null_keys_make_the_first_part(spark):
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    docs = frame(spark, [(None, "b a"), (-5, "c"), (None, "a"), (7, "d e f")])
+    folder = tokenfiles.token_folder(docs)
+    got = sorted(tokenfiles.read_token_files(tokenfiles.write_token_files(docs, path, folder), folder).collect(), key=lambda r: r["start"])
+    assert [(r["doc_id"], r["start"], r["n_tokens"]) for r in got] == [(None, 0, got[0]["n_tokens"]), (None, got[0]["n_tokens"], got[1]["n_tokens"]), (-5, 5, 2), (7, 7, 4)]
+
+
 def test_licences(spark, odd):
     lines = ["Licensed under the Apache License, Version 2.0.", "Released under the MIT License.", "All rights reserved."]
     docs = frame(spark, [(i, words(i, 30) + "\n" + (lines[i % 3] if i % 2 else words(i + 500, 8))) for i in range(200)] + [(900, None), (901, "")])
