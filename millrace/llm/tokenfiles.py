@@ -14,6 +14,7 @@ import re
 import string
 import uuid
 import zlib
+from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -35,15 +36,19 @@ TOGETHER = 4 << 20  # characters of text looked at together
 
 # white space to Python that the tokenizers do not treat as such
 ODD_SPACE = re.compile("[\x1c-\x1f]")
+# letters of Latin-1, and a word of them with the ASCII marks that may stand behind it (no apostrophe)
+LETTERS = string.ascii_letters + "".join(chr(c) for c in range(0xC0, 0x100) if chr(c).isalpha())
+MARKS = string.punctuation.replace("'", "")
+PLAIN = re.compile(f"([{LETTERS}]+)([{re.escape(MARKS)}]*)")
 
 
 class WordCachedTokenizer:
     """A tokenizer that drops white space and never joins text across it, with the ids of its words kept.
 
     For such a tokenizer the ids of a text are those of its words in turn, so each distinct word is
-    encoded once. Words are what stands between white space. Words of ASCII letters go to the
+    encoded once. Words are what stands between white space. Words of Latin letters go to the
     tokenizer's model directly, past its patterns, if made-up words of all lengths show that these
-    leave them whole.
+    leave them whole and part them from marks behind them.
     """
 
     def __init__(self, path: str, end_id: int = 0):
@@ -63,24 +68,42 @@ class WordCachedTokenizer:
         return self.tokenizer.encode(text, add_special_tokens=False)
 
     def _plain(self):
-        """How a word of letters reaches the model: lower-cased, as it is, or (None) not directly."""
-        if any(t.content.isascii() and t.content.isalpha() for t in self.tokenizer.get_added_tokens_decoder().values()):
+        """How a word of letters reaches the model: lower-cased or not, as bytes or not; or (None) not directly."""
+        from tokenizers import pre_tokenizers
+
+        if any(set(t.content) <= set(LETTERS) or set(t.content) <= set(MARKS) for t in self.tokenizer.get_added_tokens_decoder().values()):
             return None
         r = random.Random(0)
-        probes = ["".join(r.choice(string.ascii_letters) for _ in range(1 + i % 24)) for i in range(PROBES)]
-        want = self._encode(" ".join(probes)).ids
-        for way in (str.lower, str):
-            if [t.id for w in probes for t in self.model.tokenize(way(w))] == want:
-                return way
+
+        def some(of: str, n: int) -> str:
+            return "".join(r.choice(of) for _ in range(n))
+
+        probes = [(some(LETTERS if i % 2 else string.ascii_letters, 1 + i % 24), some(MARKS, max(0, i % 7 - 3))) for i in range(PROBES)]
+        want = self._encode(" ".join(word + mark for word, mark in probes)).ids
+        marks = [self._encode(mark).ids for _, mark in probes]
+        in_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        for table in ({ord(c): in_bytes.pre_tokenize_str(c)[0][0] for c in LETTERS}, {}):
+            for way in (lambda w, t=table: w.lower().translate(t), lambda w, t=table: w.translate(t)):
+                if [i for (word, _), mark in zip(probes, marks) for i in (*(t.id for t in self.model.tokenize(way(word))), *mark)] == want:
+                    return way
         return None
 
     def _learn(self, new: list[str]) -> None:
         """Encode words: plain ones by the model, the others as one text whose tokens go to the word they start in."""
         if self.plain is not None:
-            way, cut, dtype = self.plain, self.model.tokenize, self.dtype
-            direct = [w for w in new if w.isascii() and w.isalpha()]
-            self.known.update((w, np.array([t.id for t in cut(way(w))], dtype).tobytes()) for w in direct)
-            new = [w for w in new if not (w.isascii() and w.isalpha())]
+            known, code = self.known, self.dtype.char
+            words, others = [], []
+            for word in new:
+                found = PLAIN.fullmatch(word)
+                if found is None:
+                    others.append(word)
+                else:
+                    words.append((word, *found.groups()))
+            for letters in {w for _, w, _ in words if w not in known}:
+                known[letters] = array(code, [t.id for t in self.model.tokenize(self.plain(letters))]).tobytes()
+            marks = {m: array(code, self._encode(m).ids).tobytes() for m in {m for _, _, m in words}}
+            known.update((word, known[letters] + marks[mark]) for word, letters, mark in words if mark)
+            new = others
         for at in range(0, len(new), CHUNK):
             part = new[at:at + CHUNK]
             found = self._encode(" ".join(part))
