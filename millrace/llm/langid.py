@@ -21,7 +21,7 @@ _PIECE = 1 << 20
 
 
 def _letter_table() -> np.ndarray:
-    """For each 16-bit unit its lower-case unit if it is a letter or a surrogate, else 0."""
+    """For each 16-bit unit its lower-case unit if it is a letter or a surrogate (see ``grams``), else 0."""
     table = np.zeros(65536, np.uint16)
     for unit in range(65536):
         if 0xD800 <= unit < 0xE000:
@@ -44,6 +44,13 @@ def grams(text: str) -> np.ndarray:
     if not _LETTERS:
         _LETTERS.append(_letter_table())
     units = _LETTERS[0][np.frombuffer(text.encode("utf-16-le", "surrogatepass"), np.uint16)]
+    half = (units >= 0xD800) & (units < 0xE000)
+    if half.any():  # two units make one character, and only letters count
+        first = np.flatnonzero(half[:-1] & half[1:] & (units[:-1] < 0xDC00) & (units[1:] >= 0xDC00))
+        points = 0x10000 + ((units[first].astype(np.int64) - 0xD800) << 10) + (units[first + 1].astype(np.int64) - 0xDC00)
+        letters = first[np.array([chr(c).isalpha() for c in points.tolist()], bool)]
+        half[letters] = half[letters + 1] = False
+        units = np.where(half, 0, units).astype(np.uint16)
     if not units.any():
         return np.zeros(0, U)
     padded = np.concatenate([[0, 0, 0], units, [0]]).astype(np.uint16)

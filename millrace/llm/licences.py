@@ -220,9 +220,13 @@ def scan(docs: DataFrame, model: Classifier, key: str = "doc_id", text: str = "t
     probability (ties: first in order), ``unknown`` if there are only unknown lines, else ``none``;
     ``families`` lists the confirmed ones, ``score`` is the highest probability (none: 0).
 
-    Null and blank texts: none. Equal keys are judged together, and repeated rows stay repeated. Other
-    columns do not matter.
+    Null and blank texts: none. Equal keys are judged together, null ones among them, and repeated rows
+    stay repeated. Other columns do not matter.
     """
+    # In a struct a null key is equal to itself, in joins as in groups.
+    own, name = key, "_own"
+    docs, key = docs.select(F.struct(F.col(own).alias("id")).alias(name), F.col(text).alias("_text")), name
+    text = "_text"
     some = F.arrays_overlap("words", F.array(*[F.lit(w) for w in model.words])) if model.words else F.lit(False)
     single = cut_lineage(paragraphs(docs, key, text).where(some)).select(key, "place", F.col("place").alias("last"), "words")
     lines = single.unionByName(cut_lineage(passages(docs, model.templates, key, text).where(some)))
@@ -249,6 +253,6 @@ def scan(docs: DataFrame, model: Classifier, key: str = "doc_id", text: str = "t
         F.max(F.when(F.col("sure"), order)).alias("top"), F.array_sort(F.collect_set(F.when(F.col("sure"), F.col("family")))).alias("families"),
         F.count_if("sure").alias("n_paragraphs"), F.count_if(~F.col("sure")).alias("n_unknown"), F.max("p").alias("score"))
     return docs.select(key).join(found, key, "left").select(
-        key, F.coalesce("top.family", F.when(F.col("n_unknown") > 0, F.lit(UNKNOWN)), F.lit(NONE)).alias("licence"),
+        F.col(key)["id"].alias(own), F.coalesce("top.family", F.when(F.col("n_unknown") > 0, F.lit(UNKNOWN)), F.lit(NONE)).alias("licence"),
         F.coalesce(F.array_join("families", ","), F.lit("")).alias("families"), F.coalesce("n_paragraphs", F.lit(0)).cast("long").alias("n_paragraphs"),
         F.coalesce("n_unknown", F.lit(0)).cast("long").alias("n_unknown"), F.coalesce("score", F.lit(0.0)).alias("score"))

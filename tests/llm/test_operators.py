@@ -173,6 +173,22 @@ def test_languages(spark, odd):
     assert langid.identify(odd).count() == odd.count()
 
 
+def test_only_letters_make_a_language(spark):
+    emoji, deseret = "\U0001f600\U0001f680 " * 30, "\U00010400\U00010428" * 20
+    assert not len(langid.grams(emoji)) and len(langid.grams(deseret)) and not len(langid.grams("\ud800 1"))
+    assert langid.grams("ab\U0001f600c").tolist() == langid.grams("ab!c").tolist()
+    docs = frame(spark, [(i, words(i, 40)) for i in range(40)] + [(100, emoji), (101, None), (102, "7 \u00b1 !")])
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.identify(docs).collect()}
+    assert {got[i] for i in (100, 101, 102)} == {("und", 0.0)} and got[3][0] == "en"
+
+
+def test_licences_of_null_keys(spark):
+    docs = frame(spark, [(i, words(i, 30) + "\n" + ("Released under the MIT License." if i % 2 else words(i + 500, 8))) for i in range(200)])
+    model = licences.train(docs, "doc_id", "text")
+    odd = frame(spark, [(None, "Released under the MIT License."), (None, None), (1, words(3, 9))])
+    assert sorted(((r["doc_id"], r["licence"]) for r in licences.scan(odd, model).collect()), key=str) == [(1, "none"), (None, "mit"), (None, "mit")]
+
+
 def test_kneser_ney_probabilities_sum_to_one():
     g, n = np.unique(langid.grams("abc abd abe bcd abc"), return_counts=True)
     model = langid.KneserNey(g, n)
