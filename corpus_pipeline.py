@@ -12,31 +12,42 @@ from millrace.sources.tables import table
 from millrace.workspace import scratch_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+ROW = "_row"
+
+
+def with_row(docs: DataFrame) -> DataFrame:
+    """Documents with a key of each row, its id and the hash of its text: a null id has one too, and
+    rows that share an id but not the text are judged apart. Equal rows share their key."""
+    return docs.withColumn(ROW, F.struct(F.col("doc_id").alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text")))
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents that language identification does not reject."""
-    refused = langid.identify(docs).where("rejected").select("doc_id").distinct()
-    return docs.join(refused, "doc_id", "left_anti").where("doc_id is not null").select(COLUMNS)
+    """Keep documents that language identification does not reject; texts that are null or without a letter go."""
+    rows = with_row(docs)
+    refused = langid.identify(rows, key=ROW).where("rejected").select(ROW).distinct()
+    return rows.join(refused, ROW, "left_anti").select(COLUMNS)
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest id of each class of near copies; repeated rows of that id stay."""
+    """Keep the smallest id of each class of near copies; repeated rows of that id stay, and so do rows without an id."""
     rest = neardup.near_duplicates(docs).where("class_id != doc_id").select("doc_id").distinct()
     return docs.join(rest, "doc_id", "left_anti").select(COLUMNS)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a benchmark item."""
-    leaks = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti").select(COLUMNS)
+    rows = with_row(docs)
+    leaks = decontamination.contaminated(rows, table(spark, sf_dir, "benchmark"), key=ROW).select(ROW).distinct()
+    return rows.join(leaks, ROW, "left_anti").select(COLUMNS)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
-    taken = mixing.mix(docs).select("doc_id", "copies").where("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("copies"))
-    repeated = docs.join(taken, "doc_id").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return repeated.select(COLUMNS)
+    """Each document as often as the mix takes it; equal rows stand together for the copies of all of them."""
+    rows = with_row(docs)
+    taken = mixing.mix(rows, key=ROW).groupBy(ROW).agg(F.sum("copies").alias("copies"), F.count("*").alias("rows")).where("copies > 0")
+    once = rows.join(taken, ROW)
+    lone = once.where("rows = 1").unionByName(once.where("rows > 1").dropDuplicates([ROW]))
+    return lone.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(COLUMNS)
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
