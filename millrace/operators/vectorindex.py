@@ -28,7 +28,7 @@ from millrace.workspace import cut_lineage, scratch_path
 TILE_ROWS = 8192
 TILE_TABLE_BYTES = 64 * 1024 * 1024  # centres sent to every task; tiles grow rather than this table
 QUERIES_PER_TASK = 8192
-PROBES, BITS, SEED = 4, 32, 11
+PROBES, BITS, SEED = 2, 32, 11
 DIGITS = 12  # scores that differ by rounding noise only are ties
 
 
@@ -168,11 +168,15 @@ def _routed(blocks: DataFrame, router, dims: int) -> DataFrame:
 
 
 def _visited(pairs: DataFrame, blocks: DataFrame, index: VectorIndex, k: int, min_score: float | None) -> DataFrame:
-    """Best ``k`` items of each query within each tile it visits; a task holds one block and one tile at a time."""
-    dims = index.dims
+    """Best ``k`` items of each query within each tile it visits; a task holds one block and one tile at a time.
+
+    Where ``blocks`` have floors, only items that reach their query's floor come out.
+    """
+    dims, second = index.dims, "floors" in blocks.columns
     kinds = [dict(t.dtypes)["ids"][6:-1] for t in (blocks, index.rows)]
     pairs = cut_lineage(pairs)
-    asked = pairs.join(blocks.select("block", F.col("ids").alias("asked"), F.col("vectors").alias("queries")), "block")
+    packed = blocks.select("block", F.col("ids").alias("asked"), F.col("vectors").alias("queries"), *(["floors"] if second else []))
+    asked = pairs.join(packed, "block")
     offered = pairs.select(F.col("tile").alias("_tile"), F.col("block").alias("_block")).join(index.rows.withColumnRenamed("tile", "_tile"), "_tile")
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -180,12 +184,15 @@ def _visited(pairs: DataFrame, blocks: DataFrame, index: VectorIndex, k: int, mi
         asked, items = left.column("asked")[0].values, right.column("ids")[0].values
         order = items.to_pandas().argsort(kind="stable").to_numpy()
         matrix, queries = _unpacked(right.column("vectors")[0].as_py(), dims)[order], _unpacked(left.column("queries")[0].as_py(), dims)[at]
+        least = np.full(len(queries), -np.inf if min_score is None else min_score)
+        if second:
+            least = np.maximum(least, _unpacked(left.column("floors")[0].as_py(), 1)[at, 0])
         who, what, score = [], [], []
         for low in range(0, len(queries), 512):
             scores = np.round(queries[low:low + 512] @ matrix.T, DIGITS)
             rows, columns = _best(scores, k)
             value = scores[rows, columns]
-            keep = slice(None) if min_score is None else value >= min_score
+            keep = value >= least[low + rows]
             who.append(at[low + rows[keep]])
             what.append(order[columns[keep]])
             score.append(value[keep])
@@ -239,7 +246,8 @@ def search(
         return pa.table({"block": table.column("block")[:1], "floors": pa.array([np.maximum(score, lowest).astype("<f8").tobytes()], pa.binary())})
 
     floors = placed.groupBy("block").applyInArrow(pack, "block int, floors binary")
-    more = _visited(_routed(blocks.join(floors, "block"), router, index.dims), blocks, index, k, min_score)
+    open_ = cut_lineage(blocks.join(floors, "block"))
+    more = _visited(_routed(open_, router, index.dims), open_, index, k, min_score)
     return _top(found.drop("rank").unionByName(more), k)
 
 
