@@ -53,27 +53,27 @@ def row_salt(columns: list[str], salt_range: int) -> Column:
 
 
 def salted_join(
-    left: DataFrame, right: DataFrame, key: str, salt_range: int = 10, hot_share: float | None = None
+    left: DataFrame, right: DataFrame, key: str, salt_range: int = 10, hot_share: float | None = None, limit: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Left join that spreads every key over ``salt_range`` tasks, or only the hot ones.
 
-    With ``hot_share`` given, only keys holding that share of the left rows are salted and only
-    their right rows repeated; at most ``1 / hot_share`` keys, so that list is broadcast.
+    With ``hot_share`` given, a right side within ``limit`` bytes is sent to the left rows, which then
+    stay where they are. Otherwise only keys holding that share of the left rows are salted and only
+    their right rows repeated; they are found once, at most ``1 / hot_share`` of them, and sent to
+    both sides.
     """
     salt = row_salt(left.columns, salt_range)
     salts = F.sequence(F.lit(0), F.lit(salt_range - 1))
     if hot_share is None:
         salted = left.withColumn("_salt", salt)
         spread = right.withColumn("_salt", F.explode(salts))
-    else:
-        marked = F.broadcast(hot_keys(left, key, hot_share).withColumn("_hot", F.lit(True)))
-        is_hot = F.coalesce(F.col("_hot"), F.lit(False))
-        salted = left.join(marked, key, "left").withColumn("_salt", F.when(is_hot, salt).otherwise(0)).drop("_hot")
-        spread = (
-            right.join(marked, key, "left")
-            .withColumn("_salt", F.explode(F.when(is_hot, salts).otherwise(F.array(F.lit(0)))))
-            .drop("_hot")
-        )
+        return salted.join(spread, [key, "_salt"], "left").drop("_salt")
+    if small_enough(right, limit):
+        return left.join(F.broadcast(right), key, "left")
+    hot = [r[0] for r in hot_keys(left, key, hot_share).collect()]  # at most 1 / hot_share values
+    is_hot = F.col(key).isin(hot) if hot else F.lit(False)
+    salted = left.withColumn("_salt", F.when(is_hot, salt).otherwise(0))
+    spread = right.withColumn("_salt", F.explode(F.when(is_hot, salts).otherwise(F.array(F.lit(0)))))
     return salted.join(spread, [key, "_salt"], "left").drop("_salt")
 
 

@@ -106,7 +106,7 @@ def salted_supplier_join(spark, root):
 def hot_key_salted_join(spark, root):
     return joins.salted_join(
         _hot_lines(spark, root), roles.supplier(spark, root).select("s_suppkey", "s_name", "s_nationkey"),
-        "s_suppkey", hot_share=0.05,
+        "s_suppkey", hot_share=0.05, limit=0,  # as if the suppliers were too many to send
     )
 
 

@@ -8,7 +8,7 @@ from millrace.functions import vectors
 from millrace.operators import quality, retrieval, vectorindex
 from millrace.sources import catalog
 from millrace.workload import roles
-from millrace.workload.quality import suite
+from millrace.workload.quality import SUITE_SQL, suite
 from millrace.workload.registry import register
 
 DIMS = 256
@@ -220,7 +220,15 @@ def embedding_call_metrics(spark, root):
     return retrieval.reuse_metrics(log)
 
 
-@register("V13")
+RECORDS_SQL = f"""{SUITE_SQL}, recs AS (SELECT concat_ws(' ', check_name, message) AS item, concat_ws(' ', check_name, 'events', message, severity) AS text FROM r),
+{_terms('asked', 'benchmark', 'item_id')}, {_terms('found', 'recs', 'item')},
+y AS (SELECT asked.id AS query_id, found.id AS item_id, sum(asked.x * found.x) AS score FROM asked JOIN found USING (b) GROUP BY 1, 2),
+x AS (SELECT i.item_id AS query_id, item, round(coalesce(score, 0), 12) AS score FROM benchmark i CROSS JOIN recs LEFT JOIN y ON y.query_id = i.item_id AND y.item_id = item),
+z AS (SELECT query_id, item AS item_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item) AS rank FROM x)
+SELECT query_id, item_id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM z WHERE rank <= 5"""
+
+
+@register("V13", sql=RECORDS_SQL)
 def audit_records_for_questions(spark, root):
     """Quality-audit records that match the benchmark questions."""
     embed = retrieval.term_embedder(DIMS)

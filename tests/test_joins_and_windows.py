@@ -28,11 +28,17 @@ def dims(spark):
 
 @pytest.mark.parametrize("hot_share", [None, 0.1])
 def test_salted_join_equals_plain_join(skewed, dims, hot_share):
-    salted = joins.salted_join(skewed, dims, "k", 5, hot_share)
+    salted = joins.salted_join(skewed, dims, "k", 5, hot_share, limit=0)
     assert salted.columns == ["k", "v", "name"]
     assert _rows(salted) == _rows(skewed.join(dims, "k", "left"))
 
 
+def test_a_small_side_is_sent_instead_of_salted(spark, skewed):
+    known = spark.range(50).select(F.col("id").cast("int").alias("k"), F.lit("x").alias("name"))
+    plan = joins.salted_join(skewed, known, "k", 5, 0.1)._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan and "_salt" not in plan
+
+
 def test_salting_spreads_exact_copies(skewed):
     salts = skewed.where("k = 1 AND v = 7").select(joins.row_salt(["k", "v"], 5).alias("s")).distinct().count()
     assert salts > 1
