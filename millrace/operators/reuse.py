@@ -3,10 +3,11 @@
 A stored answer serves its question until ``ttl`` has passed and a hit does not renew it, so each
 stored time follows from the one before: the next is the first question at least ``ttl`` later.
 That chain is sequential per question text. It is cut into cells of length ``ttl``, which can hold
-at most one stored time each, and blocks of cells are summarised on their own (for every question
-that could be the first stored one of the block: the last one it leads to). The few block rows are
-then walked in order, and the blocks filled in from their entry times. No task sees all rows of a
-text, however often it was asked.
+at most one stored time each, and into blocks that follow the rows (``ordered.slotted``), which are
+summarised on their own: for every question that could be the first stored one of the block, the
+last one it leads to. The few block rows are then walked in order, and the blocks filled in from
+their entry times. A task sees about as many rows of a text as of any others, however often and
+however fast it was asked.
 """
 
 from __future__ import annotations
@@ -16,16 +17,16 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from millrace.functions.text import question_key
+from millrace.operators.ordered import slotted
 from millrace.workspace import cut_lineage
 
-CELLS_PER_BLOCK = 256
+FAN = 256  # blocks whose summaries are summarised together
 SHORT_RUN = 4096
 NEVER = -(2**62)
 
 
 def reuse_labels(
-    log: DataFrame, question: str, ts: str, row_id: str, ttl_seconds: float = 300, cells_per_block: int = CELLS_PER_BLOCK,
-    short_run: int = SHORT_RUN,
+    log: DataFrame, question: str, ts: str, row_id: str, ttl_seconds: float = 300, fan: int = FAN, short_run: int = SHORT_RUN,
 ) -> DataFrame:
     """Add ``key`` and ``hit`` to every question of a log; ``row_id`` must be unique."""
     ttl = int(ttl_seconds * 1_000_000)
@@ -34,13 +35,13 @@ def reuse_labels(
         return keyed.withColumn("hit", F.lit(False))
     instants = keyed.groupBy("key", F.unix_micros(F.col(ts).cast("timestamp")).alias("at")).agg(F.min(row_id).alias("first_id"))
     instants = instants.withColumn("cell", F.floor(F.col("at") / F.lit(ttl)).cast("bigint"))
-    stored = instants.join(stored_times(instants, ttl, cells_per_block, short_run), ["key", "at"], "left_semi")
+    stored = instants.join(stored_times(instants, ttl, fan, short_run), ["key", "at"], "left_semi")
     misses = stored.select(F.col("first_id").alias(row_id), F.lit(True).alias("_miss"))
     return keyed.join(misses, row_id, "left").withColumn("hit", F.col("_miss").isNull()).drop("_miss")
 
 
 def stored_times(
-    instants: DataFrame, ttl: int, cells_per_block: int = CELLS_PER_BLOCK, short_run: int = SHORT_RUN
+    instants: DataFrame, ttl: int, fan: int = FAN, short_run: int = SHORT_RUN
 ) -> DataFrame:
     """``(key, at)`` of the questions that were computed and stored.
 
@@ -58,12 +59,12 @@ def stored_times(
     alone = runs.where("_cells = 1").select("key", F.col("low").alias("at"))
     chained = runs.where("_cells > 1").select("key", "cell", "run", "_n")
     events = instants.join(chained, ["key", "cell"]).select(
-        "key", "run", "_n", "at", F.col("cell").alias("part"), F.floor(F.col("cell") / cells_per_block).alias("block")
+        "key", "run", "_n", "at", F.col("cell").alias("part")
     )
     short = _folded(events.where(F.col("_n") <= short_run), ttl)
-    long = events.where(F.col("_n") > short_run).withColumn("chain", F.concat_ws("/", "key", "run"))
+    long = events.where(F.col("_n") > short_run).select(F.concat_ws("/", "key", "run").alias("chain"), "part", "at")
     found = alone.unionByName(short)
-    walked = _chained(long, ttl, cells_per_block)
+    walked = _chained(slotted(long, ["chain"], ["at"]).withColumnRenamed("_slot", "block"), ttl, fan)
     return found if walked is None else found.unionByName(walked)
 
 
@@ -80,12 +81,12 @@ def _folded(events: DataFrame, ttl: int) -> DataFrame:
 
 
 def _chained(events: DataFrame, ttl: int, fan: int) -> DataFrame | None:
-    leaves = events.select("chain", "block", "part", F.col("at").alias("start"), F.col("at").alias("last"))
+    leaves = events.select("chain", F.col("block").cast("bigint").alias("block"), "part", F.col("at").alias("start"), F.col("at").alias("last"))
     # Both summaries are small against the log and read several times, so they are written out once.
-    blocks = cut_lineage(_summarised(leaves, ttl, fan, 1))
+    blocks = cut_lineage(_summarised(leaves, ttl))
     if blocks.isEmpty():
         return None
-    groups = cut_lineage(_summarised(blocks, ttl, fan, fan))
+    groups = cut_lineage(_summarised(blocks_as_parts(blocks, fan), ttl))
     top = groups.select("chain", F.lit(0).cast("bigint").alias("block"), F.col("block").alias("part"), "start", "last")
     roots = top.select("chain", "block").distinct().withColumn("entry", F.lit(NEVER))
     group_entries = _entered(roots, top, ttl)
@@ -100,18 +101,17 @@ def blocks_as_parts(blocks: DataFrame, fan: int) -> DataFrame:
     )
 
 
-def _summarised(rows: DataFrame, ttl: int, fan: int, cells_per_part: int) -> DataFrame:
+def _summarised(parts: DataFrame, ttl: int) -> DataFrame:
     """Per block: every possible first stored time and the last one it leads to."""
-    parts = rows if cells_per_part == 1 else blocks_as_parts(rows, fan)
-    block_span = ttl * cells_per_part * fan
 
     def summarise(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["part", "start"])
         start, last, part = (pdf[c].to_numpy() for c in ("start", "last", "part"))
         edges = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
         bounds = list(zip(edges, np.r_[edges[1:], len(part)]))
-        # A block is entered during its first cell at the latest, or at the first start after it.
-        limit = int(np.searchsorted(start, int(key[1]) * block_span + ttl))
+        # What is stored before the block lies before its first time, so the next stored time is less
+        # than one time to live after that, or the first one beyond.
+        limit = int(np.searchsorted(start, start[0] + ttl))
         limit = min(limit + 1, len(start))
         where = np.searchsorted(edges, np.arange(limit), side="right") - 1
         leads = last[:limit].copy()

@@ -181,7 +181,7 @@ def _walk(rows, ttl):
 
 
 @pytest.mark.parametrize("ttl,fan,short", [(300, 256, 4096), (300, 256, 0), (60, 4, 0), (60, 4, 100), (7, 3, 0), (0, 4, 0), (1000, 2, 0)])
-def test_reuse_labels_equal_the_walk(spark, ttl, fan, short):
+def test_reuse_labels_equal_the_walk(spark, slots, ttl, fan, short):
     rnd = random.Random(ttl)
     base = dt.datetime(2024, 1, 1)
     rows = []
