@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.llm.hashing import PrefixHashes, mix, word_bounds
 from millrace.workspace import cut_lineage
@@ -109,22 +109,24 @@ def _increasing(places: list[int]) -> int:
 
 
 def sketched(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(id, same, band values): ``same`` identifies the text, bands are null for texts without words."""
+    """(id, same, n, band values): ``same`` identifies the text, ``n`` counts its runs; a text without words has no bands."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, offsets = [], [0]
+            found, offsets, sizes = [], [0], []
             for value in batch.column(2):
                 labelled = kmers(value.as_py())
+                sizes.append(len(labelled))
                 if len(labelled):
                     found.append(sketches(labelled))
                 offsets.append(offsets[-1] + BANDS * bool(len(labelled)))
             flat = np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))], ["id", "same", "bands"])
+            bands = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), bands], ["id", "same", "n", "bands"])
 
     rows = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(
         F.col(key).cast("long").alias("id"), F.sha2(text, 256).alias("same"), F.col(text).alias("text"))
-    return rows.mapInArrow(sketch, "id long, same string, bands array<long>")
+    return rows.mapInArrow(sketch, "id long, same string, n long, bands array<long>")
 
 
 def texts_of(docs: DataFrame, ids: DataFrame, key: str, text: str) -> DataFrame:
@@ -134,6 +136,33 @@ def texts_of(docs: DataFrame, ids: DataFrame, key: str, text: str) -> DataFrame:
     return cut_lineage(docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).where("text is not null").join(bounded(ids), "id", "left_semi"))
 
 
+def own_runs(ids: DataFrame, texts: DataFrame) -> DataFrame:
+    """(id, own): how many runs of each text stand in no other text of ``ids``."""
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+                labelled = kmers(value.as_py()).view(np.int64)
+                for at in range(0, len(labelled), 1 << 16):
+                    part = labelled[at:at + (1 << 16)]
+                    yield pa.record_batch([pa.array(part), pa.array(np.full(len(part), i, np.int64))], ["run", "id"])
+
+    chosen = texts.join(ids.hint("merge"), "id", "left_semi").select("id", "text")
+    held = chosen.mapInArrow(runs, "run long, id long").groupBy("run").agg(F.count("*").alias("texts"), F.min("id").alias("id"))
+    alone = held.where("texts = 1").groupBy("id").agg(F.count("*").alias("own"))
+    return ids.join(alone.hint("merge"), "id", "left").select("id", F.coalesce("own", F.lit(0)).alias("own"))
+
+
+def may_link(least: float) -> Column:
+    """Whether two texts can be similar at all, by what each has for itself.
+
+    Runs that no other text has are never common, so at most ``m``, the smaller rest, are, and the
+    similarity is at most m / (n + a_n - m).
+    """
+    m = F.least(F.col("n") - F.col("own"), F.col("a_n") - F.col("a_own"))
+    return m >= F.lit(least) * (F.col("n") + F.col("a_n") - m) - F.lit(1e-9)
+
+
 def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """The (a, b) of (a, b, n) pairs whose texts align to ``least``. ``a`` stands in ``n`` pairs, dealt in groups of bounded size."""
     part = F.pmod(F.xxhash64("b"), F.greatest(F.lit(1), F.ceil(F.col("n") / GROUP_ROWS).cast("long"))).alias("part")
@@ -198,8 +227,10 @@ def near_duplicates(docs: DataFrame, least: float = SIMILAR, key: str = "doc_id"
     Order MinHash band: the same ``PICKED`` minimum k-mers in the same order. In every bucket one
     random member is the pivot that members of other classes are aligned with: first in two bands, where most
     groups meet, then in all of them. Members that stay apart from their pivot go on in buckets of
-    two shared bands, with ``PIVOTS`` new pivots each round, until no bucket holds two classes. A round costs
-    a bucket a fixed number of comparisons per member, never all its pairs, and a pivot's members are dealt
+    two shared bands, with ``PIVOTS`` new pivots each round, until no bucket holds two classes. Before the
+    first two of these rounds the runs that a text has for itself, among the texts still left, are counted: a
+    text with too many of them is similar to none and leaves, and two texts meet only if theirs allow it, which
+    loses no link. A round costs a bucket a fixed number of comparisons per member, and a pivot's members are dealt
     out in groups of bounded size. A pair at 0.8 shares no band with probability below 1 in 100,000,
     and fewer than two with probability below 1 in 10,000.
 
@@ -207,13 +238,14 @@ def near_duplicates(docs: DataFrame, least: float = SIMILAR, key: str = "doc_id"
     give repeated rows. Null keys have a null class. Other columns do not matter.
     """
     rows = cut_lineage(sketched(docs, key, text))
-    first = rows.groupBy("same").agg(F.min("id").alias("same_id"), F.min_by("bands", "id").alias("bands"))
+    first = rows.groupBy("same").agg(F.min("id").alias("same_id"), F.min_by("bands", "id").alias("bands"), F.min_by("n", "id").alias("n"))
     nodes = cut_lineage(first)
-    buckets = nodes.select(F.col("same_id").alias("id"), F.posexplode("bands").alias("band", "value"))
+    buckets = nodes.select(F.col("same_id").alias("id"), "n", F.posexplode("bands").alias("band", "value"))
     shared = buckets.groupBy("band", "value").agg(F.count("*").alias("n")).where("n > 1").drop("n")
     buckets = cut_lineage(buckets.join(shared, ["band", "value"]))
     texts = texts_of(docs, buckets.select("id"), key, text)
-    every = buckets.select("id", F.struct("band", "value").alias("bucket"))
+    # runs that a text has for itself are counted once few texts are left; until then none are known
+    every = buckets.select("id", F.struct("band", "value").alias("bucket"), "n", F.lit(0).cast("long").alias("own"))
     roots, done, pivots = None, None, 1
     plan = [every.where("bucket.band < 2"), every]
     while plan:
@@ -223,8 +255,9 @@ def near_duplicates(docs: DataFrame, least: float = SIMILAR, key: str = "doc_id"
         size = F.count("*").over(Window.partitionBy("bucket", "root"))
         turn = F.row_number().over(Window.partitionBy("bucket").orderBy("size", F.xxhash64("id", "bucket"), "id"))
         members = cut_lineage(members.withColumn("size", size).withColumn("turn", turn).drop("size"))
-        picked = members.where(F.col("turn") <= pivots).select("bucket", F.col("id").alias("a"), F.col("root").alias("a_root"))
-        met = members.join(picked.hint("merge"), "bucket").where("root != a_root")
+        picked = members.where(F.col("turn") <= pivots).select(
+            F.col("bucket").alias("a_bucket"), F.col("id").alias("a"), F.col("root").alias("a_root"), F.col("n").alias("a_n"), F.col("own").alias("a_own"))
+        met = members.join(picked.hint("merge"), (F.col("bucket") == F.col("a_bucket")) & (F.col("root") != F.col("a_root")) & may_link(least))
         pairs = met.select("a", F.col("id").alias("b"), F.least("a", "id").alias("u"), F.greatest("a", "id").alias("v")).groupBy("u", "v").agg(
             F.min("a").alias("a"), F.min_by("b", "a").alias("b"))
         pairs = cut_lineage(pairs if done is None else pairs.join(done.hint("merge"), ["u", "v"], "left_anti"))
@@ -236,14 +269,17 @@ def near_duplicates(docs: DataFrame, least: float = SIMILAR, key: str = "doc_id"
         if plan:
             continue
         # pivots have met the whole bucket; all others go on, joined or not, while it holds two classes
-        rest = members.where(F.col("turn") > pivots).select("bucket", "id")
+        rest = members.where(F.col("turn") > pivots).select("bucket", "id", "n", "own")
         rest = rooted(rest, roots) if roots is not None else rest.withColumn("root", F.col("id"))
         mixed = rest.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("bucket")
-        rest = rest.join(mixed.hint("merge"), "bucket").select("bucket", "id")
+        rest = cut_lineage(rest.join(mixed.hint("merge"), "bucket").select("bucket", "id", "n", "own"))
+        if pivots <= PIVOTS:  # counted twice; later rounds have few texts less
+            own = cut_lineage(own_runs(rest.select("id").distinct(), texts))
+            rest = rest.drop("own").join(own.hint("merge"), "id").where(F.col("n") - F.col("own") >= F.lit(least) * F.col("n") - F.lit(1e-9))
         if kind is every:  # where one band is shared so far, by a second one they share
-            second = every.withColumnRenamed("bucket", "second")
+            second = every.select("id", F.col("bucket").alias("second"))
             rest = rest.join(second, "id").where(F.col("second") != F.col("bucket")).select(
-                "id", F.struct(F.least("bucket", "second").alias("one"), F.greatest("bucket", "second").alias("two")).alias("bucket")).distinct()
+                "id", "n", "own", F.struct(F.least("bucket", "second").alias("one"), F.greatest("bucket", "second").alias("two")).alias("bucket")).distinct()
             pivots = PIVOTS
         else:
             pivots *= 2
