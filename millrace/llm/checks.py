@@ -48,3 +48,17 @@ c AS (SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0)
   coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || left(sha256('2024:' || doc_id), 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score FROM documents LEFT JOIN f USING (doc_id)),
 p AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place FROM c WHERE n_features >= 20)
 SELECT doc_id, n_features, weight, score, CASE WHEN place <= (SELECT 10 * count(*) // 100 FROM p) THEN place END AS rank FROM c LEFT JOIN p USING (doc_id)"""
+
+TOP_K = """WITH k AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings WHERE embedding IS NOT NULL
+  AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score FROM k q JOIN k c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM s)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM r WHERE place <= 20"""
+
+DECONTAMINATION = r"""WITH d AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{M}\p{N}]+'), lambda x: x <> '') AS w FROM documents),
+i AS (SELECT item_id, w, least(len(w), 5) AS k FROM (SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{M}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark) WHERE len(w) > 0),
+a AS (SELECT DISTINCT item_id, k, unnest(list_transform(range(1, len(w) - k + 2), lambda n: array_to_string(w[n:n + k - 1], ' '))) AS run FROM i),
+b AS (SELECT DISTINCT doc_id, k, unnest(list_transform(range(1, len(w) - k + 2), lambda n: array_to_string(w[n:n + k - 1], ' '))) AS run FROM d, (SELECT DISTINCT k FROM i) WHERE len(w) >= k),
+n AS (SELECT item_id, count(*) AS n_item FROM a GROUP BY 1),
+s AS (SELECT doc_id, item_id, count(*) AS n_shared FROM a JOIN b USING (k, run) GROUP BY 1, 2)
+SELECT doc_id, item_id, n_item, n_shared, n_shared / CAST(n_item AS DOUBLE) AS containment FROM s JOIN n USING (item_id) WHERE n_shared / CAST(n_item AS DOUBLE) >= 0.8"""

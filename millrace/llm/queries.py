@@ -110,5 +110,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 SQL: dict[str, str] = {
     name: sql for name, sql in {
-        "pipeline": corpus_pipeline.ORACLE_SQL, "op11_vector_codes": checks.vector_codes(), "op12_line_dedup": checks.LINE_DEDUP, "op13_resampling": checks.RESAMPLING,
+        "pipeline": corpus_pipeline.ORACLE_SQL, "op1_top_k_search": checks.TOP_K, "op8_decontamination": checks.DECONTAMINATION, "op11_vector_codes": checks.vector_codes(), "op12_line_dedup": checks.LINE_DEDUP, "op13_resampling": checks.RESAMPLING,
     }.items() if sql}

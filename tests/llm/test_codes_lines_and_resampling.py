@@ -12,8 +12,8 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm import checks, linededup, resampling, vectorcodes
-from millrace.llm.queries import QUERIES
+from millrace.llm import linededup, resampling, vectorcodes
+from millrace.llm.queries import QUERIES, SQL
 
 SCHEMA = "doc_id long, text string, line string, n_lines long, keep string, doc long, h1 long, rank long, score long, bucket int"
 
@@ -271,6 +271,8 @@ def test_codes_of_odd_vectors(spark):
 
 
 @pytest.mark.parametrize("name,types", [
+    ("op1_top_k_search", "query_id bigint, rank int, vec_id bigint, score bigint"),
+    ("op8_decontamination", "doc_id bigint, item_id bigint, n_item bigint, n_shared bigint, containment double"),
     ("op11_vector_codes", "vec_id bigint, code string, error bigint, label_error bigint, codebooks_sha256 string"),
     ("op12_line_dedup", "doc_id bigint, n_lines bigint, n_dropped bigint, kept_sha256 string"),
     ("op13_resampling", "doc_id bigint, n_features bigint, weight bigint, score bigint, rank bigint"),
@@ -278,5 +280,5 @@ def test_codes_of_odd_vectors(spark):
 def test_columns_of_the_queries(spark, sf_dir, duck, name, types):
     df = QUERIES[name](spark, sf_dir)
     assert ", ".join(f"{c} {t}" for c, t in df.dtypes) == types
-    sql = {"op11_vector_codes": checks.vector_codes(), "op12_line_dedup": checks.LINE_DEDUP, "op13_resampling": checks.RESAMPLING}[name]
+    sql = SQL[name]
     assert sorted(map(tuple, df.collect()), key=str) == sorted(duck.sql(sql).project(", ".join(df.columns)).fetchall(), key=str)
