@@ -90,29 +90,52 @@ def adherence_timeline(fills: DataFrame, as_of: str, days: int = 90, history_day
     return _with_pdc(grouped, days)
 
 
-def adherence_segments(fills: DataFrame, last: str, days: int = ROLLING_DAYS) -> DataFrame:
+def adherence_segments(fills: DataFrame, last: str, days: int = ROLLING_DAYS, first: str | None = None) -> DataFrame:
     """Stretches of days in which the covered days of the trailing ``days`` days change evenly.
 
     Covered days up to a day are a sum over interval ends, +1 where supply begins and -1 where it
     ends, each times the days since. The same sum ``days`` later is taken off by mirrored ends, so
     one running sum per patient and molecule over at most four ends per fill day gives, from
-    ``low`` up to ``high``, ``covered = slope * day + base``. The last stretch reaches ``last``.
+    ``low`` up to ``high``, ``covered = slope * day + base``. The last stretch ends on ``last``.
+
+    With ``first`` the stretches begin there, or at the first covered day if that is later. An
+    interval whose four ends have all passed by then adds nothing to any later day, so its ends are
+    not formed: what is sorted grows with the days asked for, not with the history.
     """
     zero = F.lit("1970-01-01").cast("date")
     until = F.lit(last).cast("date")
-    intervals = covered_intervals(fill_days(fills.where(F.col("fill_date") <= until))).where("start_day < end_day")
+    fill_order = Window.partitionBy("patient", "molecule").orderBy("fill_date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    supplied = F.col("start_day") < F.col("end_day")
+    intervals = (
+        covered_intervals(fill_days(fills.where(F.col("fill_date") <= until)))
+        .withColumn("_own", F.min(F.when(supplied, F.col("start_day"))).over(fill_order))
+        .where(supplied)
+    )
+
+    def turn(at: Column, sign: int) -> Column:
+        return F.struct(at.cast("long").alias("at"), F.lit(sign).cast("long").alias("sign"))
+
     # A day counts as covered at its end: the sum at day d holds the ends up to d + 1.
     ends = F.array(*[
-        F.struct((F.col(name) + shift).cast("long").alias("at"), F.lit(sign).cast("long").alias("sign"))
+        turn(F.col(name) + shift, sign)
         for name, shift, sign in (("start_day", -1, 1), ("end_day", -1, -1), ("start_day", days - 1, -1), ("end_day", days - 1, 1))
     ])
-    turns = intervals.select("patient", "molecule", F.inline(ends)).groupBy("patient", "molecule", "at").agg(F.sum("sign").alias("_d"))
+    begins = None
+    if first is not None:
+        start = F.datediff(F.lit(first).cast("date"), zero)
+        begins = F.greatest(F.col("_own"), start)
+        # The first interval also marks where the stretches begin.
+        mark = F.when(F.col("start_day") == F.col("_own"), F.array(turn(begins, 0))).otherwise(F.array())
+        ends = F.concat(F.when(F.col("end_day") + (days - 1) > start, ends).otherwise(F.array()), mark)
+    turns = intervals.select("patient", "molecule", F.inline(ends), *([] if begins is None else [begins.cast("long").alias("_begins")]))
+    # Of ends on one day only the last row, which has them all in its sums, leads to a later day.
     so_far = Window.partitionBy("patient", "molecule").orderBy("at")
     upto = so_far.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    low = F.col("at") if begins is None else F.greatest("at", "_begins")
     return turns.select(
-        "patient", "molecule", F.col("at").alias("low"),
-        F.coalesce(F.lead("at").over(so_far) - 1, F.datediff(until, zero).cast("long")).alias("high"),
-        F.sum("_d").over(upto).alias("slope"), (-F.sum(F.col("_d") * F.col("at")).over(upto)).alias("base"),
+        "patient", "molecule", low.alias("low"),
+        F.least(F.lead("at").over(so_far) - 1, F.datediff(until, zero).cast("long")).alias("high"),
+        F.sum("sign").over(upto).alias("slope"), (-F.sum(F.col("sign") * F.col("at")).over(upto)).alias("base"),
     ).where("low <= high")
 
 
@@ -123,12 +146,8 @@ def rolling_adherence(fills: DataFrame, first: str, last: str, days: int = ROLLI
     supply has run out is flagged on each day without cover too.
     """
     zero = F.lit("1970-01-01").cast("date")
-    start, stop = (F.datediff(F.lit(d).cast("date"), zero).cast("long") for d in (first, last))
-    stretches = adherence_segments(fills, last, days)
-    # The first end lies one day before the first covered day.
-    own = F.min("low").over(Window.partitionBy("patient", "molecule")) + 1
-    low, high = F.greatest(F.col("low"), F.col("_own"), start), F.least(F.col("high"), stop)
-    daily = stretches.withColumn("_own", own).where(low <= high).withColumn("_day", F.explode(F.sequence(low, high)))
+    stretches = adherence_segments(fills, last, days, first)
+    daily = stretches.withColumn("_day", F.explode(F.sequence("low", "high")))
     covered = F.col("slope") * F.col("_day") + F.col("base")
     return daily.select(
         "patient", "molecule", F.date_add(zero, F.col("_day").cast("int")).alias("day"), (covered / F.lit(float(days))).alias("rolling_pdc"),

@@ -64,6 +64,18 @@ def test_lapsed_patients_are_flagged_on_every_day(spark):
     assert found[(1, dt.date(2024, 5, 15))].rolling_pdc == 0.0 and found[(1, dt.date(2024, 5, 15))].at_risk
 
 
+def test_long_history_leaves_no_ends_in_a_short_period(spark):
+    old = [(p, "m", 1, 1, dt.date(2010, 1, 1) + dt.timedelta(60 * i), 30) for p in (1, 2) for i in range(60)]
+    new = [(1, "m", 1, 1, dt.date(2024, 5, 20), 10), (1, "m", 1, 1, dt.date(2024, 6, 10), 5)]
+    fills = spark.createDataFrame(old + new, "patient int, molecule string, drug int, pharmacy int, fill_date date, days_supply int")
+    stretches = health.adherence_segments(fills, "2024-06-30", first="2024-06-01").collect()
+    assert len([r for r in stretches if r.patient == 2]) == 1 and len(stretches) <= 8
+    assert min(r.low for r in stretches) == (dt.date(2024, 6, 1) - dt.date(1970, 1, 1)).days
+    found = {(r.patient, r.day): round(r.rolling_pdc * 90) for r in health.rolling_adherence(fills, "2024-06-01", "2024-06-30").collect()}
+    assert len(found) == 60 and all(found[(2, dt.date(2024, 6, d))] == 0 for d in range(1, 31))
+    assert [found[(1, dt.date(2024, 6, d))] for d in (1, 9, 10, 14, 30)] == [10, 10, 11, 15, 15]
+
+
 def test_till_messages(spark):
     good_one = '{"store_id": "LON1", "barcode": 50012, "quantity": 1.5, "sale_price_pence": 199, "till_id": 7, "timestamp": "2024-01-01T10:00:00", "staff": {"id": 3}, "note": null}'
     raws = [good_one, good_one[:-1], "[1]", good_one.replace("199", '"x"'), good_one.replace('"LON1"', "null"), good_one.replace('"till_id": 7, ', "")]
