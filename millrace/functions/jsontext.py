@@ -5,12 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+MARK = "918273645546372819"
+
+
 def strict_variant(col: Column) -> Column:
     """The parsed value, or null where the text is not exactly one JSON value.
 
-    ``try_parse_json`` alone accepts trailing text, so the text is parsed once inside an array and
-    once inside an object: anything left over breaks one of the two or adds a second element.
+    ``try_parse_json`` alone accepts trailing text. A scan of the text inside an array, with a mark
+    behind it, finds the mark in the second place only if nothing is left over. A text that holds the
+    mark itself is parsed by ``_boxed_twice`` instead.
     """
+    second = F.get_json_object(F.concat(F.lit("["), col, F.lit(f",{MARK}]")), "$[1]")
+    return F.when(col.contains(MARK), _boxed_twice(col)).when(second == MARK, F.try_parse_json(col))
+
+
+def _boxed_twice(col: Column) -> Column:
+    """The text once inside an array and once inside an object: anything left over breaks one of the two or adds a second element."""
     boxed = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), col, F.lit("]"))), "$", "array<variant>")
     keyed = F.try_parse_json(F.concat(F.lit('{"v":'), col, F.lit("}")))
     keys = F.size(F.map_keys(F.try_variant_get(keyed, "$", "map<string,variant>")))

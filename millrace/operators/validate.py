@@ -52,9 +52,8 @@ def parse_messages(df: DataFrame, raw: str = "raw") -> DataFrame:
     if dict(df.dtypes)[raw] == "binary":
         source = F.decode(source, "UTF-8")
     text = spread_out(df).withColumn(raw, source)
-    parsed = computed_once(text, {"_value": jsontext.strict_variant(F.col(raw))})
-    is_object = F.schema_of_variant("_value").startswith("OBJECT")
-    return computed_once(parsed, {"record": F.when(is_object, F.col("_value"))}).drop("_value")
+    is_object = F.ltrim(F.col(raw), F.lit(" \t\r\n")).startswith("{")  # of a text that is one JSON value
+    return computed_once(text, {"record": F.when(is_object, jsontext.strict_variant(F.col(raw)))})
 
 
 def json_errors(record: DataFrame, rules: RowRules, out: str = "errors") -> DataFrame:

@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.functions.jsontext import strict_variant
+from millrace.functions.jsontext import MARK, strict_variant
 from millrace.operators import validate as v
 from millrace.plans.daily import batch_ingest, unique_rows
 
@@ -65,6 +65,15 @@ def test_strict_json_agrees_with_a_strict_parser(spark):
     assert got == {t: _is_json(t) for t in STRICT}
 
 
+def test_strict_json_is_parsed_once_and_knows_its_own_mark(spark):
+    texts = [MARK, f"1,{MARK}", f"1,{MARK}] x", f'{{"a": {MARK}}}', f"{MARK}]}} x", f"[{MARK}", '{"a": 1} ,[2]', " [1]\n"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    parsed = df.select("t", strict_variant(F.col("t")).alias("v"))
+    assert {r.t: r.ok for r in parsed.select("t", F.col("v").isNotNull().alias("ok")).collect()} == {t: _is_json(t) for t in texts}
+    plan = v.parse_messages(df, "t")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("get_json_object") == 1 and "schemaOfVariant" not in plan
+
+
 def test_enrichment(spark):
     rows = [("2024-03-05T10:00:00", 1_000_000.0), ("2024-03-05T10:00:00", 1_000_000.5), (None, None)]
     df = spark.createDataFrame(rows, "created_timestamp string, amount double")
