@@ -189,7 +189,7 @@ def _hl7_row(positions: dict[str, tuple[str, int]]) -> Column:
         "patient_hash": _empty_to_null(field("patient_hash")),
         "ndc_code": _empty_to_null(F.try_element_at(parts, F.lit(1))),
         "drug_name": F.coalesce(F.try_element_at(parts, F.lit(2)), F.lit("")),
-        "fill_date": F.try_to_date(field("fill_date"), "yyyyMMdd"),
+        "fill_date": F.try_to_date(_empty_to_null(field("fill_date")), "yyyyMMdd"),
         "days_supply": F.when(supply.rlike("^[0-9]+$"), F.coalesce(supply.try_cast("int"), F.lit(0))).otherwise(0),
         "pharmacy_id": F.coalesce(field("pharmacy_id"), unknown),
         "source_system": F.coalesce(field("source_system"), unknown),
@@ -198,23 +198,30 @@ def _hl7_row(positions: dict[str, tuple[str, int]]) -> Column:
     })
 
 
+# What is read of a dispense resource; a value of another kind is null in its own place only.
+FHIR_FIELDS = (
+    "struct<subject struct<reference string>, medicationCodeableConcept struct<coding array<struct<code string, display string>>>, "
+    "daysSupply struct<value double>, whenHandedOver string, performer array<struct<actor struct<reference string>>>>"
+)
+
+
 def _fhir_row(resource: Column) -> Column:
-    """One dispense from a dispense resource."""
+    """One dispense from a dispense resource read as ``FHIR_FIELDS``."""
 
-    def at(path: str) -> Column:
-        return F.coalesce(jsontext.text_at(resource, path), F.lit(""))
+    def text(value: Column) -> Column:
+        return F.coalesce(value, F.lit(""))
 
-    def last_part(path: str) -> Column:
-        return F.element_at(F.split(at(path), "/"), -1)
+    def last_part(value: Column) -> Column:
+        return F.element_at(F.split(text(value), "/"), -1)
 
-    supply = F.try_variant_get(resource, "$.daysSupply.value", "double")
+    coding = F.get(resource["medicationCodeableConcept"]["coding"], F.lit(0))
     return _dispense({
-        "patient_hash": last_part("$.subject.reference"),
-        "ndc_code": at("$.medicationCodeableConcept.coding[0].code"),
-        "drug_name": at("$.medicationCodeableConcept.coding[0].display"),
-        "fill_date": F.try_to_date(F.left(at("$.whenHandedOver"), F.lit(10)), "yyyy-MM-dd"),
-        "days_supply": F.coalesce(supply.try_cast("int"), F.lit(0)),
-        "pharmacy_id": last_part("$.performer[0].actor.reference"),
+        "patient_hash": last_part(resource["subject"]["reference"]),
+        "ndc_code": text(coding["code"]),
+        "drug_name": text(coding["display"]),
+        "fill_date": F.try_to_date(_empty_to_null(F.left(resource["whenHandedOver"], F.lit(10))), "yyyy-MM-dd"),
+        "days_supply": F.coalesce(resource["daysSupply"]["value"].try_cast("int"), F.lit(0)),
+        "pharmacy_id": last_part(F.get(resource["performer"], F.lit(0))["actor"]["reference"]),
         "source_system": F.lit(None), "dosage_form": F.lit(None),
         "message_format": F.lit("FHIR_R4"),
     })
@@ -237,8 +244,9 @@ def dispense_outcomes(messages: DataFrame, raw: str = "raw", positions: dict[str
     """
     is_hl7 = F.col("_format") == "HL7V2"
     labelled = computed_once(spread_out(messages), {"_format": message_format(F.col(raw))})
+    line_feeds = F.replace(F.replace(F.col(raw), F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
     split = computed_once(labelled, {
-        "_lines": F.when(is_hl7, F.split(F.col(raw), "\r\n?|\n")),
+        "_lines": F.when(is_hl7, F.split(line_feeds, "\n")),
         "_value": F.when(F.col("_format") == "FHIR_R4", jsontext.strict_variant(F.col(raw))),
     })
 
@@ -247,21 +255,24 @@ def dispense_outcomes(messages: DataFrame, raw: str = "raw", positions: dict[str
         return F.split(F.try_element_at(own, F.lit(-1)), r"\|")
 
     segments = sorted({kind for kind, _ in positions.values()})
-    entries = F.try_variant_get("_value", "$.entry", "array<variant>")
+    listed = computed_once(split, {"_entries": F.try_variant_get("_value", "$.entry", "array<variant>")})
+    entries = F.col("_entries")
     members = F.transform(entries, lambda e: F.coalesce(F.variant_get(e, "$.resource", "variant"), e))
     single = F.array(F.coalesce(F.variant_get("_value", "$.resource", "variant"), F.col("_value")))
-    nothing = F.coalesce(F.exists(entries, lambda e: e.isNull() | (F.schema_of_variant(e) == "VOID")), F.lit(False))
-    cut = computed_once(split, {
+    nothing = F.coalesce(F.exists(entries, lambda e: e.isNull() | F.is_variant_null(e)), F.lit(False))
+    dispensed = F.filter(F.coalesce(members, single), lambda r: F.try_variant_get(r, "$.resourceType", "string") == "MedicationDispense")
+    cut = computed_once(listed, {
         **{f"_{k}": last_of(k) for k in segments},
-        "_resources": F.filter(F.coalesce(members, single), lambda r: F.try_variant_get(r, "$.resourceType", "string") == "MedicationDispense"),
+        "_resources": F.transform(dispensed, lambda r: F.try_variant_get(r, "$", FHIR_FIELDS)),
         "_nothing": nothing,
     })
 
-    def no_first(path: str) -> Column:
-        return F.exists("_resources", lambda r: F.coalesce(F.size(F.try_variant_get(r, path, "array<variant>")) == 0, F.lit(False)))
+    def is_empty(array: Column) -> Column:
+        return F.coalesce(F.size(array) == 0, F.lit(False))
 
+    empty = F.exists("_resources", lambda r: is_empty(r["medicationCodeableConcept"]["coding"]) | is_empty(r["performer"]))
     rows = F.when(is_hl7, F.array(_hl7_row(positions))).otherwise(F.transform("_resources", _fhir_row))
-    parsed = computed_once(cut, {"_rows": rows, "_empty": no_first("$.medicationCodeableConcept.coding") | no_first("$.performer")})
+    parsed = computed_once(cut, {"_rows": rows, "_empty": empty})
     reason = (
         F.when(F.col("_format") == "UNKNOWN", "unknown_format")
         .when(is_hl7 & (F.get("_rows", F.lit(0))["patient_hash"].isNull() | F.get("_rows", F.lit(0))["ndc_code"].isNull()), "missing_required_hl7_fields")
@@ -273,14 +284,20 @@ def dispense_outcomes(messages: DataFrame, raw: str = "raw", positions: dict[str
     return judged.select(*messages.columns, F.when(F.col("reason").isNull(), F.col("_rows")).alias("dispenses"), "reason")
 
 
+def judged_dispenses(messages: DataFrame, raw: str = "raw") -> DataFrame:
+    """``dispense_outcomes`` with the message kept, cut at 500, of refused rows only: what a store of them has to hold."""
+    return dispense_outcomes(messages, raw).withColumn(raw, F.when(F.col("reason").isNotNull(), F.left(F.col(raw), F.lit(500))))
+
+
 def route_dispenses(messages: DataFrame, raw: str = "raw", as_of: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Unified dispenses from both formats, and dead letters with a reason (text cut at 500).
 
     With ``as_of`` dispenses carry it as ``_ingested_at``. Both results read one ``dispense_outcomes``;
-    a caller that writes both persists or writes that once.
+    a caller that writes both persists or writes ``judged_dispenses`` and passes that, which is only split.
     """
-    outcomes = dispense_outcomes(messages, raw)
-    kept = [c for c in messages.columns if c != raw]
+    judged = "dispenses" in messages.columns and "reason" in messages.columns
+    outcomes = messages if judged else dispense_outcomes(messages, raw)
+    kept = [c for c in outcomes.columns if c not in (raw, "dispenses", "reason")]
     good = outcomes.where("reason IS NULL").select(*kept, F.inline("dispenses"))
     if as_of is not None:
         good = good.withColumn("_ingested_at", F.lit(as_of))

@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 import random
 
 import pytest
@@ -213,3 +214,31 @@ def test_segments_end_with_any_line_break(spark):
     good, refused = health.route_dispenses(spark.createDataFrame(list(enumerate(raws)), "i int, raw string"))
     assert len({(r.patient_hash, r.drug_name, r.days_supply) for r in good.collect()}) == 1
     assert good.count() == 3 and refused.isEmpty()
+
+
+def test_till_message_fields_are_read_by_one_cast(spark):
+    whole = {"store_id": "LON1", "barcode": 5012, "quantity": "2.5", "sale_price_pence": 100, "till_id": {"a": 1}, "timestamp": "2024-01-30T10:00:00", "lane": [1]}
+    texts = [whole, {**whole, "quantity": "many"}, {**whole, "store_id": None, "till_id": None}, {**whole, "promotion_type": 3, "sale_price_pence": [1]}]
+    sent = spark.createDataFrame([(i, json.dumps(t).encode()) for i, t in enumerate(texts)] + [(9, b"[1]")], "i int, raw binary")
+    good, refused = retail.till_sales(retail.till_messages(sent), "2024-01-30")
+    row = good.drop("record").first()
+    assert (row.i, row.barcode, row.quantity, row.till_id, row.extra) == (0, "5012", 2.5, '{"a":1}', {"lane": "[1]"}) and good.count() == 1
+    reasons = [r.reason for r in refused.collect()]
+    assert sorted(reasons) == ["missing_fields: quantity", "missing_fields: sale_price_pence", "missing_fields: store_id, till_id", "parse_error: not one JSON object"]
+    plan = good._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_variant_get(record") == 2  # the declared fields, and the others
+
+
+def test_dispense_fields_of_another_kind_are_empty_in_their_place(spark):
+    kind = {"resourceType": "MedicationDispense"}
+    raws = [
+        {**kind, "subject": 3, "medicationCodeableConcept": {"coding": ["x", {"code": "B"}]}, "daysSupply": {"value": "7"}, "performer": {"a": 1}},
+        {**kind, "subject": {"reference": "Patient/P"}, "medicationCodeableConcept": {"coding": [{"code": 12}]}, "daysSupply": {"value": "x"}, "whenHandedOver": "2024-02-30"},
+        {**kind, "performer": []},
+    ]
+    judged = health.judged_dispenses(spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(raws)], "i int, raw string"))
+    good, refused = health.route_dispenses(judged)
+    rows = {r.i: (r.patient_hash, r.ndc_code, r.days_supply, r.fill_date, r.pharmacy_id) for r in good.collect()}
+    assert rows == {0: ("", "", 7, None, ""), 1: ("P", "12", 0, None, "")}
+    assert [(r.i, r.reason, r.raw) for r in refused.collect()] == [(2, "parse_error: empty list", json.dumps(raws[2]))]
+    assert judged.where("reason IS NULL AND raw IS NOT NULL").isEmpty()
