@@ -63,11 +63,16 @@ def batch_folder(path: str, batch: int) -> str:
 
 def route_batches(
     stream: DataFrame, route: Route, good: str, refused: str, checkpoint: str,
-    partition: str | None = None, trigger: dict | None = None,
+    partition: str | None = None, trigger: dict | None = None, judge: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
-    """Split every micro-batch into rows to keep and dead letters, read once and written twice."""
+    """Split every micro-batch into rows to keep and dead letters, read once and written twice.
+
+    ``judge`` does the work that both share, such as parsing: it is done once a batch, and ``route``
+    gets its result.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
+        batch = batch if judge is None else judge(batch)
         batch.persist()
         try:
             kept, dead = route(batch)

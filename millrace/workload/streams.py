@@ -116,7 +116,8 @@ def streamed_till_sales(spark, root):
     events = till_events(spark, root)
     stream = _stream(spark, events.select(F.to_json(F.struct(*events.columns)).cast("binary").alias("raw")), "till-messages")
     _finish(streams.route_batches(
-        stream, lambda b: retail.till_sales(retail.till_messages(b), NOW), good, refused, scratch_path(spark, "till-state"), "store_region"))
+        stream, lambda b: retail.till_sales(b, NOW), good, refused, scratch_path(spark, "till-state"), "store_region",
+        judge=retail.judged_till_messages))
     return spark.read.parquet(good).select("store_region", "barcode", "timestamp", "sale_price_gbp")
 
 
@@ -133,7 +134,8 @@ def sales_velocity(spark, root):
 def streamed_dispenses(spark, root):
     good, refused = scratch_path(spark, "dispenses"), scratch_path(spark, "dispenses-refused")
     stream = _stream(spark, dispense_messages(spark, root), "dispense-messages")
-    _finish(streams.route_batches(stream, health.route_dispenses, good, refused, scratch_path(spark, "dispense-state")))
+    _finish(streams.route_batches(
+        stream, health.route_dispenses, good, refused, scratch_path(spark, "dispense-state"), judge=health.judged_dispenses))
     return spark.read.parquet(good).drop("batch")
 
 

@@ -216,3 +216,23 @@ def test_reuse_stream_resumes_replays_and_expires(spark, held):
     if held > 900:
         assert got == _brute_hits([x for load in loads for x in load], 300)
     assert len(got) == 903 and left[0] >= {"hot", "a", "b"} and left[-1] == {"far", "new"}
+
+
+def test_a_batch_is_judged_once(spark, tmp_path):
+    source, good, refused = (str(tmp_path / n) for n in ("source", "good", "refused"))
+    spark.range(100).write.parquet(source)
+    calls = spark.sparkContext.accumulator(0)
+
+    def judge(batch):
+        def flag(parts):
+            for part in parts:
+                calls.add(len(part))
+                yield part.assign(odd=part["id"] % 2 == 1)
+        return batch.mapInPandas(flag, "id long, odd boolean")
+
+    query = streams.route_batches(
+        streams.file_stream(spark, source, spark.read.parquet(source).schema), lambda b: (b.where("odd"), b.where("not odd")),
+        good, refused, str(tmp_path / "state"), judge=judge)
+    query.awaitTermination()
+    assert spark.read.parquet(good).count() == spark.read.json(refused).count() == 50
+    assert calls.value == 100
