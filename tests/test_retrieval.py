@@ -88,6 +88,29 @@ def test_wrong_dimension_is_refused(spark):
         retrieval.embed_column(df, "text", lambda texts: [[0.0, 1.0] for _ in texts], 3).collect()
 
 
+def test_a_large_side_is_counted_without_its_vectors(spark):
+    texts = spark.createDataFrame([(i, f"word {i}" if i % 3 else " ") for i in range(100)], "id long, text string")
+    embedded = spark.sparkContext.accumulator(0)
+
+    def embed(batch):
+        embedded.add(len(batch))
+        return [[1.0, float(len(t))] for t in batch]
+
+    items = retrieval.embed_column(texts, "text", embed, 2, batch=7)
+    assert not retrieval._fits(items, 10) and embedded.value == 0
+    assert retrieval._fits(items, 100)
+    found = {r.id: r.vector for r in items.collect()}
+    assert found == {i: [1.0, float(len(f"word {i}"))] if i % 3 else None for i in range(100)}
+
+
+def test_scores_are_formed_for_few_items_at_a_time():
+    import pandas as pd
+
+    batch = pd.DataFrame({"item_id": range(1300), "vector": [None if i < 600 else [1.0] for i in range(1300)]})
+    parts = list(retrieval._slices(iter([batch, batch[:0]])))
+    assert [len(p) for p in parts] == [424, 276] and list(parts[0]["item_id"]) == list(range(600, 1024))
+
+
 def test_metrics(spark):
     rows = [(i < 3, 5.0, False) for i in range(10)]
     got = retrieval.reuse_metrics(spark.createDataFrame(rows, "hit boolean, latency_ms double, error boolean")).first()
