@@ -10,6 +10,7 @@ most likely to hold its best items, by centre and mean distance from it, which g
 floor, its k-th best score so far. Only tiles whose bound reaches the floor are visited after that,
 so the result is exact; without that second round it is approximate, to be measured with ``recall``.
 Blocks meet tiles, never single rows: a pair of them is one row until its best items are known.
+Neighbours travel together, so a vector is sent once for a group of tiles and not once for each.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from millrace.workspace import cut_lineage, scratch_path
 TILE_ROWS = 8192
 TILE_TABLE_BYTES = 64 * 1024 * 1024  # centres sent to every task; tiles grow rather than this table
 QUERIES_PER_TASK = 8192
+GROUP_BYTES = 32 * 1024 * 1024  # vectors of neighbouring tiles, or blocks, that travel together
+MEETINGS = 64  # groups of pairs that there should be at least, to give every core some
 PROBES, BITS, SEED = 2, 32, 11
 DIGITS = 12  # scores that differ by rounding noise only are ties
 
@@ -167,40 +170,64 @@ def _routed(blocks: DataFrame, router, dims: int) -> DataFrame:
     return blocks.select(*columns).mapInArrow(route, "tile int, block int, at array<int>")
 
 
-def _visited(pairs: DataFrame, blocks: DataFrame, index: VectorIndex, k: int, min_score: float | None) -> DataFrame:
-    """Best ``k`` items of each query within each tile it visits; a task holds one block and one tile at a time.
+def _group(blocks: int, tiles: int, vectors: int, dims: int) -> int:
+    """Neighbouring blocks, and tiles, of at most ``vectors`` each that travel together.
 
-    Where ``blocks`` have floors, only items that reach their query's floor come out.
+    As many as fit into ``GROUP_BYTES`` and leave ``MEETINGS`` groups of pairs for the tasks.
+    """
+    return max(1, min(GROUP_BYTES // max(1, vectors * dims * 8), math.isqrt(blocks * tiles // MEETINGS)))
+
+
+def _visited(pairs: DataFrame, blocks: DataFrame, index: VectorIndex, k: int, min_score: float | None, group: int = 1) -> DataFrame:
+    """Best ``k`` items of each query within each tile it visits; scores are formed for one block and one tile at a time.
+
+    ``group`` neighbouring blocks meet ``group`` neighbouring tiles in one task, so a block travels
+    once for all of them and so does a tile; only those that take part in a pair do. Where
+    ``blocks`` have floors, only items that reach their query's floor come out.
     """
     dims, second = index.dims, "floors" in blocks.columns
     kinds = [dict(t.dtypes)["ids"][6:-1] for t in (blocks, index.rows)]
-    pairs = cut_lineage(pairs)
+    near = [F.floor(F.col(c) / group).cast("int").alias(n) for c, n in (("tile", "_shelf"), ("block", "_rack"))]
+    pairs = cut_lineage(pairs.select(*near, "tile", "block", "at"))
+    visits = F.collect_list(F.struct("tile", "at")).alias("visits")
     packed = blocks.select("block", F.col("ids").alias("asked"), F.col("vectors").alias("queries"), *(["floors"] if second else []))
-    asked = pairs.join(packed, "block")
-    offered = pairs.select(F.col("tile").alias("_tile"), F.col("block").alias("_block")).join(index.rows.withColumnRenamed("tile", "_tile"), "_tile")
+    asked = pairs.groupBy("_shelf", "_rack", "block").agg(visits).join(packed, "block")
+    offered = pairs.select(F.col("_shelf").alias("_s"), F.col("_rack").alias("_r"), F.col("tile").alias("_tile")).distinct().join(
+        index.rows.withColumnRenamed("tile", "_tile"), "_tile")
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        at = left.column("at")[0].values.to_numpy(zero_copy_only=False)
-        asked, items = left.column("asked")[0].values, right.column("ids")[0].values
-        order = items.to_pandas().argsort(kind="stable").to_numpy()
-        matrix, queries = _unpacked(right.column("vectors")[0].as_py(), dims)[order], _unpacked(left.column("queries")[0].as_py(), dims)[at]
-        least = np.full(len(queries), -np.inf if min_score is None else min_score)
-        if second:
-            least = np.maximum(least, _unpacked(left.column("floors")[0].as_py(), 1)[at, 0])
+        offered_ids = right.column("ids").combine_chunks()
+        place = {t: i for i, t in enumerate(right.column("_tile").to_pylist())}
+        tiles = {}
         who, what, score = [], [], []
-        for low in range(0, len(queries), 512):
-            scores = np.round(queries[low:low + 512] @ matrix.T, DIGITS)
-            rows, columns = _best(scores, k)
-            value = scores[rows, columns]
-            keep = value >= least[low + rows]
-            who.append(at[low + rows[keep]])
-            what.append(order[columns[keep]])
-            score.append(value[keep])
+        for row in range(left.num_rows):
+            asked = left.column("asked")[row].values
+            block = _unpacked(left.column("queries")[row].as_py(), dims)
+            floors = _unpacked(left.column("floors")[row].as_py(), 1)[:, 0] if second else None
+            visits = left.column("visits")[row].values
+            for tile, at in zip(visits.field("tile").to_pylist(), visits.field("at")):
+                if tile not in tiles:
+                    ids = offered_ids[place[tile]].values
+                    order = ids.to_pandas().argsort(kind="stable").to_numpy()
+                    tiles[tile] = ids, order, _unpacked(right.column("vectors")[place[tile]].as_py(), dims)[order]
+                items, order, matrix = tiles[tile]
+                at = at.values.to_numpy(zero_copy_only=False)
+                least = np.full(len(at), -np.inf if min_score is None else min_score)
+                if second:
+                    least = np.maximum(least, floors[at])
+                for low in range(0, len(at), 512):
+                    scores = np.round(block[at[low:low + 512]] @ matrix.T, DIGITS)
+                    rows, columns = _best(scores, k)
+                    value = scores[rows, columns]
+                    keep = value >= least[low + rows]
+                    who.append(asked.take(pa.array(at[low + rows[keep]])))
+                    what.append(items.take(pa.array(order[columns[keep]])))
+                    score.append(value[keep])
         return pa.table({
-            "query_id": asked.take(pa.array(np.concatenate(who))), "item_id": items.take(pa.array(np.concatenate(what))), "score": pa.array(np.concatenate(score))})
+            "query_id": pa.concat_arrays(who), "item_id": pa.concat_arrays(what), "score": pa.array(np.concatenate(score))})
 
     out = f"query_id {kinds[0]}, item_id {kinds[1]}, score double"
-    return asked.groupBy("tile", "block").cogroup(offered.groupBy("_tile", "_block")).applyInArrow(meet, out)
+    return asked.groupBy("_shelf", "_rack").cogroup(offered.groupBy("_s", "_r")).applyInArrow(meet, out)
 
 
 def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -234,7 +261,10 @@ def search(
         return spark.createDataFrame([], f"query_id {kind}, item_id {item_kind}, score double, rank int")
     router = spark.sparkContext.broadcast(Router(tiles, probes))
     blocks = cut_lineage(_packed(asked, index.dims, queries_per_task).select(F.col("tile").alias("block"), "ids", "vectors"))
-    found = cut_lineage(_top(_visited(_routed(blocks, router, index.dims), blocks, index, k, min_score), k))
+    largest = blocks.agg(F.count("*"), F.max(F.size("ids"))).first()
+    held = max(largest[1], index.rows.agg(F.max(F.size("ids"))).first()[0])
+    group = _group(largest[0], len(tiles), held, index.dims)
+    found = cut_lineage(_top(_visited(_routed(blocks, router, index.dims), blocks, index, k, min_score, group), k))
     if not exact or len(tiles) <= probes:
         return found
     lowest = -math.inf if min_score is None else float(min_score)
@@ -247,7 +277,7 @@ def search(
 
     floors = placed.groupBy("block").applyInArrow(pack, "block int, floors binary")
     open_ = cut_lineage(blocks.join(floors, "block"))
-    more = _visited(_routed(open_, router, index.dims), open_, index, k, min_score)
+    more = _visited(_routed(open_, router, index.dims), open_, index, k, min_score, group)
     return _top(found.drop("rank").unionByName(more), k)
 
 

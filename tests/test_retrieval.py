@@ -169,3 +169,15 @@ def test_index_leaves_out_unusable_vectors(spark):
     assert sorted(map(tuple, vectorindex.search(index, df, "i", k=2).select("query_id", "item_id", "rank").collect())) == [(1, 1, 1), (1, 6, 2), (6, 1, 2), (6, 6, 1)]
     empty = vectorindex.build_index(df.where("i < 0"), "i")
     assert vectorindex.search(empty, df, "i").count() == 0
+
+
+def test_neighbouring_tiles_travel_together(spark, monkeypatch):
+    i, items = _vectors(spark, 600, 5, "i")
+    index = vectorindex.build_index(i, "i", tile_rows=16)
+    alone = vectorindex.search(index, i, "i", k=5, queries_per_task=16)
+    want = _brute(items, items, 5, None)
+    monkeypatch.setattr(vectorindex, "MEETINGS", 4)
+    assert vectorindex._group(38, 38, 16, 8) == 19 and vectorindex._group(38, 38, 10**6, 8) == 1
+    together = vectorindex.search(index, i, "i", k=5, queries_per_task=16)
+    for found in (alone, together):
+        assert sorted((r.query_id, r.item_id, r.rank) for r in found.collect()) == sorted((q, j, n) for q, j, _, n in want)
