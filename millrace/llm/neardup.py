@@ -20,7 +20,9 @@ SHINGLE = 5
 SIMILAR = 0.8
 PICKED = 4  # minimum k-mers of a sketch
 BANDS = 24
-PIVOTS = 8  # of a bucket in the first of the later rounds
+PIVOTS = 16  # of a bucket in the first of the later rounds; each round has this many times those before
+PARITIES = 16  # words of 64 bits in which the runs of a text are counted modulo 2
+TASK_ROWS = 20_000  # short rows that a task of the rounds takes
 GROUP_ROWS = 256  # members compared with one pivot in one group
 BROADCAST_IDS = 1_000_000  # 8 bytes each; above it documents are found by a shuffle join
 _SEEDS = mix(np.arange(1, BANDS + 1, dtype=U) * U(0x9E3779B97F4A7C15))
@@ -136,6 +138,11 @@ def texts_of(docs: DataFrame, ids: DataFrame, key: str, text: str) -> DataFrame:
     return cut_lineage(docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).where("text is not null").join(bounded(ids), "id", "left_semi"))
 
 
+def narrowed(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` of about ``rows`` short rows in as few tasks as they need, so that a small step writes few files."""
+    return df.coalesce(max(1, -(-rows // TASK_ROWS)))
+
+
 def own_runs(ids: DataFrame, texts: DataFrame) -> DataFrame:
     """(id, own): how many runs of each text stand in no other text of ``ids``."""
 
@@ -153,14 +160,40 @@ def own_runs(ids: DataFrame, texts: DataFrame) -> DataFrame:
     return ids.join(alone.hint("merge"), "id", "left").select("id", F.coalesce("own", F.lit(0)).alias("own"))
 
 
-def may_link(least: float) -> Column:
-    """Whether two texts can be similar at all, by what each has for itself.
+def parities(labelled: np.ndarray) -> np.ndarray:
+    """Bit by bit, whether an odd number of runs falls on it."""
+    bits = 64 * PARITIES
+    odd = np.bincount((mix(labelled ^ _SEEDS[0]) % U(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
+def with_parities(ids: DataFrame, texts: DataFrame) -> DataFrame:
+    """(id, odd): the parities of each text as a struct of words."""
+    names = [f"w{i}" for i in range(PARITIES)]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = np.array([parities(kmers(value.as_py())) for value in batch.column(1)], np.int64).reshape(-1, PARITIES)
+            yield pa.record_batch([batch.column(0), *(pa.array(words[:, i]) for i in range(PARITIES))], ["id", *names])
+
+    chosen = texts.join(ids.hint("merge"), "id", "left_semi").select("id", "text")
+    return chosen.mapInArrow(read, "id long, " + ", ".join(f"{w} long" for w in names)).select("id", F.struct(*names).alias("odd"))
+
+
+def may_link(least: float, odd: bool = False) -> Column:
+    """Whether two texts can be similar at all, by what each has for itself and, if ``odd``, by their parities.
 
     Runs that no other text has are never common, so at most ``m``, the smaller rest, are, and the
-    similarity is at most m / (n + a_n - m).
+    similarity is at most m / (n + a_n - m). Every bit in which the parities differ stands for a run
+    that only one of the two has; of such runs there are at most (n + a_n) * (1 - least) / (1 + least).
     """
     m = F.least(F.col("n") - F.col("own"), F.col("a_n") - F.col("a_own"))
-    return m >= F.lit(least) * (F.col("n") + F.col("a_n") - m) - F.lit(1e-9)
+    fits = m >= F.lit(least) * (F.col("n") + F.col("a_n") - m) - F.lit(1e-9)
+    if not odd:
+        return fits
+    apart = sum((F.bit_count(F.col("odd")[f"w{i}"].bitwiseXOR(F.col("a_odd")[f"w{i}"])) for i in range(1, PARITIES)),
+                F.bit_count(F.col("odd")["w0"].bitwiseXOR(F.col("a_odd")["w0"])))
+    return fits & (apart <= (F.col("n") + F.col("a_n")) * F.lit((1 - least) / (1 + least)) + F.lit(1e-9))
 
 
 def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
@@ -187,19 +220,21 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
 
 def components(links: DataFrame) -> DataFrame:
     """(id, root): the smallest id of each connected component, by large-star and small-star steps."""
-    edges = cut_lineage(links.selectExpr("greatest(a, b) AS u", "least(a, b) AS v").where("u != v").distinct())
-    total = None
+    edges = links.selectExpr("greatest(a, b) AS u", "least(a, b) AS v").where("u != v").distinct()
+    around = Window.partitionBy("u")
     while True:
+        edges = cut_lineage(edges)
+        rows = edges.count()
+        edges = narrowed(edges, rows)
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = both.join(low.hint("merge"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
-        edges = cut_lineage(small.where("u != v").distinct())
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == total:
+        # stars, once no end has a smaller and a larger neighbour or two smaller ones
+        ends = both.groupBy("u").agg(F.count_if(F.col("v") < F.col("u")).alias("low"), F.count_if(F.col("v") > F.col("u")).alias("high"))
+        if ends.where("low > 1 OR low = 1 AND high > 0").isEmpty():
             return edges.select(F.col("u").alias("id"), F.col("v").alias("root"))
-        total = state
+        large = both.withColumn("m", F.least("u", F.min("v").over(around))).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = narrowed(large, 2 * rows).repartition("u").distinct().withColumn("m", F.min("v").over(around))
+        small = large.select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("x")).select("x.*")
+        edges = narrowed(small.where("u != v"), 2 * rows).distinct()
 
 
 def merged(roots: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -211,7 +246,8 @@ def merged(roots: DataFrame | None, links: DataFrame) -> DataFrame:
         ends = ends.join(roots.withColumnsRenamed({"id": c, "root": f"{c}_root"}).hint("merge"), c, "left").withColumn(c, F.coalesce(f"{c}_root", c)).drop(f"{c}_root")
     more = components(ends)
     moved = roots.join(more.select(F.col("id").alias("root"), F.col("root").alias("next")).hint("merge"), "root", "left").select("id", F.coalesce("next", "root").alias("root"))
-    return cut_lineage(moved.unionByName(more.join(roots.hint("merge"), "id", "left_anti")))
+    roots = cut_lineage(moved.unionByName(more.join(roots.hint("merge"), "id", "left_anti")))
+    return narrowed(roots, roots.count())
 
 
 def rooted(members: DataFrame, roots: DataFrame) -> DataFrame:
@@ -226,13 +262,13 @@ def near_duplicates(docs: DataFrame, least: float = SIMILAR, key: str = "doc_id"
     connected components of links and of equal texts. Equal texts are one node. Candidates share an
     Order MinHash band: the same ``PICKED`` minimum k-mers in the same order. In every bucket one
     random member is the pivot that members of other classes are aligned with: first in two bands, where most
-    groups meet, then in all of them. Members that stay apart from their pivot go on in buckets of
-    two shared bands, with ``PIVOTS`` new pivots each round, until no bucket holds two classes. Before the
+    groups meet, then in all of them. Members that stay apart from their pivot go on with ``PIVOTS`` new
+    pivots, and that many times more each round, until no bucket holds two classes. Before the
     first two of these rounds the runs that a text has for itself, among the texts still left, are counted: a
-    text with too many of them is similar to none and leaves, and two texts meet only if theirs allow it, which
-    loses no link. A round costs a bucket a fixed number of comparisons per member, and a pivot's members are dealt
-    out in groups of bounded size. A pair at 0.8 shares no band with probability below 1 in 100,000,
-    and fewer than two with probability below 1 in 10,000.
+    text with too many of them is similar to none and leaves. Two texts meet only if these runs and their
+    ``parities`` allow a link, which loses none: of texts that share much but stay below ``least``, hardly a pair is
+    left to align. A pivot's members are dealt out in groups of bounded size. A pair at 0.8 shares no band with
+    probability below 1 in 100,000.
 
     Null texts are alone in their class; equal texts without words share one. Repeated rows of a key
     give repeated rows. Null keys have a null class. Other columns do not matter.
@@ -250,42 +286,43 @@ def near_duplicates(docs: DataFrame, least: float = SIMILAR, key: str = "doc_id"
     plan = [every.where("bucket.band < 2"), every]
     while plan:
         kind = plan.pop(0)
+        carried = [c for c in kind.columns if c not in ("id", "bucket")]
         members = kind.withColumn("root", F.col("id")) if roots is None else rooted(kind, roots)
         # small classes first: a bucket is done once only its largest class is left
         size = F.count("*").over(Window.partitionBy("bucket", "root"))
         turn = F.row_number().over(Window.partitionBy("bucket").orderBy("size", F.xxhash64("id", "bucket"), "id"))
-        members = cut_lineage(members.withColumn("size", size).withColumn("turn", turn).drop("size"))
+        members = cut_lineage(members.repartition("bucket").withColumn("size", size).withColumn("turn", turn).drop("size"))
+        members = narrowed(members, members.count())
         picked = members.where(F.col("turn") <= pivots).select(
-            F.col("bucket").alias("a_bucket"), F.col("id").alias("a"), F.col("root").alias("a_root"), F.col("n").alias("a_n"), F.col("own").alias("a_own"))
-        met = members.join(picked.hint("merge"), (F.col("bucket") == F.col("a_bucket")) & (F.col("root") != F.col("a_root")) & may_link(least))
+            F.col("bucket").alias("a_bucket"), F.col("id").alias("a"), F.col("root").alias("a_root"), *[F.col(c).alias(f"a_{c}") for c in carried])
+        met = members.join(picked.hint("merge"), (F.col("bucket") == F.col("a_bucket")) & (F.col("root") != F.col("a_root")) & may_link(least, "odd" in carried))
         pairs = met.select("a", F.col("id").alias("b"), F.least("a", "id").alias("u"), F.greatest("a", "id").alias("v")).groupBy("u", "v").agg(
             F.min("a").alias("a"), F.min_by("b", "a").alias("b"))
         pairs = cut_lineage(pairs if done is None else pairs.join(done.hint("merge"), ["u", "v"], "left_anti"))
+        pairs = narrowed(pairs, pairs.count())
         done = pairs.select("u", "v") if done is None else done.unionByName(pairs.select("u", "v"))
         pairs = pairs.select("a", "b")
         found = cut_lineage(verified(pairs.join(pairs.groupBy("a").agg(F.count("*").alias("n")).hint("merge"), "a"), texts, least))
-        if not found.isEmpty():
-            roots = merged(roots, found)
+        links = found.count()
+        if links:
+            roots = merged(roots, narrowed(found, links))
         if plan:
             continue
         # pivots have met the whole bucket; all others go on, joined or not, while it holds two classes
-        rest = members.where(F.col("turn") > pivots).select("bucket", "id", "n", "own")
+        rest = members.where(F.col("turn") > pivots).select("bucket", "id", *carried)
         rest = rooted(rest, roots) if roots is not None else rest.withColumn("root", F.col("id"))
         mixed = rest.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("bucket")
-        rest = cut_lineage(rest.join(mixed.hint("merge"), "bucket").select("bucket", "id", "n", "own"))
+        rest = cut_lineage(rest.join(mixed.hint("merge"), "bucket").select("bucket", "id", *carried))
         if pivots <= PIVOTS:  # counted twice; later rounds have few texts less
             own = cut_lineage(own_runs(rest.select("id").distinct(), texts))
             rest = rest.drop("own").join(own.hint("merge"), "id").where(F.col("n") - F.col("own") >= F.lit(least) * F.col("n") - F.lit(1e-9))
-        if kind is every:  # where one band is shared so far, by a second one they share
-            second = every.select("id", F.col("bucket").alias("second"))
-            rest = rest.join(second, "id").where(F.col("second") != F.col("bucket")).select(
-                "id", "n", "own", F.struct(F.least("bucket", "second").alias("one"), F.greatest("bucket", "second").alias("two")).alias("bucket")).distinct()
-            pivots = PIVOTS
-        else:
-            pivots *= 2
-        rest = cut_lineage(rest)
-        if not rest.isEmpty():
-            plan.append(rest)
+            if "odd" not in carried:
+                rest = rest.join(with_parities(rest.select("id").distinct(), texts).hint("merge"), "id")
+            rest = cut_lineage(rest)
+        pivots *= PIVOTS
+        left = rest.count()
+        if left:
+            plan.append(narrowed(rest, left))
     out = rows.select("id", "same").join(nodes.select("same", "same_id"), "same")
     if roots is not None:
         out = out.join(roots.withColumnsRenamed({"id": "same_id"}), "same_id", "left")

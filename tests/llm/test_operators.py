@@ -153,6 +153,26 @@ def test_star_and_bridge_of_near_copies_against_brute_force(spark):
     assert got == want
 
 
+def test_families_of_a_common_text_are_hardly_aligned_with_each_other(spark, monkeypatch):
+    base, asked, real = words(23, 200), [], neardup.verified
+    # no text has runs for itself but those of its last word; texts of two families share much, and are not similar
+    texts = [(i, edited(100 + i % 60, base, 5) + f" end{i}") for i in range(240)]
+    monkeypatch.setattr(neardup, "verified", lambda pairs, *more: asked.append(pairs.count()) or real(pairs, *more))
+    got = {r["doc_id"]: r["class_id"] for r in neardup.near_duplicates(frame(spark, texts)).collect()}
+    assert got == brute_classes(texts) == {i: i % 60 for i in range(240)}
+    assert sum(asked[2:]) <= 240  # after the first two rounds
+
+
+def test_parities_never_hide_a_link():
+    r = random.Random(5)
+    for n in (3, 40, 300, 3000):
+        for seed in range(40):
+            text = words(seed, n)
+            a, b = neardup.kmers(text), neardup.kmers(edited(seed, text, r.randint(0, n // 10)))
+            apart = sum((int(x) ^ int(y)).bit_count() for x, y in zip(*(neardup.parities(v).view(np.uint64) for v in (a, b))))
+            assert apart <= len(np.setxor1d(a, b))
+
+
 def test_similarity_is_that_of_ordered_runs():
     a, b = neardup.kmers(words(1, 100)), neardup.kmers(words(1, 100) + " more")
     assert neardup.similarity(a, a) == 1.0 and neardup.similarity(a, b) == len(a) / (len(a) + 1)
