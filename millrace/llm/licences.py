@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from millrace.functions.steps import computed_once
 from millrace.workspace import cut_lineage
 
 # Short public notices of licence families.
@@ -58,7 +60,7 @@ def grams(words: Column) -> Column:
 def paragraphs(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(key, place, words) of each non-blank line."""
     lines = docs.select(F.col(key), F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), r"\R")).alias("place", "line"))
-    return lines.select(key, "place", tokens(F.col("line")).alias("words")).where(F.size("words") > 0)
+    return computed_once(lines, {"words": tokens(F.col("line"))}).select(key, "place", "words").where(F.size("words") > 0)
 
 
 def notices(spark: SparkSession) -> DataFrame:
@@ -93,30 +95,34 @@ def passages(docs: DataFrame, templates: list[tuple[str, list[str]]], key: str,
     or to the border. Of overlapping windows of a family the one with the most of a template's pairs stays, then
     the one with the fewest lines; those of one line are left to ``paragraphs``.
     """
-    low = F.lower(F.col(text))
+    low, marks = F.lower(F.col(text)), telling(templates)
     has = F.lit(False)
-    for w in telling(templates):
+    for w in marks:
         has = has | low.contains(w)
-    lines = docs.where(F.col(text).isNotNull() & has).select(key, F.transform(F.split(F.col(text), r"\R"), tokens).alias("lines")).where(F.size("lines") > 1)
-    lines = lines.withColumn("sizes", F.transform("lines", F.size))
+    whole = low.rlike(rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(map(re.escape, marks))})(?![\p{{L}}\p{{N}}])")
+    held = docs.where(F.col(text).isNotNull() & has & whole).select(key, F.split(F.col(text), r"\R").alias("raw"))
+    lines = computed_once(held, {"lines": F.transform("raw", tokens)}).drop("raw").where(F.size("lines") > 1)
+    some = F.array(*[F.lit(w) for w in marks])
+    lines = computed_once(lines, {"sizes": F.transform("lines", F.size), "told": F.transform("lines", lambda l: F.arrays_overlap(l, some))})
     nothing = F.struct(F.lit(0).alias("n"), F.lit(0).alias("more"), F.lit(True).alias("open"))
 
     def read(held: Column, size: Column) -> Column:
         still = held["open"] & (size > 0) & (held["n"] < LONGEST)
         return F.struct((held["n"] + size).alias("n"), (held["more"] + still.cast("int")).alias("more"), still.alias("open"))
 
-    def ahead(line: Column, i: Column) -> Column:
+    def ahead(i: Column) -> Column:
         more = F.aggregate(F.slice(F.col("sizes"), i + 2, LONGEST + 1), nothing, read)["more"]
         return F.struct(i.alias("place"), F.slice(F.col("lines"), i + 1, more + 1).alias("ahead"))
 
-    enough = lambda words: F.exists(template_shares(words, templates), lambda t: t["share"] >= CONFIRMED)
-    starts = lines.select(key, F.explode(F.transform("lines", ahead)).alias("x")).select(key, "x.place", "x.ahead").where(F.size(F.get("ahead", F.lit(0))) > 0)
-    # the cheap test first: lambdas compute the pairs anew for each template
-    near = F.arrays_overlap(F.flatten("ahead"), F.array(*[F.lit(w) for w in telling(templates)]))
-    wide = starts.where(F.when(near, enough(pairs(F.flatten("ahead")))).otherwise(F.lit(False)))
+    # a window has LONGEST words before its last line, and none of its lines is blank
+    near = F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: F.exists(F.slice("told", i + 1, LONGEST + 1), lambda x: x))
+    # words and pairs once a window: within a lambda they would be computed anew for each word and template
+    starts = lines.select(key, F.explode(F.transform(near, ahead)).alias("x")).select(key, "x.place", "x.ahead").where(F.size(F.get("ahead", F.lit(0))) > 0)
+    wide = computed_once(starts, {"words": F.flatten("ahead")}).where(F.arrays_overlap("words", some))
+    wide = computed_once(wide, {"pairs": pairs(F.col("words"))}).where(F.exists(template_shares(F.col("pairs"), templates), lambda t: t["share"] >= CONFIRMED))
     each = wide.select(key, "place", "ahead", F.explode(F.sequence(F.lit(1), F.size("ahead"))).alias("n"))
-    each = each.select(key, "place", (F.col("place") + F.col("n") - 1).alias("last"), "n", F.flatten(F.slice("ahead", F.lit(1), F.col("n"))).alias("words"))
-    shares = each.withColumn("pairs", pairs(F.col("words"))).select(
+    each = computed_once(each.withColumn("last", F.col("place") + F.col("n") - 1), {"words": F.flatten(F.slice("ahead", F.lit(1), F.col("n")))})
+    shares = computed_once(each, {"pairs": pairs(F.col("words"))}).select(
         key, "place", "last", "n", "words", F.explode(template_shares(F.col("pairs"), templates)).alias("t")).where(F.col("t.share") >= CONFIRMED)
     found = cut_lineage(shares.groupBy(key, "place", "last", "n", F.col("t.family").alias("family")).agg(
         F.max("t.held").alias("held"), F.first("words").alias("words")))
@@ -129,9 +135,11 @@ def passages(docs: DataFrame, templates: list[tuple[str, list[str]]], key: str,
 
 @dataclass(frozen=True)
 class Classifier:
-    """Weights of each gram per class (``weights``: gram, w), class names, intercepts and the least probability per class."""
+    """The fitted counts of grams and regression, the grams with a weight, class names, intercepts and the least probability per class."""
 
-    weights: DataFrame
+    counted: CountVectorizerModel
+    fitted: LogisticRegressionModel
+    grams: list[str]
     classes: list[str]
     intercepts: list[float]
     least: list[float]
@@ -199,8 +207,7 @@ def train(docs: DataFrame, key: str, text: str, sample: int = SAMPLE) -> Classif
                 bound = min(0.99, (r["p"] + 1) / 100)
                 break
         least.append(max(0.5, bound))
-    table = spark.createDataFrame(kept or [("", [0.0] * len(intercepts))], "gram string, w array<double>")
-    return Classifier(table, classes[:len(intercepts)], intercepts, least, words, templates)
+    return Classifier(counted, fitted, [g for g, _ in kept], classes[:len(intercepts)], intercepts, least, words, templates)
 
 
 def _vector(column: Column) -> Column:
@@ -228,21 +235,20 @@ def scan(docs: DataFrame, model: Classifier, key: str = "doc_id", text: str = "t
     docs, key = docs.select(F.struct(F.col(own).alias("id")).alias(name), F.col(text).alias("_text")), name
     text = "_text"
     some = F.arrays_overlap("words", F.array(*[F.lit(w) for w in model.words])) if model.words else F.lit(False)
-    single = cut_lineage(paragraphs(docs, key, text).where(some)).select(key, "place", F.col("place").alias("last"), "words")
-    lines = single.unionByName(cut_lineage(passages(docs, model.templates, key, text).where(some)))
+    single = paragraphs(docs, key, text).where(some).select(key, "place", F.col("place").alias("last"), "words")
+    lines = single.unionByName(passages(docs, model.templates, key, text).where(some)).withColumn("grams", grams(F.col("words")))
     n = len(model.classes)
-    hits = lines.select(key, "place", "last", F.explode(grams(F.col("words"))).alias("gram")).join(F.broadcast(model.weights), "gram")
-    sums = hits.groupBy(key, "place", "last").agg(*[F.sum(F.element_at("w", i + 1)).alias(f"s{i}") for i in range(n)])
-    margins = sums.select(key, "place", "last", F.array(*[F.col(f"s{i}") + F.lit(model.intercepts[i]) for i in range(n)]).alias("m"))
-    margins = margins.withColumn("top", F.array_max("m"))
-    share = 1 / F.aggregate("m", F.lit(0.0), lambda total, m: total + F.exp(m - F.col("top")))
-    judged = margins.select(key, "place", "last", share.alias("p"), (F.array_position("m", F.col("top")) - 1).cast("int").alias("i")).where("i > 0")
+    if max(range(n), key=lambda i: model.intercepts[i]) > 0:  # else a line without a weight is none
+        lines = lines.where(F.arrays_overlap("grams", F.array(*[F.lit(g) for g in model.grams]).cast("array<string>")))
+    # a line is scored where it is read, and only those that speak for a family are kept
+    judged = model.fitted.transform(model.counted.transform(lines)).where("prediction > 0").select(
+        key, "place", "last", "words", F.array_max(_vector(F.col("probability"))).alias("p"), F.col("prediction").cast("int").alias("i"))
     family = F.element_at(F.array(*[F.lit(c) for c in model.classes]), F.col("i") + 1)
     bound = F.element_at(F.array(*[F.lit(x) for x in model.least[:n]]), F.col("i") + 1)
-    seen = judged.join(lines, [key, "place", "last"]).withColumn("family", family)
+    seen = judged.withColumn("family", family)
     shares = template_shares(F.col("pairs"), model.templates)
     confirmed = F.exists(shares, lambda t: (t["family"] == F.col("family")) & (t["share"] >= CONFIRMED))
-    seen = seen.withColumn("pairs", pairs(F.col("words"))).withColumn("sure", (F.col("p") >= bound) & confirmed)
+    seen = computed_once(seen, {"pairs": pairs(F.col("words"))}).withColumn("sure", (F.col("p") >= bound) & confirmed)
     seen = cut_lineage(seen.select(key, "place", "last", "family", "p", "i", "sure").where("sure or last = place"))
     inside = seen.where("sure and last > place").select(key, "family", F.explode(F.sequence("place", "last")).alias("place")).groupBy(key, "place").agg(
         F.collect_set("family").alias("within"))

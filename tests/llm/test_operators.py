@@ -378,3 +378,13 @@ def test_empty_tables(spark, none):
     import public_tokenizers
 
     assert tokenfiles.read_token_files(tokenfiles.write_token_files(none, public_tokenizers.path("word_bpe_49k.json"), folder), folder).count() == 0
+
+
+def test_licence_scan_keeps_only_lines_that_speak_for_a_family(spark, monkeypatch):
+    notices = [t for _, t in licences.NOTICES]
+    plain = [(i, words(i, 30) + "\n" + words(i, 20) + " this work is not in the public general version " + words(i + 500, 20)) for i in range(150)]
+    docs = frame(spark, plain + [(1000 + i, words(i + 900, 30) + "\n" + notices[i % len(notices)]) for i in range(48)])
+    model, kept, real = licences.train(docs, "doc_id", "text"), [], licences.cut_lineage
+    monkeypatch.setattr(licences, "cut_lineage", lambda df: kept.append(df.count()) or real(df))
+    got = licences.scan(docs, model).where("licence != 'none'").count()
+    assert 30 <= got <= 48 and max(kept) < len(plain)
