@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 
 class TurnTable:
@@ -42,32 +43,49 @@ class TurnTable:
         self.spark.range(0, 1, 1, 1).select(F.lit(batch).cast("long").alias("batch")).write.mode("overwrite").parquet(f"{folder}/finished")
 
 
-def merge_partitions(spark: SparkSession, changes: DataFrame, path: str, keys: list[str], partition: str, batch: int) -> None:
+def stored_rows(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
+    """The rows of a table of files, or nothing when it is not there yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def put_partitions(rows: DataFrame, path: str, partition: str) -> None:
+    """Put whole partitions in place of those stored; a large one is written by several tasks."""
+    rows.hint("rebalance", F.col(partition)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+
+
+def merge_partitions(
+    spark: SparkSession, changes: DataFrame, path: str, keys: list[str], partition: str, batch: int, added: list[str] | None = None
+) -> None:
     """Replace the groups named in ``changes`` in a table partitioned by ``partition``.
 
     Only touched partitions are read and rewritten. The merged partitions are staged first and then
     put in place by a dynamic partition overwrite, so a replay after a crash between the two puts
-    the same rows in place again. ``changes`` holds at most one row per group.
+    the same rows in place again. ``changes`` holds at most one row per group. The columns named in
+    ``added`` are added to those stored instead; they are then all that a group has besides its keys.
     """
     staged = TurnTable(spark, f"{path.rstrip('/')}__staged")
     done = staged.newest()
     if done is None or done[0] != batch:
         touched = [r[0] for r in changes.select(partition).distinct().collect()]  # partitions of one batch
         merged = changes
-        try:
-            stored = spark.read.schema(changes.schema).parquet(path)
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            stored = None
+        stored = stored_rows(spark, path, changes.schema)
         if stored is not None and touched:
             known = [v for v in touched if v is not None]
             near = F.col(partition).isin(known) if None not in touched else F.col(partition).isNull() | F.col(partition).isin(known)
-            same = F.lit(True)
-            for k in keys:
-                same = same & F.col(f"s.{k}").eqNullSafe(F.col(f"c.{k}"))
-            rest = stored.where(near).alias("s").join(changes.alias("c"), same, "left_anti")
-            merged = rest.select(changes.columns).unionByName(changes)
+            if added:
+                kinds = dict(changes.dtypes)
+                both = stored.where(near).select(changes.columns).unionByName(changes)
+                merged = both.groupBy(*keys).agg(*[F.sum(c).cast(kinds[c]).alias(c) for c in added]).select(changes.columns)
+            else:
+                same = F.lit(True)
+                for k in keys:
+                    same = same & F.col(f"s.{k}").eqNullSafe(F.col(f"c.{k}"))
+                rest = stored.where(near).alias("s").join(changes.alias("c"), same, "left_anti")
+                merged = rest.select(changes.columns).unionByName(changes)
         staged.write(merged, batch)
-    rows = staged.read()
-    rows.repartition(F.col(partition)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    put_partitions(staged.read(), path, partition)

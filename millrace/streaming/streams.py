@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -20,7 +20,7 @@ from millrace.operators.validate import (
 )
 from millrace.sources.sinks import MissingTable
 from millrace.sources.tables import after_mark, typed
-from millrace.streaming.state import TurnTable, merge_partitions
+from millrace.streaming.state import TurnTable, merge_partitions, put_partitions, stored_rows
 
 Route = Callable[[DataFrame], tuple[DataFrame, DataFrame]]
 
@@ -159,6 +159,49 @@ def summary_stream(
     return write_batches(totals, checkpoint, write, mode="update", trigger=trigger)
 
 
+def summed_windows(
+    stream: DataFrame, ts: str, keys: list[str], sums: dict[str, Column], path: str, checkpoint: str, partition: str, period: str = "day",
+    window: str = "5 minutes", lateness: str = "1 hour", trigger: dict | None = None,
+) -> StreamingQuery:
+    """Tumbling windows per key, added up in a summary table instead of in state.
+
+    For windows that are about as many as the rows: a micro-batch is summed by itself and its sums are
+    added to the table, so no group stays in the memory of an executor. ``sums`` are counts and sums,
+    ``partition`` is the day or month (``period``) of a window. Windows that ended ``lateness`` before
+    the newest time of earlier batches get no more rows.
+
+    A batch writes its sums and then a mark: the newest time, and whether the table was still missing.
+    A replay after that mark adds the same sums to the same stored rows.
+    """
+    spark = stream.sparkSession
+    groups = [partition, "window_start", "window_end", *keys]
+
+    def write(batch: DataFrame, number: int) -> None:
+        own, marks = TurnTable(spark, f"{path}__own"), TurnTable(spark, f"{path}__marks")
+        done = marks.newest()
+        if done is None or done[0] != number:
+            earlier = marks.read(before=number)
+            mark = earlier.first()["newest"] if earlier is not None else None
+            newest = Observation()
+            timed = batch.withColumn(ts, F.col(ts).cast("timestamp")).observe(newest, F.unix_micros(F.max(ts)).alias("newest"))
+            timed = timed.withColumn("_w", F.window(ts, window)).withColumns({"_start": F.col("_w.start"), "_end": F.col("_w.end")})
+            if mark is not None:
+                timed = timed.where(F.col("_end") > F.timestamp_micros(F.lit(mark)) - F.expr(f"INTERVAL {lateness}"))
+            totals = timed.groupBy("_start", "_end", *keys).agg(*[a.alias(n) for n, a in sums.items()]).select(
+                F.col("_start").cast("timestamp_ntz").alias("window_start"), F.col("_end").cast("timestamp_ntz").alias("window_end"), *keys, *sums,
+            ).withColumn(partition, F.to_date(F.date_trunc(period, "window_start")))
+            missing = stored_rows(spark, path, totals.schema) is None
+            own.write(totals, number)
+            reached = max((t for t in (newest.get["newest"], mark) if t is not None), default=None)
+            marks.write(spark.range(0, 1, 1, 1).select(F.lit(reached).cast("long").alias("newest"), F.lit(missing).alias("first")), number)
+        if marks.read().first()["first"]:
+            put_partitions(own.read(), path, partition)
+        else:
+            merge_partitions(spark, own.read(), path, groups, partition, number, added=list(sums))
+
+    return write_batches(stream, checkpoint, write, trigger=trigger)
+
+
 def split_late(
     stream: DataFrame, ts: str, on_time: str, late: str, marks: str, checkpoint: str, lateness: str = "1 hour",
     trigger: dict | None = None,

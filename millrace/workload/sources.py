@@ -224,12 +224,13 @@ e AS (SELECT *, list_filter([CASE WHEN store_id IS NULL THEN 'store_id' END, CAS
 """
 
 
-def till_events(spark, root):
+def till_events(spark, root, lines=None):
+    """One till event per order line; ``lines`` may be a stream of them."""
     c = F.col
     letters = F.element_at(F.array(*[F.lit(p) for p in ("LON", "SE", "MID", "NTH", "SCO", "WAL", "X")]), (c("l_suppkey") % 7 + 1).cast("int"))
     grams = F.lpad((c("l_quantity").cast("int") * 100).cast("string"), 5, "0")
     weighed = F.concat(F.lit("2"), F.lpad((c("l_partkey") % 1000000).cast("string"), 6, "0"), grams, F.lit("7"))
-    return roles.lineitem(spark, root).select(
+    return (roles.lineitem(spark, root) if lines is None else lines).select(
         F.when(c("l_orderkey") % 17 != 0, F.concat(letters, c("l_suppkey"))).alias("store_id"),
         F.when(c("l_linenumber") == 1, weighed)
         .when(c("l_linenumber") == 2, F.concat(F.lit("2"), c("l_partkey"), F.lit("x")))

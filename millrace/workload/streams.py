@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions.numbers import money
+from millrace.functions.steps import computed_once
 from millrace.functions.text import question_key
 from millrace.plans import health, retail
 from millrace.streaming import streams
@@ -124,10 +125,17 @@ def streamed_till_sales(spark, root):
 @register("X6", sql=TILL_SQL + """SELECT store_id, product_code, window_start, window_start + INTERVAL 5 MINUTE AS window_end, count(*) AS items, CAST(sum(quantity) AS DOUBLE) AS units FROM (
 SELECT store_id, CASE WHEN starts_with(barcode, '2') THEN substring(barcode, 2, 6) ELSE barcode END AS product_code, time_bucket(INTERVAL 5 MINUTE, CAST(timestamp AS TIMESTAMP)) AS window_start, quantity FROM e WHERE len(missing) = 0) GROUP BY ALL""")
 def sales_velocity(spark, root):
-    sold, _ = retail.till_sales(_stream(spark, till_events(spark, root), "till-velocity"), NOW)
-    keyed = sold.withColumns({"product_code": F.coalesce("product_code", "barcode"), "sold_at": F.col("timestamp").cast("timestamp")})
-    totals = streams.windowed(keyed, "sold_at", ["store_id", "product_code"], {"items": F.count("*"), "units": F.sum("quantity")})
-    return _summary(spark, totals, "velocity", ["window_start", "store_id", "product_code"], "month")
+    """Almost every sale has a window of its own, so the running sums are the summary table, not state."""
+    lines = streams.file_stream(spark, f"{root}/lineite[m].parquet", roles.lineitem(spark, root).schema)
+    events = till_events(spark, root, lines)
+    events = computed_once(events, {c: F.col(c) for c in ("store_id", "barcode", "sale_price_pence", "timestamp")})
+    sold, _ = retail.till_sales(events, NOW)
+    keyed = sold.select("store_id", F.coalesce("product_code", "barcode").alias("product_code"), F.col("timestamp").cast("timestamp").alias("sold_at"), "quantity")
+    path = scratch_path(spark, "velocity")
+    _finish(streams.summed_windows(
+        keyed, "sold_at", ["store_id", "product_code"], {"items": F.count("*"), "units": F.sum("quantity")}, path,
+        scratch_path(spark, "velocity-state"), "_period", "month"))
+    return spark.read.parquet(path).drop("_period")
 
 
 @register("X7", sql=HL7_SQL + "SELECT * EXCLUDE (raw) FROM hg WHERE patient_hash IS NOT NULL UNION ALL SELECT * FROM fg")

@@ -102,6 +102,86 @@ def test_turns_survive_a_crash(spark):
     assert [r.id for r in table.read().collect()] == [8] and [r.id for r in table.read(before=5).collect()] == [4]
 
 
+def test_sales_velocity_holds_no_state(spark, sf_dir, monkeypatch):
+    from millrace.workload import streams as jobs
+
+    states, finish = [], jobs._finish
+
+    def watched(query):
+        finish(query)
+        states.extend(p["stateOperators"] for p in map(json.loads, (q.json for q in query.recentProgress)))
+
+    monkeypatch.setattr(jobs, "_finish", watched)
+    assert jobs.sales_velocity(spark, sf_dir).count() > 0
+    assert states and not any(states)
+
+
+AT = dt.datetime(2024, 1, 31, 23)
+
+
+def _sales(spark, path, rows):
+    df = spark.createDataFrame([(k, None if m is None else AT + dt.timedelta(minutes=m), q) for k, m, q in rows], "k string, ts timestamp_ntz, q double")
+    df.coalesce(1).write.mode("append").parquet(path)
+    return df.schema
+
+
+def _velocity(spark, source, schema, path, check):
+    streams.summed_windows(
+        streams.file_stream(spark, source, schema), "ts", ["k"], {"n": F.count("*"), "total": F.sum("q")}, path, check, "month", "month",
+    ).awaitTermination()
+
+
+VELOCITY_LOADS = [
+    [("a", 0, 1.0), ("a", 4, 2.0), ("a", 5, None), (None, 3, 4.0), ("b", 59, 5.0), ("b", None, 9.0)],
+    [("a", 1, 8.0), ("a", 6, 3.0), (None, 0, None), ("a", 61, 1.0), ("c", -1, 7.0), ("c", -2, 7.0)],  # both windows of c end at 0, after 59 - 60
+    [("a", 0, 50.0), ("a", -4, 50.0), ("b", 58, 2.0), ("a", 64, 1.0)],  # the mark is 61 - 60: the window from -5 to 0 is over
+]
+VELOCITY_SUMS = {
+    ("a", 0): (4, 61.0), ("a", 5): (2, 3.0), (None, 0): (2, 4.0), ("b", 55): (2, 7.0), ("a", 60): (2, 2.0), ("c", -5): (2, 14.0),
+}
+
+
+def _velocity_rows(spark, path):
+    rows = spark.read.parquet(path).collect()
+    got = {(r.k, int((r.window_start - AT).total_seconds() // 60)): (r.n, r.total) for r in rows}
+    assert len(got) == len(rows) and all(r.window_end - r.window_start == dt.timedelta(minutes=5) for r in rows)
+    return got
+
+
+def test_summed_windows_add_up_over_batches(spark):
+    source, path, check = (scratch_path(spark, n) for n in ("src", "velocity", "state"))
+    for load in VELOCITY_LOADS:
+        schema = _sales(spark, source, load)
+        _velocity(spark, source, schema, path, check)
+    assert _velocity_rows(spark, path) == VELOCITY_SUMS
+    assert state.TurnTable(spark, f"{path}__marks").read().collect()[0]["first"] is False
+    assert {r.month for r in spark.read.parquet(path).collect()} == {dt.date(2024, 1, 1), dt.date(2024, 2, 1)}
+
+
+def test_summed_windows_count_once_after_crashes(spark, monkeypatch):
+    source, path, check = (scratch_path(spark, n) for n in ("src", "velocity", "state"))
+    write = state.TurnTable.write
+
+    def crashing(real):
+        def crash(*args, **kwargs):
+            real(*args, **kwargs)
+            raise Crash
+        return crash
+
+    for load, put in zip(VELOCITY_LOADS, ("put_partitions", "merge_partitions", "merge_partitions")):
+        schema = _sales(spark, source, load)
+        for step in ("__own", "__marks", put) if load is not VELOCITY_LOADS[-1] else ():
+            with monkeypatch.context() as m:
+                if step == put:
+                    m.setattr(streams, step, crashing(getattr(streams, step)))
+                else:
+                    m.setattr(state.TurnTable, "write", lambda t, *a: (crashing(write) if t.path.endswith(step) else write)(t, *a))
+                with pytest.raises(Exception, match="Crash"):
+                    _velocity(spark, source, schema, path, check)
+        _velocity(spark, source, schema, path, check)
+    assert _velocity_rows(spark, path) == VELOCITY_SUMS
+
+
 def test_summary_is_merged_by_partition(spark):
     path = scratch_path(spark, "summary")
     schema = "day date, k string, n long"
